@@ -34,7 +34,7 @@ from pluvio.operators import (
     to_bronze,
 )
 from pluvio.plans.silver_job import merge_dim, merge_fact
-from pluvio.session import scratch_path, use_utc
+from pluvio.session import checkpoint_root, scratch_path, use_utc
 from pluvio.sources import (
     WRITE_APPEND,
     WRITE_EMPTY,
@@ -96,12 +96,49 @@ def _ts(v: dt.datetime):
     return F.lit(v).cast("timestamp")
 
 
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A derived bronze table, written once as Parquet in the shared checkpoint folder.
+
+    Bronze is a stored table in the pipeline; storing the derived documents
+    gives the same physical plan (VARIANT paths pushed into the scan) and cuts
+    the lineage back to the document builder, so filters on parsed fields do
+    not re-run the JSON serialisation. Reused while the folder exists.
+    """
+    key = (checkpoint_root(spark), sf_dir.rstrip("/"), name)
+    path = _STORED.get(key)
+    if path is None or not _complete(spark, path):
+        path = scratch_path(spark, f"fixture-{name}")
+        build().write.mode("errorifexists").parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(path)
+
+
+def _complete(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except Exception:  # noqa: BLE001
+        return False
+
+
 # --- fact ------------------------------------------------------------------------
 
 
-def _parsed(spark, sf_dir, key="event"):
+def _bronze(spark, sf_dir, key="event"):
     ev = _read(spark, sf_dir, "events")
-    return parse_fact(fx.observation_bronze(ev, key=key, n_keys=N_KEYS, slot_hours=SLOT_HOURS))
+    return stored(
+        spark,
+        sf_dir,
+        f"observations-{key}",
+        lambda: fx.observation_bronze(ev, key=key, n_keys=N_KEYS, slot_hours=SLOT_HOURS),
+    )
+
+
+def _parsed(spark, sf_dir, key="event"):
+    return parse_fact(_bronze(spark, sf_dir, key))
 
 
 def q_fact_parsed(spark, sf_dir):
@@ -133,21 +170,18 @@ def _inc_out(df):
 
 
 def q_incremental_filter(spark, sf_dir):
-    ev = _read(spark, sf_dir, "events")
-    bronze = fx.observation_bronze(ev, n_keys=N_KEYS)
+    bronze = _bronze(spark, sf_dir)
     target = bronze.filter(F.col("_record_updated_at") < _ts(CUT))
     return _inc_out(incremental_filter(bronze, target))
 
 
 def q_incremental_first_run(spark, sf_dir):
-    ev = _read(spark, sf_dir, "events")
-    bronze = fx.observation_bronze(ev, n_keys=N_KEYS)
+    bronze = _bronze(spark, sf_dir)
     return _inc_out(incremental_filter(bronze, S.empty(spark, S.FACT)))
 
 
 def q_high_water_mark(spark, sf_dir):
-    ev = _read(spark, sf_dir, "events")
-    bronze = fx.observation_bronze(ev, n_keys=N_KEYS)
+    bronze = _bronze(spark, sf_dir)
     target = bronze.filter(F.col("_record_updated_at") < _ts(CUT))
     first = mark_value(S.empty(spark, S.FACT))
     return ntz(high_water_mark(target).select("high_water_mark", first.alias("first_run_mark")))
@@ -159,9 +193,9 @@ def q_high_water_mark(spark, sf_dir):
 def _fact_runs(spark, sf_dir):
     """First run: newest per hour-slot record of ts <= WINDOW_B, stamped RUN1.
     Second run's source: newest per record of ts > WINDOW_A (overlapping window)."""
-    parsed = _parsed(spark, sf_dir, key="hour_slot")
-    ts = F.col("hourly_precip_timestamp")
-    first = latest_per_key(parsed.filter(ts <= _ts(WINDOW_B)), "noaa_record_id")
+    bronze = _bronze(spark, sf_dir, key="hour_slot")
+    u = F.col("_record_updated_at")
+    first = latest_per_key(parse_fact(bronze.filter(u <= _ts(WINDOW_B))), "noaa_record_id")
     target = (
         first.withColumn("_job_id", F.lit("run-1"))
         .withColumn("_trace_id", F.lit("trace-1"))
@@ -169,7 +203,7 @@ def _fact_runs(spark, sf_dir):
         .withColumn("_record_updated_at", _ts(RUN1_TS))
         .select(*S.FACT_COLUMNS)
     )
-    source = latest_per_key(parsed.filter(ts > _ts(WINDOW_A)), "noaa_record_id")
+    source = latest_per_key(parse_fact(bronze.filter(u > _ts(WINDOW_A))), "noaa_record_id")
     return target, source
 
 
@@ -240,7 +274,9 @@ DIM_OUT = [
 
 def _registry(spark, sf_dir, **kw):
     cust = _read(spark, sf_dir, "customer")
-    return parse_dim(fx.station_registry_bronze(cust, **kw), with_geopoint=False, keep=("state",))
+    name = "registry-" + "-".join(f"{k}={v}" for k, v in sorted(kw.items()))
+    bronze = stored(spark, sf_dir, name, lambda: fx.station_registry_bronze(cust, **kw))
+    return parse_dim(bronze, with_geopoint=False, keep=("state",))
 
 
 def q_dim_parsed(spark, sf_dir):
@@ -249,7 +285,7 @@ def q_dim_parsed(spark, sf_dir):
 
 def _reports(spark, sf_dir):
     ev = _read(spark, sf_dir, "events")
-    return parse_dim(fx.station_report_bronze(ev), with_geopoint=False)
+    return parse_dim(stored(spark, sf_dir, "station-reports", lambda: fx.station_report_bronze(ev)), with_geopoint=False)
 
 
 def q_dim_latest(spark, sf_dir):
@@ -266,7 +302,7 @@ def q_merge_upsert_dim(spark, sf_dir):
         .withColumn("_record_updated_at", _ts(RUN1_TS))
         .select(*S.DIM_COLUMNS)
     )
-    reports = _reports(spark, sf_dir).filter(F.col("_record_updated_at") > _ts(CUT))
+    reports = _reports(spark, sf_dir).filter(F.col("_record_updated_at") > _ts(CUT))  # bronze stamp
     source = latest_per_key(reports, "noaa_station_id").withColumn(
         "noaa_station_geopoint", geog_point_wkb("noaa_station_longitude", "noaa_station_latitude")
     )
@@ -320,8 +356,7 @@ def q_table_scan_cap(spark, sf_dir):
 
 
 def q_write_dispositions(spark, sf_dir):
-    ev = _read(spark, sf_dir, "events")
-    rows = fx.observation_bronze(ev, n_keys=N_KEYS).withColumn(
+    rows = _bronze(spark, sf_dir).withColumn(
         S.BRONZE_PARTITION, F.to_date(F.col("_record_created_at"))
     )
     early = rows.filter(F.col("_record_updated_at") < _ts(CUT))
@@ -379,7 +414,7 @@ def q_stream_available_now(spark, sf_dir):
         table,
         f"{root}/checkpoint",
         snapshot_root=f"{root}/fact",
-        max_files_per_trigger=2,
+        max_files_per_trigger=4,
     )
     q.awaitTermination()
     if q.exception():

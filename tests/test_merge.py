@@ -1,0 +1,96 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from pluvio.operators import merge_counts, merge_upsert
+
+RUN = dt.datetime(2026, 2, 1)
+OLD = dt.datetime(2026, 1, 1)
+SCHEMA = "k string, v double, note string, created timestamp"
+UPD = ["v"]
+INS = ["k", "v"]
+
+
+def _t(spark):
+    return spark.createDataFrame(
+        [("a", 1.0, "ta", OLD), ("b", 2.0, "tb", OLD), ("c", 3.0, "tc", OLD), (None, 9.0, "tnull", OLD)], SCHEMA
+    )
+
+
+def _s(spark):
+    return spark.createDataFrame(
+        [("a", 10.0), ("b", None), ("d", 4.0), (None, 5.0), (None, 6.0)], "k string, v double"
+    )
+
+
+def _rows(df):
+    return sorted(
+        ((r["k"], r["v"], r["note"], r["created"], r["_action"]) for r in df.collect()),
+        key=lambda t: tuple((x is None, str(x)) for x in t),
+    )
+
+
+@pytest.mark.parametrize("broadcast", [None, True, False])
+def test_merge_branches(spark, broadcast):
+    out = merge_upsert(
+        _t(spark), _s(spark), "k", UPD, INS, {"created": F.lit(RUN)}, broadcast_source=broadcast
+    )
+    assert _rows(out) == _rows(
+        spark.createDataFrame(
+            [
+                ("a", 10.0, "ta", OLD, "update"),
+                ("b", None, "tb", OLD, "update"),  # NULL source value overwrites
+                ("c", 3.0, "tc", OLD, "keep"),
+                ("d", 4.0, None, RUN, "insert"),
+                (None, 9.0, "tnull", OLD, "keep"),  # NULL key never matches
+                (None, 5.0, None, RUN, "insert"),
+                (None, 6.0, None, RUN, "insert"),
+            ],
+            SCHEMA + ", _action string",
+        )
+    )
+
+
+def test_counts(spark):
+    out = merge_upsert(_t(spark), _s(spark), "k", UPD, INS, {"created": F.lit(RUN)})
+    c = merge_counts(out).first().asDict()
+    assert c == {"updated": 2, "inserted": 3, "kept": 2, "affected": 5}
+
+
+def test_duplicate_source_key_fails(spark):
+    src = spark.createDataFrame([("a", 1.0), ("a", 2.0)], "k string, v double")
+    with pytest.raises(ValueError, match="several rows"):
+        merge_upsert(_t(spark), src, "k", UPD, INS)
+
+
+def test_null_key_source_rows_are_not_duplicates(spark):
+    src = spark.createDataFrame([(None, 1.0), (None, 2.0)], "k string, v double")
+    assert merge_upsert(_t(spark), src, "k", UPD, INS).filter("_action = 'insert'").count() == 2
+
+
+def test_unknown_column_rejected(spark):
+    with pytest.raises(ValueError, match="not in the target"):
+        merge_upsert(_t(spark), _s(spark), "k", ["zzz"], INS)
+
+
+def test_broadcast_plan_does_not_shuffle_target(spark):
+    out = merge_upsert(_t(spark), _s(spark), "k", UPD, INS, broadcast_source=True, check_unique=False)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    assert "SortMergeJoin" not in plan
+
+
+def test_shuffled_plan_is_one_full_outer_join(spark):
+    out = merge_upsert(_t(spark), _s(spark), "k", UPD, INS, broadcast_source=False, check_unique=False)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "FullOuter" in plan
+
+
+def test_rerun_is_idempotent_for_non_null_keys(spark):
+    t1 = merge_upsert(_t(spark), _s(spark), "k", UPD, INS, {"created": F.lit(RUN)}).drop("_action")
+    t2 = merge_upsert(t1, _s(spark), "k", UPD, INS, {"created": F.lit(RUN)})
+    non_null = t2.filter("k is not null").drop("_action")
+    assert sorted(non_null.collect()) == sorted(t1.filter("k is not null").collect())
+    # NULL-key source rows are inserted again on every run.
+    assert t2.filter("k is null").count() == t1.filter("k is null").count() + 2
