@@ -53,7 +53,8 @@ def test_catalog_tables(spark, tmp):
     assert row["_record_created_at"] is not None and row["_record_updated_at"] is not None
     # WRITE_EMPTY is fine on an existing empty table
     assert spark.table(names["dim"]).isEmpty()
-    new_rows = spark.table(names["dim"]).unionByName(
+    empty_dim = spark.createDataFrame([], spark.table(names["dim"]).schema)
+    new_rows = empty_dim.unionByName(
         spark.range(2).select(
             F.col("id").cast("string").alias("_record_id"),
             F.lit("2026-01-01").cast("date").alias("created_date"),
