@@ -104,13 +104,15 @@ def observation_bronze(
     )
 
 
-def observation_features(events: DataFrame, *, key: str = "unique", trace: Column | None = None) -> DataFrame:
+def observation_features(
+    events: DataFrame, *, key: str = "unique", n_keys: int = 4000, trace: Column | None = None
+) -> DataFrame:
     """``(trace_id, feature VARIANT)`` rows: what an extract job receives per station and day."""
     if trace is None:
         trace = station_day_trace()
     return events.select(
         trace.alias("trace_id"),
-        to_variant(observation_feature(record_key(key))).alias("feature"),
+        to_variant(observation_feature(record_key(key, n_keys))).alias("feature"),
     )
 
 

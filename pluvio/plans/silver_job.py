@@ -118,16 +118,13 @@ def merge_dim(
     return merged.withColumn(S.DIM_PARTITION, F.to_date(F.col("_record_created_at")))
 
 
-def _counting(merged: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    obs = Observation(name)
+def _action_metrics() -> list[Column]:
     a = F.col(ACTION)
-    observed = merged.observe(
-        obs,
+    return [
         F.count_if(a == "update").alias("updated"),
         F.count_if(a == "insert").alias("inserted"),
         F.count_if(a == "keep").alias("kept"),
-    )
-    return observed.drop(ACTION), obs
+    ]
 
 
 def _run(
@@ -148,8 +145,17 @@ def _run(
     if n == 0:
         return {"source_rows": 0, "updated": 0, "inserted": 0, "kept": None, "affected": 0}
     merged = merge(source, broadcast_source=n <= max_broadcast_rows)
-    observed, obs = _counting(merged, name)
-    folder = publish_snapshot(observed, table, snapshot_root, partition_col=partition_col, range_cols=range_cols)
+    obs = Observation(name)
+    folder = publish_snapshot(
+        merged,
+        table,
+        snapshot_root,
+        partition_col=partition_col,
+        range_cols=range_cols,
+        observation=obs,
+        metrics=_action_metrics(),
+        drop_cols=[ACTION],
+    )
     counts = {k: int(v) for k, v in obs.get.items()}
     counts.update(source_rows=n, affected=counts["updated"] + counts["inserted"], snapshot=folder)
     return counts

@@ -144,6 +144,9 @@ def publish_snapshot(
     *,
     partition_col: str | None = None,
     range_cols: list[str] | None = None,
+    observation: Observation | None = None,
+    metrics: list | None = None,
+    drop_cols: list[str] | None = None,
 ) -> str:
     """Write ``df`` as a new snapshot folder under ``root`` and point ``table`` at it.
 
@@ -152,11 +155,17 @@ def publish_snapshot(
     ``ALTER TABLE ... SET LOCATION``. With ``range_cols`` the rows are range
     partitioned first (e.g. day, then key): a hot day is split over many tasks
     and each task writes few day folders, with files clustered by key.
+    ``observation``/``metrics`` are attached after the range exchange, so the
+    boundary-sampling job does not count rows twice.
     """
     spark = df.sparkSession
     folder = f"{root.rstrip('/')}/snapshot-{uuid.uuid4().hex}"
     if range_cols:
         df = df.repartitionByRange(*[F.col(c) for c in range_cols])
+    if observation is not None:
+        df = df.observe(observation, *(metrics or []))
+    if drop_cols:
+        df = df.drop(*drop_cols)
     w = df.write.mode("errorifexists")
     if partition_col:
         w = w.partitionBy(partition_col)
