@@ -34,13 +34,14 @@ def json_value(doc, path: str) -> Column:
     text. Keys are case-sensitive.
     """
     doc = _col(doc)
-    p = json_path(path)
-    text = F.try_variant_get(doc, p, "string")
-    # Objects and arrays also cast to (JSON) text; their text starts with '{' or
-    # '['. Only for such text run the container test, so scalar rows never pay it.
-    container = F.try_variant_get(doc, p, "map<string,variant>").isNotNull() | F.try_variant_get(
-        doc, p, "array<variant>"
-    ).isNotNull()
+    # One sub-value per path: with a stored VARIANT column this extraction is
+    # pushed into the Parquet scan (only that path is read).
+    sub = F.try_variant_get(doc, json_path(path), "variant")
+    text = F.try_variant_get(sub, "$", "string")
+    # Objects and arrays also cast to (JSON) text, which starts with '{' or '['.
+    # Only for such text look at the value's type, so scalar rows never pay it.
+    kind = F.schema_of_variant(sub)
+    container = kind.startswith("OBJECT") | kind.startswith("ARRAY")
     maybe_container = text.startswith("{") | text.startswith("[")
     return F.when(maybe_container & container, F.lit(None).cast("string")).otherwise(text)
 

@@ -17,7 +17,14 @@ from pluvio.operators.incremental import incremental_filter
 from pluvio.operators.merge import ACTION, merge_upsert
 from pluvio.operators.parse import parse_dim, parse_fact, routine_reports
 from pluvio.session import checkpoint_root
-from pluvio.sources.tables import BRONZE_TABLE, DIM_TABLE, FACT_TABLE, publish_snapshot
+from pluvio.sources.tables import (
+    BRONZE_TABLE,
+    DIM_TABLE,
+    FACT_TABLE,
+    publish_partitions,
+    publish_snapshot,
+    tracks_partitions,
+)
 from pluvio.sources.tables import _target as read_target
 
 log = logging.getLogger(__name__)
@@ -88,6 +95,11 @@ def merge_fact(
     return merged.withColumn(S.FACT_PARTITION, F.to_date(F.col("hourly_precip_timestamp")))
 
 
+def fact_new_partitions(source: DataFrame) -> DataFrame:
+    """Fact days a source row lands in (updates and inserts both take the source time)."""
+    return source.select(F.to_date(F.col("hourly_precip_timestamp")).alias(S.FACT_PARTITION))
+
+
 def dim_source(bronze: DataFrame, target: DataFrame, *, partition_col: str | None = None) -> DataFrame:
     """Bronze rows above the mark -> station attributes -> newest per station."""
     fresh = incremental_filter(bronze, target, "_record_updated_at", partition_col=partition_col)
@@ -127,37 +139,88 @@ def _action_metrics() -> list[Column]:
     ]
 
 
+REWRITE_MODES = ("auto", "partitions", "snapshot")
+
+
 def _run(
     spark: SparkSession,
     source: DataFrame,
+    target: DataFrame,
     merge,
+    new_partitions,
+    *,
+    key: str,
     table: str,
     snapshot_root: str,
     partition_col: str,
-    range_cols: list[str],
     max_broadcast_rows: int,
     name: str,
+    rewrite: str = "auto",
 ) -> dict:
-    # Materialise the (small, incremental) source once: cuts the lineage to the
-    # scalar-subquery plan, and its exact size decides the join strategy.
+    """Merge a source into a table and publish the result; returns action counts.
+
+    * The (incremental) source is materialised once with ``checkpoint()``: it
+      cuts the lineage to the scalar-subquery plan, and its exact row count
+      decides the join (broadcast below ``max_broadcast_rows``, else shuffle).
+    * ``rewrite="partitions"`` (``"auto"`` when the catalog tracks the table's
+      partitions): only partitions that hold a matched key or receive a changed
+      row are read, merged and rewritten; the rest of the table is untouched.
+      The affected partition values (a short list, at most one per day) come
+      from a key-only semi join of the target with the source keys.
+    * ``rewrite="snapshot"``: the whole table is rewritten to a new folder.
+    """
+    if rewrite not in REWRITE_MODES:
+        raise ValueError(f"rewrite must be one of {REWRITE_MODES}")
     source = source.checkpoint(eager=True)
     n = source.count()
     if n == 0:
-        return {"source_rows": 0, "updated": 0, "inserted": 0, "kept": None, "affected": 0}
-    merged = merge(source, broadcast_source=n <= max_broadcast_rows)
+        return {"source_rows": 0, "updated": 0, "inserted": 0, "kept": 0, "affected": 0}
+    broadcast = n <= max_broadcast_rows
+    by_partition = rewrite == "partitions" or (rewrite == "auto" and tracks_partitions(spark, table))
     obs = Observation(name)
-    folder = publish_snapshot(
-        merged,
-        table,
-        snapshot_root,
-        partition_col=partition_col,
-        range_cols=range_cols,
-        observation=obs,
-        metrics=_action_metrics(),
-        drop_cols=[ACTION],
+    range_cols = [partition_col, key]
+    if by_partition:
+        keys = source.select(key).filter(F.col(key).isNotNull())
+        keys = F.broadcast(keys) if broadcast else keys
+        matched = target.select(key, partition_col).join(keys, key, "left_semi").select(partition_col)
+        parts = matched.union(new_partitions(source)).distinct()
+        affected = [r[0] for r in parts.collect()]
+        if any(v is None for v in affected):
+            by_partition = False
+    if by_partition:
+        scoped = target.filter(F.col(partition_col).isin(affected))
+        merged = merge(scoped, source, broadcast)
+        folder = publish_partitions(
+            merged,
+            table,
+            snapshot_root,
+            partition_col=partition_col,
+            affected=affected,
+            range_cols=range_cols,
+            observation=obs,
+            metrics=_action_metrics(),
+            drop_cols=[ACTION],
+        )
+    else:
+        merged = merge(target, source, broadcast)
+        folder = publish_snapshot(
+            merged,
+            table,
+            snapshot_root,
+            partition_col=partition_col,
+            range_cols=range_cols,
+            observation=obs,
+            metrics=_action_metrics(),
+            drop_cols=[ACTION],
+        )
+    metrics = obs.get
+    counts = {k: int(metrics[k]) for k in ("updated", "inserted", "kept")}
+    counts.update(
+        source_rows=n,
+        affected=counts["updated"] + counts["inserted"],
+        snapshot=folder,
+        rewrite="partitions" if by_partition else "snapshot",
     )
-    counts = {k: int(v) for k, v in obs.get.items()}
-    counts.update(source_rows=n, affected=counts["updated"] + counts["inserted"], snapshot=folder)
     return counts
 
 
@@ -172,6 +235,7 @@ def run_silver_fact(
     run_ts: dt.datetime | None = None,
     hwm_policy: str = "insert_time",
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    rewrite: str = "auto",
 ) -> dict:
     """C2: incremental MERGE of bronze into the fact table; returns action counts.
 
@@ -188,16 +252,18 @@ def run_silver_fact(
     return _run(
         spark,
         source,
-        lambda s, broadcast_source: merge_fact(
-            target, s, job_id=job_id, trace_id=trace_id, run_ts=run_ts, hwm_policy=hwm_policy,
-            broadcast_source=broadcast_source,
+        target,
+        lambda t, s, b: merge_fact(
+            t, s, job_id=job_id, trace_id=trace_id, run_ts=run_ts, hwm_policy=hwm_policy, broadcast_source=b
         ),
-        fact_table,
-        root,
-        S.FACT_PARTITION,
-        [S.FACT_PARTITION, S.FACT_KEY],
-        max_broadcast_rows,
-        "fact_merge",
+        fact_new_partitions,
+        key=S.FACT_KEY,
+        table=fact_table,
+        snapshot_root=root,
+        partition_col=S.FACT_PARTITION,
+        max_broadcast_rows=max_broadcast_rows,
+        name="fact_merge",
+        rewrite=rewrite,
     )
 
 
@@ -211,6 +277,7 @@ def run_silver_dim(
     snapshot_root: str | None = None,
     run_ts: dt.datetime | None = None,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    rewrite: str = "auto",
 ) -> dict:
     """C3: incremental MERGE of station attributes into the dimension."""
     bronze = read_target(spark, bronze_table)
@@ -221,15 +288,16 @@ def run_silver_dim(
     return _run(
         spark,
         source,
-        lambda s, broadcast_source: merge_dim(
-            target, s, job_id=job_id, trace_id=trace_id, run_ts=run_ts, broadcast_source=broadcast_source
-        ),
-        dim_table,
-        root,
-        S.DIM_PARTITION,
-        [S.DIM_PARTITION, S.DIM_KEY],
-        max_broadcast_rows,
-        "dim_merge",
+        target,
+        lambda t, s, b: merge_dim(t, s, job_id=job_id, trace_id=trace_id, run_ts=run_ts, broadcast_source=b),
+        lambda s: s.select(F.to_date(run_timestamp(run_ts)).alias(S.DIM_PARTITION)).limit(1),
+        key=S.DIM_KEY,
+        table=dim_table,
+        snapshot_root=root,
+        partition_col=S.DIM_PARTITION,
+        max_broadcast_rows=max_broadcast_rows,
+        name="dim_merge",
+        rewrite=rewrite,
     )
 
 

@@ -171,13 +171,86 @@ def publish_snapshot(
         w = w.partitionBy(partition_col)
     w.parquet(folder)
     if _table_exists(spark, table):
+        tracked = tracks_partitions(spark, table)
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+        if tracked:
+            # Partition entries keep their own locations: re-register them all.
+            old = [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+            if old:
+                specs = ", ".join(
+                    "PARTITION (" + ", ".join(f"{k} = '{v}'" for k, v in (kv.split("=", 1) for kv in p.split("/"))) + ")"
+                    for p in old
+                )
+                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
+            spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
         spark.sql(f"REFRESH TABLE {table}")
-        if partition_col:
-            try:
-                spark.sql(f"MSCK REPAIR TABLE {table}")
-            except Exception:
-                pass
     else:
         spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{folder}'")
     return folder
+
+
+def tracks_partitions(spark: SparkSession, table: str) -> bool:
+    """True when the catalog keeps the table's partitions (per-partition locations)."""
+    if _is_path(table) or not _table_exists(spark, table):
+        return False
+    info = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter(F.col("col_name") == "Partition Provider")
+    row = info.first()
+    return bool(row) and row["data_type"] == "Catalog"
+
+
+def _spec(partition_col: str, value) -> str:
+    return f"{partition_col} = DATE'{value}'" if hasattr(value, "isoformat") else f"{partition_col} = '{value}'"
+
+
+def publish_partitions(
+    df: DataFrame,
+    table: str,
+    root: str,
+    *,
+    partition_col: str,
+    affected: list,
+    range_cols: list[str] | None = None,
+    observation: Observation | None = None,
+    metrics: list | None = None,
+    drop_cols: list[str] | None = None,
+) -> str:
+    """Replace only the ``affected`` partitions of a catalog-partitioned table.
+
+    ``df`` must hold the complete new content of exactly those partitions. It
+    is written to a new folder (nothing being read is overwritten), then each
+    affected partition is pointed at its new files (``SET LOCATION``), added,
+    or dropped when it has no rows left. Untouched partitions are not read or
+    written. Each partition switch is atomic; the switch of several partitions
+    is not (see README).
+    """
+    spark = df.sparkSession
+    folder = f"{root.rstrip('/')}/rewrite-{uuid.uuid4().hex}"
+    if range_cols:
+        df = df.repartitionByRange(*[F.col(c) for c in range_cols])
+    obs = observation or Observation("publish_partitions")
+    df = df.observe(obs, *(metrics or []), F.collect_set(F.col(partition_col)).alias("__partitions"))
+    if drop_cols:
+        df = df.drop(*drop_cols)
+    df.write.mode("errorifexists").partitionBy(partition_col).parquet(folder)
+    written = {str(v) for v in obs.get["__partitions"]}
+    unexpected = written - {str(v) for v in affected}
+    if unexpected:
+        raise RuntimeError(f"rows written outside the affected partitions: {sorted(unexpected)[:5]}")
+    existing = {
+        r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()
+    }
+    to_add, to_drop = [], []
+    for value in affected:
+        v = str(value)
+        if v in written and v in existing:
+            spark.sql(f"ALTER TABLE {table} PARTITION ({_spec(partition_col, value)}) SET LOCATION '{folder}/{partition_col}={v}'")
+        elif v in written:
+            to_add.append(f"PARTITION ({_spec(partition_col, value)}) LOCATION '{folder}/{partition_col}={v}'")
+        elif v in existing:
+            to_drop.append(f"PARTITION ({_spec(partition_col, value)})")
+    if to_add:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(to_add))
+    if to_drop:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(to_drop))
+    spark.sql(f"REFRESH TABLE {table}")
+    return folder

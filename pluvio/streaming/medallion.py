@@ -27,7 +27,14 @@ from pluvio import schemas as S
 from pluvio.operators.bronze import to_bronze
 from pluvio.operators.dedupe import latest_per_key
 from pluvio.operators.parse import parse_fact, routine_reports
-from pluvio.plans.silver_job import BRONZE_READ, DEFAULT_MAX_BROADCAST_ROWS, ROUTINE_MINUTE, _run, merge_fact
+from pluvio.plans.silver_job import (
+    BRONZE_READ,
+    DEFAULT_MAX_BROADCAST_ROWS,
+    ROUTINE_MINUTE,
+    _run,
+    fact_new_partitions,
+    merge_fact,
+)
 from pluvio.sources.envelopes import check_envelopes
 from pluvio.sources.tables import WRITE_APPEND, _table_exists, _target, load_table, table_ddl
 
@@ -81,30 +88,36 @@ def stream_medallion(
     def process(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         job_id = batch_job_id(checkpoint, batch_id)
-        done = _table_exists(session, bronze) and not _target(session, bronze).filter(
-            F.col("_job_id") == job_id
-        ).isEmpty()
+        first = batch.select(F.to_date(F.col(_BATCH_TS)).alias("d")).first()
+        if first is None:
+            return
+        # Bronze rows of this batch are stamped from the batch timestamp (fixed
+        # across replays), so they sit in that day's partition or the next:
+        # the read-back prunes partitions and row groups instead of scanning bronze.
+        day = F.lit(first["d"]).cast("date")
+        of_batch = (F.col("_job_id") == job_id) & F.col(S.BRONZE_PARTITION).between(day, F.date_add(day, 1))
+        done = _table_exists(session, bronze) and not _target(session, bronze).filter(of_batch).isEmpty()
         if not done:
             rows = to_bronze(batch, job_id=job_id, run_ts=F.col(_BATCH_TS))
             if rows.isEmpty():
                 return
             load_table(rows, bronze, disposition=WRITE_APPEND, partition_col=S.BRONZE_PARTITION)
-        mine = _target(session, bronze).filter(F.col("_job_id") == job_id)
+        mine = _target(session, bronze).filter(of_batch)
         source = routine_reports(latest_per_key(parse_fact(mine.select(*BRONZE_READ)), S.FACT_KEY), minute)
         target = session.table(fact_table)
         run_ts = mine.agg(F.max("_record_created_at")).scalar()
         _run(
             session,
             source,
-            lambda s, broadcast_source: merge_fact(
-                target, s, job_id=job_id, trace_id=run_trace, run_ts=run_ts, broadcast_source=broadcast_source
-            ),
-            fact_table,
-            snapshot_root,
-            S.FACT_PARTITION,
-            [S.FACT_PARTITION, S.FACT_KEY],
-            max_broadcast_rows,
-            f"stream_merge_{batch_id}",
+            target,
+            lambda t, s, b: merge_fact(t, s, job_id=job_id, trace_id=run_trace, run_ts=run_ts, broadcast_source=b),
+            fact_new_partitions,
+            key=S.FACT_KEY,
+            table=fact_table,
+            snapshot_root=snapshot_root,
+            partition_col=S.FACT_PARTITION,
+            max_broadcast_rows=max_broadcast_rows,
+            name=f"stream_merge_{batch_id}",
         )
 
     writer = envelopes.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)

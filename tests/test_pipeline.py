@@ -141,3 +141,85 @@ def test_stream_matches_batch(spark, tmp):
     q2.awaitTermination()
     assert spark.read.parquet(tmp + "/bronze").count() == bronze_rows
     assert _fact(spark, table) == _expected_54(ev)
+
+
+def _locations(spark, table):
+    rows = spark.sql(f"SHOW PARTITIONS {table}").collect()
+    out = {}
+    for r in rows:
+        spec = r[0].split("=", 1)[1]
+        desc = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION (observed_date = DATE'{spec}')")
+        out[spec] = desc.filter("col_name = 'Location'").first()["data_type"]
+    return out
+
+
+@pytest.mark.parametrize("rewrite", ["partitions", "snapshot"])
+def test_rewrite_modes(spark, tmp, tables, rewrite):
+    ev = _events(spark)
+    kw = dict(snapshot_root=tmp + "/snap", rewrite=rewrite)
+    first = ev.filter(F.col("ts") < F.lit(dt.datetime(2024, 1, 20)))
+    run_bronze(spark, fx.observation_features(first), tmp + "/l", tables["bronze"], extract_job_id="a", load_job_id="a", run_ts=R[0])
+    run_silver_fact(spark, tables["bronze"], tables["fact"], job_id="s1", trace_id="t", run_ts=R[1], **kw)
+    before = _locations(spark, tables["fact"])
+    late = ev.filter(F.col("ts") >= F.lit(dt.datetime(2024, 1, 25)))
+    run_bronze(spark, fx.observation_features(late), tmp + "/l", tables["bronze"], extract_job_id="b", load_job_id="b", run_ts=R[2])
+    c = run_silver_fact(spark, tables["bronze"], tables["fact"], job_id="s2", trace_id="t", run_ts=R[3], **kw)
+    assert c["rewrite"] == rewrite and c["updated"] == 0
+    after = _locations(spark, tables["fact"])
+    assert _fact(spark, tables["fact"]) == sorted(_expected_54(first) + _expected_54(late))
+    if rewrite == "partitions":
+        # untouched days keep their files; only the new days were written
+        assert all(after[d] == loc for d, loc in before.items())
+        assert c["kept"] == 0
+    else:
+        assert all(after[d] != loc for d, loc in before.items())
+
+
+def test_partition_move_leaves_no_stale_copy(spark, tmp, tables):
+    """An update that moves a record to another day rewrites both days."""
+    from pyspark.sql import Row
+
+    doc = '{{"id": "obs-1", "properties": {{"stationId": "S", "timestamp": "{ts}"}}}}'
+    def bronze(ts, stamp):
+        return spark.createDataFrame(
+            [Row(_record_id=ts, raw=doc.format(ts=ts), _job_id="j", _trace_id="t", c=stamp, u=stamp)]
+        ).select(
+            "_record_id", F.parse_json("raw").alias("raw_response_json"), "_job_id", "_trace_id",
+            F.col("c").cast("timestamp").alias("_record_created_at"), F.col("u").cast("timestamp").alias("_record_updated_at"),
+            F.to_date(F.col("c").cast("timestamp")).alias("created_date"),
+        )
+    from pluvio.sources import load_table
+
+    load_table(bronze("2024-01-01T10:54:00Z", "2024-02-01 00:00:00"), tables["bronze"])
+    run_silver_fact(spark, tables["bronze"], tables["fact"], job_id="s1", trace_id="t", run_ts=R[1], snapshot_root=tmp + "/s")
+    load_table(bronze("2024-01-03T10:54:00Z", "2024-02-03 00:00:00"), tables["bronze"])
+    c = run_silver_fact(spark, tables["bronze"], tables["fact"], job_id="s2", trace_id="t", run_ts=R[4], snapshot_root=tmp + "/s")
+    assert c["updated"] == 1 and c["rewrite"] == "partitions"
+    rows = spark.table(tables["fact"]).collect()
+    assert len(rows) == 1 and str(rows[0]["observed_date"]) == "2024-01-03"
+    assert [r[0] for r in spark.sql(f"SHOW PARTITIONS {tables['fact']}").collect()] == ["observed_date=2024-01-03"]
+
+
+def test_dimension_and_silver_run(spark, tmp, tables):
+    from pluvio.plans import run_silver, run_silver_dim
+    from pluvio.sources import load_table
+
+    cust = spark.read.parquet(f"{SF}/customer.parquet")
+    reg = fx.station_registry_bronze(cust, updated_at=dt.datetime(2024, 3, 1), with_state=False).withColumn(
+        "created_date", F.to_date("_record_created_at")
+    )
+    older = fx.station_registry_bronze(
+        cust, updated_at=dt.datetime(2024, 2, 28), elevation_offset=1.0, record_prefix="old", with_state=False
+    ).withColumn("created_date", F.to_date("_record_created_at"))
+    load_table(reg.unionByName(older), tables["bronze"])
+    c = run_silver_dim(spark, tables["bronze"], tables["dim"], job_id="d1", trace_id="t", run_ts=R[1], snapshot_root=tmp + "/d")
+    assert c["inserted"] == cust.count() and c["updated"] == 0
+    dim = spark.table(tables["dim"])
+    assert dim.count() == cust.count()
+    got = {r["noaa_station_id"]: r["noaa_station_elevation_m"] for r in dim.collect()}
+    want = {f"ST{r['c_custkey']}": r["c_acctbal"] for r in cust.collect()}
+    assert got == want  # newest version (no +1) wins
+    assert dim.filter(F.length("noaa_station_geopoint") != 21).count() == 0
+    schema = tables["fact"].split(".")[0].strip("`")
+    counts = run_silver(spark, "trace-x", schema=schema, run_ts=R[2], snapshot_root=tmp + "/f")
+    assert counts["source_rows"] == 0 and counts["job_id"]
