@@ -5,10 +5,15 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _given(v) -> bool:
+    """A falsy parameter is omitted; a Column is always given."""
+    return isinstance(v, Column) or bool(v)
+
+
 def _ts(v):
     return F.lit(v).cast("timestamp") if isinstance(v, (str, dt.datetime)) else v
 
@@ -30,15 +35,29 @@ def observations(
     capped form is a top-k (``TakeOrderedAndProject``), not a full sort.
     """
     out = df.filter(F.col(station_col) == F.lit(station_id))
-    if start:
+    if _given(start):
         out = out.filter(F.col(ts_col) >= _ts(start))
-    if end:
+    if _given(end):
         out = out.filter(F.col(ts_col) <= _ts(end))
     if limit:
         out = out.orderBy(F.col(ts_col).desc_nulls_last(), F.col(id_col).asc()).limit(int(limit))
     return out
 
 
+def last_day(
+    df: DataFrame,
+    station_id: str,
+    now=None,
+    limit: int | None = None,
+    **kwargs,
+) -> DataFrame:
+    """Observations of the last 24 hours up to ``now`` (default: the current time),
+    the default window of an extract run."""
+    end = _ts(now) if now is not None else F.current_timestamp()
+    start = end - F.expr("INTERVAL 1 DAY")
+    return observations(df, station_id, start, end, limit, **kwargs)
+
+
 def station(df: DataFrame, station_id: str, *, key: str = "noaa_station_id") -> DataFrame:
     """One station by id."""
     return df.filter(F.col(key) == F.lit(station_id))

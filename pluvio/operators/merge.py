@@ -16,7 +16,10 @@ Join plan:
   With AQE the source side can still be switched to a broadcast at runtime.
 
 NULL keys never match (``=`` semantics): a NULL-key source row is always
-inserted, a NULL-key target row is always kept.
+inserted, a NULL-key target row is always kept. Such rows bypass the join
+(a filter + union), so NULL keys never pile up in one shuffle partition. All
+other keys are unique on both sides (the source is deduplicated, the target is
+a previous merge result), so the join itself has no hot key.
 """
 
 from __future__ import annotations
@@ -128,28 +131,48 @@ def merge_upsert(
             action.alias(ACTION),
         )
 
+    # NULL keys never match. Route those rows around the join (kept / inserted
+    # as they are): in a shuffle they would all hash to one reducer.
+    t_null = F.lit(False)
+    for k in keys:
+        t_null = t_null | F.col(k).isNull()
+    s_null = F.lit(False)
+    for k in keys:
+        s_null = s_null | F.col(_src(k)).isNull()
+    t_keyed, t_nokey = t.filter(~t_null), t.filter(t_null)
+    s_keyed, s_nokey = s.filter(~s_null), s.filter(s_null)
+
+    kept_null = t_nokey
+    for c in needed:
+        kept_null = kept_null.withColumn(_src(c), F.lit(None).cast(dtypes[c]))
+    kept_null = kept_null.withColumn(_M, F.lit(None).cast("boolean"))
+    inserted_null = s_nokey
+    for c in tcols:
+        inserted_null = inserted_null.withColumn(c, F.lit(None).cast(dtypes[c]))
+    inserted_null = inserted_null.withColumn(_T, F.lit(None).cast("boolean"))
+    unmatched = project(kept_null).unionByName(project(inserted_null))
+
     cond = [F.col(k) == F.col(_src(k)) for k in keys]
     if broadcast_source:
-        sb = F.broadcast(s)
-        matched_rows = t.join(sb, cond, "left")
-        src_keys = s.select(*[F.col(_src(k)) for k in keys])
+        sb = F.broadcast(s_keyed)
+        matched_rows = t_keyed.join(sb, cond, "left")
+        src_keys = s_keyed.select(*[F.col(_src(k)) for k in keys])
         matched_keys = (
             target.select(*keys)
             .join(F.broadcast(src_keys), cond, "left_semi")
-            .select(*[F.col(k).alias(_src(k)) for k in keys])
+            .select(*[F.col(k).alias(f"__mk_{k}") for k in keys])
         )
-        inserts = s.join(
-            F.broadcast(matched_keys.select(*[F.col(_src(k)).alias(f"__mk_{k}") for k in keys])),
+        inserts = s_keyed.join(
+            F.broadcast(matched_keys),
             [F.col(_src(k)) == F.col(f"__mk_{k}") for k in keys],
             "left_anti",
         )
         for c in tcols:
             inserts = inserts.withColumn(c, F.lit(None).cast(dtypes[c]))
         inserts = inserts.withColumn(_T, F.lit(None).cast("boolean"))
-        both = project(matched_rows).unionByName(project(inserts))
-        return both
-    joined = t.join(s, cond, "full_outer")
-    return project(joined)
+        return project(matched_rows).unionByName(project(inserts)).unionByName(unmatched)
+    joined = t_keyed.join(s_keyed, cond, "full_outer")
+    return project(joined).unionByName(unmatched)
 
 
 def merge_counts(merged: DataFrame) -> DataFrame:

@@ -5,6 +5,9 @@ from pluvio.sources.tables import (
     WRITE_EMPTY,
     WRITE_TRUNCATE,
     create_tables,
+    geography_view,
+    publish_partitions,
+    tracks_partitions,
     load_table,
     publish_snapshot,
     read_ndjson,
@@ -18,6 +21,9 @@ __all__ = [
     "WRITE_EMPTY",
     "WRITE_TRUNCATE",
     "create_tables",
+    "geography_view",
+    "publish_partitions",
+    "tracks_partitions",
     "load_table",
     "publish_snapshot",
     "qualified",

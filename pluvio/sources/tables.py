@@ -137,6 +137,13 @@ def scan(spark: SparkSession, table: str, max_rows: int | None = None) -> DataFr
     return df.limit(int(max_rows)) if max_rows else df
 
 
+def _layout(df: DataFrame, cols: list[str]) -> DataFrame:
+    """File layout for a partitioned write: rebalance by the partition column
+    (AQE splits a hot day into several tasks and merges small days, no sampling
+    pass), then sort inside each task so files are clustered by key."""
+    return df.hint("rebalance", cols[0]).sortWithinPartitions(*[F.col(c) for c in cols])
+
+
 def publish_snapshot(
     df: DataFrame,
     table: str,
@@ -152,16 +159,15 @@ def publish_snapshot(
 
     The folder being read (the current snapshot) is never overwritten, so a
     failed or retried job leaves the table as it was; the switch is one
-    ``ALTER TABLE ... SET LOCATION``. With ``range_cols`` the rows are range
-    partitioned first (e.g. day, then key): a hot day is split over many tasks
-    and each task writes few day folders, with files clustered by key.
-    ``observation``/``metrics`` are attached after the range exchange, so the
-    boundary-sampling job does not count rows twice.
+    ``ALTER TABLE ... SET LOCATION``. With ``range_cols`` (day, then key) the rows
+    are rebalanced by day (a hot day is split over several tasks by AQE) and
+    sorted by key inside each file.
+    ``observation``/``metrics`` are attached after the exchange.
     """
     spark = df.sparkSession
     folder = f"{root.rstrip('/')}/snapshot-{uuid.uuid4().hex}"
     if range_cols:
-        df = df.repartitionByRange(*[F.col(c) for c in range_cols])
+        df = _layout(df, range_cols)
     if observation is not None:
         df = df.observe(observation, *(metrics or []))
     if drop_cols:
@@ -226,7 +232,7 @@ def publish_partitions(
     spark = df.sparkSession
     folder = f"{root.rstrip('/')}/rewrite-{uuid.uuid4().hex}"
     if range_cols:
-        df = df.repartitionByRange(*[F.col(c) for c in range_cols])
+        df = _layout(df, range_cols)
     obs = observation or Observation("publish_partitions")
     df = df.observe(obs, *(metrics or []), F.collect_set(F.col(partition_col)).alias("__partitions"))
     if drop_cols:
@@ -254,3 +260,22 @@ def publish_partitions(
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(to_drop))
     spark.sql(f"REFRESH TABLE {table}")
     return folder
+
+
+def geography_view(
+    spark: SparkSession, table: str, view: str, *, wkb_col: str = "noaa_station_geopoint", enable: bool = False
+) -> DataFrame:
+    """Temp view of a table with the WKB point exposed as GEOGRAPHY(4326).
+
+    Needs ``spark.sql.geospatial.enabled``; pass ``enable=True`` to switch it on
+    for the session. The stored column stays WKB (GEOGRAPHY cannot be written
+    to Parquet).
+    """
+    if enable:
+        spark.conf.set("spark.sql.geospatial.enabled", "true")
+    elif spark.conf.get("spark.sql.geospatial.enabled", "false") != "true":
+        raise RuntimeError("spark.sql.geospatial.enabled is off; pass enable=True")
+    base = _target(spark, table)
+    out = base.withColumn(wkb_col, F.expr(f"st_geogfromwkb(`{wkb_col}`)"))
+    out.createOrReplaceTempView(view)
+    return out

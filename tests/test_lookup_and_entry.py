@@ -74,3 +74,24 @@ def test_queries_match_oracle_small(spark, name):
     cols = rel.columns
     theirs = sorted(tuple(str(r[cols.index(c)]) for c in key) for r in rel.fetchall())
     assert mine == theirs
+
+
+def test_last_day_window(spark):
+    from pluvio.operators import last_day
+
+    now = dt.datetime(2026, 1, 1, 9, 30)
+    got = [r["noaa_record_id"] for r in last_day(_obs(spark), "ST1", now=now).collect()]
+    assert sorted(got) == [f"obs-{i}" for i in range(10)]  # all within (now - 1 day, now]
+    assert last_day(_obs(spark), "ST1", now=dt.datetime(2026, 1, 1, 5, 0)).count() == 6
+
+
+def test_geography_view(spark):
+    from pluvio.functions import geog_point_wkb
+    from pluvio.sources import geography_view
+
+    spark.createDataFrame([(1.0, 2.0)], "lon double, lat double").select(
+        geog_point_wkb("lon", "lat").alias("noaa_station_geopoint")
+    ).createOrReplaceTempView("pluvio_geo_src")
+    v = geography_view(spark, "pluvio_geo_src", "pluvio_geo_v", enable=True)
+    assert spark.sql("SELECT st_srid(noaa_station_geopoint) AS s FROM pluvio_geo_v").first()["s"] == 4326
+    assert v.count() == 1
