@@ -142,15 +142,17 @@ def merge_upsert(
     t_keyed, t_nokey = t.filter(~t_null), t.filter(t_null)
     s_keyed, s_nokey = s.filter(~s_null), s.filter(s_null)
 
-    kept_null = t_nokey
-    for c in needed:
-        kept_null = kept_null.withColumn(_src(c), F.lit(None).cast(dtypes[c]))
-    kept_null = kept_null.withColumn(_M, F.lit(None).cast("boolean"))
-    inserted_null = s_nokey
-    for c in tcols:
-        inserted_null = inserted_null.withColumn(c, F.lit(None).cast(dtypes[c]))
-    inserted_null = inserted_null.withColumn(_T, F.lit(None).cast("boolean"))
-    unmatched = project(kept_null).unionByName(project(inserted_null))
+    def target_only(df: DataFrame) -> DataFrame:
+        return df.select(
+            "*", *[F.lit(None).cast(dtypes[c]).alias(_src(c)) for c in needed], F.lit(None).cast("boolean").alias(_M)
+        )
+
+    def source_only(df: DataFrame) -> DataFrame:
+        return df.select(
+            "*", *[F.lit(None).cast(dtypes[c]).alias(c) for c in tcols], F.lit(None).cast("boolean").alias(_T)
+        )
+
+    unmatched = project(target_only(t_nokey)).unionByName(project(source_only(s_nokey)))
 
     cond = [F.col(k) == F.col(_src(k)) for k in keys]
     if broadcast_source:
@@ -167,10 +169,7 @@ def merge_upsert(
             [F.col(_src(k)) == F.col(f"__mk_{k}") for k in keys],
             "left_anti",
         )
-        for c in tcols:
-            inserts = inserts.withColumn(c, F.lit(None).cast(dtypes[c]))
-        inserts = inserts.withColumn(_T, F.lit(None).cast("boolean"))
-        return project(matched_rows).unionByName(project(inserts)).unionByName(unmatched)
+        return project(matched_rows).unionByName(project(source_only(inserts))).unionByName(unmatched)
     joined = t_keyed.join(s_keyed, cond, "full_outer")
     return project(joined).unionByName(unmatched)
 

@@ -34,7 +34,7 @@ from pluvio.operators import (
     to_bronze,
 )
 from pluvio.plans.silver_job import merge_dim, merge_fact
-from pluvio.session import checkpoint_root, scratch_path, use_utc
+from pluvio.session import checkpoint_root, scratch_path, spread, use_utc
 from pluvio.sources import (
     WRITE_APPEND,
     WRITE_EMPTY,
@@ -79,7 +79,7 @@ FACT_OUT = [
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     use_utc(spark)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet"))
 
 
 def ntz(df: DataFrame) -> DataFrame:
@@ -196,17 +196,22 @@ def _fact_runs(spark, sf_dir):
     bronze = _bronze(spark, sf_dir, key="hour_slot")
     u = F.col("_record_updated_at")
     first = latest_per_key(parse_fact(bronze.filter(u <= _ts(WINDOW_B))), "noaa_record_id")
-    target = (
-        first.withColumn("_job_id", F.lit("run-1"))
-        .withColumn("_trace_id", F.lit("trace-1"))
-        .withColumn("_record_created_at", _ts(RUN1_TS))
-        .withColumn("_record_updated_at", _ts(RUN1_TS))
-        .select(*S.FACT_COLUMNS)
-    )
+    target = _stamped(first, S.FACT_COLUMNS)
     source = latest_per_key(parse_fact(bronze.filter(u > _ts(WINDOW_A))), "noaa_record_id")
     return target, source
 
 
+def _stamped(df: DataFrame, columns: list[str]) -> DataFrame:
+    """A first run's rows: run-1 lineage and RUN1 stamps."""
+    lineage = {
+        "_job_id": F.lit("run-1"),
+        "_trace_id": F.lit("trace-1"),
+        "_record_created_at": _ts(RUN1_TS),
+        "_record_updated_at": _ts(RUN1_TS),
+    }
+    return df.select(*[lineage[c].alias(c) if c in lineage else F.col(c) for c in columns])
+
+
 def _merged_fact(spark, sf_dir, broadcast_source=None):
     target, source = _fact_runs(spark, sf_dir)
     return merge_fact(
@@ -294,13 +299,9 @@ def q_dim_latest(spark, sf_dir):
 
 def q_merge_upsert_dim(spark, sf_dir):
     reg = _registry(spark, sf_dir, elevation_offset=1.0)
-    target = (
-        reg.withColumn("noaa_station_geopoint", geog_point_wkb("noaa_station_longitude", "noaa_station_latitude"))
-        .withColumn("_job_id", F.lit("run-1"))
-        .withColumn("_trace_id", F.lit("trace-1"))
-        .withColumn("_record_created_at", _ts(RUN1_TS))
-        .withColumn("_record_updated_at", _ts(RUN1_TS))
-        .select(*S.DIM_COLUMNS)
+    target = _stamped(
+        reg.withColumn("noaa_station_geopoint", geog_point_wkb("noaa_station_longitude", "noaa_station_latitude")),
+        S.DIM_COLUMNS,
     )
     reports = _reports(spark, sf_dir).filter(F.col("_record_updated_at") > _ts(CUT))  # bronze stamp
     source = latest_per_key(reports, "noaa_station_id").withColumn(
@@ -431,6 +432,15 @@ def q_stream_available_now(spark, sf_dir):
     )
 
 
+def prepare_fixtures(spark: SparkSession, sf_dir: str) -> None:
+    """Store every derived bronze table the queries read (done lazily otherwise)."""
+    _bronze(spark, sf_dir, "event")
+    _bronze(spark, sf_dir, "hour_slot")
+    _registry(spark, sf_dir)
+    _registry(spark, sf_dir, elevation_offset=1.0)
+    _reports(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_parsed": q_fact_parsed,
     "fact_latest": q_fact_latest,

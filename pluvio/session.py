@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
@@ -71,3 +71,16 @@ def build_session(
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Use every core when an input has fewer splits than the cluster's parallelism.
+
+    A single small file (one Parquet row group) is read by one task; CPU-heavy
+    work on it (JSON documents) would then run on one core. Large inputs have
+    many splits already, so for them this is a no-op (no shuffle is added).
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
