@@ -64,10 +64,10 @@ def _jobs(spark, sf_dir: str, times: dict) -> None:
     ev = spark.read.parquet(f"{sf_dir}/events.parquet")
     cut = dt.datetime(2024, 1, 16)
     early = write_envelopes(
-        fx.observation_features(ev.filter(F.col("ts") < F.lit(cut)), key="event"), f"{root}/landing", "x1"
+        fx.observation_features(ev.filter(F.col("ts") < F.lit(cut)), key="unique"), f"{root}/landing", "x1"
     )
     rest = write_envelopes(
-        fx.observation_features(ev.filter(F.col("ts") >= F.lit(cut - dt.timedelta(days=2))), key="event"),
+        fx.observation_features(ev.filter(F.col("ts") >= F.lit(cut - dt.timedelta(days=2))), key="unique"),
         f"{root}/landing",
         "x2",
     )

@@ -33,6 +33,7 @@ def incremental_filter(
     target_ts_col: str | None = None,
     partition_col: str | None = None,
     partition_lag_days: int = 1,
+    mark=None,
 ) -> DataFrame:
     """Source rows strictly newer than the target's mark.
 
@@ -41,8 +42,14 @@ def incremental_filter(
     adds ``partition_col >= date(mark) - partition_lag_days`` so whole day
     partitions are pruned; safe when rows are stamped ``created <= updated`` and
     the two stamps are at most ``partition_lag_days`` apart.
+
+    ``mark`` (a value computed once with :func:`high_water_mark`) replaces the
+    subquery by a literal, so the partition predicate prunes at planning time.
     """
-    mark = mark_value(target, target_ts_col or ts_col)
+    if mark is None:
+        mark = mark_value(target, target_ts_col or ts_col)
+    elif not isinstance(mark, Column):
+        mark = F.lit(mark).cast("timestamp")
     out = source.filter(F.col(ts_col) > mark)
     if partition_col is not None:
         out = out.filter(F.col(partition_col) >= F.date_sub(F.to_date(mark), partition_lag_days))

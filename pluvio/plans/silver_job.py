@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pluvio import schemas as S
 from pluvio.operators.bronze import run_timestamp
 from pluvio.operators.dedupe import latest_per_key
-from pluvio.operators.incremental import incremental_filter
+from pluvio.operators.incremental import high_water_mark, incremental_filter
 from pluvio.operators.merge import ACTION, merge_upsert
 from pluvio.operators.parse import parse_dim, parse_fact, routine_reports
 from pluvio.session import checkpoint_root
@@ -44,13 +44,14 @@ def fact_source(
     partition_col: str | None = None,
     minute: int = ROUTINE_MINUTE,
     on_bad_timestamp: str = "fail",
+    mark=None,
 ) -> DataFrame:
     """Bronze rows above the target's mark -> typed -> newest per record -> routine minute.
 
     The minute filter stays above the dedupe (a record whose newest version is
     off-minute is dropped even if an older version was on it).
     """
-    fresh = incremental_filter(bronze, target, "_record_updated_at", partition_col=partition_col)
+    fresh = incremental_filter(bronze, target, "_record_updated_at", partition_col=partition_col, mark=mark)
     parsed = parse_fact(fresh.select(*BRONZE_READ), on_bad_timestamp=on_bad_timestamp)
     return routine_reports(latest_per_key(parsed, S.FACT_KEY), minute)
 
@@ -100,9 +101,9 @@ def fact_new_partitions(source: DataFrame) -> DataFrame:
     return source.select(F.to_date(F.col("hourly_precip_timestamp")).alias(S.FACT_PARTITION))
 
 
-def dim_source(bronze: DataFrame, target: DataFrame, *, partition_col: str | None = None) -> DataFrame:
+def dim_source(bronze: DataFrame, target: DataFrame, *, partition_col: str | None = None, mark=None) -> DataFrame:
     """Bronze rows above the mark -> station attributes -> newest per station."""
-    fresh = incremental_filter(bronze, target, "_record_updated_at", partition_col=partition_col)
+    fresh = incremental_filter(bronze, target, "_record_updated_at", partition_col=partition_col, mark=mark)
     return latest_per_key(parse_dim(fresh.select(*BRONZE_READ)), S.DIM_KEY)
 
 
@@ -246,7 +247,9 @@ def run_silver_fact(
     """
     bronze = read_target(spark, bronze_table)
     target = spark.table(fact_table)
-    source = fact_source(bronze, target, partition_col=S.BRONZE_PARTITION)
+    # The mark: one small aggregate, then a literal (static partition pruning of bronze).
+    mark = high_water_mark(target).first()[0]
+    source = fact_source(bronze, target, partition_col=S.BRONZE_PARTITION, mark=mark)
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     root = snapshot_root or f"{checkpoint_root(spark).rstrip('/')}/fact-snapshots"
     return _run(
@@ -282,7 +285,8 @@ def run_silver_dim(
     """C3: incremental MERGE of station attributes into the dimension."""
     bronze = read_target(spark, bronze_table)
     target = spark.table(dim_table)
-    source = dim_source(bronze, target, partition_col=S.BRONZE_PARTITION)
+    mark = high_water_mark(target).first()[0]
+    source = dim_source(bronze, target, partition_col=S.BRONZE_PARTITION, mark=mark)
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     root = snapshot_root or f"{checkpoint_root(spark).rstrip('/')}/dim-snapshots"
     return _run(
