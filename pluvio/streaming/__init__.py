@@ -1,3 +1,9 @@
-from pluvio.streaming.medallion import batch_job_id, ensure_fact_table, stream_medallion
+from pluvio.streaming.medallion import (
+    batch_job_id,
+    ensure_fact_table,
+    envelope_stream,
+    medallion_batch,
+    stream_medallion,
+)
 
-__all__ = ["batch_job_id", "ensure_fact_table", "stream_medallion"]
+__all__ = ["batch_job_id", "ensure_fact_table", "envelope_stream", "medallion_batch", "stream_medallion"]

@@ -17,6 +17,7 @@ because of stamp order.
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,6 +52,68 @@ def batch_job_id(checkpoint: str, batch_id: int) -> str:
     return str(uuid.uuid5(uuid.NAMESPACE_URL, f"{checkpoint.rstrip('/')}#{batch_id}"))
 
 
+def medallion_batch(
+    batch: DataFrame,
+    batch_id: int,
+    *,
+    checkpoint: str,
+    bronze: str,
+    fact_table: str,
+    snapshot_root: str,
+    trace_id: str,
+    minute: int = ROUTINE_MINUTE,
+    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+) -> dict | None:
+    """One micro-batch: envelopes (+ ``__batch_ts``) -> bronze -> fact. Idempotent on replay."""
+    session = batch.sparkSession
+    job_id = batch_job_id(checkpoint, batch_id)
+    first = batch.select(F.to_date(F.col(_BATCH_TS)).alias("d")).first()
+    if first is None:
+        return None
+    # Bronze rows of this batch are stamped from the batch timestamp (fixed
+    # across replays), so they sit in that day's partition or the next:
+    # the read-back prunes partitions and row groups instead of scanning bronze.
+    day = F.lit(first["d"]).cast("date")
+    of_batch = (F.col("_job_id") == job_id) & F.col(S.BRONZE_PARTITION).between(day, F.date_add(day, 1))
+    done = _table_exists(session, bronze) and not _target(session, bronze).filter(of_batch).isEmpty()
+    if not done:
+        rows = to_bronze(batch, job_id=job_id, run_ts=F.col(_BATCH_TS))
+        if rows.isEmpty():
+            return None
+        load_table(rows, bronze, disposition=WRITE_APPEND, partition_col=S.BRONZE_PARTITION)
+    mine = _target(session, bronze).filter(of_batch)
+    source = routine_reports(latest_per_key(parse_fact(mine.select(*BRONZE_READ)), S.FACT_KEY), minute)
+    target = session.table(fact_table)
+    run_ts = mine.agg(F.max("_record_created_at")).scalar()
+    counts = _run(
+        session,
+        source,
+        target,
+        lambda t, s, b: merge_fact(t, s, job_id=job_id, trace_id=trace_id, run_ts=run_ts, broadcast_source=b),
+        fact_new_partitions,
+        key=S.FACT_KEY,
+        table=fact_table,
+        snapshot_root=snapshot_root,
+        partition_col=S.FACT_PARTITION,
+        max_broadcast_rows=max_broadcast_rows,
+        name=f"stream_merge_{batch_id}",
+    )
+    counts["bronze_appended"] = not done
+    return counts
+
+
+def envelope_stream(spark: SparkSession, landing: str, *, on_bad: str = "fail", max_files_per_trigger: int | None = None):
+    """Streaming envelopes with the micro-batch timestamp attached."""
+    reader = (
+        spark.readStream.schema(S.ENVELOPE_DDL)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "_corrupt_record")
+    )
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    return check_envelopes(reader.json(landing), on_bad).withColumn(_BATCH_TS, F.current_timestamp())
+
+
 def stream_medallion(
     spark: SparkSession,
     landing: str,
@@ -71,56 +134,25 @@ def stream_medallion(
 
     ``available_now=True`` processes what has landed and stops (a rerun with no
     new file runs no batch); otherwise ``processing_time`` sets the trigger.
-    ``bronze`` is a Parquet folder or catalog table; ``fact_table`` a catalog
-    table (created empty under ``snapshot_root`` if missing).
+    ``landing`` may be a glob over job folders. ``bronze`` is a Parquet folder
+    or catalog table; ``fact_table`` a catalog table (created empty under
+    ``snapshot_root`` if missing).
     """
     ensure_fact_table(spark, fact_table, f"{snapshot_root.rstrip('/')}/initial")
-    reader = (
-        spark.readStream.schema(S.ENVELOPE_DDL)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
+    envelopes = envelope_stream(spark, landing, on_bad=on_bad, max_files_per_trigger=max_files_per_trigger)
+    process = functools.partial(
+        medallion_batch,
+        checkpoint=checkpoint,
+        bronze=bronze,
+        fact_table=fact_table,
+        snapshot_root=snapshot_root,
+        trace_id=trace_id or f"stream:{checkpoint}",
+        minute=minute,
+        max_broadcast_rows=max_broadcast_rows,
+    )
+    writer = envelopes.writeStream.foreachBatch(lambda df, bid: process(df, bid)).option(
+        "checkpointLocation", checkpoint
     )
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    envelopes = check_envelopes(reader.json(landing), on_bad).withColumn(_BATCH_TS, F.current_timestamp())
-    run_trace = trace_id or f"stream:{checkpoint}"
-
-    def process(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        job_id = batch_job_id(checkpoint, batch_id)
-        first = batch.select(F.to_date(F.col(_BATCH_TS)).alias("d")).first()
-        if first is None:
-            return
-        # Bronze rows of this batch are stamped from the batch timestamp (fixed
-        # across replays), so they sit in that day's partition or the next:
-        # the read-back prunes partitions and row groups instead of scanning bronze.
-        day = F.lit(first["d"]).cast("date")
-        of_batch = (F.col("_job_id") == job_id) & F.col(S.BRONZE_PARTITION).between(day, F.date_add(day, 1))
-        done = _table_exists(session, bronze) and not _target(session, bronze).filter(of_batch).isEmpty()
-        if not done:
-            rows = to_bronze(batch, job_id=job_id, run_ts=F.col(_BATCH_TS))
-            if rows.isEmpty():
-                return
-            load_table(rows, bronze, disposition=WRITE_APPEND, partition_col=S.BRONZE_PARTITION)
-        mine = _target(session, bronze).filter(of_batch)
-        source = routine_reports(latest_per_key(parse_fact(mine.select(*BRONZE_READ)), S.FACT_KEY), minute)
-        target = session.table(fact_table)
-        run_ts = mine.agg(F.max("_record_created_at")).scalar()
-        _run(
-            session,
-            source,
-            target,
-            lambda t, s, b: merge_fact(t, s, job_id=job_id, trace_id=run_trace, run_ts=run_ts, broadcast_source=b),
-            fact_new_partitions,
-            key=S.FACT_KEY,
-            table=fact_table,
-            snapshot_root=snapshot_root,
-            partition_col=S.FACT_PARTITION,
-            max_broadcast_rows=max_broadcast_rows,
-            name=f"stream_merge_{batch_id}",
-        )
-
-    writer = envelopes.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
@@ -128,4 +160,4 @@ def stream_medallion(
     return writer.start()
 
 
-__all__ = ["batch_job_id", "ensure_fact_table", "stream_medallion"]
+__all__ = ["batch_job_id", "ensure_fact_table", "envelope_stream", "medallion_batch", "stream_medallion"]
