@@ -19,7 +19,6 @@ from pluvio.operators.parse import parse_dim, parse_fact, routine_reports
 from pluvio.session import checkpoint_root
 from pluvio.sources.tables import (
     BRONZE_TABLE,
-    DIM_TABLE,
     FACT_TABLE,
     publish_partitions,
     publish_snapshot,
@@ -323,7 +322,6 @@ def run_silver(spark: SparkSession, trace_id: str, *, schema: str = "pluvio", **
 
 
 __all__ = [
-    "DIM_TABLE",
     "dim_source",
     "fact_source",
     "merge_dim",

@@ -5,7 +5,6 @@ import datetime as dt
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from pluvio import schemas as S
 from pluvio.operators import latest_per_key, merge_upsert, routine_reports
@@ -59,4 +58,3 @@ def test_batches_equal_model(spark, history, cuts):
         fact = spark.createDataFrame(merged.collect(), SRC)  # keep lineage short
     got = sorted((tuple(r) for r in fact.collect()), key=lambda r: r[0])
     assert got == _model(batches)
-    assert F is not None

@@ -1,5 +1,3 @@
-import datetime as dt
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,4 +82,3 @@ def test_read_ndjson(spark, tmp):
         f.write('{"a": 1, "b": "x"}\n{"a": 2}\n')
     assert read_ndjson(spark, tmp + "/a.json").columns == ["a", "b"]
     assert read_ndjson(spark, tmp + "/a.json", "a long").columns == ["a"]
-    assert dt is not None
