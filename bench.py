@@ -46,6 +46,8 @@ HEADLINE = [
     "sql_submission",
     "write_dispositions",
     "stream_available_now",
+    "silver_fact_runs",
+    "silver_dim_runs",
 ]
 
 

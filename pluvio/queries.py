@@ -32,12 +32,14 @@ from pluvio.operators import (
     stations_page,
     to_bronze,
 )
+from pluvio.plans import run_bronze, run_silver_dim, run_silver_fact
 from pluvio.plans.silver_job import merge_dim, merge_fact
 from pluvio.session import checkpoint_root, scratch_path, spread, use_utc
 from pluvio.sources import (
     WRITE_APPEND,
     WRITE_EMPTY,
     WRITE_TRUNCATE,
+    create_tables,
     load_table,
     read_envelopes,
     run_sql,
@@ -433,6 +435,73 @@ def q_stream_available_now(spark, sf_dir):
     )
 
 
+# --- jobs end to end (catalog tables, partition-scoped publishing) -----------------
+
+RESEND_FROM = dt.datetime(2024, 1, 14, 0, 0, 0)  # second extract re-sends from here
+SILVER1_TS = RUN1_TS + dt.timedelta(hours=1)  # each silver run follows its bronze load
+SILVER2_TS = RUN2_TS + dt.timedelta(hours=1)
+
+
+def _job_tables(spark, label):
+    root = scratch_path(spark, label)
+    schema = "pluvio_" + label.replace("-", "_") + "_" + root.rsplit("-", 1)[-1][:12]
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{root}/db'")
+    return root, create_tables(spark, schema)
+
+
+def q_silver_fact_runs(spark, sf_dir):
+    """Two extracts (the second re-sends an overlapping window), two bronze loads,
+    two incremental silver runs; returns the fact table."""
+    ev = _read(spark, sf_dir, "events")
+    root, names = _job_tables(spark, "fact-runs")
+    first = ev.filter(F.col("ts") < F.lit(CUT))
+    second = ev.filter(F.col("ts") >= F.lit(RESEND_FROM))
+    run_bronze(spark, fx.observation_features(first), f"{root}/landing", names["bronze"],
+               extract_job_id="x1", load_job_id="l1", run_ts=RUN1_TS)
+    run_silver_fact(spark, names["bronze"], names["fact"], job_id="s1", trace_id="t1", run_ts=SILVER1_TS,
+                    snapshot_root=f"{root}/fact")
+    run_bronze(spark, fx.observation_features(second), f"{root}/landing", names["bronze"],
+               extract_job_id="x2", load_job_id="l2", run_ts=RUN2_TS)
+    run_silver_fact(spark, names["bronze"], names["fact"], job_id="s2", trace_id="t2", run_ts=SILVER2_TS,
+                    snapshot_root=f"{root}/fact")
+    return ntz(
+        spark.table(names["fact"]).select(
+            "noaa_record_id",
+            "noaa_station_id",
+            "hourly_precip_timestamp",
+            "hourly_precip_value",
+            "hourly_precip_unit",
+            "hourly_precip_qc",
+            "_job_id",
+            "_trace_id",
+            "_record_created_at",
+            "observed_date",
+        )
+    )
+
+
+def q_silver_dim_runs(spark, sf_dir):
+    """Two station versions per customer in one bronze load, one dimension run."""
+    cust = _read(spark, sf_dir, "customer")
+    root, names = _job_tables(spark, "dim-runs")
+    newer = fx.station_registry_bronze(cust, updated_at=RUN1_TS, with_state=False)
+    older = fx.station_registry_bronze(
+        cust, updated_at=RUN1_TS - dt.timedelta(days=1), elevation_offset=1.0, record_prefix="old", with_state=False
+    )
+    rows = newer.unionByName(older).withColumn(S.BRONZE_PARTITION, F.to_date("_record_created_at"))
+    load_table(rows, names["bronze"])
+    run_silver_dim(spark, names["bronze"], names["dim"], job_id="d1", trace_id="t1", run_ts=RUN2_TS,
+                   snapshot_root=f"{root}/dim")
+    dim = spark.table(names["dim"])
+    return ntz(
+        dim.select(
+            *[c for c in S.DIM_COLUMNS if c != "noaa_station_geopoint"],
+            wkb_longitude("noaa_station_geopoint").alias("geopoint_lon"),
+            wkb_latitude("noaa_station_geopoint").alias("geopoint_lat"),
+        )
+    )
+
+
 def prepare_fixtures(spark: SparkSession, sf_dir: str) -> None:
     """Store every derived bronze table the queries read (done lazily otherwise)."""
     _bronze(spark, sf_dir, "event")
@@ -465,6 +534,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "write_dispositions": q_write_dispositions,
     "sql_submission": q_sql_submission,
     "stream_available_now": q_stream_available_now,
+    "silver_fact_runs": q_silver_fact_runs,
+    "silver_dim_runs": q_silver_dim_runs,
 }
 
 
@@ -607,6 +678,40 @@ def _dispositions_sql() -> str:
     )
 
 
+def _silver_fact_runs_sql() -> str:
+    resend = _sqlts(RESEND_FROM)
+    return f"""
+    SELECT {UNIQUE_KEY} AS noaa_record_id,
+           'ST' || CAST(user_id AS VARCHAR) AS noaa_station_id,
+           ts AS hourly_precip_timestamp,
+           CASE WHEN event_type IN ('error', 'signup') THEN NULL ELSE value END AS hourly_precip_value,
+           'mm' AS hourly_precip_unit,
+           CASE WHEN event_type = 'view' THEN NULL ELSE upper(substr(event_type, 1, 1)) END AS hourly_precip_qc,
+           CASE WHEN ts >= {resend} THEN 's2' ELSE 's1' END AS _job_id,
+           CASE WHEN ts >= {resend} THEN 't2' ELSE 't1' END AS _trace_id,
+           CASE WHEN ts < {_sqlts(CUT)} THEN {_sqlts(SILVER1_TS)} ELSE {_sqlts(SILVER2_TS)} END AS _record_created_at,
+           CAST(ts AS DATE) AS observed_date
+    FROM events
+    WHERE minute(ts) = 54"""
+
+
+def _silver_dim_runs_sql() -> str:
+    return f"""
+    SELECT 'c' || CAST(c_custkey AS VARCHAR) AS _record_id,
+           'ST' || CAST(c_custkey AS VARCHAR) AS noaa_station_id,
+           c_name AS noaa_station_name,
+           CAST(c_custkey * 17 % 180 - 90 AS DOUBLE) AS noaa_station_latitude,
+           CAST(c_custkey * 37 % 360 - 180 AS DOUBLE) AS noaa_station_longitude,
+           c_acctbal AS noaa_station_elevation_m,
+           'd1' AS _job_id,
+           't1' AS _trace_id,
+           {_sqlts(RUN2_TS)} AS _record_created_at,
+           {_sqlts(RUN2_TS)} AS _record_updated_at,
+           CAST(c_custkey * 37 % 360 - 180 AS DOUBLE) AS geopoint_lon,
+           CAST(c_custkey * 17 % 180 - 90 AS DOUBLE) AS geopoint_lat
+    FROM customer"""
+
+
 def oracle_sql() -> dict[str, str]:
     latest_event = LATEST.format(k="noaa_record_id")
     parsed_event = _parsed_sql(EVENT_KEY)
@@ -683,6 +788,8 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN event_type = 'view' THEN NULL ELSE upper(substr(event_type, 1, 1)) END AS hourly_precip_qc
             FROM events
             WHERE minute(ts) = 54""",
+        "silver_fact_runs": _silver_fact_runs_sql(),
+        "silver_dim_runs": _silver_dim_runs_sql(),
     }
 
 
