@@ -16,10 +16,10 @@ Join plan:
   With AQE the source side can still be switched to a broadcast at runtime.
 
 NULL keys never match (``=`` semantics): a NULL-key source row is always
-inserted, a NULL-key target row is always kept. Such rows bypass the join
-(a filter + union), so NULL keys never pile up in one shuffle partition. All
-other keys are unique on both sides (the source is deduplicated, the target is
-a previous merge result), so the join itself has no hot key.
+inserted, a NULL-key target row is always kept. In the shuffled join such rows
+are salted (spread by a row hash, never matching), so NULL keys never pile up in
+one shuffle partition. All other keys are unique on both sides (the source is
+deduplicated, the target is a previous merge result), so the join has no hot key.
 """
 
 from __future__ import annotations
@@ -131,47 +131,55 @@ def merge_upsert(
             action.alias(ACTION),
         )
 
-    # NULL keys never match. Route those rows around the join (kept / inserted
-    # as they are): in a shuffle they would all hash to one reducer.
-    t_null = F.lit(False)
-    for k in keys:
-        t_null = t_null | F.col(k).isNull()
-    s_null = F.lit(False)
-    for k in keys:
-        s_null = s_null | F.col(_src(k)).isNull()
-    t_keyed, t_nokey = t.filter(~t_null), t.filter(t_null)
-    s_keyed, s_nokey = s.filter(~s_null), s.filter(s_null)
+    def any_null(cols: list[str]) -> Column:
+        out = F.lit(False)
+        for c in cols:
+            out = out | F.col(c).isNull()
+        return out
 
-    def target_only(df: DataFrame) -> DataFrame:
-        return df.select(
-            "*", *[F.lit(None).cast(dtypes[c]).alias(_src(c)) for c in needed], F.lit(None).cast("boolean").alias(_M)
-        )
+    def row_hash(df: DataFrame) -> Column:
+        hashable = [n for n, t in df.dtypes if not t.startswith(("variant", "map", "struct<", "array<"))]
+        return F.xxhash64(*[F.col(n) for n in hashable])
 
     def source_only(df: DataFrame) -> DataFrame:
         return df.select(
             "*", *[F.lit(None).cast(dtypes[c]).alias(c) for c in tcols], F.lit(None).cast("boolean").alias(_T)
         )
 
-    unmatched = project(target_only(t_nokey)).unionByName(project(source_only(s_nokey)))
-
-    cond = [F.col(k) == F.col(_src(k)) for k in keys]
+    src_keys_null = any_null([_src(k) for k in keys])
     if broadcast_source:
-        sb = F.broadcast(s_keyed)
-        matched_rows = t_keyed.join(sb, cond, "left")
+        # No shuffle here, so NULL keys cannot pile up: the whole target streams
+        # through one hash join against the broadcast source.
+        s_keyed = s.filter(~src_keys_null)
+        cond = [F.col(k) == F.col(_src(k)) for k in keys]
+        matched_rows = t.join(F.broadcast(s_keyed), cond, "left")
         src_keys = s_keyed.select(*[F.col(_src(k)) for k in keys])
         matched_keys = (
             target.select(*keys)
             .join(F.broadcast(src_keys), cond, "left_semi")
             .select(*[F.col(k).alias(f"__mk_{k}") for k in keys])
         )
-        inserts = s_keyed.join(
+        inserts = s.join(
             F.broadcast(matched_keys),
             [F.col(_src(k)) == F.col(f"__mk_{k}") for k in keys],
             "left_anti",
-        )
-        return project(matched_rows).unionByName(project(source_only(inserts))).unionByName(unmatched)
-    joined = t_keyed.join(s_keyed, cond, "full_outer")
-    return project(joined).unionByName(unmatched)
+        )  # NULL-key source rows never match, so they pass the anti join
+        return project(matched_rows).unionByName(project(source_only(inserts)))
+
+    # Shuffled join. NULL keys never match but would all hash to one reducer:
+    # salt them. The join is on the keys (null-safe) plus a salt that is 0 for
+    # rows with keys, an odd row hash for NULL-key target rows and an even one
+    # for NULL-key source rows, so those rows spread over all partitions and
+    # can never match each other.
+    t_salted = t.withColumn(
+        "__t_salt", F.when(any_null(keys), F.shiftleft(row_hash(t), 1).bitwiseOR(F.lit(1))).otherwise(F.lit(0).cast("long"))
+    )
+    s_salted = s.withColumn(
+        "__s_salt", F.when(src_keys_null, F.shiftleft(row_hash(s), 1)).otherwise(F.lit(0).cast("long"))
+    )
+    cond = [F.col(k).eqNullSafe(F.col(_src(k))) for k in keys] + [F.col("__t_salt") == F.col("__s_salt")]
+    joined = t_salted.join(s_salted, cond, "full_outer")
+    return project(joined)
 
 
 def merge_counts(merged: DataFrame) -> DataFrame:

@@ -94,3 +94,18 @@ def test_rerun_is_idempotent_for_non_null_keys(spark):
     assert sorted(non_null.collect()) == sorted(t1.filter("k is not null").collect())
     # NULL-key source rows are inserted again on every run.
     assert t2.filter("k is null").count() == t1.filter("k is null").count() + 2
+
+
+def test_null_keys_are_salted_in_the_shuffle(spark):
+    """NULL-key rows never match; in the shuffled join they must not share one reducer."""
+    target = spark.createDataFrame([(None, float(i), "t", OLD) for i in range(400)], SCHEMA)
+    source = spark.createDataFrame([(None, float(i)) for i in range(100)] + [("a", 1.0)], "k string, v double")
+    out = merge_upsert(target, source, "k", UPD, INS, {"created": F.lit(RUN)}, broadcast_source=False, check_unique=False)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "__t_salt" in plan and "hashpartitioning" in plan
+    counts = {r["_action"]: r["count"] for r in out.groupBy("_action").count().collect()}
+    assert counts == {"keep": 400, "insert": 101}
+    # rows per reducer of the join: the salted NULL keys are spread out
+    salted = target.select(F.shiftleft(F.xxhash64("k", "v", "note", "created"), 1).bitwiseOR(F.lit(1)).alias("s"))
+    per_part = salted.repartition(8, "s").rdd.glom().map(len).collect()
+    assert max(per_part) < 400
