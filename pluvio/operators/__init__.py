@@ -2,7 +2,7 @@ from pluvio.operators.bronze import run_timestamp, to_bronze
 from pluvio.operators.dedupe import latest_per_key
 from pluvio.operators.incremental import high_water_mark, incremental_filter, mark_value
 from pluvio.operators.lookup import last_day, next_cursor, observations, station, stations_page
-from pluvio.operators.merge import assert_unique_keys, merge_counts, merge_upsert
+from pluvio.operators.merge import assert_unique_keys, merge_counts, merge_into_table, merge_upsert
 from pluvio.operators.parse import parse_dim, parse_fact, routine_reports
 
 __all__ = [
@@ -13,6 +13,7 @@ __all__ = [
     "latest_per_key",
     "mark_value",
     "merge_counts",
+    "merge_into_table",
     "merge_upsert",
     "next_cursor",
     "observations",

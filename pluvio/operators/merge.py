@@ -193,3 +193,39 @@ def merge_counts(merged: DataFrame) -> DataFrame:
         F.count_if(a == "insert").alias("inserted"),
         F.count_if(a == "keep").alias("kept"),
     ).withColumn("affected", F.col("updated") + F.col("inserted"))
+
+
+def merge_into_table(
+    source: DataFrame,
+    table: str,
+    keys: str | Sequence[str],
+    update_cols: Sequence[str],
+    insert_cols: Sequence[str],
+    values: Mapping[str, Column] | None = None,
+) -> None:
+    """Native ``MERGE INTO`` for catalogs with row-level operations (``DataFrame.mergeInto``).
+
+    ``values`` overrides the value of a column in both branches (e.g. run
+    literals for ``_job_id``/``_trace_id``). Plain Parquet tables do not
+    support it; Spark raises ``UNSUPPORTED_FEATURE.TABLE_OPERATION`` and the
+    caller falls back to :func:`merge_upsert` + publishing.
+    """
+    keys = _keys_list(keys)
+    values = dict(values or {})
+    src = source.alias("s")
+    cond = None
+    for k in keys:
+        c = F.col(f"{table}.{k}") == F.col(f"s.{k}")
+        cond = c if cond is None else cond & c
+
+    def assignment(cols: Sequence[str]) -> dict[str, Column]:
+        return {c: values.get(c, F.col(f"s.{c}")) for c in cols}
+
+    (
+        src.mergeInto(table, cond)
+        .whenMatched()
+        .update(assignment(update_cols))
+        .whenNotMatched()
+        .insert(assignment(insert_cols))
+        .merge()
+    )

@@ -14,7 +14,7 @@ from pluvio import schemas as S
 from pluvio.operators.bronze import run_timestamp
 from pluvio.operators.dedupe import latest_per_key
 from pluvio.operators.incremental import high_water_mark, incremental_filter
-from pluvio.operators.merge import ACTION, merge_upsert
+from pluvio.operators.merge import ACTION, merge_into_table, merge_upsert
 from pluvio.operators.parse import parse_dim, parse_fact, routine_reports
 from pluvio.session import checkpoint_root
 from pluvio.sources.tables import (
@@ -139,7 +139,7 @@ def _action_metrics() -> list[Column]:
     ]
 
 
-REWRITE_MODES = ("auto", "partitions", "snapshot")
+REWRITE_MODES = ("auto", "partitions", "snapshot", "native")
 
 
 def _run(
@@ -156,6 +156,7 @@ def _run(
     max_broadcast_rows: int,
     name: str,
     rewrite: str = "auto",
+    native=None,
 ) -> dict:
     """Merge a source into a table and publish the result; returns action counts.
 
@@ -168,6 +169,8 @@ def _run(
       The affected partition values (a short list, at most one per day) come
       from a key-only semi join of the target with the source keys.
     * ``rewrite="snapshot"``: the whole table is rewritten to a new folder.
+    * ``rewrite="native"``: the catalog's own ``MERGE INTO`` (table formats with
+      row-level operations); counts come from a key semi join before the merge.
     """
     if rewrite not in REWRITE_MODES:
         raise ValueError(f"rewrite must be one of {REWRITE_MODES}")
@@ -176,6 +179,20 @@ def _run(
     if n == 0:
         return {"source_rows": 0, "updated": 0, "inserted": 0, "kept": 0, "affected": 0}
     broadcast = n <= max_broadcast_rows
+    if rewrite == "native":
+        keys = source.select(key).filter(F.col(key).isNotNull())
+        keys = F.broadcast(keys) if broadcast else keys
+        updated = target.select(key).join(keys, key, "left_semi").count()
+        native(source)
+        return {
+            "source_rows": n,
+            "updated": updated,
+            "inserted": n - updated,
+            "kept": None,
+            "affected": n,
+            "snapshot": None,
+            "rewrite": "native",
+        }
     by_partition = rewrite == "partitions" or (rewrite == "auto" and tracks_partitions(spark, table))
     obs = Observation(name)
     range_cols = [partition_col, key]
@@ -266,6 +283,18 @@ def run_silver_fact(
         max_broadcast_rows=max_broadcast_rows,
         name="fact_merge",
         rewrite=rewrite,
+        native=lambda s: merge_into_table(
+            s,
+            fact_table,
+            S.FACT_KEY,
+            S.FACT_UPDATE_COLUMNS + [S.FACT_PARTITION],
+            S.FACT_INSERT_COLUMNS + [S.FACT_PARTITION],
+            {
+                "_job_id": F.lit(job_id),
+                "_trace_id": F.lit(trace_id),
+                S.FACT_PARTITION: F.to_date(F.col("s.hourly_precip_timestamp")),
+            },
+        ),
     )
 
 

@@ -109,3 +109,14 @@ def test_null_keys_are_salted_in_the_shuffle(spark):
     salted = target.select(F.shiftleft(F.xxhash64("k", "v", "note", "created"), 1).bitwiseOR(F.lit(1)).alias("s"))
     per_part = salted.repartition(8, "s").rdd.glom().map(len).collect()
     assert max(per_part) < 400
+
+
+def test_native_merge_into_reports_unsupported_on_parquet(spark, tmp):
+    """Parquet tables have no row-level MERGE; the native path says so, the
+    DataFrame merge is the fallback."""
+    from pluvio.operators import merge_into_table
+
+    spark.sql(f"CREATE TABLE pluvio_native_t (k STRING, v DOUBLE) USING parquet LOCATION '{tmp}/t'")
+    src = spark.createDataFrame([("a", 1.0)], "k string, v double")
+    with pytest.raises(Exception, match="UNSUPPORTED|not support|MERGE"):
+        merge_into_table(src, "pluvio_native_t", "k", ["v"], ["k", "v"])
