@@ -48,6 +48,7 @@ HEADLINE = [
     "stream_available_now",
     "silver_fact_runs",
     "silver_dim_runs",
+    "ndjson_load",
 ]
 
 

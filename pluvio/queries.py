@@ -42,6 +42,7 @@ from pluvio.sources import (
     create_tables,
     load_table,
     read_envelopes,
+    read_ndjson,
     run_sql,
     scan,
     write_envelopes,
@@ -435,6 +436,30 @@ def q_stream_available_now(spark, sf_dir):
     )
 
 
+def q_ndjson_load(spark, sf_dir):
+    """Bronze records as newline-delimited JSON (the load format), read back with
+    schema inference (autodetect) and with a fixed schema."""
+    ev = _read(spark, sf_dir, "events")
+    path = scratch_path(spark, "ndjson")
+    records = ev.select(
+        F.col("event_id").cast("string").alias("_record_id"),
+        fx.observation_feature(fx.record_key("unique")).alias("raw_response_json"),
+        F.lit("load-1").alias("_job_id"),
+        fx.station_day_trace().alias("_trace_id"),
+    )
+    records.write.json(path)
+    inferred = read_ndjson(spark, path)
+    fixed = read_ndjson(spark, path, "_record_id STRING, _job_id STRING")
+    return inferred.select(
+        "_record_id",
+        "_job_id",
+        "_trace_id",
+        F.col("raw_response_json.id").alias("noaa_record_id"),
+        F.col("raw_response_json.properties.stationId").alias("noaa_station_id"),
+        F.col("raw_response_json.properties.precipitationLastHour.value").alias("value_text"),
+    ).join(fixed.withColumnRenamed("_job_id", "_fixed_job_id"), "_record_id").drop("_fixed_job_id")
+
+
 # --- jobs end to end (catalog tables, partition-scoped publishing) -----------------
 
 RESEND_FROM = dt.datetime(2024, 1, 14, 0, 0, 0)  # second extract re-sends from here
@@ -536,6 +561,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_available_now": q_stream_available_now,
     "silver_fact_runs": q_silver_fact_runs,
     "silver_dim_runs": q_silver_dim_runs,
+    "ndjson_load": q_ndjson_load,
 }
 
 
@@ -790,6 +816,16 @@ def oracle_sql() -> dict[str, str]:
             WHERE minute(ts) = 54""",
         "silver_fact_runs": _silver_fact_runs_sql(),
         "silver_dim_runs": _silver_dim_runs_sql(),
+        "ndjson_load": f"""
+            SELECT CAST(event_id AS VARCHAR) AS _record_id,
+                   'load-1' AS _job_id,
+                   {_trace_sql()} AS _trace_id,
+                   {UNIQUE_KEY} AS noaa_record_id,
+                   'ST' || CAST(user_id AS VARCHAR) AS noaa_station_id,
+                   CASE WHEN event_type = 'error' THEN NULL
+                        WHEN event_type = 'signup' THEN 'M'
+                        ELSE CAST(value AS VARCHAR) END AS value_text
+            FROM events""",
     }
 
 
