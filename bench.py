@@ -10,8 +10,10 @@ Derived fixture tables are stored first and timed apart. Prints one JSON line.
 from __future__ import annotations
 
 import datetime as dt
+import glob
 import json
 import os
+import tempfile
 import sys
 import time
 
@@ -52,6 +54,32 @@ HEADLINE = [
 ]
 
 
+def _shuffle_metrics(log_dir: str) -> dict[str, dict[str, int]]:
+    """Shuffle bytes written and input bytes read per job group, from the event log."""
+    stage_group: dict[int, str] = {}
+    out: dict[str, dict[str, int]] = {}
+    for path in glob.glob(os.path.join(log_dir, "**", "*"), recursive=True):
+        if os.path.isdir(path) or os.path.basename(path).startswith("."):
+            continue
+        with open(path) as f:
+            for line in f:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    group = (ev.get("Properties") or {}).get("spark.jobGroup.id")
+                    if group:
+                        for sid in ev.get("Stage IDs", []):
+                            stage_group[sid] = group
+                elif kind == "SparkListenerTaskEnd":
+                    group = stage_group.get(ev.get("Stage ID"))
+                    m = ev.get("Task Metrics") or {}
+                    if group:
+                        acc = out.setdefault(group, {"shuffle_bytes": 0, "input_bytes": 0})
+                        acc["shuffle_bytes"] += (m.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
+                        acc["input_bytes"] += (m.get("Input Metrics") or {}).get("Bytes Read", 0)
+    return out
+
+
 def _timed(fn) -> float:
     t0 = time.perf_counter()
     fn()
@@ -90,17 +118,21 @@ def _jobs(spark, sf_dir: str, times: dict) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     names = sys.argv[1:] or HEADLINE
-    spark = build_session(app_name="pluvio-bench")
+    log_dir = tempfile.mkdtemp(prefix="pluvio-eventlog-")
+    spark = build_session(app_name="pluvio-bench", event_log_dir=log_dir)
     qs = Q.queries()
     fixture_s = _timed(lambda: Q.prepare_fixtures(spark, sf_dir))
     # Warm-up (JVM class loading, Python workers), not timed.
     qs["fact_minute54"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
     for name in names:
+        spark.sparkContext.setJobGroup(name, name)
         times[name] = _timed(lambda: qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save())
     if not sys.argv[1:]:
+        spark.sparkContext.setJobGroup("jobs", "jobs")
         _jobs(spark, sf_dir, times)
     spark.stop()
+    metrics = _shuffle_metrics(log_dir)
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(
         json.dumps(
@@ -110,6 +142,8 @@ def main() -> None:
                 "unit": "sec",
                 "queries": times,
                 "fixture_seconds": fixture_s,
+                "shuffle_bytes": {k: v["shuffle_bytes"] for k, v in metrics.items()},
+                "input_bytes": {k: v["input_bytes"] for k, v in metrics.items()},
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
             }
         )

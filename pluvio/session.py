@@ -51,12 +51,25 @@ def build_session(
     master: str | None = None,
     shuffle_partitions: int | None = None,
     app_name: str = "pluvio",
+    event_log_dir: str | None = None,
 ) -> SparkSession:
-    """Local session used by tests and the benchmark (the driver owns its own)."""
+    """Local session used by tests and the benchmark (the driver owns its own).
+
+    ``event_log_dir`` turns on Spark's event log there (stage/task metrics
+    without a UI).
+    """
     cpus = os.environ.get("BENCH_CPUS", "8")
     master = master or f"local[{cpus}]"
+    builder = SparkSession.builder
+    if event_log_dir:
+        builder = (
+            builder.config("spark.eventLog.enabled", "true")
+            .config("spark.eventLog.dir", event_log_dir)
+            .config("spark.eventLog.compress", "false")
+            .config("spark.eventLog.rolling.enabled", "false")
+        )
     spark = (
-        SparkSession.builder.master(master)
+        builder.master(master)
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

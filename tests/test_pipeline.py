@@ -244,3 +244,16 @@ def test_replayed_micro_batch_is_idempotent(spark, tmp):
     assert spark.read.parquet(tmp + "/bronze").count() == ev.count()
     assert _fact(spark, table) == before == _expected_54(ev)
     assert again["inserted"] == 0 and again["updated"] == first["inserted"]
+
+
+def test_shuffled_merge_path_in_job(spark, tmp, tables):
+    """Above the broadcast bound the job uses the shuffled full outer join; same result."""
+    ev = _events(spark)
+    kw = dict(snapshot_root=tmp + "/snap", max_broadcast_rows=0)
+    first = ev.filter(F.col("ts") < F.lit(CUT))
+    run_bronze(spark, fx.observation_features(first), tmp + "/l", tables["bronze"], extract_job_id="a", load_job_id="a", run_ts=R[0])
+    run_silver_fact(spark, tables["bronze"], tables["fact"], job_id="s1", trace_id="t", run_ts=R[1], **kw)
+    run_bronze(spark, fx.observation_features(ev), tmp + "/l", tables["bronze"], extract_job_id="b", load_job_id="b", run_ts=R[2])
+    c = run_silver_fact(spark, tables["bronze"], tables["fact"], job_id="s2", trace_id="t", run_ts=R[3], **kw)
+    assert c["updated"] == len(_expected_54(first))
+    assert _fact(spark, tables["fact"]) == _expected_54(ev)
