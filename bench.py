@@ -118,7 +118,9 @@ def _jobs(spark, sf_dir: str, times: dict) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     names = sys.argv[1:] or HEADLINE
-    log_dir = tempfile.mkdtemp(prefix="pluvio-eventlog-")
+    # Spark's event log in a scratch folder gives shuffle / input bytes per query
+    # (no UI). BENCH_EVENT_LOG=0 turns it off.
+    log_dir = tempfile.mkdtemp(prefix="pluvio-eventlog-") if os.environ.get("BENCH_EVENT_LOG", "1") != "0" else None
     spark = build_session(app_name="pluvio-bench", event_log_dir=log_dir)
     qs = Q.queries()
     fixture_s = _timed(lambda: Q.prepare_fixtures(spark, sf_dir))
@@ -132,7 +134,7 @@ def main() -> None:
         spark.sparkContext.setJobGroup("jobs", "jobs")
         _jobs(spark, sf_dir, times)
     spark.stop()
-    metrics = _shuffle_metrics(log_dir)
+    metrics = _shuffle_metrics(log_dir) if log_dir else {}
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(
         json.dumps(
@@ -142,8 +144,14 @@ def main() -> None:
                 "unit": "sec",
                 "queries": times,
                 "fixture_seconds": fixture_s,
-                "shuffle_bytes": {k: v["shuffle_bytes"] for k, v in metrics.items()},
-                "input_bytes": {k: v["input_bytes"] for k, v in metrics.items()},
+                **(
+                    {
+                        "shuffle_bytes": {k: v["shuffle_bytes"] for k, v in metrics.items()},
+                        "input_bytes": {k: v["input_bytes"] for k, v in metrics.items()},
+                    }
+                    if metrics
+                    else {}
+                ),
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
             }
         )
