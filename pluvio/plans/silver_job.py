@@ -22,9 +22,9 @@ from pluvio.sources.tables import (
     FACT_TABLE,
     publish_partitions,
     publish_snapshot,
+    read_table,
     tracks_partitions,
 )
-from pluvio.sources.tables import _target as read_target
 
 log = logging.getLogger(__name__)
 
@@ -142,7 +142,7 @@ def _action_metrics() -> list[Column]:
 REWRITE_MODES = ("auto", "partitions", "snapshot", "native")
 
 
-def _run(
+def merge_and_publish(
     spark: SparkSession,
     source: DataFrame,
     target: DataFrame,
@@ -195,7 +195,7 @@ def _run(
         }
     by_partition = rewrite == "partitions" or (rewrite == "auto" and tracks_partitions(spark, table))
     obs = Observation(name)
-    range_cols = [partition_col, key]
+    layout_cols = [partition_col, key]
     if by_partition:
         keys = source.select(key).filter(F.col(key).isNotNull())
         keys = F.broadcast(keys) if broadcast else keys
@@ -213,7 +213,7 @@ def _run(
             snapshot_root,
             partition_col=partition_col,
             affected=affected,
-            range_cols=range_cols,
+            layout_cols=layout_cols,
             observation=obs,
             metrics=_action_metrics(),
             drop_cols=[ACTION],
@@ -225,7 +225,7 @@ def _run(
             table,
             snapshot_root,
             partition_col=partition_col,
-            range_cols=range_cols,
+            layout_cols=layout_cols,
             observation=obs,
             metrics=_action_metrics(),
             drop_cols=[ACTION],
@@ -258,17 +258,17 @@ def run_silver_fact(
 
     The source is at most one row per record; if it has at most
     ``max_broadcast_rows`` rows it is broadcast and the fact is never shuffled,
-    otherwise one shuffled full outer join. The new snapshot is range
-    partitioned by (day, record id) and published atomically.
+    otherwise one shuffled full outer join. Only the affected day partitions
+    are rewritten and switched (``rewrite="auto"``, see :func:`merge_and_publish`).
     """
-    bronze = read_target(spark, bronze_table)
+    bronze = read_table(spark, bronze_table)
     target = spark.table(fact_table)
     # The mark: one small aggregate, then a literal (static partition pruning of bronze).
     mark = high_water_mark(target).first()[0]
     source = fact_source(bronze, target, partition_col=S.BRONZE_PARTITION, mark=mark)
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     root = snapshot_root or f"{checkpoint_root(spark).rstrip('/')}/fact-snapshots"
-    return _run(
+    return merge_and_publish(
         spark,
         source,
         target,
@@ -311,13 +311,13 @@ def run_silver_dim(
     rewrite: str = "auto",
 ) -> dict:
     """C3: incremental MERGE of station attributes into the dimension."""
-    bronze = read_target(spark, bronze_table)
+    bronze = read_table(spark, bronze_table)
     target = spark.table(dim_table)
     mark = high_water_mark(target).first()[0]
     source = dim_source(bronze, target, partition_col=S.BRONZE_PARTITION, mark=mark)
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     root = snapshot_root or f"{checkpoint_root(spark).rstrip('/')}/dim-snapshots"
-    return _run(
+    return merge_and_publish(
         spark,
         source,
         target,
@@ -354,6 +354,7 @@ __all__ = [
     "dim_source",
     "fact_source",
     "merge_dim",
+    "merge_and_publish",
     "merge_fact",
     "run_silver",
     "run_silver_dim",

@@ -11,7 +11,9 @@ from pluvio.sources.tables import (
     load_table,
     publish_snapshot,
     read_ndjson,
+    read_table,
     scan,
+    table_exists,
     table_ddl,
 )
 
@@ -30,8 +32,10 @@ __all__ = [
     "quarantined_envelopes",
     "read_envelopes",
     "read_ndjson",
+    "read_table",
     "run_sql",
     "scan",
     "table_ddl",
+    "table_exists",
     "write_envelopes",
 ]

@@ -67,7 +67,7 @@ def create_tables(spark: SparkSession, schema: str = "pluvio", *, location: str
     return names
 
 
-def _table_exists(spark: SparkSession, name: str) -> bool:
+def table_exists(spark: SparkSession, name: str) -> bool:
     if _is_path(name):
         try:
             spark.read.parquet(name).schema
@@ -77,7 +77,7 @@ def _table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name.replace("`", ""))
 
 
-def _target(spark: SparkSession, name: str) -> DataFrame:
+def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(name) if _is_path(name) else spark.table(name)
 
 
@@ -101,8 +101,8 @@ def load_table(
     if df.isEmpty():
         raise ValueError("records list cannot be empty")
     spark = df.sparkSession
-    exists = _table_exists(spark, table)
-    if disposition == WRITE_EMPTY and exists and not _target(spark, table).isEmpty():
+    exists = table_exists(spark, table)
+    if disposition == WRITE_EMPTY and exists and not read_table(spark, table).isEmpty():
         raise ValueError(f"{table} is not empty (WRITE_EMPTY)")
     overwrite = disposition == WRITE_TRUNCATE
     obs = Observation("load_rows")
@@ -133,7 +133,7 @@ def read_ndjson(spark: SparkSession, path: str, schema: T.StructType | str | Non
 
 def scan(spark: SparkSession, table: str, max_rows: int | None = None) -> DataFrame:
     """Rows of a table or Parquet folder, optionally capped (order unspecified)."""
-    df = _target(spark, table)
+    df = read_table(spark, table)
     return df.limit(int(max_rows)) if max_rows else df
 
 
@@ -150,7 +150,7 @@ def publish_snapshot(
     root: str,
     *,
     partition_col: str | None = None,
-    range_cols: list[str] | None = None,
+    layout_cols: list[str] | None = None,
     observation: Observation | None = None,
     metrics: list | None = None,
     drop_cols: list[str] | None = None,
@@ -159,15 +159,15 @@ def publish_snapshot(
 
     The folder being read (the current snapshot) is never overwritten, so a
     failed or retried job leaves the table as it was; the switch is one
-    ``ALTER TABLE ... SET LOCATION``. With ``range_cols`` (day, then key) the rows
+    ``ALTER TABLE ... SET LOCATION``. With ``layout_cols`` (day, then key) the rows
     are rebalanced by day (a hot day is split over several tasks by AQE) and
     sorted by key inside each file.
     ``observation``/``metrics`` are attached after the exchange.
     """
     spark = df.sparkSession
     folder = f"{root.rstrip('/')}/snapshot-{uuid.uuid4().hex}"
-    if range_cols:
-        df = _layout(df, range_cols)
+    if layout_cols:
+        df = _layout(df, layout_cols)
     if observation is not None:
         df = df.observe(observation, *(metrics or []))
     if drop_cols:
@@ -176,7 +176,7 @@ def publish_snapshot(
     if partition_col:
         w = w.partitionBy(partition_col)
     w.parquet(folder)
-    if _table_exists(spark, table):
+    if table_exists(spark, table):
         tracked = tracks_partitions(spark, table)
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
         if tracked:
@@ -197,7 +197,7 @@ def publish_snapshot(
 
 def tracks_partitions(spark: SparkSession, table: str) -> bool:
     """True when the catalog keeps the table's partitions (per-partition locations)."""
-    if _is_path(table) or not _table_exists(spark, table):
+    if _is_path(table) or not table_exists(spark, table):
         return False
     info = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter(F.col("col_name") == "Partition Provider")
     row = info.first()
@@ -215,7 +215,7 @@ def publish_partitions(
     *,
     partition_col: str,
     affected: list,
-    range_cols: list[str] | None = None,
+    layout_cols: list[str] | None = None,
     observation: Observation | None = None,
     metrics: list | None = None,
     drop_cols: list[str] | None = None,
@@ -231,8 +231,8 @@ def publish_partitions(
     """
     spark = df.sparkSession
     folder = f"{root.rstrip('/')}/rewrite-{uuid.uuid4().hex}"
-    if range_cols:
-        df = _layout(df, range_cols)
+    if layout_cols:
+        df = _layout(df, layout_cols)
     obs = observation or Observation("publish_partitions")
     df = df.observe(obs, *(metrics or []), F.collect_set(F.col(partition_col)).alias("__partitions"))
     if drop_cols:
@@ -275,7 +275,7 @@ def geography_view(
         spark.conf.set("spark.sql.geospatial.enabled", "true")
     elif spark.conf.get("spark.sql.geospatial.enabled", "false") != "true":
         raise RuntimeError("spark.sql.geospatial.enabled is off; pass enable=True")
-    base = _target(spark, table)
+    base = read_table(spark, table)
     out = base.withColumn(wkb_col, F.expr(f"st_geogfromwkb(`{wkb_col}`)"))
     out.createOrReplaceTempView(view)
     return out

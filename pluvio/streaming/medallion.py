@@ -32,12 +32,12 @@ from pluvio.plans.silver_job import (
     BRONZE_READ,
     DEFAULT_MAX_BROADCAST_ROWS,
     ROUTINE_MINUTE,
-    _run,
+    merge_and_publish,
     fact_new_partitions,
     merge_fact,
 )
 from pluvio.sources.envelopes import check_envelopes
-from pluvio.sources.tables import WRITE_APPEND, _table_exists, _target, load_table, table_ddl
+from pluvio.sources.tables import WRITE_APPEND, load_table, read_table, table_ddl, table_exists
 
 _BATCH_TS = "__batch_ts"
 
@@ -75,17 +75,17 @@ def medallion_batch(
     # the read-back prunes partitions and row groups instead of scanning bronze.
     day = F.lit(first["d"]).cast("date")
     of_batch = (F.col("_job_id") == job_id) & F.col(S.BRONZE_PARTITION).between(day, F.date_add(day, 1))
-    done = _table_exists(session, bronze) and not _target(session, bronze).filter(of_batch).isEmpty()
+    done = table_exists(session, bronze) and not read_table(session, bronze).filter(of_batch).isEmpty()
     if not done:
         rows = to_bronze(batch, job_id=job_id, run_ts=F.col(_BATCH_TS))
         if rows.isEmpty():
             return None
         load_table(rows, bronze, disposition=WRITE_APPEND, partition_col=S.BRONZE_PARTITION)
-    mine = _target(session, bronze).filter(of_batch)
+    mine = read_table(session, bronze).filter(of_batch)
     source = routine_reports(latest_per_key(parse_fact(mine.select(*BRONZE_READ)), S.FACT_KEY), minute)
     target = session.table(fact_table)
     run_ts = mine.agg(F.max("_record_created_at")).scalar()
-    counts = _run(
+    counts = merge_and_publish(
         session,
         source,
         target,
