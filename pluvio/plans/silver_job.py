@@ -23,6 +23,8 @@ from pluvio.sources.tables import (
     publish_partitions,
     publish_snapshot,
     read_table,
+    set_table_property,
+    table_property,
     tracks_partitions,
 )
 
@@ -34,6 +36,27 @@ HWM_POLICIES = ("insert_time", "source_time")
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 BRONZE_READ = ["_record_id", "_record_updated_at", "raw_response_json"]
+MARK_COLUMN = "_record_updated_at"
+MARK_PROPERTY = "pluvio.high_water_mark"
+
+
+def table_mark(spark: SparkSession, table: str) -> dt.datetime:
+    """The table's high-water mark: the recorded value if a publish stored one,
+    else ``coalesce(max(_record_updated_at), epoch)`` over the table (one column scan).
+
+    The recorded value is exact as long as the table is only written through
+    :func:`merge_and_publish`: rows are never deleted and updates only raise
+    the stamp, so the maximum never decreases.
+    """
+    recorded = table_property(spark, table, MARK_PROPERTY)
+    if recorded:
+        return dt.datetime.fromisoformat(recorded)
+    return high_water_mark(spark.table(table), MARK_COLUMN).first()[0]
+
+
+def _record_mark(spark: SparkSession, table: str, previous: dt.datetime, written: dt.datetime | None) -> None:
+    new = max(previous, written) if written is not None else previous
+    set_table_property(spark, table, MARK_PROPERTY, new.isoformat(sep=" "))
 
 
 def fact_source(
@@ -136,6 +159,7 @@ def _action_metrics() -> list[Column]:
         F.count_if(a == "update").alias("updated"),
         F.count_if(a == "insert").alias("inserted"),
         F.count_if(a == "keep").alias("kept"),
+        F.max(F.col(MARK_COLUMN)).alias("written_mark"),
     ]
 
 
@@ -237,6 +261,7 @@ def merge_and_publish(
         affected=counts["updated"] + counts["inserted"],
         snapshot=folder,
         rewrite="partitions" if by_partition else "snapshot",
+        written_mark=metrics["written_mark"],
     )
     return counts
 
@@ -263,12 +288,13 @@ def run_silver_fact(
     """
     bronze = read_table(spark, bronze_table)
     target = spark.table(fact_table)
-    # The mark: one small aggregate, then a literal (static partition pruning of bronze).
-    mark = high_water_mark(target).first()[0]
+    # The mark as a literal (static partition pruning of bronze): read from the
+    # table's properties, or one small aggregate when none is recorded yet.
+    mark = table_mark(spark, fact_table)
     source = fact_source(bronze, target, partition_col=S.BRONZE_PARTITION, mark=mark)
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     root = snapshot_root or f"{checkpoint_root(spark).rstrip('/')}/fact-snapshots"
-    return merge_and_publish(
+    counts = merge_and_publish(
         spark,
         source,
         target,
@@ -296,6 +322,9 @@ def run_silver_fact(
             },
         ),
     )
+    if counts["source_rows"] and counts.get("rewrite") != "native":
+        _record_mark(spark, fact_table, mark, counts["written_mark"])
+    return counts
 
 
 def run_silver_dim(
@@ -313,11 +342,11 @@ def run_silver_dim(
     """C3: incremental MERGE of station attributes into the dimension."""
     bronze = read_table(spark, bronze_table)
     target = spark.table(dim_table)
-    mark = high_water_mark(target).first()[0]
+    mark = table_mark(spark, dim_table)
     source = dim_source(bronze, target, partition_col=S.BRONZE_PARTITION, mark=mark)
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     root = snapshot_root or f"{checkpoint_root(spark).rstrip('/')}/dim-snapshots"
-    return merge_and_publish(
+    counts = merge_and_publish(
         spark,
         source,
         target,
@@ -331,6 +360,9 @@ def run_silver_dim(
         name="dim_merge",
         rewrite=rewrite,
     )
+    if counts["source_rows"] and counts.get("rewrite") != "native":
+        _record_mark(spark, dim_table, mark, counts["written_mark"])
+    return counts
 
 
 def run_silver(spark: SparkSession, trace_id: str, *, schema: str = "pluvio", **kwargs) -> dict:
@@ -356,6 +388,7 @@ __all__ = [
     "merge_dim",
     "merge_and_publish",
     "merge_fact",
+    "table_mark",
     "run_silver",
     "run_silver_dim",
     "run_silver_fact",

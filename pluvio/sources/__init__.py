@@ -13,6 +13,8 @@ from pluvio.sources.tables import (
     read_ndjson,
     read_table,
     scan,
+    set_table_property,
+    table_property,
     table_exists,
     table_ddl,
 )
@@ -35,6 +37,8 @@ __all__ = [
     "read_table",
     "run_sql",
     "scan",
+    "set_table_property",
+    "table_property",
     "table_ddl",
     "table_exists",
     "write_envelopes",

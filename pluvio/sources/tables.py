@@ -279,3 +279,15 @@ def geography_view(
     out = base.withColumn(wkb_col, F.expr(f"st_geogfromwkb(`{wkb_col}`)"))
     out.createOrReplaceTempView(view)
     return out
+
+
+def table_property(spark: SparkSession, table: str, key: str) -> str | None:
+    """One table property (``SHOW TBLPROPERTIES``), or None."""
+    if _is_path(table) or not table_exists(spark, table):
+        return None
+    rows = spark.sql(f"SHOW TBLPROPERTIES {table}").filter(F.col("key") == key).collect()
+    return rows[0]["value"] if rows else None
+
+
+def set_table_property(spark: SparkSession, table: str, key: str, value: str) -> None:
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{key}' = '{value}')")

@@ -32,7 +32,9 @@ from pluvio.plans.silver_job import (
     BRONZE_READ,
     DEFAULT_MAX_BROADCAST_ROWS,
     ROUTINE_MINUTE,
+    _record_mark,
     merge_and_publish,
+    table_mark,
     fact_new_partitions,
     merge_fact,
 )
@@ -98,6 +100,9 @@ def medallion_batch(
         max_broadcast_rows=max_broadcast_rows,
         name=f"stream_merge_{batch_id}",
     )
+    if counts["source_rows"]:
+        # keep the table's recorded high-water mark current for batch runs
+        _record_mark(session, fact_table, table_mark(session, fact_table), counts["written_mark"])
     counts["bronze_appended"] = not done
     return counts
 

@@ -257,3 +257,22 @@ def test_shuffled_merge_path_in_job(spark, tmp, tables):
     c = run_silver_fact(spark, tables["bronze"], tables["fact"], job_id="s2", trace_id="t", run_ts=R[3], **kw)
     assert c["updated"] == len(_expected_54(first))
     assert _fact(spark, tables["fact"]) == _expected_54(ev)
+
+
+def test_recorded_mark_equals_scanned_mark(spark, tmp, tables):
+    from pluvio.operators import high_water_mark
+    from pluvio.plans.silver_job import MARK_PROPERTY, table_mark
+    from pluvio.sources import table_property
+
+    ev = _events(spark)
+    kw = dict(snapshot_root=tmp + "/snap")
+    run_bronze(spark, fx.observation_features(ev), tmp + "/l", tables["bronze"], extract_job_id="a", load_job_id="a", run_ts=R[0])
+    assert table_property(spark, tables["fact"], MARK_PROPERTY) is None
+    run_silver_fact(spark, tables["bronze"], tables["fact"], job_id="s1", trace_id="t", run_ts=R[1], **kw)
+    scanned = high_water_mark(spark.table(tables["fact"])).first()[0]
+    assert table_mark(spark, tables["fact"]) == scanned == R[1]
+    # update-only run under source_time raises the recorded mark to the bronze stamps
+    run_bronze(spark, fx.observation_features(ev), tmp + "/l", tables["bronze"], extract_job_id="b", load_job_id="b", run_ts=R[2])
+    run_silver_fact(spark, tables["bronze"], tables["fact"], job_id="s2", trace_id="t", run_ts=R[3], hwm_policy="source_time", **kw)
+    scanned = high_water_mark(spark.table(tables["fact"])).first()[0]
+    assert table_mark(spark, tables["fact"]) == scanned > R[2]
