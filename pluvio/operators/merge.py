@@ -17,8 +17,8 @@ Join plan:
 
 NULL keys never match (``=`` semantics): a NULL-key source row is always
 inserted, a NULL-key target row is always kept. In the shuffled join such rows
-are salted (spread by a row hash, never matching), so NULL keys never pile up in
-one shuffle partition. All other keys are unique on both sides (the source is
+are salted (spread by a row hash), so NULL keys never pile up in one shuffle
+partition. All other keys are unique on both sides (the source is
 deduplicated, the target is a previous merge result), so the join has no hot key.
 """
 
@@ -166,18 +166,17 @@ def merge_upsert(
         )  # NULL-key source rows never match, so they pass the anti join
         return project(matched_rows).unionByName(project(source_only(inserts)))
 
-    # Shuffled join. NULL keys never match but would all hash to one reducer:
-    # salt them. The join is on the keys (null-safe) plus a salt that is 0 for
-    # rows with keys, an odd row hash for NULL-key target rows and an even one
-    # for NULL-key source rows, so those rows spread over all partitions and
-    # can never match each other.
+    # Shuffled join. NULL keys never match (plain `=`), but would all hash to
+    # one reducer: the join also requires equal salts, which are 0 for rows
+    # with keys and a row hash for NULL-key rows, so the shuffle on
+    # (key, salt) spreads those rows. Each side is scanned and shuffled once.
     t_salted = t.withColumn(
-        "__t_salt", F.when(any_null(keys), F.shiftleft(row_hash(t), 1).bitwiseOR(F.lit(1))).otherwise(F.lit(0).cast("long"))
+        "__t_salt", F.when(any_null(keys), row_hash(t)).otherwise(F.lit(0).cast("long"))
     )
     s_salted = s.withColumn(
-        "__s_salt", F.when(src_keys_null, F.shiftleft(row_hash(s), 1)).otherwise(F.lit(0).cast("long"))
+        "__s_salt", F.when(src_keys_null, row_hash(s)).otherwise(F.lit(0).cast("long"))
     )
-    cond = [F.col(k).eqNullSafe(F.col(_src(k))) for k in keys] + [F.col("__t_salt") == F.col("__s_salt")]
+    cond = [F.col(k) == F.col(_src(k)) for k in keys] + [F.col("__t_salt") == F.col("__s_salt")]
     joined = t_salted.join(s_salted, cond, "full_outer")
     return project(joined)
 
