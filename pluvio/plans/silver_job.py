@@ -34,6 +34,9 @@ log = logging.getLogger(__name__)
 ROUTINE_MINUTE = 54
 HWM_POLICIES = ("insert_time", "source_time")
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+# Above this many affected partitions (a backfill), one snapshot rewrite is
+# cheaper than one catalog call per partition.
+DEFAULT_MAX_PARTITION_SWITCHES = 1000
 
 BRONZE_READ = ["_record_id", "_record_updated_at", "raw_response_json"]
 MARK_COLUMN = "_record_updated_at"
@@ -181,6 +184,7 @@ def merge_and_publish(
     name: str,
     rewrite: str = "auto",
     native=None,
+    max_partition_switches: int = DEFAULT_MAX_PARTITION_SWITCHES,
 ) -> dict:
     """Merge a source into a table and publish the result; returns action counts.
 
@@ -191,7 +195,8 @@ def merge_and_publish(
       partitions): only partitions that hold a matched key or receive a changed
       row are read, merged and rewritten; the rest of the table is untouched.
       The affected partition values (a short list, at most one per day) come
-      from a key-only semi join of the target with the source keys.
+      from a key-only semi join of the target with the source keys. Above
+      ``max_partition_switches`` affected partitions the snapshot rewrite is used.
     * ``rewrite="snapshot"``: the whole table is rewritten to a new folder.
     * ``rewrite="native"``: the catalog's own ``MERGE INTO`` (table formats with
       row-level operations); counts come from a key semi join before the merge.
@@ -225,8 +230,9 @@ def merge_and_publish(
         keys = F.broadcast(keys) if broadcast else keys
         matched = target.select(key, partition_col).join(keys, key, "left_semi").select(partition_col)
         parts = matched.union(new_partitions(source)).distinct()
-        affected = [r[0] for r in parts.collect()]
-        if any(v is None for v in affected):
+        # at most one value per partition; above the bound it is not even collected
+        affected = [r[0] for r in parts.limit(max_partition_switches + 1).collect()]
+        if any(v is None for v in affected) or len(affected) > max_partition_switches:
             by_partition = False
     if by_partition:
         scoped = target.filter(F.col(partition_col).isin(affected))

@@ -276,3 +276,21 @@ def test_recorded_mark_equals_scanned_mark(spark, tmp, tables):
     run_silver_fact(spark, tables["bronze"], tables["fact"], job_id="s2", trace_id="t", run_ts=R[3], hwm_policy="source_time", **kw)
     scanned = high_water_mark(spark.table(tables["fact"])).first()[0]
     assert table_mark(spark, tables["fact"]) == scanned > R[2]
+
+
+def test_many_affected_partitions_fall_back_to_snapshot(spark, tmp, tables):
+    from pluvio.plans.silver_job import fact_source, merge_and_publish, merge_fact, fact_new_partitions
+    from pluvio import schemas as S
+
+    ev = _events(spark)
+    run_bronze(spark, fx.observation_features(ev), tmp + "/l", tables["bronze"], extract_job_id="a", load_job_id="a", run_ts=R[0])
+    target = spark.table(tables["fact"])
+    source = fact_source(spark.table(tables["bronze"]), target)
+    c = merge_and_publish(
+        spark, source, target,
+        lambda t, s, b: merge_fact(t, s, job_id="j", trace_id="t", run_ts=R[1], broadcast_source=b),
+        fact_new_partitions, key=S.FACT_KEY, table=tables["fact"], snapshot_root=tmp + "/snap",
+        partition_col=S.FACT_PARTITION, max_broadcast_rows=10, name="m", max_partition_switches=3,
+    )
+    assert c["rewrite"] == "snapshot" and c["inserted"] == len(_expected_54(ev))
+    assert _fact(spark, tables["fact"]) == _expected_54(ev)
