@@ -138,10 +138,22 @@ def scan(spark: SparkSession, table: str, max_rows: int | None = None) -> DataFr
 
 
 def _layout(df: DataFrame, cols: list[str]) -> DataFrame:
-    """File layout for a partitioned write: rebalance by the partition column
-    (AQE splits a hot day into several tasks and merges small days, no sampling
-    pass), then sort inside each task so files are clustered by key."""
-    return df.hint("rebalance", cols[0]).sortWithinPartitions(*[F.col(c) for c in cols])
+    """File layout for a partitioned write, then a sort inside each task so
+    files are clustered by key.
+
+    With AQE: rebalance by the partition column (AQE splits a hot day into
+    several tasks and merges small days; no sampling pass). Without AQE that
+    hint is a plain repartition by day (one task per day), so the day is salted
+    with a hash bucket of the key instead.
+    """
+    spark = df.sparkSession
+    if spark.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true":
+        out = df.hint("rebalance", cols[0])
+    else:
+        n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        bucket = F.pmod(F.xxhash64(*[F.col(c) for c in cols[1:]] or [F.lit(0)]), F.lit(n))
+        out = df.repartition(n, F.col(cols[0]), bucket)
+    return out.sortWithinPartitions(*[F.col(c) for c in cols])
 
 
 def publish_snapshot(

@@ -294,3 +294,15 @@ def test_many_affected_partitions_fall_back_to_snapshot(spark, tmp, tables):
     )
     assert c["rewrite"] == "snapshot" and c["inserted"] == len(_expected_54(ev))
     assert _fact(spark, tables["fact"]) == _expected_54(ev)
+
+
+def test_publish_without_aqe(spark, tmp, tables):
+    ev = _events(spark)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        run_bronze(spark, fx.observation_features(ev), tmp + "/l", tables["bronze"], extract_job_id="a", load_job_id="a", run_ts=R[0])
+        c = run_silver_fact(spark, tables["bronze"], tables["fact"], job_id="s", trace_id="t", run_ts=R[1], snapshot_root=tmp + "/s")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert c["inserted"] == len(_expected_54(ev))
+    assert _fact(spark, tables["fact"]) == _expected_54(ev)
