@@ -6,10 +6,11 @@ import datetime as dt
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pluvio.operators.bronze import to_bronze
 from pluvio.schemas import BRONZE_PARTITION
-from pluvio.sources.envelopes import read_envelopes, write_envelopes
+from pluvio.sources.envelopes import quarantined_envelopes, read_envelopes, write_envelopes
 from pluvio.sources.tables import WRITE_APPEND, load_table
 
 log = logging.getLogger(__name__)
@@ -24,12 +25,20 @@ def run_bronze_load(
     run_ts: dt.datetime | None = None,
     on_bad: str = "fail",
     disposition: str = WRITE_APPEND,
+    quarantine_path: str | None = None,
 ) -> int:
     """Read every envelope under ``landing``, explode, stamp and append to bronze.
 
     Narrow plan (scan -> generate -> project -> write), no shuffle. Returns
     the rows written (observed on the write). Raises on an empty load.
+    With ``on_bad="quarantine"`` bad lines are skipped; if ``quarantine_path``
+    is given they are appended there as JSON (raw line, reason, job id).
     """
+    if on_bad == "quarantine" and quarantine_path:
+        bad = quarantined_envelopes(spark, landing)
+        bad.select(
+            "_corrupt_record", "_envelope_error", "trace_id", F.lit(job_id).alias("_job_id")
+        ).write.mode("append").json(quarantine_path)
     rows = to_bronze(read_envelopes(spark, landing, on_bad=on_bad), job_id=job_id, run_ts=run_ts)
     n = load_table(rows, bronze_table, disposition=disposition, partition_col=BRONZE_PARTITION)
     log.info("bronze load job_id=%s rows=%d", job_id, n)

@@ -84,3 +84,18 @@ def test_write_then_read_chunks_large_traces(spark, tmp):
     for r in lists:
         nums = [int(i.split("-")[1]) for i in r["ids"]]
         assert nums == sorted(nums)
+
+
+def test_bronze_load_quarantine(spark, tmp):
+    from pluvio.plans import run_bronze_load
+
+    good = json.dumps({"trace_id": "ok", "observations": {"features": [_feature(1), _feature(2)]}})
+    _write_lines(tmp + "/l", [good, "not json", '{"trace_id": "t"}'])
+    n = run_bronze_load(
+        spark, tmp + "/l", tmp + "/bronze", job_id="j", run_ts=RUN, on_bad="quarantine", quarantine_path=tmp + "/q"
+    )
+    assert n == 2
+    q = spark.read.json(tmp + "/q")
+    assert sorted(r["_envelope_error"] for r in q.collect()) == ["corrupt line", "missing observations"]
+    with pytest.raises(Exception, match="invalid envelope"):
+        run_bronze_load(spark, tmp + "/l", tmp + "/bronze2", job_id="j2", run_ts=RUN)
