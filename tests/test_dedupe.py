@@ -50,3 +50,29 @@ def test_multi_key(spark):
     )
     out = latest_per_key(df, ["st", "n"]).orderBy("n").collect()
     assert [r["_record_id"] for r in out] == ["b", "c"]
+
+
+def test_aggregate_method_matches_window(spark):
+    rows = [
+        ("a", None, T0, T0), ("b", None, T0 + dt.timedelta(1), T0),
+        ("c", "k", T0, T0), ("d", "k", T0, T0), ("e", "k", None, T0),
+        ("f", "j", None, T0), ("g", "j", None, T0),
+        ("h", "m", T0 + dt.timedelta(2), T0), ("i", "m", T0 + dt.timedelta(1), T0),
+    ]
+    df = _df(spark, rows)
+    w = sorted(tuple(r) for r in latest_per_key(df, "noaa_record_id", method="window").collect())
+    a = sorted(tuple(r) for r in latest_per_key(df, "noaa_record_id", method="aggregate").collect())
+    assert w == a
+    assert sorted(r[0] for r in a) == ["b", "d", "g", "h"]
+
+
+def test_auto_uses_aggregate_when_window_limit_is_off(spark):
+    df = _df(spark, [(str(i), "hot", T0 + dt.timedelta(seconds=i), T0) for i in range(20)])
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "-1")
+    try:
+        out = latest_per_key(df, "noaa_record_id")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "max_by" in plan and "partial" in plan.lower()
+        assert out.first()["_record_id"] == "19"
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
