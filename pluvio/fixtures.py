@@ -40,7 +40,8 @@ def record_key(kind: str = "event", n_keys: int = 4000, slot_hours: int = 480) -
     if kind == "event":
         k = F.pmod(F.col("event_id"), F.lit(n_keys))
     elif kind == "hour_slot":
-        k = F.pmod(F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(3_600_000_000)), F.lit(slot_hours))
+        hours = F.expr("unix_micros(cast(ts AS TIMESTAMP)) div 3600000000")  # exact integer hours
+        k = F.pmod(hours, F.lit(slot_hours))
     elif kind == "unique":
         k = F.col("event_id")
     else:

@@ -43,3 +43,14 @@ def test_mark_pushed_to_scan(spark, tmp):
     target = spark.createDataFrame([(T0,)], "_record_updated_at timestamp")
     plan = incremental_filter(src, target)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "_record_updated_at" in plan
+
+
+def test_literal_mark_prunes_partitions_statically(spark, tmp):
+    _src(spark).write.partitionBy("created_date").parquet(tmp + "/p")
+    src = spark.read.parquet(tmp + "/p")
+    mark = T0 + dt.timedelta(hours=30)
+    out = incremental_filter(src, S.empty(spark, S.FACT), partition_col="created_date", mark=mark)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    part_filters = plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    assert "created_date" in part_filters and "Subquery" not in part_filters
+    assert out.count() == 17
