@@ -28,17 +28,25 @@ def observations(
     station_col: str = "noaa_station_id",
     ts_col: str = "hourly_precip_timestamp",
     id_col: str = "noaa_record_id",
+    day_col: str = "observed_date",
 ) -> DataFrame:
     """Observations of one station; optional inclusive bounds; optional newest-first cap.
 
-    A falsy parameter is omitted. Bounds are pushed into the Parquet scan; the
-    capped form is a top-k (``TakeOrderedAndProject``), not a full sort.
+    A falsy parameter is omitted. Bounds are pushed into the Parquet scan, and
+    over the fact table (``day_col`` = UTC day of ``ts_col``, its partition
+    column) the implied day bounds prune whole partitions. The capped form is
+    a top-k (``TakeOrderedAndProject``), not a full sort.
     """
     out = df.filter(F.col(station_col) == F.lit(station_id))
+    by_day = day_col in df.columns
     if _given(start):
         out = out.filter(F.col(ts_col) >= _ts(start))
+        if by_day:
+            out = out.filter(F.col(day_col) >= F.to_date(_ts(start)))
     if _given(end):
         out = out.filter(F.col(ts_col) <= _ts(end))
+        if by_day:
+            out = out.filter(F.col(day_col) <= F.to_date(_ts(end)))
     if limit:
         out = out.orderBy(F.col(ts_col).desc_nulls_last(), F.col(id_col).asc()).limit(int(limit))
     return out

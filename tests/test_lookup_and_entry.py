@@ -95,3 +95,16 @@ def test_geography_view(spark):
     v = geography_view(spark, "pluvio_geo_src", "pluvio_geo_v", enable=True)
     assert spark.sql("SELECT st_srid(noaa_station_geopoint) AS s FROM pluvio_geo_v").first()["s"] == 4326
     assert v.count() == 1
+
+
+def test_observations_prune_fact_days(spark, tmp):
+    df = _obs(spark).withColumn("observed_date", F.to_date("hourly_precip_timestamp"))
+    extra = df.withColumn("hourly_precip_timestamp", F.col("hourly_precip_timestamp") + F.expr("INTERVAL 3 DAYS")).withColumn(
+        "observed_date", F.to_date("hourly_precip_timestamp")
+    )
+    df.unionByName(extra).write.partitionBy("observed_date").parquet(tmp + "/fact")
+    fact = spark.read.parquet(tmp + "/fact")
+    out = observations(fact, "ST1", start="2026-01-01 02:00:00", end="2026-01-01 05:00:00")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "observed_date" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    assert out.count() == 4
