@@ -74,8 +74,10 @@ def _shuffle_metrics(log_dir: str) -> dict[str, dict[str, int]]:
                     group = stage_group.get(ev.get("Stage ID"))
                     m = ev.get("Task Metrics") or {}
                     if group:
-                        acc = out.setdefault(group, {"shuffle_bytes": 0, "input_bytes": 0})
-                        acc["shuffle_bytes"] += (m.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
+                        acc = out.setdefault(group, {"shuffle_bytes": 0, "shuffle_records": 0, "input_bytes": 0})
+                        sw = m.get("Shuffle Write Metrics") or {}
+                        acc["shuffle_bytes"] += sw.get("Shuffle Bytes Written", 0)
+                        acc["shuffle_records"] += sw.get("Shuffle Records Written", 0)
                         acc["input_bytes"] += (m.get("Input Metrics") or {}).get("Bytes Read", 0)
     return out
 
@@ -115,6 +117,30 @@ def _jobs(spark, sf_dir: str, times: dict) -> None:
     )
 
 
+def _skew_probe(spark, sf_dir: str, times: dict) -> dict:
+    """A third of all observations share one record key: the dedupe must not
+    route them to one reducer (partial WindowGroupLimit before the exchange)."""
+    from pluvio.operators import latest_per_key, parse_fact
+
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    hot = F.when(F.col("event_id") % 3 == 0, F.lit("obs-hot")).otherwise(
+        F.concat(F.lit("obs-"), F.col("event_id").cast("string"))
+    )
+    bronze = ev.select(
+        F.col("event_id").cast("string").alias("_record_id"),
+        fx.to_variant(fx.observation_feature(hot)).alias("raw_response_json"),
+        F.col("ts").cast("timestamp").alias("_record_updated_at"),
+    )
+    path = scratch_path(spark, "skew-probe")
+    bronze.write.parquet(path)
+    spark.sparkContext.setJobGroup("skew_probe", "skew_probe")
+    times["skew_probe_dedupe"] = _timed(
+        lambda: latest_per_key(parse_fact(spark.read.parquet(path)), "noaa_record_id")
+        .write.format("noop").mode("overwrite").save()
+    )
+    return {"rows": ev.count(), "hot_key_rows": ev.filter(F.col("event_id") % 3 == 0).count()}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     names = sys.argv[1:] or HEADLINE
@@ -130,11 +156,15 @@ def main() -> None:
     for name in names:
         spark.sparkContext.setJobGroup(name, name)
         times[name] = _timed(lambda: qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save())
+    skew = None
     if not sys.argv[1:]:
         spark.sparkContext.setJobGroup("jobs", "jobs")
         _jobs(spark, sf_dir, times)
+        skew = _skew_probe(spark, sf_dir, times)
     spark.stop()
     metrics = _shuffle_metrics(log_dir) if log_dir else {}
+    if skew and "skew_probe" in metrics:
+        skew["shuffled_records"] = metrics["skew_probe"]["shuffle_records"]
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(
         json.dumps(
@@ -144,6 +174,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": times,
                 "fixture_seconds": fixture_s,
+                **({"skew_probe": skew} if skew else {}),
                 **(
                     {
                         "shuffle_bytes": {k: v["shuffle_bytes"] for k, v in metrics.items()},
