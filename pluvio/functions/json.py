@@ -15,6 +15,13 @@ from pyspark.sql import functions as F
 # notation, or inf / infinity / nan, with an optional sign, case-insensitive).
 UNIT_PREFIX = "wmoUnit:"
 NUMERIC_LITERAL = r"(?i)^[+-]?(([0-9]+(\.[0-9]*)?|\.[0-9]+)([e][+-]?[0-9]+)?|inf|infinity|nan)$"
+# Canonical timestamp text: a full date, optionally a time (seconds and
+# fraction optional), optionally Z / UTC / a +HH[:MM] offset.
+TIMESTAMP_TEXT = (
+    r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
+    r"([T ][0-9]{1,2}:[0-9]{1,2}(:[0-9]{1,2}(\.[0-9]{1,9})?)?)?"
+    r" ?(Z|z|UTC|[+-][0-9]{1,2}(:?[0-9]{2})?)?$"
+)
 
 
 def _col(c) -> Column:
@@ -60,11 +67,14 @@ def safe_double(text) -> Column:
 def iso_timestamp(text, on_bad: str = "fail") -> Column:
     """ISO-8601 text (offset allowed) -> TIMESTAMP.
 
+    Text must have the canonical shape (see ``TIMESTAMP_TEXT``): Spark's own
+    cast would also take a bare year such as ``'2026'``.
+
     ``on_bad="fail"`` raises on malformed non-NULL text (independent of the
     session's ANSI flag); ``on_bad="null"`` returns NULL instead.
     """
     text = _col(text)
-    ts = text.try_cast("timestamp")
+    ts = F.when(text.rlike(TIMESTAMP_TEXT), text.try_cast("timestamp"))
     if on_bad == "null":
         return ts
     if on_bad != "fail":

@@ -118,3 +118,22 @@ def test_geopoint_latitude_out_of_range(spark):
     df = spark.createDataFrame([(0.0, 91.0)], "lon double, lat double")
     with pytest.raises(Exception, match="latitude"):
         df.select(geog_point_wkb("lon", "lat")).collect()
+
+
+@pytest.mark.parametrize(
+    "text,ok",
+    [
+        ("2026-04-24", True),
+        ("2026-04-24 17:54", True),
+        ("2026-04-24T17:54:00.123456+05:30", True),
+        ("2026-04-24T17:54:00 UTC", True),
+        ("2026-04-24T17:54:00-04", True),
+        ("2026", False),
+        ("2026-04", False),
+        ("17:54:00", False),
+        ("2026-04-24T17:54:00+05:30 junk", False),
+    ],
+)
+def test_iso_timestamp_shapes(spark, text, ok):
+    got = spark.createDataFrame([(text,)], "t string").select(iso_timestamp("t", on_bad="null").alias("v")).first()["v"]
+    assert (got is not None) == ok
