@@ -306,3 +306,15 @@ def test_publish_without_aqe(spark, tmp, tables):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert c["inserted"] == len(_expected_54(ev))
     assert _fact(spark, tables["fact"]) == _expected_54(ev)
+
+
+def test_stream_into_catalog_tables(spark, tmp, tables):
+    from pluvio.sources import write_envelopes
+
+    ev = _events(spark)
+    write_envelopes(fx.observation_features(ev), tmp + "/landing", "x1")
+    q = stream_medallion(spark, tmp + "/landing/*", tables["bronze"], tables["fact"], tmp + "/ckpt", snapshot_root=tmp + "/snap")
+    q.awaitTermination()
+    assert q.exception() is None
+    assert spark.table(tables["bronze"]).count() == ev.count()
+    assert _fact(spark, tables["fact"]) == _expected_54(ev)
