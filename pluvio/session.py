@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
@@ -85,3 +85,14 @@ def build_session(
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared checkpoint folder and read it back.
+
+    Cuts the lineage (a lost executor recomputes nothing upstream), stores the
+    rows columnar and compressed, and gives the optimizer real size statistics.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
