@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from pluvio import fixtures as fx
 from pluvio import schemas as S
-from pluvio.functions import geog_point_wkb, wkb_latitude, wkb_longitude
+from pluvio.functions import geog_point_wkb, json_value, wkb_latitude, wkb_longitude
 from pluvio.operators import (
     high_water_mark,
     incremental_filter,
@@ -160,8 +160,6 @@ def q_fact_minute54(spark, sf_dir):
 
 
 def _inc_out(df):
-    from pluvio.functions import json_value
-
     return ntz(
         df.select(
             "_record_id",
