@@ -23,21 +23,24 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Read from the session (``spark.checkpoint.dir`` or the context's checkpoint
-    dir). Only when the cluster names none (tests, local runs) a fresh local
-    folder is created and registered.
+    Read from the session (the context's checkpoint dir, or the
+    ``spark.checkpoint.dir`` setting). Only when the cluster names none (tests,
+    local runs) a fresh local folder is created and registered.
     """
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        sc = None
+    root = sc.getCheckpointDir() if sc is not None else None
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
-        if root:
+    if not root:
+        root = tempfile.mkdtemp(prefix="pluvio-ckpt-")
+        if sc is not None:
             sc.setCheckpointDir(root)
             root = sc.getCheckpointDir() or root
-    if not root:
-        local = tempfile.mkdtemp(prefix="pluvio-ckpt-")
-        sc.setCheckpointDir(local)
-        root = sc.getCheckpointDir() or local
+        else:
+            spark.conf.set("spark.checkpoint.dir", root)
     return root
 
 
