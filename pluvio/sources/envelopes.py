@@ -91,10 +91,14 @@ def write_envelopes(
     staged = features.select(
         F.col(trace_col).alias("trace_id"),
         chunk.alias("__chunk"),
-        F.struct(seq.alias("seq"), F.to_json(F.col(feature_col)).alias("doc")).alias("__item"),
+        F.struct(seq.alias("seq"), F.col(feature_col).alias("doc")).alias("__item"),
     )
     grouped = staged.groupBy("trace_id", "__chunk").agg(F.collect_list("__item").alias("__items"))
-    ordered = F.transform(F.array_sort(F.col("__items")), lambda x: F.parse_json(x["doc"]))
+    # Sort by input position with a comparator: documents stay VARIANT (not orderable).
+    by_seq = lambda x, y: (
+        F.when(x["seq"] < y["seq"], F.lit(-1)).when(x["seq"] > y["seq"], F.lit(1)).otherwise(F.lit(0))
+    )
+    ordered = F.transform(F.array_sort(F.col("__items"), by_seq), lambda x: x["doc"])
     out = grouped.select(
         "trace_id",
         F.struct(ordered.alias("features")).alias("observations"),
