@@ -31,7 +31,7 @@ FIXTURE_TRACE = "fixture-trace"
 TS_TEXT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
-def utc_ts(events: DataFrame) -> Column:
+def utc_ts() -> Column:
     """``events.ts`` is a UTC wall time without zone; as an instant (session in UTC)."""
     return F.col("ts").cast("timestamp")
 
@@ -68,7 +68,7 @@ def observation_feature(key: Column) -> Column:
         F.lit("Feature").alias("type"),
         F.struct(
             F.concat(F.lit("ST"), F.col("user_id").cast("string")).alias("stationId"),
-            F.date_format(F.col("ts").cast("timestamp"), TS_TEXT_FORMAT).alias("timestamp"),
+            F.date_format(utc_ts(), TS_TEXT_FORMAT).alias("timestamp"),
             F.struct(
                 F.lit(UNIT_CODE).alias("unitCode"),
                 value.alias("value"),
@@ -94,7 +94,7 @@ def observation_bronze(
 ) -> DataFrame:
     """Bronze rows, one per event: deterministic ``_record_id`` (the event id) and
     ``_record_created_at = _record_updated_at = ts`` so oracles can tie-break."""
-    ts = utc_ts(events)
+    ts = utc_ts()
     return events.select(
         F.col("event_id").cast("string").alias("_record_id"),
         to_variant(observation_feature(record_key(key, n_keys, slot_hours))).alias("raw_response_json"),
@@ -123,7 +123,7 @@ def station_day_trace() -> Column:
         F.lit("ST"),
         F.col("user_id").cast("string"),
         F.lit("/"),
-        F.to_date(F.col("ts").cast("timestamp")).cast("string"),
+        F.to_date(utc_ts()).cast("string"),
     )
 
 
@@ -195,7 +195,7 @@ def station_registry_bronze(
 def station_report_bronze(events: DataFrame, *, job_id: str = FIXTURE_JOB, trace_id: str = FIXTURE_TRACE) -> DataFrame:
     """Station documents carried by observations (one per event): the station of
     ``user_id``, named ``Station <user_id>``, elevation = the event value."""
-    ts = utc_ts(events)
+    ts = utc_ts()
     doc = _station_doc(
         F.concat(F.lit("ST"), F.col("user_id").cast("string")),
         F.concat(F.lit("Station "), F.col("user_id").cast("string")),
