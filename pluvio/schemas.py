@@ -9,18 +9,33 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _f(name: str, dtype: T.DataType, comment: str) -> T.StructField:
-    return T.StructField(name, dtype, True, {"comment": comment})
+# Column descriptions, as declared for the three tables
+# (same text wherever a column name repeats), in table column order.
+COMMENTS = {
+    "_record_id": "Unique identifier for the record",
+    "raw_response_json": "Raw JSON response from the NOAA API",
+    "_job_id": "ID of the data ingestion job",
+    "_trace_id": "ID of the trace that triggered the job",
+    "_record_created_at": "Record creation timestamp",
+    "_record_updated_at": "Record update timestamp",
+    "noaa_station_id": "NOAA station ID",
+    "noaa_station_name": "Name of the NOAA station",
+    "noaa_station_latitude": "Latitude of the NOAA station",
+    "noaa_station_longitude": "Longitude of the NOAA station",
+    "noaa_station_geopoint": "Geographical point of the NOAA station",
+    "noaa_station_elevation_m": "Elevation of the NOAA station in meters",
+    "noaa_record_id": "NOAA record ID",
+    "hourly_precip_timestamp": "Timestamp of the hourly precipitation observation",
+    "hourly_precip_value": "Precipitation value",
+    "hourly_precip_unit": "Unit of the precipitation value",
+    "hourly_precip_qc": "Quality control flag for the precipitation value",
+}
+
+
+def _f(name: str, dtype: T.DataType) -> T.StructField:
+    return T.StructField(name, dtype, True, {"comment": COMMENTS[name]})
 
 
-# Column descriptions of the three tables.
-RECORD_ID = "Unique identifier for the record"
-RAW_JSON = "Raw JSON response from the weather API"
-JOB_ID = "ID of the data ingestion job"
-TRACE_ID = "ID of the trace that triggered the job"
-CREATED_AT = "Record creation timestamp"
-UPDATED_AT = "Record update timestamp"
-
 # Partition columns (derived, UTC day). The reference partitions by an expression;
 # a Parquet table needs a physical column, which readers drop.
 BRONZE_PARTITION = "created_date"
@@ -34,61 +49,45 @@ ENVELOPE_DDL = (
 
 BRONZE = T.StructType(
     [
-        _f("_record_id", T.StringType(), RECORD_ID),
-        _f("raw_response_json", T.VariantType(), RAW_JSON),
-        _f("_job_id", T.StringType(), JOB_ID),
-        _f("_trace_id", T.StringType(), TRACE_ID),
-        _f("_record_created_at", T.TimestampType(), CREATED_AT),
-        _f("_record_updated_at", T.TimestampType(), UPDATED_AT),
+        _f("_record_id", T.StringType()),
+        _f("raw_response_json", T.VariantType()),
+        _f("_job_id", T.StringType()),
+        _f("_trace_id", T.StringType()),
+        _f("_record_created_at", T.TimestampType()),
+        _f("_record_updated_at", T.TimestampType()),
     ]
 )
 
 FACT = T.StructType(
     [
-        _f("_record_id", T.StringType(), RECORD_ID),
-        _f("noaa_station_id", T.StringType(), "Weather station ID"),
-        _f("noaa_record_id", T.StringType(), "Observation record ID"),
-        _f(
-            "hourly_precip_timestamp",
-            T.TimestampType(),
-            "Timestamp of the hourly precipitation observation",
-        ),
-        _f("hourly_precip_value", T.DoubleType(), "Precipitation value"),
-        _f("hourly_precip_unit", T.StringType(), "Unit of the precipitation value"),
-        _f(
-            "hourly_precip_qc",
-            T.StringType(),
-            "Quality control flag for the precipitation value",
-        ),
-        _f("_job_id", T.StringType(), JOB_ID),
-        _f("_trace_id", T.StringType(), TRACE_ID),
-        _f("_record_created_at", T.TimestampType(), CREATED_AT),
-        _f("_record_updated_at", T.TimestampType(), UPDATED_AT),
+        _f("_record_id", T.StringType()),
+        _f("noaa_station_id", T.StringType()),
+        _f("noaa_record_id", T.StringType()),
+        _f("hourly_precip_timestamp", T.TimestampType()),
+        _f("hourly_precip_value", T.DoubleType()),
+        _f("hourly_precip_unit", T.StringType()),
+        _f("hourly_precip_qc", T.StringType()),
+        _f("_job_id", T.StringType()),
+        _f("_trace_id", T.StringType()),
+        _f("_record_created_at", T.TimestampType()),
+        _f("_record_updated_at", T.TimestampType()),
     ]
 )
 
 # The point is stored as WKB (binary); GEOGRAPHY cannot be written to Parquet.
 DIM = T.StructType(
     [
-        _f("_record_id", T.StringType(), RECORD_ID),
-        _f("noaa_station_id", T.StringType(), "Weather station ID"),
-        _f("noaa_station_name", T.StringType(), "Name of the weather station"),
-        _f("noaa_station_latitude", T.DoubleType(), "Latitude of the weather station"),
-        _f("noaa_station_longitude", T.DoubleType(), "Longitude of the weather station"),
-        _f(
-            "noaa_station_geopoint",
-            T.BinaryType(),
-            "Geographical point of the weather station (WKB, SRID 4326)",
-        ),
-        _f(
-            "noaa_station_elevation_m",
-            T.DoubleType(),
-            "Elevation of the weather station in meters",
-        ),
-        _f("_job_id", T.StringType(), JOB_ID),
-        _f("_trace_id", T.StringType(), TRACE_ID),
-        _f("_record_created_at", T.TimestampType(), CREATED_AT),
-        _f("_record_updated_at", T.TimestampType(), UPDATED_AT),
+        _f("_record_id", T.StringType()),
+        _f("noaa_station_id", T.StringType()),
+        _f("noaa_station_name", T.StringType()),
+        _f("noaa_station_latitude", T.DoubleType()),
+        _f("noaa_station_longitude", T.DoubleType()),
+        _f("noaa_station_geopoint", T.BinaryType()),
+        _f("noaa_station_elevation_m", T.DoubleType()),
+        _f("_job_id", T.StringType()),
+        _f("_trace_id", T.StringType()),
+        _f("_record_created_at", T.TimestampType()),
+        _f("_record_updated_at", T.TimestampType()),
     ]
 )
 
@@ -96,7 +95,7 @@ FACT_COLUMNS = [f.name for f in FACT.fields]
 DIM_COLUMNS = [f.name for f in DIM.fields]
 BRONZE_COLUMNS = [f.name for f in BRONZE.fields]
 
-# MERGE column lists of the silver jobs.
+# MERGE keys and the columns each MERGE branch sets (silver jobs).
 FACT_KEY = "noaa_record_id"
 FACT_UPDATE_COLUMNS = [
     "_record_id",
