@@ -165,15 +165,17 @@ def station_registry_bronze(
     job_id: str = FIXTURE_JOB,
     trace_id: str = FIXTURE_TRACE,
     with_state: bool = True,
+    id_step: int = 1,
 ) -> DataFrame:
     """One station document per customer row (the station registry).
 
-    ``_record_updated_at`` = ``updated_at`` + ``c_custkey`` seconds; ``state`` is
-    an extra column (the nation key as text) for the paged listing.
+    Station id ``ST<c_custkey * id_step>``; ``_record_updated_at`` =
+    ``updated_at`` + ``c_custkey`` seconds; ``state`` is an extra column (the
+    nation key as text) for the paged listing.
     """
     ts = F.timestamp_add("SECOND", F.col("c_custkey"), F.lit(updated_at).cast("timestamp"))
     doc = _station_doc(
-        F.concat(F.lit("ST"), F.col("c_custkey").cast("string")),
+        F.concat(F.lit("ST"), (F.col("c_custkey") * F.lit(id_step)).cast("string")),
         F.col("c_name"),
         station_lon("c_custkey"),
         station_lat("c_custkey"),

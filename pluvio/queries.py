@@ -300,7 +300,9 @@ def q_dim_latest(spark, sf_dir):
 
 
 def q_merge_upsert_dim(spark, sf_dir):
-    reg = _registry(spark, sf_dir, elevation_offset=1.0)
+    # Registry stations are ST<2 * c_custkey>: reports of odd-numbered stations
+    # are inserts, even ones updates, registry stations without reports are kept.
+    reg = _registry(spark, sf_dir, elevation_offset=1.0, id_step=2)
     target = _stamped(
         reg.withColumn("noaa_station_geopoint", geog_point_wkb("noaa_station_longitude", "noaa_station_latitude")),
         S.DIM_COLUMNS,
@@ -530,7 +532,7 @@ def prepare_fixtures(spark: SparkSession, sf_dir: str) -> None:
     _bronze(spark, sf_dir, "event")
     _bronze(spark, sf_dir, "hour_slot")
     _registry(spark, sf_dir)
-    _registry(spark, sf_dir, elevation_offset=1.0)
+    _registry(spark, sf_dir, elevation_offset=1.0, id_step=2)
     _reports(spark, sf_dir)
 
 
@@ -621,10 +623,10 @@ def _merge_fact_sql() -> str:
     FROM j"""
 
 
-def _registry_sql(offset: float = 0.0) -> str:
+def _registry_sql(offset: float = 0.0, id_step: int = 1) -> str:
     return f"""
     SELECT 'c' || CAST(c_custkey AS VARCHAR) AS _record_id,
-           'ST' || CAST(c_custkey AS VARCHAR) AS noaa_station_id,
+           'ST' || CAST(c_custkey * {id_step} AS VARCHAR) AS noaa_station_id,
            c_name AS noaa_station_name,
            CAST(c_custkey * 37 % 360 - 180 AS DOUBLE) AS noaa_station_longitude,
            CAST(c_custkey * 17 % 180 - 90 AS DOUBLE) AS noaa_station_latitude,
@@ -648,7 +650,7 @@ def _reports_sql() -> str:
 def _merge_dim_sql() -> str:
     latest = LATEST.format(k="noaa_station_id")
     return f"""
-    WITH t AS (SELECT *, true AS present FROM ({_registry_sql(1.0)})),
+    WITH t AS (SELECT *, true AS present FROM ({_registry_sql(1.0, 2)})),
     s AS (SELECT *, true AS present FROM ({_reports_sql()}) WHERE _record_updated_at > {_sqlts(CUT)} {latest}),
     j AS (SELECT t.present AS tp, s.present AS sp,
                  t._record_id AS t_rid, s._record_id AS s_rid,
