@@ -10,9 +10,13 @@ def qualified(*parts: str) -> str:
     return ".".join("`" + p.replace("`", "``") + "`" for p in parts if p)
 
 
-def run_sql(spark: SparkSession, sql: str, **args) -> DataFrame:
-    """Run SQL text with named parameters (``:name``), never string interpolation.
+def run_sql(spark: SparkSession, sql: str, *positional, **named) -> DataFrame:
+    """Run SQL text with bound parameters, never string interpolation.
 
-    Table names can be bound too: ``SELECT * FROM IDENTIFIER(:t)``.
+    Named markers (``:name``) take keyword arguments, ``?`` markers take
+    positional ones. Table names can be bound too: ``FROM IDENTIFIER(:t)``.
     """
-    return spark.sql(sql, args=args or None)
+    if positional and named:
+        raise ValueError("use either positional (?) or named (:name) parameters")
+    args = list(positional) if positional else (named or None)
+    return spark.sql(sql, args=args)

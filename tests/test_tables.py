@@ -82,3 +82,10 @@ def test_read_ndjson(spark, tmp):
         f.write('{"a": 1, "b": "x"}\n{"a": 2}\n')
     assert read_ndjson(spark, tmp + "/a.json").columns == ["a", "b"]
     assert read_ndjson(spark, tmp + "/a.json", "a long").columns == ["a"]
+
+
+def test_run_sql_positional(spark):
+    out = run_sql(spark, "SELECT ? + ? AS s", 2, 3)
+    assert out.first()["s"] == 5
+    with pytest.raises(ValueError):
+        run_sql(spark, "SELECT 1", 1, a=2)
