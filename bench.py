@@ -27,31 +27,6 @@ from pluvio.plans import run_bronze_load, run_silver_fact  # noqa: E402
 from pluvio.session import build_session, scratch_path  # noqa: E402
 from pluvio.sources import create_tables, write_envelopes  # noqa: E402
 
-HEADLINE = [
-    "fact_parsed",
-    "fact_latest",
-    "fact_minute54",
-    "incremental_filter",
-    "high_water_mark",
-    "merge_upsert_fact",
-    "merge_upsert_fact_broadcast",
-    "merge_actions",
-    "bronze_explode",
-    "envelope_rows",
-    "dim_parsed",
-    "dim_latest",
-    "merge_upsert_dim",
-    "dim_geopoint_parts",
-    "observations_lookup",
-    "station_lookup",
-    "stations_page",
-    "sql_submission",
-    "write_dispositions",
-    "stream_available_now",
-    "silver_fact_runs",
-    "silver_dim_runs",
-    "ndjson_load",
-]
 
 
 def _shuffle_metrics(log_dir: str) -> dict[str, dict[str, int]]:
@@ -143,7 +118,7 @@ def _skew_probe(spark, sf_dir: str, times: dict) -> dict:
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
-    names = sys.argv[1:] or HEADLINE
+    names = sys.argv[1:] or list(Q.QUERIES)  # every registered query
     # Spark's event log in a scratch folder gives shuffle / input bytes per query
     # (no UI). BENCH_EVENT_LOG=0 turns it off.
     log_dir = tempfile.mkdtemp(prefix="pluvio-eventlog-") if os.environ.get("BENCH_EVENT_LOG", "1") != "0" else None
