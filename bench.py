@@ -1,10 +1,12 @@
-"""Benchmark: run the headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
-
-Each registered query is executed in full with the ``noop`` sink (every row
-computed, none collected). Two end-to-end jobs are timed as well: the bronze
-load of landed envelopes into a catalog table, and two incremental silver runs
-(first run inserts, second run upserts a re-sent, overlapping window).
-Derived fixture tables are stored first and timed apart. Prints one JSON line.
+"""Benchmark: run every registered query at $BENCH_SF_DIR on local[$BENCH_CPUS].
+
+Each query is executed in full with the ``noop`` sink (every row computed,
+none collected). End-to-end jobs are timed as well: the bronze load of landed
+envelopes into a catalog table, two incremental silver runs (first run
+inserts, second run upserts a re-sent, overlapping window), and a hot-key
+skew probe of the dedupe. Derived fixture tables are stored first and timed
+apart. Shuffle volumes come from Spark's event log in a scratch folder.
+Prints one JSON line.
 """
 
 from __future__ import annotations
