@@ -340,3 +340,19 @@ def test_stream_picks_up_new_landings(spark, tmp, tables):
     finally:
         q.stop()
     assert q.exception() is None
+
+
+def test_command_line(spark, tmp):
+    from pluvio.__main__ import main
+    from pluvio.sources import write_envelopes
+
+    schema = "pluvio_cli_" + tmp.rsplit("/", 1)[-1].replace("-", "_")[-20:]
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{tmp}/db'")
+    main(["create-tables", "--schema", schema], spark=spark)
+    ev = _events(spark)
+    folder = write_envelopes(fx.observation_features(ev), tmp + "/landing", "x1")
+    loaded = main(["bronze-load", "--landing", folder, "--schema", schema], spark=spark)
+    assert loaded["rows"] == ev.count()
+    out = main(["silver", "--schema", schema, "--trace-id", "t", "--snapshot-root", tmp + "/snap", "--dimension"], spark=spark)
+    assert out["fact"]["inserted"] == len(_expected_54(ev))
+    assert out["dim"]["source_rows"] > 0
