@@ -84,12 +84,16 @@ def write_envelopes(
     is partition-local and stable for a deterministic input), so a trace holding
     a third of all rows becomes many bounded envelopes spread over many tasks,
     never one unbounded group. Features keep their input order inside an
-    envelope. Returns the output folder.
+    envelope. A NULL trace id is an error (the loader would reject the envelope).
+    Returns the output folder.
     """
     seq = F.monotonically_increasing_id()
     chunk = F.floor(seq / F.lit(max_features))
+    trace = F.when(
+        F.col(trace_col).isNull(), F.raise_error(F.lit("write_envelopes: NULL trace_id"))
+    ).otherwise(F.col(trace_col))
     staged = features.select(
-        F.col(trace_col).alias("trace_id"),
+        trace.alias("trace_id"),
         chunk.alias("__chunk"),
         F.struct(seq.alias("seq"), F.col(feature_col).alias("doc")).alias("__item"),
     )

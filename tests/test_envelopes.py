@@ -99,3 +99,12 @@ def test_bronze_load_quarantine(spark, tmp):
     assert sorted(r["_envelope_error"] for r in q.collect()) == ["corrupt line", "missing observations"]
     with pytest.raises(Exception, match="invalid envelope"):
         run_bronze_load(spark, tmp + "/l", tmp + "/bronze2", job_id="j2", run_ts=RUN)
+
+
+def test_write_envelopes_rejects_null_trace(spark, tmp):
+    feats = spark.range(3).select(
+        F.when(F.col("id") == 1, F.lit(None)).otherwise(F.lit("t")).cast("string").alias("trace_id"),
+        F.parse_json(F.lit('{"id": "x"}')).alias("feature"),
+    )
+    with pytest.raises(Exception, match="NULL trace_id"):
+        write_envelopes(feats, tmp + "/l", "j")
