@@ -12,8 +12,7 @@ Join plan:
   rows; ``source LEFT ANTI broadcast(matched keys)`` gives inserts, where the
   matched keys come from a key-only scan of the target semi-joined to the
   broadcast source keys (bounded by the source).
-* otherwise: one ``FULL OUTER`` join, each side shuffled once on the key.
-  With AQE the source side can still be switched to a broadcast at runtime.
+* otherwise: one ``FULL OUTER`` join, each side scanned and shuffled once.
 
 NULL keys never match (``=`` semantics): a NULL-key source row is always
 inserted, a NULL-key target row is always kept. In the shuffled join such rows
