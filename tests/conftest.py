@@ -8,20 +8,14 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pluvio.session import build_session  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
-    wh = tempfile.mkdtemp(prefix="pluvio-wh-")
-    from pyspark.sql import SparkSession
-
     s = build_session(master="local[*]", shuffle_partitions=8, app_name="pluvio-tests")
     s.conf.set("spark.sql.session.timeZone", "UTC")
     if not s.sparkContext.getCheckpointDir():
+        # tests only: the cluster names a shared folder in spark.checkpoint.dir
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pluvio-ckpt-"))
-    assert isinstance(s, SparkSession)
-    os.environ.setdefault("PLUVIO_TEST_WAREHOUSE", wh)
     yield s
 
 
