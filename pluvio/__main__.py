@@ -86,6 +86,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     return {"stream": str(q.id)}
 
 
-if __name__ == "__main__":
+def cli() -> int:
     print(json.dumps(main(), default=str))
-    sys.exit(0)
+    return 0
+
+
+if __name__ == "__main__":
+    sys.exit(cli())
