@@ -45,16 +45,16 @@ def _model(batches):
     return sorted(list(fact.values()) + null_rows, key=lambda r: r[0])
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(history=versions, cuts=st.lists(st.integers(0, 12), max_size=3))
-def test_batches_equal_model(spark, history, cuts):
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(history=versions, cuts=st.lists(st.integers(0, 12), max_size=3), broadcast=st.booleans())
+def test_batches_equal_model(spark, history, cuts, broadcast):
     rows = _rows(history)
     bounds = sorted({0, len(rows), *[c for c in cuts if c <= len(rows)]})
     batches = [rows[a:b] for a, b in zip(bounds, bounds[1:]) if b > a]
     fact = spark.createDataFrame([], SRC)
     for batch in batches:
         src = routine_reports(latest_per_key(spark.createDataFrame(batch, SRC), S.FACT_KEY))
-        merged = merge_upsert(fact, src, S.FACT_KEY, UPDATE, INSERT).drop("_action")
+        merged = merge_upsert(fact, src, S.FACT_KEY, UPDATE, INSERT, broadcast_source=broadcast).drop("_action")
         fact = spark.createDataFrame(merged.collect(), SRC)  # keep lineage short
     got = sorted((tuple(r) for r in fact.collect()), key=lambda r: r[0])
     assert got == _model(batches)
