@@ -54,7 +54,11 @@ def table_mark(spark: SparkSession, table: str) -> dt.datetime:
     recorded = table_property(spark, table, MARK_PROPERTY)
     if recorded:
         return dt.datetime.fromisoformat(recorded)
-    return high_water_mark(spark.table(table), MARK_COLUMN).first()[0]
+    mark = high_water_mark(spark.table(table), MARK_COLUMN).first()[0]
+    # Record it before any publish: a run that fails half-way through its
+    # partition switches then leaves this value, and the rerun re-reads.
+    set_table_property(spark, table, MARK_PROPERTY, mark.isoformat(sep=" "))
+    return mark
 
 
 def _record_mark(spark: SparkSession, table: str, previous: dt.datetime, written: dt.datetime | None) -> None:
