@@ -16,7 +16,7 @@ from pluvio.operators.dedupe import latest_per_key
 from pluvio.operators.incremental import high_water_mark, incremental_filter
 from pluvio.operators.merge import ACTION, merge_into_table, merge_upsert
 from pluvio.operators.parse import parse_dim, parse_fact, routine_reports
-from pluvio.session import checkpoint_root, materialize
+from pluvio.session import checkpoint_root, drop_materialized, materialize
 from pluvio.sources.tables import (
     BRONZE_TABLE,
     FACT_TABLE,
@@ -192,10 +192,10 @@ def merge_and_publish(
 ) -> dict:
     """Merge a source into a table and publish the result; returns action counts.
 
-    * The (incremental) source is materialised once as Parquet in the shared
-      checkpoint folder: it cuts the lineage, and its exact row count (from the
-      Parquet footers) decides the join (broadcast below ``max_broadcast_rows``,
-      else shuffle).
+    * The (incremental) source is materialised once as a scratch Parquet table
+      in the shared checkpoint folder (dropped again at the end): it cuts the
+      lineage, and its exact row count (from the Parquet footers) decides the
+      join (broadcast below ``max_broadcast_rows``, else shuffle).
     * ``rewrite="partitions"`` (``"auto"`` when the catalog tracks the table's
       partitions): only partitions that hold a matched key or receive a changed
       row are read, merged and rewritten; the rest of the table is untouched.
@@ -208,7 +208,34 @@ def merge_and_publish(
     """
     if rewrite not in REWRITE_MODES:
         raise ValueError(f"rewrite must be one of {REWRITE_MODES}")
-    source = materialize(source, f"{name}-source")
+    source, scratch = materialize(source, f"{name}_source")
+    try:
+        return _merge_and_publish(
+            spark, source, target, merge, new_partitions, key=key, table=table, snapshot_root=snapshot_root,
+            partition_col=partition_col, max_broadcast_rows=max_broadcast_rows, name=name, rewrite=rewrite,
+            native=native, max_partition_switches=max_partition_switches,
+        )
+    finally:
+        drop_materialized(spark, scratch)
+
+
+def _merge_and_publish(
+    spark: SparkSession,
+    source: DataFrame,
+    target: DataFrame,
+    merge,
+    new_partitions,
+    *,
+    key: str,
+    table: str,
+    snapshot_root: str,
+    partition_col: str,
+    max_broadcast_rows: int,
+    name: str,
+    rewrite: str,
+    native,
+    max_partition_switches: int,
+) -> dict:
     n = source.count()
     if n == 0:
         return {"source_rows": 0, "updated": 0, "inserted": 0, "kept": 0, "affected": 0}

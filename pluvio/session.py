@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -90,12 +91,24 @@ def build_session(
 
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared checkpoint folder and read it back.
+SCRATCH_SCHEMA = "pluvio_scratch"
+
+
+def materialize(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` once as a managed Parquet table in a scratch schema that
+    lives in the shared checkpoint folder, and read it back.
 
     Cuts the lineage (a lost executor recomputes nothing upstream), stores the
     rows columnar and compressed, and gives the optimizer real size statistics.
+    Returns the frame and the table name; ``DROP TABLE`` removes the files.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    spark = df.sparkSession
+    root = checkpoint_root(spark).rstrip("/")
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {SCRATCH_SCHEMA} LOCATION '{root}/scratch-tables'")
+    table = f"{SCRATCH_SCHEMA}.{re.sub(r'[^0-9A-Za-z_]', '_', name)}_{uuid.uuid4().hex}"
+    df.write.format("parquet").saveAsTable(table)
+    return spark.table(table), table
+
+
+def drop_materialized(spark: SparkSession, table: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
