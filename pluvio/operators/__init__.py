@@ -1,3 +1,6 @@
+"""DataFrame -> DataFrame operators: bronze rows, parsing, dedupe, incremental
+reads, MERGE, lookups. No I/O; every operator is lazy."""
+
 from pluvio.operators.bronze import run_timestamp, to_bronze
 from pluvio.operators.dedupe import latest_per_key
 from pluvio.operators.incremental import high_water_mark, incremental_filter, mark_value

@@ -1,3 +1,6 @@
+"""The jobs: bronze load (C1), extract + load (C4), silver fact (C2),
+silver dimension (C3) and the silver run (C5)."""
+
 from pluvio.plans.bronze_job import run_bronze, run_bronze_load
 from pluvio.plans.silver_job import (
     dim_source,

@@ -1,3 +1,6 @@
+"""Reads, writes and tables: envelopes, NDJSON, catalog DDL, write
+dispositions, scans, SQL with bound parameters, snapshot / partition publishing."""
+
 from pluvio.sources.envelopes import check_envelopes, quarantined_envelopes, read_envelopes, write_envelopes
 from pluvio.sources.sql import qualified, run_sql
 from pluvio.sources.tables import (

@@ -1,3 +1,5 @@
+"""Landing -> bronze -> fact as one Structured Streaming query (T1)."""
+
 from pluvio.streaming.medallion import (
     batch_job_id,
     ensure_fact_table,

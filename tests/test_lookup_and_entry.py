@@ -108,3 +108,11 @@ def test_observations_prune_fact_days(spark, tmp):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "observed_date" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
     assert out.count() == 4
+
+
+def test_geography_view_requires_the_flag(spark):
+    from pluvio.sources import geography_view
+
+    spark.conf.set("spark.sql.geospatial.enabled", "false")
+    with pytest.raises(RuntimeError, match="geospatial"):
+        geography_view(spark, "pluvio_geo_src_missing", "v")
