@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pluvio.llm.ordinal import grade_documents
 from pluvio.llm.packing import pack_documents
+from pluvio.llm.perplexity import quality_rules
 from pluvio.llm.sharding import shard_documents
 from pluvio.llm.simhash import near_duplicates
 from pluvio.llm.substring import remove_repeats
@@ -17,6 +19,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade and selection of all documents."""
+    return grade_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op2_kn_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and perplexity bands of all documents."""
+    found = quality_rules(_table(spark, sf_dir, "documents"))
+    return found.drop("_h")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents."""
     found = near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
@@ -46,6 +59,8 @@ def op10_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ordinal_quality": op1_ordinal_quality,
+        "op2_kn_perplexity": op2_kn_perplexity,
         "op3_simhash": op3_simhash,
         "op5_hash_tree": op5_hash_tree,
         "op7_seed_extend": op7_seed_extend,

@@ -79,7 +79,7 @@ class Encoder:
     )
     _LETTERS = _byte_letters()
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 450_000):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
