@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pluvio.llm.latent import find_leaks
 from pluvio.llm.ordinal import grade_documents
 from pluvio.llm.packing import pack_documents
 from pluvio.llm.perplexity import quality_rules
@@ -41,6 +42,12 @@ def op5_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(_table(spark, sf_dir, "documents"), shards=40)
 
 
+def op6_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of documents and the benchmark items that they hold."""
+    found = find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.drop("_h")
+
+
 def op7_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left of all documents after removing 13-word repeats."""
     found = remove_repeats(_table(spark, sf_dir, "documents"), length=13)
@@ -63,6 +70,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_kn_perplexity": op2_kn_perplexity,
         "op3_simhash": op3_simhash,
         "op5_hash_tree": op5_hash_tree,
+        "op6_latent_decontamination": op6_latent_decontamination,
         "op7_seed_extend": op7_seed_extend,
         "op9_addressable_ids": op9_addressable_ids,
         "op10_swap_packing": op10_swap_packing,
