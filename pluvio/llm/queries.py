@@ -13,7 +13,9 @@ from pluvio.llm.perplexity import quality_rules
 from pluvio.llm.sharding import shard_documents
 from pluvio.llm.simhash import near_duplicates
 from pluvio.llm.substring import remove_repeats
+from pluvio.llm.suffix import remove_repeated_bytes
 from pluvio.llm.tokens import id_files
+from pluvio.llm.wrappers import main_text
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +39,11 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op4_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return main_text(_table(spark, sf_dir, "pages"))
+
+
 def op5_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shards 0 to 39 of all documents by law ``key``."""
     return shard_documents(_table(spark, sf_dir, "documents"), shards=40)
@@ -54,6 +61,11 @@ def op7_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op8_two_stage_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes left of all documents after removing 400-byte repeats."""
+    return remove_repeated_bytes(_table(spark, sf_dir, "documents"), length=400).drop("_h")
+
+
 def op9_addressable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents, written to and read back from id files."""
     return id_files(_table(spark, sf_dir, "documents"))
@@ -69,9 +81,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_ordinal_quality": op1_ordinal_quality,
         "op2_kn_perplexity": op2_kn_perplexity,
         "op3_simhash": op3_simhash,
+        "op4_wrappers": op4_wrappers,
         "op5_hash_tree": op5_hash_tree,
         "op6_latent_decontamination": op6_latent_decontamination,
         "op7_seed_extend": op7_seed_extend,
+        "op8_two_stage_suffix": op8_two_stage_suffix,
         "op9_addressable_ids": op9_addressable_ids,
         "op10_swap_packing": op10_swap_packing,
     }
