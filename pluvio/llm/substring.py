@@ -142,6 +142,7 @@ def remove_repeats(docs: DataFrame, length: int = 13, seed: int = 6) -> DataFram
     seeds = distinct.select("doc_id", F.explode("anchors").alias("anchor"))
     shared = seeds.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
     shared = shared.where("lo < hi").select("anchor")
+    shared = materialise(shared, "shared-anchors")  # a plain join, which the planner may split at hot anchors
     per_doc = seeds.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("shared"))
     per_doc = materialise(per_doc, "shared")
     candidates = materialise(rows.join(per_doc, "doc_id"), "candidates")

@@ -271,6 +271,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 400) -> DataFrame:
     meta = materialise(_digests(docs, length), "digests")
     seeds = meta.where(F.size("anchors") > 0).select("doc_id", "_h", F.explode("anchors").alias("anchor"))
     shared = seeds.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    shared = materialise(shared, "shared-anchors")  # a plain join, which the planner may split at hot anchors
     per_doc = seeds.join(shared, "anchor").groupBy("doc_id", "_h").agg(F.collect_set("anchor").alias("shared"))
     per_doc = per_doc.select(F.col("doc_id").alias("_d"), F.col("_h").alias("_k"), "shared")
     per_doc = materialise(per_doc, "shared")
