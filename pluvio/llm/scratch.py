@@ -39,6 +39,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a table of ``materialise`` that only stored tables were made from."""
+    files = df.inputFiles()
+    if files:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        if folder.getName().startswith("llm-"):
+            folder.getFileSystem(conf).delete(folder, True)
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """``doc_id, _h, text``: the columns every operator needs.
 
@@ -50,8 +60,3 @@ def keyed(docs: DataFrame) -> DataFrame:
         F.hash("text").alias("_h"),
         F.col("text").cast("string").alias("text"),
     )
-
-
-def same_key(a: DataFrame, b: DataFrame):
-    """Null-safe equality on (doc_id, _h)."""
-    return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["_h"] == b["_h"])

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pluvio.llm import text as tx
-from pluvio.llm.scratch import keyed, materialise, same_key
+from pluvio.llm.scratch import discard, keyed, materialise
 
 EMPTY = hashlib.sha256(b"").hexdigest()
 
@@ -134,10 +134,11 @@ def remove_repeats(docs: DataFrame, length: int = 13, seed: int = 6) -> DataFram
     Whole copies (equal word sequences) are settled before the seeds are joined.
     """
     rows = keyed(docs)
-    meta = materialise(anchors(docs, length, seed), "anchors")
+    seeded = materialise(anchors(docs, length, seed), "anchors")
+    meta = materialise(seeded.drop("anchors"), "word-digests")
     first = meta.groupBy("whole_sha256").agg(F.min("doc_id").alias("first_id"))
     one = Window.partitionBy("whole_sha256").orderBy(F.col("doc_id").asc_nulls_last())
-    distinct = meta.where(F.size("anchors") > 0).select("whole_sha256", "doc_id", "anchors")
+    distinct = seeded.where(F.size("anchors") > 0).select("whole_sha256", "doc_id", "anchors")
     distinct = distinct.withColumn("rn", F.row_number().over(one)).where("rn = 1 AND doc_id IS NOT NULL")
     seeds = distinct.select("doc_id", F.explode("anchors").alias("anchor"))
     shared = seeds.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
@@ -145,6 +146,7 @@ def remove_repeats(docs: DataFrame, length: int = 13, seed: int = 6) -> DataFram
     shared = materialise(shared, "shared-anchors")  # a plain join, which the planner may split at hot anchors
     per_doc = seeds.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("shared"))
     per_doc = materialise(per_doc, "shared")
+    discard(seeded)
     candidates = materialise(rows.join(per_doc, "doc_id"), "candidates")
     windows = materialise(_extend(candidates, length, seed), "windows")
     least = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
