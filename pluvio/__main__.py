@@ -19,7 +19,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 from pluvio.plans import run_bronze_load, run_silver, run_silver_dim
-from pluvio.session import checkpoint_root, use_utc
+from pluvio.session import default_snapshot_root, use_utc
 from pluvio.sources import create_tables
 from pluvio.sources.tables import BRONZE_TABLE, DIM_TABLE, FACT_TABLE
 from pluvio.streaming import stream_medallion
@@ -70,14 +70,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         )
         return {"job_id": job_id, "rows": rows}
     if args.command == "silver":
-        root = args.snapshot_root or f"{checkpoint_root(spark).rstrip('/')}/silver"
+        root = args.snapshot_root or default_snapshot_root(spark, "silver")
         out = {"fact": run_silver(spark, args.trace_id, schema=args.schema, snapshot_root=f"{root}/fact",
                                   hwm_policy=args.hwm_policy)}
         if args.dimension:
             out["dim"] = run_silver_dim(spark, names["bronze"], names["dim"], job_id=out["fact"]["job_id"],
                                         trace_id=args.trace_id, snapshot_root=f"{root}/dim")
         return out
-    root = args.snapshot_root or f"{checkpoint_root(spark).rstrip('/')}/silver/fact"
+    root = args.snapshot_root or default_snapshot_root(spark, "silver") + "/fact"
     q = stream_medallion(
         spark, args.landing, names["bronze"], names["fact"], args.checkpoint, snapshot_root=root,
         available_now=args.processing_time is None, processing_time=args.processing_time,

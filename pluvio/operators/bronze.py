@@ -11,11 +11,16 @@ from pluvio.schemas import BRONZE_PARTITION
 
 
 def run_timestamp(run_ts: dt.datetime | Column | None) -> Column:
-    """The run's "now": a given instant (testable, replayable) or current_timestamp()."""
+    """The run's "now": a given instant (testable, replayable) or current_timestamp().
+
+    A datetime without a zone is UTC, whatever the zone of the driver process.
+    """
     if run_ts is None:
         return F.current_timestamp()
     if isinstance(run_ts, Column):
         return run_ts
+    if run_ts.tzinfo is None:
+        run_ts = run_ts.replace(tzinfo=dt.timezone.utc)
     return F.lit(run_ts).cast("timestamp")
 
 

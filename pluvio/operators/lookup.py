@@ -95,12 +95,11 @@ def stations_page(
     return out.orderBy(F.col(key).asc()).limit(int(limit))
 
 
-def next_cursor(page: DataFrame, *, key: str = "noaa_station_id", limit: int = 500) -> str | None:
-    """Cursor for the page after ``page`` (None when the page is not full).
+def next_cursor(page: DataFrame, *, key: str = "noaa_station_id", limit: int | None = None) -> str | None:
+    """Cursor for the page after ``page``: its largest key; None when the page has no keys.
 
-    Reads at most ``limit`` keys of an already-capped page.
+    A caller that knows the page's ``limit`` may pass it: a page that is not
+    full is then known to be the last, which saves reading an empty one.
     """
-    keys = [r[0] for r in page.select(key).collect()]
-    if len(keys) < limit or not keys:
-        return None
-    return max(keys)
+    row = page.agg(F.max(F.col(key)).alias("last"), F.count(F.lit(1)).alias("n")).first()
+    return None if limit is not None and row["n"] < limit else row["last"]

@@ -11,12 +11,13 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pluvio import schemas as S
+from pluvio.functions import geog_point_wkb
 from pluvio.operators.bronze import run_timestamp
 from pluvio.operators.dedupe import latest_per_key
 from pluvio.operators.incremental import high_water_mark, incremental_filter
 from pluvio.operators.merge import ACTION, merge_into_table, merge_upsert
 from pluvio.operators.parse import parse_dim, parse_fact, routine_reports
-from pluvio.session import checkpoint_root, drop_materialized, materialize
+from pluvio.session import default_snapshot_root, drop_materialized, materialize
 from pluvio.sources.tables import (
     BRONZE_TABLE,
     FACT_TABLE,
@@ -33,18 +34,15 @@ log = logging.getLogger(__name__)
 # Fixed value: routine hourly reports are issued at minute 54.
 ROUTINE_MINUTE = 54
 HWM_POLICIES = ("insert_time", "source_time")
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-# Above this many affected partitions (a backfill), one snapshot rewrite is
-# cheaper than one catalog call per partition.
-DEFAULT_MAX_PARTITION_SWITCHES = 1000
+_EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
 
 BRONZE_READ = ["_record_id", "_record_updated_at", "raw_response_json"]
 MARK_COLUMN = "_record_updated_at"
 MARK_PROPERTY = "pluvio.high_water_mark"
 
 
-def table_mark(spark: SparkSession, table: str) -> dt.datetime:
-    """The table's high-water mark: the recorded value if a publish stored one,
+def mark_micros(spark: SparkSession, table: str) -> int:
+    """The table's high-water mark in microseconds since the epoch (an instant, in any zone): the recorded value if a publish stored one,
     else ``coalesce(max(_record_updated_at), epoch)`` over the table (one column scan).
 
     The recorded value is exact as long as the table is only written through
@@ -52,18 +50,24 @@ def table_mark(spark: SparkSession, table: str) -> dt.datetime:
     the stamp, so the maximum never decreases.
     """
     recorded = table_property(spark, table, MARK_PROPERTY)
-    if recorded:
-        return dt.datetime.fromisoformat(recorded)
-    mark = high_water_mark(spark.table(table), MARK_COLUMN).first()[0]
+    if recorded and recorded.lstrip("-").isdigit():
+        return int(recorded)
+    mark = high_water_mark(spark.table(table), MARK_COLUMN).select(F.unix_micros("high_water_mark")).first()[0]
     # Record it before any publish: a run that fails half-way through its
     # partition switches then leaves this value, and the rerun re-reads.
-    set_table_property(spark, table, MARK_PROPERTY, mark.isoformat(sep=" "))
+    set_table_property(spark, table, MARK_PROPERTY, str(mark))
     return mark
 
 
-def _record_mark(spark: SparkSession, table: str, previous: dt.datetime, written: dt.datetime | None) -> None:
+def table_mark(spark: SparkSession, table: str) -> dt.datetime:
+    """The mark as a collected timestamp: local time of the driver process, without a zone."""
+    instant = _EPOCH + dt.timedelta(microseconds=mark_micros(spark, table))
+    return instant.astimezone().replace(tzinfo=None)
+
+
+def _record_mark(spark: SparkSession, table: str, previous: int, written: int | None) -> None:
     new = max(previous, written) if written is not None else previous
-    set_table_property(spark, table, MARK_PROPERTY, new.isoformat(sep=" "))
+    set_table_property(spark, table, MARK_PROPERTY, str(new))
 
 
 def fact_source(
@@ -133,7 +137,9 @@ def fact_new_partitions(source: DataFrame) -> DataFrame:
 def dim_source(bronze: DataFrame, target: DataFrame, *, partition_col: str | None = None, mark=None) -> DataFrame:
     """Bronze rows above the mark -> station attributes -> newest per station."""
     fresh = incremental_filter(bronze, target, "_record_updated_at", partition_col=partition_col, mark=mark)
-    return latest_per_key(parse_dim(fresh.select(*BRONZE_READ)), S.DIM_KEY)
+    newest = latest_per_key(parse_dim(fresh.select(*BRONZE_READ), with_geopoint=False), S.DIM_KEY)
+    point = geog_point_wkb(F.col("noaa_station_longitude"), F.col("noaa_station_latitude"))
+    return newest.withColumn("noaa_station_geopoint", point)  # Arrow sees one row per station only
 
 
 def merge_dim(
@@ -166,7 +172,7 @@ def _action_metrics() -> list[Column]:
         F.count_if(a == "update").alias("updated"),
         F.count_if(a == "insert").alias("inserted"),
         F.count_if(a == "keep").alias("kept"),
-        F.max(F.col(MARK_COLUMN)).alias("written_mark"),
+        F.max(F.unix_micros(F.col(MARK_COLUMN))).alias("written_mark"),
     ]
 
 
@@ -184,24 +190,25 @@ def merge_and_publish(
     table: str,
     snapshot_root: str,
     partition_col: str,
-    max_broadcast_rows: int,
+    max_broadcast_rows: int | None = None,
     name: str,
     rewrite: str = "auto",
     native=None,
-    max_partition_switches: int = DEFAULT_MAX_PARTITION_SWITCHES,
+    max_partition_switches: int | None = None,
 ) -> dict:
     """Merge a source into a table and publish the result; returns action counts.
 
     * The (incremental) source is materialised once as a scratch Parquet table
       in the shared checkpoint folder (dropped again at the end): it cuts the
-      lineage, and its exact row count (from the Parquet footers) decides the
-      join (broadcast below ``max_broadcast_rows``, else shuffle).
+      lineage and gives the planner its real size. There is one join; only a
+      caller that sets ``max_broadcast_rows`` asks for a broadcast below it.
     * ``rewrite="partitions"`` (``"auto"`` when the catalog tracks the table's
       partitions): only partitions that hold a matched key or receive a changed
       row are read, merged and rewritten; the rest of the table is untouched.
       The affected partition values (a short list, at most one per day) come
-      from a key-only semi join of the target with the source keys. Above
-      ``max_partition_switches`` affected partitions the snapshot rewrite is used.
+      from a key-only semi join of the target with the source keys. A caller
+      may ask for the snapshot rewrite beyond ``max_partition_switches`` under
+      ``"auto"``; an explicit mode is never overridden.
     * ``rewrite="snapshot"``: the whole table is rewritten to a new folder.
     * ``rewrite="native"``: the catalog's own ``MERGE INTO`` (table formats with
       row-level operations); counts come from a key semi join before the merge.
@@ -230,16 +237,16 @@ def _merge_and_publish(
     table: str,
     snapshot_root: str,
     partition_col: str,
-    max_broadcast_rows: int,
+    max_broadcast_rows: int | None,
     name: str,
     rewrite: str,
     native,
-    max_partition_switches: int,
+    max_partition_switches: int | None,
 ) -> dict:
     n = source.count()
     if n == 0:
         return {"source_rows": 0, "updated": 0, "inserted": 0, "kept": 0, "affected": 0}
-    broadcast = n <= max_broadcast_rows
+    broadcast = max_broadcast_rows is not None and n <= max_broadcast_rows
     if rewrite == "native":
         keys = source.select(key).filter(F.col(key).isNotNull())
         keys = F.broadcast(keys) if broadcast else keys
@@ -262,9 +269,10 @@ def _merge_and_publish(
         keys = F.broadcast(keys) if broadcast else keys
         matched = target.select(key, partition_col).join(keys, key, "left_semi").select(partition_col)
         parts = matched.union(new_partitions(source)).distinct()
-        # at most one value per partition; above the bound it is not even collected
-        affected = [r[0] for r in parts.limit(max_partition_switches + 1).collect()]
-        if any(v is None for v in affected) or len(affected) > max_partition_switches:
+        affected = [r[0] for r in parts.collect()]  # one value per calendar day
+        if rewrite == "auto" and max_partition_switches is not None:
+            by_partition = len(affected) <= max_partition_switches
+        if any(v is None for v in affected):  # a day that is not known has no partition of its own
             by_partition = False
     if by_partition:
         scoped = target.filter(F.col(partition_col).isin(affected))
@@ -314,24 +322,23 @@ def run_silver_fact(
     snapshot_root: str | None = None,
     run_ts: dt.datetime | None = None,
     hwm_policy: str = "insert_time",
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
     rewrite: str = "auto",
 ) -> dict:
     """C2: incremental MERGE of bronze into the fact table; returns action counts.
 
-    The source is at most one row per record; if it has at most
-    ``max_broadcast_rows`` rows it is broadcast and the fact is never shuffled,
-    otherwise one shuffled full outer join. Only the affected day partitions
+    The source is at most one row per record; it meets the affected partitions
+    in one full outer join. Only the affected day partitions
     are rewritten and switched (``rewrite="auto"``, see :func:`merge_and_publish`).
     """
     bronze = read_table(spark, bronze_table)
     target = spark.table(fact_table)
     # The mark as a literal (static partition pruning of bronze): read from the
     # table's properties, or one small aggregate when none is recorded yet.
-    mark = table_mark(spark, fact_table)
-    source = fact_source(bronze, target, partition_col=S.BRONZE_PARTITION, mark=mark)
-    run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    root = snapshot_root or f"{checkpoint_root(spark).rstrip('/')}/fact-snapshots"
+    mark = mark_micros(spark, fact_table)
+    source = fact_source(bronze, target, partition_col=S.BRONZE_PARTITION, mark=F.timestamp_micros(F.lit(mark)))
+    run_ts = run_ts or dt.datetime.now(dt.timezone.utc)
+    root = snapshot_root or default_snapshot_root(spark, "fact")
     counts = merge_and_publish(
         spark,
         source,
@@ -374,16 +381,16 @@ def run_silver_dim(
     trace_id: str,
     snapshot_root: str | None = None,
     run_ts: dt.datetime | None = None,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
     rewrite: str = "auto",
 ) -> dict:
     """C3: incremental MERGE of station attributes into the dimension."""
     bronze = read_table(spark, bronze_table)
     target = spark.table(dim_table)
-    mark = table_mark(spark, dim_table)
-    source = dim_source(bronze, target, partition_col=S.BRONZE_PARTITION, mark=mark)
-    run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    root = snapshot_root or f"{checkpoint_root(spark).rstrip('/')}/dim-snapshots"
+    mark = mark_micros(spark, dim_table)
+    source = dim_source(bronze, target, partition_col=S.BRONZE_PARTITION, mark=F.timestamp_micros(F.lit(mark)))
+    run_ts = run_ts or dt.datetime.now(dt.timezone.utc)
+    root = snapshot_root or default_snapshot_root(spark, "dim")
     counts = merge_and_publish(
         spark,
         source,

@@ -6,6 +6,7 @@ import os
 import re
 import tempfile
 import uuid
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,8 +26,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     Read from the session (the context's checkpoint dir, or the
-    ``spark.checkpoint.dir`` setting). Only when the cluster names none (tests,
-    local runs) a fresh local folder is created and registered.
+    ``spark.checkpoint.dir`` setting). Where none is named, a local master
+    (tests) gets a fresh local folder; on a cluster that is an error.
     """
     try:
         sc = spark.sparkContext
@@ -36,6 +37,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if sc is None or not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="pluvio-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(root)
@@ -51,6 +54,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
+def default_snapshot_root(spark: SparkSession, name: str) -> str:
+    """Where published table data goes unless the caller says so: beside the warehouse's tables."""
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}_snapshots"
+
+
 def build_session(
     master: str | None = None,
     shuffle_partitions: int | None = None,
@@ -94,6 +102,12 @@ def build_session(
 SCRATCH_SCHEMA = "pluvio_scratch"
 
 
+def scratch_schema(spark: SparkSession) -> str:
+    """The scratch schema of the session's checkpoint folder."""
+    root = checkpoint_root(spark).rstrip("/")
+    return f"{SCRATCH_SCHEMA}_{zlib.crc32(root.encode()):08x}"
+
+
 def materialize(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write ``df`` once as a managed Parquet table in a scratch schema that
     lives in the shared checkpoint folder, and read it back.
@@ -104,8 +118,10 @@ def materialize(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """
     spark = df.sparkSession
     root = checkpoint_root(spark).rstrip("/")
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {SCRATCH_SCHEMA} LOCATION '{root}/scratch-tables'")
-    table = f"{SCRATCH_SCHEMA}.{re.sub(r'[^0-9A-Za-z_]', '_', name)}_{uuid.uuid4().hex}"
+    # a schema keeps its first location: each checkpoint folder has one of its own
+    schema = scratch_schema(spark)
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{root}/scratch-tables'")
+    table = f"{schema}.{re.sub(r'[^0-9A-Za-z_]', '_', name)}_{uuid.uuid4().hex}"
     df.write.format("parquet").saveAsTable(table)
     return spark.table(table), table
 

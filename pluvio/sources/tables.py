@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 from pyspark.sql import types as T
 
 from pluvio import schemas as S
@@ -72,8 +74,10 @@ def table_exists(spark: SparkSession, name: str) -> bool:
         try:
             spark.read.parquet(name).schema
             return True
-        except Exception:
-            return False
+        except AnalysisException as e:
+            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return False
+            raise  # a storage or permission error does not mean "no table"
     return spark.catalog.tableExists(name.replace("`", ""))
 
 
@@ -81,6 +85,18 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(name) if _is_path(name) else spark.table(name)
 
 
+@contextmanager
+def _static_overwrite(spark: SparkSession):
+    """Overwrites replace the whole table, whatever the session says (a writer option does not reach it)."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "static")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def load_table(
     df: DataFrame,
     table: str,
@@ -99,7 +115,7 @@ def load_table(
     (no second pass over the data).
     """
     if df.isEmpty():
-        raise ValueError("records list cannot be empty")
+        raise ValueError(f"load into {table}: the rows cannot be empty")
     spark = df.sparkSession
     exists = table_exists(spark, table)
     if disposition == WRITE_EMPTY and exists and not read_table(spark, table).isEmpty():
@@ -114,7 +130,8 @@ def load_table(
         w.parquet(table)
     elif exists:
         cols = spark.table(table).columns
-        observed.select(*cols).write.option("partitionOverwriteMode", "static").insertInto(table, overwrite=overwrite)
+        with _static_overwrite(spark):
+            observed.select(*cols).write.insertInto(table, overwrite=overwrite)
     else:
         w = observed.write.format("parquet").mode("append")
         if partition_col:
@@ -134,7 +151,7 @@ def read_ndjson(spark: SparkSession, path: str, schema: T.StructType | str | Non
 def scan(spark: SparkSession, table: str, max_rows: int | None = None) -> DataFrame:
     """Rows of a table or Parquet folder, optionally capped (order unspecified)."""
     df = read_table(spark, table)
-    return df.limit(int(max_rows)) if max_rows else df
+    return df.limit(int(max_rows)) if max_rows is not None else df
 
 
 def _layout(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -170,8 +187,10 @@ def publish_snapshot(
     """Write ``df`` as a new snapshot folder under ``root`` and point ``table`` at it.
 
     The folder being read (the current snapshot) is never overwritten, so a
-    failed or retried job leaves the table as it was; the switch is one
-    ``ALTER TABLE ... SET LOCATION``. With ``layout_cols`` (day, then key) the rows
+    failed or retried job leaves the table as it was. A table whose partitions
+    the catalog tracks is switched partition by partition (new files first,
+    partitions without rows dropped last, so no row is ever out of sight);
+    any other by one ``ALTER TABLE ... SET LOCATION``. With ``layout_cols`` (day, then key) the rows
     are rebalanced by day (a hot day is split over several tasks by AQE) and
     sorted by key inside each file.
     ``observation``/``metrics`` are attached after the exchange.
@@ -180,8 +199,10 @@ def publish_snapshot(
     folder = f"{root.rstrip('/')}/snapshot-{uuid.uuid4().hex}"
     if layout_cols:
         df = _layout(df, layout_cols)
-    if observation is not None:
-        df = df.observe(observation, *(metrics or []))
+    obs = observation or Observation("publish_snapshot")
+    seen = [F.collect_set(F.col(partition_col)).alias("__partitions")] if partition_col else []
+    unknown = [F.count_if(F.col(partition_col).isNull()).alias("__unknown")] if partition_col else []
+    df = df.observe(obs, *(metrics or []), *seen, *unknown, F.count(F.lit(1)).alias("__rows"))
     if drop_cols:
         df = df.drop(*drop_cols)
     w = df.write.mode("errorifexists")
@@ -190,17 +211,13 @@ def publish_snapshot(
     w.parquet(folder)
     if table_exists(spark, table):
         tracked = tracks_partitions(spark, table)
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
         if tracked:
-            # Partition entries keep their own locations: re-register them all.
-            old = [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
-            if old:
-                specs = ", ".join(
-                    "PARTITION (" + ", ".join(f"{k} = '{v}'" for k, v in (kv.split("=", 1) for kv in p.split("/"))) + ")"
-                    for p in old
-                )
-                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
-            spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+            written = {str(v): v for v in obs.get["__partitions"]}
+            if obs.get["__unknown"]:
+                written[_NULL_PARTITION] = None
+            _switch_partitions(spark, table, partition_col, folder, written, _partitions(spark, table))
+        else:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
         spark.sql(f"REFRESH TABLE {table}")
     else:
         spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{folder}'")
@@ -216,7 +233,29 @@ def tracks_partitions(spark: SparkSession, table: str) -> bool:
     return bool(row) and row["data_type"] == "Catalog"
 
 
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _partitions(spark: SparkSession, table: str) -> set[str]:
+    """Values of a tracked table's partitions, as the catalog writes them."""
+    return {r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+
+
+def _switch_partitions(spark: SparkSession, table: str, col: str, folder: str, written: dict, existing: set[str]) -> None:
+    """Point partitions at their new files, add new ones, and only then drop those without rows."""
+    for v in sorted(written.keys() & existing):
+        spark.sql(f"ALTER TABLE {table} PARTITION ({_spec(col, written[v])}) SET LOCATION '{folder}/{col}={v}'")
+    added = [f"PARTITION ({_spec(col, written[v])}) LOCATION '{folder}/{col}={v}'" for v in sorted(written.keys() - existing)]
+    if added:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(added))
+    gone = [f"PARTITION ({_spec(col, None if v == _NULL_PARTITION else v)})" for v in sorted(existing - written.keys())]
+    if gone:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(gone))
+
+
 def _spec(partition_col: str, value) -> str:
+    if value is None:
+        return f"{partition_col} = NULL"
     return f"{partition_col} = DATE'{value}'" if hasattr(value, "isoformat") else f"{partition_col} = '{value}'"
 
 
@@ -254,22 +293,10 @@ def publish_partitions(
     unexpected = written - {str(v) for v in affected}
     if unexpected:
         raise RuntimeError(f"rows written outside the affected partitions: {sorted(unexpected)[:5]}")
-    existing = {
-        r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()
-    }
-    to_add, to_drop = [], []
-    for value in affected:
-        v = str(value)
-        if v in written and v in existing:
-            spark.sql(f"ALTER TABLE {table} PARTITION ({_spec(partition_col, value)}) SET LOCATION '{folder}/{partition_col}={v}'")
-        elif v in written:
-            to_add.append(f"PARTITION ({_spec(partition_col, value)}) LOCATION '{folder}/{partition_col}={v}'")
-        elif v in existing:
-            to_drop.append(f"PARTITION ({_spec(partition_col, value)})")
-    if to_add:
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(to_add))
-    if to_drop:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(to_drop))
+    touched = {str(v): v for v in affected}
+    _switch_partitions(
+        spark, table, partition_col, folder, {v: touched[v] for v in written}, _partitions(spark, table) & touched.keys()
+    )
     spark.sql(f"REFRESH TABLE {table}")
     return folder
 

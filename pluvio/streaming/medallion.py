@@ -10,14 +10,15 @@ because of stamp order.
   and the bronze stamps use the micro-batch timestamp (``current_timestamp()``
   in a streaming plan is fixed per batch and recorded in the offset log, so a
   replay sees the same value);
-* on replay, the bronze append is skipped when that ``_job_id`` is already in
-  bronze; the batch is always read back from bronze by ``_job_id`` and merged
+* on replay, the bronze append is skipped when all rows of the batch are in
+  bronze under that ``_job_id``, and repeated in full when only some are; the batch is always read back from bronze by ``_job_id`` and merged
   (re-merging the same rows is idempotent for non-NULL keys).
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,11 +31,10 @@ from pluvio.operators.dedupe import latest_per_key
 from pluvio.operators.parse import parse_fact, routine_reports
 from pluvio.plans.silver_job import (
     BRONZE_READ,
-    DEFAULT_MAX_BROADCAST_ROWS,
     ROUTINE_MINUTE,
     _record_mark,
+    mark_micros,
     merge_and_publish,
-    table_mark,
     fact_new_partitions,
     merge_fact,
 )
@@ -54,6 +54,22 @@ def batch_job_id(checkpoint: str, batch_id: int) -> str:
     return str(uuid.uuid5(uuid.NAMESPACE_URL, f"{checkpoint.rstrip('/')}#{batch_id}"))
 
 
+def _append_attempt(session, batch: DataFrame, bronze: str, of_batch, checkpoint: str, batch_id: int) -> tuple[str, bool]:
+    """The job id under which bronze holds the whole batch, and whether it was already there.
+
+    File commits are not atomic when the driver dies in them: an append may have
+    left some of its rows. Such a rest is known by its count; the batch is then
+    written again in full under the next attempt's id, and the rest stays
+    behind unread (the merge reads one id only).
+    """
+    n = batch.agg(F.coalesce(F.sum(F.size("observations.features")), F.lit(0))).first()[0]
+    for attempt in itertools.count():
+        job_id = batch_job_id(checkpoint, batch_id) if not attempt else batch_job_id(f"{checkpoint}#retry{attempt}", batch_id)
+        there = read_table(session, bronze).filter(of_batch(job_id)).count() if table_exists(session, bronze) else 0
+        if there in (0, n):
+            return job_id, there == n
+
+
 def medallion_batch(
     batch: DataFrame,
     batch_id: int,
@@ -64,11 +80,10 @@ def medallion_batch(
     snapshot_root: str,
     trace_id: str,
     minute: int = ROUTINE_MINUTE,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
 ) -> dict | None:
     """One micro-batch: envelopes (+ ``__batch_ts``) -> bronze -> fact. Idempotent on replay."""
     session = batch.sparkSession
-    job_id = batch_job_id(checkpoint, batch_id)
     first = batch.select(F.to_date(F.col(_BATCH_TS)).alias("d")).first()
     if first is None:
         return None
@@ -76,8 +91,11 @@ def medallion_batch(
     # across replays), so they sit in that day's partition or the next:
     # the read-back prunes partitions and row groups instead of scanning bronze.
     day = F.lit(first["d"]).cast("date")
-    of_batch = (F.col("_job_id") == job_id) & F.col(S.BRONZE_PARTITION).between(day, F.date_add(day, 1))
-    done = table_exists(session, bronze) and not read_table(session, bronze).filter(of_batch).isEmpty()
+    def of_job(job):
+        return (F.col("_job_id") == job) & F.col(S.BRONZE_PARTITION).between(day, F.date_add(day, 1))
+
+    job_id, done = _append_attempt(session, batch, bronze, of_job, checkpoint, batch_id)
+    of_batch = of_job(job_id)
     if not done:
         rows = to_bronze(batch, job_id=job_id, run_ts=F.col(_BATCH_TS))
         if rows.isEmpty():
@@ -102,7 +120,7 @@ def medallion_batch(
     )
     if counts["source_rows"]:
         # keep the table's recorded high-water mark current for batch runs
-        _record_mark(session, fact_table, table_mark(session, fact_table), counts["written_mark"])
+        _record_mark(session, fact_table, mark_micros(session, fact_table), counts["written_mark"])
     counts["bronze_appended"] = not done
     return counts
 
@@ -133,7 +151,7 @@ def stream_medallion(
     max_files_per_trigger: int | None = None,
     minute: int = ROUTINE_MINUTE,
     on_bad: str = "fail",
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
 ) -> StreamingQuery:
     """Start the landing -> bronze -> fact stream; returns the running query.
 

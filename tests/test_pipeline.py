@@ -359,10 +359,10 @@ def test_command_line(spark, tmp):
 
 
 def test_scratch_source_is_dropped(spark, tmp, tables):
-    from pluvio.session import SCRATCH_SCHEMA
+    from pluvio.session import scratch_schema
 
     ev = _events(spark)
     run_bronze(spark, fx.observation_features(ev), tmp + "/l", tables["bronze"], extract_job_id="a", load_job_id="a", run_ts=R[0])
     run_silver_fact(spark, tables["bronze"], tables["fact"], job_id="s", trace_id="t", run_ts=R[1], snapshot_root=tmp + "/s")
-    left = [t.name for t in spark.catalog.listTables(SCRATCH_SCHEMA) if "fact_merge" in t.name]
+    left = [t.name for t in spark.catalog.listTables(scratch_schema(spark)) if "fact_merge" in t.name]
     assert left == []
