@@ -49,7 +49,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("packing", packing),
 ]
 
-#: Perplexity, SimHash and tokenisation are not expressible in SQL; see tests/llm/test_pipeline.py.
+#: Perplexity, SimHash and tokenisation are not expressible in SQL; the operators are tested against brute force in tests/llm.
 ORACLE_SQL = None
 
 
