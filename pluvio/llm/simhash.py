@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pluvio.llm.components import components
@@ -162,25 +162,21 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> Dat
     largest; a class of null doc_ids has a null component_id. Empty table: no rows.
     """
     rows = materialise(fingerprints(docs, shingle), "fingerprints")
-    distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    links = close_links(distinct.select("fp"), max_bits)
-    roots = components(links)
+    # the smallest row of each fingerprint, then of each class: minima, taken before every shuffle
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_h")
+    distinct = materialise(rows.groupBy("fp").agg(F.min(order).alias("least")), "distinct")
+    roots = components(close_links(distinct.select("fp"), max_bits))
     classes = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
-    ids = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = classes.join(ids, "root").select("fp", "root", "component_id")
-    out = rows.join(classes, "fp")
-    first = Window.partitionBy("root").orderBy(F.col("doc_id").asc_nulls_last(), "_h")
-    chosen = out.select("root", "doc_id", "_h").withColumn("rn", F.row_number().over(first)).where("rn = 1")
-    chosen = chosen.select(F.col("root").alias("_r"), F.col("doc_id").alias("_d"), F.col("_h").alias("_k"))
-    out = out.join(chosen, out["root"] == chosen["_r"])
-    return out.select(
+    first = classes.groupBy("root").agg(F.min("least").alias("first"))
+    classes = materialise(classes.join(first, "root").select("fp", "first"), "classes")
+    return rows.join(classes, "fp").select(
         "doc_id",
         "_h",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        "component_id",
-        (F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_h") == F.col("_k"))).alias("keep"),
+        F.col("first.doc_id").alias("component_id"),
+        (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("_h") == F.col("first._h"))).alias("keep"),
     )
 
 
