@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 UNIT_PREFIX = "wmoUnit:"
 NUMERIC_LITERAL = r"(?i)^[+-]?(([0-9]+(\.[0-9]*)?|\.[0-9]+)([e][+-]?[0-9]+)?|inf|infinity|nan)$"
 # Canonical timestamp text: a full date, optionally a time (seconds and
-# fraction optional), optionally Z / UTC / a +HH[:MM] offset.
+# fraction optional), optionally Z / UTC / a +HH[:MM] offset / a named zone
+# (``Area/City``; the cast rejects names that no zone has).
 TIMESTAMP_TEXT = (
     r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
     r"([T ][0-9]{1,2}:[0-9]{1,2}(:[0-9]{1,2}(\.[0-9]{1,9})?)?)?"
-    r" ?(Z|z|UTC|[+-][0-9]{1,2}(:?[0-9]{2})?)?$"
+    r" ?(Z|z|UTC|[+-][0-9]{1,2}(:?[0-9]{2})?|[A-Za-z]+(/[A-Za-z0-9_+-]+){1,2})?$"
 )
 
 

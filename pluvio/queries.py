@@ -17,13 +17,15 @@ from pyspark.sql import functions as F
 
 from pluvio import fixtures as fx
 from pluvio import schemas as S
-from pluvio.functions import geog_point_wkb, json_value, wkb_latitude, wkb_longitude
+from pluvio.functions import geog_point_wkb, iso_timestamp, json_value, wkb_latitude, wkb_longitude
 from pluvio.operators import (
     high_water_mark,
     incremental_filter,
+    last_day,
     latest_per_key,
     mark_value,
     merge_counts,
+    next_cursor,
     observations,
     parse_dim,
     parse_fact,
@@ -32,7 +34,8 @@ from pluvio.operators import (
     stations_page,
     to_bronze,
 )
-from pluvio.plans import run_bronze, run_silver_dim, run_silver_fact
+from pluvio.operators.merge import assert_unique_keys
+from pluvio.plans import run_bronze, run_silver, run_silver_dim, run_silver_fact
 from pluvio.plans.silver_job import merge_dim, merge_fact
 from pluvio.session import checkpoint_root, scratch_path, use_utc
 from pluvio.sources import (
@@ -56,6 +59,7 @@ WINDOW_A = dt.datetime(2024, 1, 15, 0, 0, 0)  # second run reads ts > WINDOW_A
 WINDOW_B = dt.datetime(2024, 1, 16, 0, 0, 0)  # first run read ts <= WINDOW_B
 RUN1_TS = dt.datetime(2024, 2, 1, 0, 0, 0)
 RUN2_TS = dt.datetime(2024, 2, 2, 0, 0, 0)
+RUN3_TS = dt.datetime(2024, 2, 4, 0, 0, 0)
 LOOKUP_STATION = "ST7"
 LOOKUP_START = "2024-01-05T00:00:00Z"
 LOOKUP_END = "2024-01-20T00:00:00Z"
@@ -181,10 +185,8 @@ def q_incremental_first_run(spark, sf_dir):
 
 
 def q_high_water_mark(spark, sf_dir):
-    bronze = _bronze(spark, sf_dir)
-    target = bronze.filter(F.col("_record_updated_at") < _ts(CUT))
     first = mark_value(S.empty(spark, S.FACT))
-    return ntz(high_water_mark(target).select("high_water_mark", first.alias("first_run_mark")))
+    return ntz(high_water_mark(_bronze(spark, sf_dir)).select("high_water_mark", first.alias("first_run_mark")))
 
 
 # --- merge (fact) ----------------------------------------------------------------
@@ -229,6 +231,42 @@ def q_merge_upsert_fact_broadcast(spark, sf_dir):
     return ntz(_merged_fact(spark, sf_dir, broadcast_source=True).select(*S.FACT_COLUMNS, "_action"))
 
 
+def _without_key(df: DataFrame) -> DataFrame:
+    return df.withColumn("noaa_record_id", F.when(~F.col("hourly_precip_qc").eqNullSafe("E"), F.col("noaa_record_id")))
+
+
+def q_merge_null_keys(spark, sf_dir):
+    """The two runs with reports that lost their record id: NULL keys are one group in the
+    dedupe and match nothing in the merge."""
+    u = F.col("_record_updated_at")
+    parsed = _without_key(parse_fact(_bronze(spark, sf_dir, key="hour_slot")))
+    target = _stamped(latest_per_key(parsed.filter(u <= _ts(WINDOW_B)), "noaa_record_id"), S.FACT_COLUMNS)
+    source = latest_per_key(parsed.filter(u > _ts(WINDOW_A)), "noaa_record_id")
+    merged = merge_fact(target, source, job_id="run-2", trace_id="trace-2", run_ts=RUN2_TS)
+    return ntz(merged.select(*S.FACT_COLUMNS, "_action"))
+
+
+def q_rejected_inputs(spark, sf_dir):
+    """Which inputs are refused: a merge source with several rows per key, and an empty load."""
+    parsed = _parsed(spark, sf_dir)
+    path = scratch_path(spark, "rejected")
+
+    def refused(act) -> bool:
+        try:
+            act()
+        except ValueError:
+            return True
+        return False
+
+    rows = [
+        ("merge source, all versions", refused(lambda: assert_unique_keys(parsed, "noaa_record_id"))),
+        ("merge source, newest versions",
+         refused(lambda: assert_unique_keys(latest_per_key(parsed, "noaa_record_id"), "noaa_record_id"))),
+        ("load of no rows", refused(lambda: load_table(parsed.filter(F.col("_record_updated_at").isNull()), path))),
+    ]
+    return spark.createDataFrame(rows, "input string, refused boolean")
+
+
 def q_merge_actions(spark, sf_dir):
     return merge_counts(_merged_fact(spark, sf_dir))
 
@@ -267,6 +305,55 @@ def q_envelope_rows(spark, sf_dir):
     return env.groupBy("trace_id").agg(F.sum(F.size(F.col("observations.features"))).cast("long").alias("n_features"))
 
 
+def q_bad_envelopes(spark, sf_dir):
+    """One landed line per event, by event type well formed or broken in one way; the reason of each."""
+    ev = _read(spark, sf_dir, "events")
+    path = scratch_path(spark, "bad-envelopes")
+    et, tid = F.col("event_type"), F.concat(F.lit('{"trace_id": "t'), F.col("event_id").cast("string"), F.lit('"'))
+    line = (
+        F.when(et == "error", F.concat(tid, F.lit(', "observations": ')))
+        .when(et == "signup", F.lit('{"observations": {"features": []}}'))
+        .when(et == "view", F.concat(tid, F.lit("}")))
+        .when(et == "click", F.concat(tid, F.lit(', "observations": {}}')))
+        .otherwise(F.concat(tid, F.lit(', "observations": {"features": []}}')))
+    )
+    ev.select(line.alias("value")).write.text(path)
+    flagged = read_envelopes(spark, path, on_bad="flag").select(F.coalesce("_envelope_error", F.lit("good")).alias("reason"))
+    return flagged.groupBy("reason").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+# --- document text ---------------------------------------------------------------
+
+
+def q_timestamp_text(spark, sf_dir):
+    """Every event time as UTC, offset and named-zone text, read back as one instant."""
+    ev = _read(spark, sf_dir, "events")
+    ts, shape = fx.utc_ts(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    text = {
+        "utc": F.concat(F.date_format(ts, shape), F.lit("Z")),
+        "offset": F.concat(F.date_format(ts + F.expr("INTERVAL '05:30' HOUR TO MINUTE"), shape), F.lit("+05:30")),
+        "zone": F.concat(F.date_format(F.from_utc_timestamp(ts, "America/New_York"), shape), F.lit(" America/New_York")),
+    }
+    return ntz(ev.select("event_id", *[iso_timestamp(t).alias(f"{k}_ts") for k, t in text.items()]))
+
+
+def q_json_paths(spark, sf_dir):
+    """Scalars, objects, arrays and key case of one document per event."""
+    et = F.col("event_type")
+    doc = F.struct(
+        et.alias("Kind"),
+        F.struct(et.alias("name"), F.col("user_id").alias("user")).alias("nested"),
+        F.array(F.col("event_id"), F.col("user_id")).alias("pair"),
+        F.concat(F.lit("[not an array] "), et).alias("text"),
+    )
+    d = fx.to_variant(doc)
+    paths = {
+        "kind": "Kind", "other_case": "kind", "object": "nested", "nested_user": "nested.user",
+        "array": "pair", "second": "pair[1]", "beyond": "pair[2]", "bracket_text": "text",
+    }
+    return _read(spark, sf_dir, "events").select("event_id", *[json_value(d, p).alias(k) for k, p in paths.items()])
+
+
 # --- stations --------------------------------------------------------------------
 
 DIM_OUT = [
@@ -307,8 +394,7 @@ def q_merge_upsert_dim(spark, sf_dir):
         reg.withColumn("noaa_station_geopoint", geog_point_wkb("noaa_station_longitude", "noaa_station_latitude")),
         S.DIM_COLUMNS,
     )
-    reports = _reports(spark, sf_dir).filter(F.col("_record_updated_at") > _ts(CUT))  # bronze stamp
-    source = latest_per_key(reports, "noaa_station_id").withColumn(
+    source = latest_per_key(_reports(spark, sf_dir), "noaa_station_id").withColumn(
         "noaa_station_geopoint", geog_point_wkb("noaa_station_longitude", "noaa_station_latitude")
     )
     merged = merge_dim(target, source, job_id="run-2", trace_id="trace-2", run_ts=RUN2_TS)
@@ -350,6 +436,25 @@ def q_stations_page(spark, sf_dir):
     return page.select(*DIM_OUT, "state")
 
 
+def q_stations_all_pages(spark, sf_dir):
+    """Every station by keyset paging: pages follow the cursor until one has no keys."""
+    registry = _registry(spark, sf_dir)
+    page = stations_page(registry, limit=PAGE_LIMIT)
+    pages = [page]
+    while (cursor := next_cursor(page)) is not None:
+        page = stations_page(registry, limit=PAGE_LIMIT, cursor=cursor)
+        pages.append(page)
+    out = pages[0]
+    for page in pages[1:]:
+        out = out.unionByName(page)
+    return out.select(*DIM_OUT, "state")
+
+
+def q_last_day_window(spark, sf_dir):
+    """The default extract window: the day before a given now."""
+    return ntz(last_day(_parsed(spark, sf_dir), LOOKUP_STATION, now=LOOKUP_END).select(*FACT_OUT))
+
+
 # --- tables and SQL --------------------------------------------------------------
 
 
@@ -436,37 +541,64 @@ def q_stream_available_now(spark, sf_dir):
     )
 
 
-def q_ndjson_load(spark, sf_dir):
-    """Bronze records as newline-delimited JSON (the load format), read back with
-    schema inference (autodetect) and with a fixed schema."""
-    ev = _read(spark, sf_dir, "events")
+def _ndjson(spark, sf_dir) -> str:
+    """Bronze records as newline-delimited JSON (the load format); their folder."""
     path = scratch_path(spark, "ndjson")
-    records = ev.select(
+    _read(spark, sf_dir, "events").select(
         F.col("event_id").cast("string").alias("_record_id"),
         fx.observation_feature(fx.record_key("unique")).alias("raw_response_json"),
         F.lit("load-1").alias("_job_id"),
         fx.station_day_trace().alias("_trace_id"),
-    )
-    records.write.json(path)
-    inferred = read_ndjson(spark, path)
-    fixed = read_ndjson(spark, path, "_record_id STRING, _job_id STRING")
-    return inferred.select(
+    ).write.json(path)
+    return path
+
+
+def q_ndjson_load(spark, sf_dir):
+    """The load format read back with schema inference (autodetect)."""
+    return read_ndjson(spark, _ndjson(spark, sf_dir)).select(
         "_record_id",
         "_job_id",
         "_trace_id",
         F.col("raw_response_json.id").alias("noaa_record_id"),
         F.col("raw_response_json.properties.stationId").alias("noaa_station_id"),
         F.col("raw_response_json.properties.precipitationLastHour.value").alias("value_text"),
-    ).join(fixed.withColumnRenamed("_job_id", "_fixed_job_id"), "_record_id").drop("_fixed_job_id")
+    )
+
+
+def q_ndjson_fixed_schema(spark, sf_dir):
+    """The load format read back with a fixed schema: its columns only, an absent one is NULL."""
+    return read_ndjson(spark, _ndjson(spark, sf_dir), "_record_id STRING, _job_id STRING, _absent STRING")
 
 
 # --- jobs end to end (catalog tables, partition-scoped publishing) -----------------
 
+CLOCK_OUT = [
+    "noaa_record_id",
+    "noaa_station_id",
+    "hourly_precip_timestamp",
+    "hourly_precip_value",
+    "hourly_precip_unit",
+    "hourly_precip_qc",
+    "_trace_id",
+    "observed_date",
+]
 RESEND_FROM = dt.datetime(2024, 1, 14, 0, 0, 0)  # second extract re-sends from here
 SILVER1_TS = RUN1_TS + dt.timedelta(hours=1)  # each silver run follows its bronze load
 SILVER2_TS = RUN2_TS + dt.timedelta(hours=1)
 
 
+def q_silver_default_clock(spark, sf_dir):
+    """Two extracts, loads and silver runs that take the current time themselves."""
+    ev = _read(spark, sf_dir, "events")
+    root, names = _job_tables(spark, "clock-runs")
+    schema = names["bronze"].split(".")[0].strip("`")
+    for k, part in enumerate((ev.filter(F.col("ts") < F.lit(CUT)), ev.filter(F.col("ts") >= F.lit(RESEND_FROM)))):
+        run_bronze(spark, fx.observation_features(part), f"{root}/landing", names["bronze"],
+                   extract_job_id=f"x{k}", load_job_id=f"l{k}")
+        run_silver(spark, f"t{k}", schema=schema, snapshot_root=f"{root}/fact")
+    return ntz(spark.table(names["fact"]).select(*CLOCK_OUT))
+
+
 def _job_tables(spark, label):
     root = scratch_path(spark, label)
     schema = "pluvio_" + label.replace("-", "_") + "_" + root.rsplit("-", 1)[-1][:12]
@@ -506,7 +638,8 @@ def q_silver_fact_runs(spark, sf_dir):
 
 
 def q_silver_dim_runs(spark, sf_dir):
-    """Two station versions per customer in one bronze load, one dimension run."""
+    """Two station versions per customer in one bronze load and a dimension run; then a newer
+    version of the stations of customers in debt and a second run, which keeps the others."""
     cust = _read(spark, sf_dir, "customer")
     root, names = _job_tables(spark, "dim-runs")
     newer = fx.station_registry_bronze(cust, updated_at=RUN1_TS, with_state=False)
@@ -517,6 +650,13 @@ def q_silver_dim_runs(spark, sf_dir):
     load_table(rows, names["bronze"])
     run_silver_dim(spark, names["bronze"], names["dim"], job_id="d1", trace_id="t1", run_ts=RUN2_TS,
                    snapshot_root=f"{root}/dim")
+    later = RUN2_TS + dt.timedelta(days=1)
+    again = fx.station_registry_bronze(
+        cust.filter("c_acctbal < 0"), updated_at=later, elevation_offset=2.0, record_prefix="new", with_state=False
+    )
+    load_table(again.withColumn(S.BRONZE_PARTITION, F.to_date("_record_created_at")), names["bronze"])
+    run_silver_dim(spark, names["bronze"], names["dim"], job_id="d2", trace_id="t2", run_ts=RUN3_TS,
+                   snapshot_root=f"{root}/dim")
     dim = spark.table(names["dim"])
     return ntz(
         dim.select(
@@ -545,6 +685,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "high_water_mark": q_high_water_mark,
     "merge_upsert_fact": q_merge_upsert_fact,
     "merge_upsert_fact_broadcast": q_merge_upsert_fact_broadcast,
+    "merge_null_keys": q_merge_null_keys,
+    "rejected_inputs": q_rejected_inputs,
+    "bad_envelopes": q_bad_envelopes,
+    "timestamp_text": q_timestamp_text,
+    "json_paths": q_json_paths,
+    "stations_all_pages": q_stations_all_pages,
+    "last_day_window": q_last_day_window,
+    "ndjson_fixed_schema": q_ndjson_fixed_schema,
+    "silver_default_clock": q_silver_default_clock,
     "merge_actions": q_merge_actions,
     "bronze_explode": q_bronze_explode,
     "envelope_rows": q_envelope_rows,
@@ -592,8 +741,8 @@ LATEST = "QUALIFY row_number() OVER (PARTITION BY {k} ORDER BY _record_updated_a
 FACT_COLS_SQL = ", ".join(FACT_OUT)
 
 
-def _merge_fact_sql() -> str:
-    p = _parsed_sql(SLOT_KEY)
+def _merge_fact_sql(key_sql: str = SLOT_KEY) -> str:
+    p = _parsed_sql(key_sql)
     latest = LATEST.format(k="noaa_record_id")
     return f"""
     WITH p AS ({p}),
@@ -651,7 +800,7 @@ def _merge_dim_sql() -> str:
     latest = LATEST.format(k="noaa_station_id")
     return f"""
     WITH t AS (SELECT *, true AS present FROM ({_registry_sql(1.0, 2)})),
-    s AS (SELECT *, true AS present FROM ({_reports_sql()}) WHERE _record_updated_at > {_sqlts(CUT)} {latest}),
+    s AS (SELECT *, true AS present FROM ({_reports_sql()}) {latest}),
     j AS (SELECT t.present AS tp, s.present AS sp,
                  t._record_id AS t_rid, s._record_id AS s_rid,
                  t.noaa_station_id AS t_id, s.noaa_station_id AS s_id,
@@ -722,15 +871,16 @@ def _silver_fact_runs_sql() -> str:
 
 
 def _silver_dim_runs_sql() -> str:
+    again = "c_acctbal < 0"
     return f"""
-    SELECT 'c' || CAST(c_custkey AS VARCHAR) AS _record_id,
+    SELECT CASE WHEN {again} THEN 'new' ELSE 'c' END || CAST(c_custkey AS VARCHAR) AS _record_id,
            'ST' || CAST(c_custkey AS VARCHAR) AS noaa_station_id,
            c_name AS noaa_station_name,
            CAST(c_custkey * 17 % 180 - 90 AS DOUBLE) AS noaa_station_latitude,
            CAST(c_custkey * 37 % 360 - 180 AS DOUBLE) AS noaa_station_longitude,
-           c_acctbal AS noaa_station_elevation_m,
-           'd1' AS _job_id,
-           't1' AS _trace_id,
+           CASE WHEN {again} THEN c_acctbal + 2.0 ELSE c_acctbal END AS noaa_station_elevation_m,
+           CASE WHEN {again} THEN 'd2' ELSE 'd1' END AS _job_id,
+           CASE WHEN {again} THEN 't2' ELSE 't1' END AS _trace_id,
            {_sqlts(RUN2_TS)} AS _record_created_at,
            {_sqlts(RUN2_TS)} AS _record_updated_at,
            CAST(c_custkey * 37 % 360 - 180 AS DOUBLE) AS geopoint_lon,
@@ -750,12 +900,43 @@ def oracle_sql() -> dict[str, str]:
             WHERE minute(hourly_precip_timestamp) = 54""",
         "incremental_filter": _inc_sql(f"ts < {_sqlts(CUT)}"),
         "incremental_first_run": _inc_sql("false"),
-        "high_water_mark": f"""
-            SELECT (SELECT coalesce(max(ts), TIMESTAMP '1970-01-01 00:00:00') FROM events WHERE ts < {_sqlts(CUT)})
+        "high_water_mark": """
+            SELECT (SELECT coalesce(max(ts), TIMESTAMP '1970-01-01 00:00:00') FROM events)
                    AS high_water_mark,
                    TIMESTAMP '1970-01-01 00:00:00' AS first_run_mark""",
         "merge_upsert_fact": _merge_fact_sql(),
         "merge_upsert_fact_broadcast": _merge_fact_sql(),
+        "merge_null_keys": _merge_fact_sql(f"CASE WHEN event_type <> 'error' THEN {SLOT_KEY} END"),
+        "rejected_inputs": f"""
+            SELECT 'merge source, all versions' AS input,
+                   count(*) > count(DISTINCT event_id % {N_KEYS}) AS refused FROM events
+            UNION ALL SELECT 'merge source, newest versions', false
+            UNION ALL SELECT 'load of no rows', count(*) = 0 FROM events WHERE ts IS NULL""",
+        "bad_envelopes": """
+            SELECT CASE event_type WHEN 'error' THEN 'corrupt line' WHEN 'signup' THEN 'missing trace_id'
+                        WHEN 'view' THEN 'missing observations' WHEN 'click' THEN 'missing observations.features'
+                        ELSE 'good' END AS reason,
+                   count(*) AS n_lines
+            FROM events GROUP BY 1""",
+        "timestamp_text": "SELECT event_id, ts AS utc_ts, ts AS offset_ts, ts AS zone_ts FROM events",
+        "json_paths": """
+            SELECT event_id, event_type AS kind, CAST(NULL AS VARCHAR) AS other_case, CAST(NULL AS VARCHAR) AS object,
+                   CAST(user_id AS VARCHAR) AS nested_user, CAST(NULL AS VARCHAR) AS "array",
+                   CAST(user_id AS VARCHAR) AS second, CAST(NULL AS VARCHAR) AS beyond,
+                   '[not an array] ' || event_type AS bracket_text
+            FROM events""",
+        "stations_all_pages": f"SELECT {dim_cols}, state FROM ({_registry_sql()})",
+        "last_day_window": f"""
+            SELECT {FACT_COLS_SQL} FROM ({parsed_event})
+            WHERE noaa_station_id = '{LOOKUP_STATION}'
+              AND hourly_precip_timestamp BETWEEN TIMESTAMP '2024-01-19 00:00:00' AND TIMESTAMP '2024-01-20 00:00:00'""",
+        "ndjson_fixed_schema": """
+            SELECT CAST(event_id AS VARCHAR) AS _record_id, 'load-1' AS _job_id, CAST(NULL AS VARCHAR) AS _absent FROM events""",
+        "silver_default_clock": f"""
+            SELECT {', '.join(CLOCK_OUT)} FROM (
+                SELECT * EXCLUDE (_trace_id), CASE WHEN hourly_precip_timestamp >= {_sqlts(RESEND_FROM)}
+                       THEN 't1' ELSE 't0' END AS _trace_id
+                FROM ({_silver_fact_runs_sql()}))""",
         "merge_actions": f"""
             SELECT count(*) FILTER (WHERE _action = 'update') AS updated,
                    count(*) FILTER (WHERE _action = 'insert') AS inserted,
