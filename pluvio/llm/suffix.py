@@ -6,12 +6,15 @@ that occur twice can lie in a repeated string. The bytes around each of these
 form a segment; segments with one anchor meet in one task, where a suffix array
 of them is built by two-stage sorting: suffixes smaller than their successor
 are sorted directly, all others are induced by bucket scans. Strings whose
-common prefix with a neighbour reaches ``length`` are repeats.
+common prefix with a neighbour reaches ``length`` are repeats. Anchors with
+more than ``GROUP_BYTES`` of segments are not sorted: 128-bit digests of their
+strings are counted, so no task holds all segments of an anchor.
 """
 
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +28,10 @@ from pluvio.llm.scratch import keyed, materialise
 GRAM = 32
 #: Bytes of segments whose suffixes are sorted together (whole anchor groups).
 SORT_BYTES = 1 << 19
+#: Bytes of the distinct segments of one anchor from which its string starts are dealt out by digest.
+GROUP_BYTES = 1 << 20
+#: String starts whose common core is counted before the starts themselves.
+CORE = 48
 
 
 def _anchor_runs(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -233,6 +240,67 @@ def _sorted_groups(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[p
         yield flush()
 
 
+def _shared_starts(pieces: DataFrame, length: int, step: int) -> DataFrame:
+    """``sid, spans``: the starts in ``spans`` of ``anchor, sid, seg, spans`` whose string may occur in another segment.
+
+    Equal strings have their anchor at the same place, so starts are grouped by
+    ``step`` places before it; the bytes that all strings of a group hold (its
+    core) are counted by digest over all segments. With ``step`` 1 the core is
+    the string itself and the starts are exact.
+    """
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple[bytes, int, int, bytes]] = []
+            for anchor, sid, seg, spans in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                gram = tx.gram_hashes(tx._BYTE[np.frombuffer(seg, np.uint8)], GRAM, tx.BYTE_BASE)
+                place = int(np.argmax(gram.view(np.int64) == anchor))
+                for lo, hi in zip(spans[::2], spans[1::2], strict=True):
+                    at = lo
+                    while at < hi:
+                        group = (place - at) // step
+                        a, b = place - step * (group + 1) + 1, place - step * group
+                        key = struct.pack("<qi", anchor, group)
+                        core = hashlib.blake2b(seg[b : a + length], digest_size=16, salt=key).digest()
+                        out.append((sid, at, min(b + 1, hi), core))
+                        at = b + 1
+                if len(out) >= 20_000:
+                    yield batch_of(out)
+                    out = []
+            if out:
+                yield batch_of(out)
+
+    def batch_of(out: list) -> pa.RecordBatch:
+        sid, lo, hi, core = zip(*out, strict=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(sid, pa.binary()), pa.array(lo, pa.int32()), pa.array(hi, pa.int32()), pa.array(core, pa.binary())],
+            ["sid", "lo", "hi", "core"],
+        )
+
+    cores = pieces.select("anchor", "sid", "seg", "spans").mapInArrow(compute, "sid binary, lo int, hi int, core binary")
+    twice = cores.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
+    twice = materialise(twice, "shared-cores")  # a plain join, which the planner may split at hot cores
+    found = cores.join(twice, "core").groupBy("sid")
+    return found.agg(F.flatten(F.collect_list(F.array("lo", "hi"))).alias("spans"))
+
+
+def _counted_groups(hot: DataFrame, length: int) -> DataFrame:
+    """``sid, spans``: repeated starts of the distinct segments of large anchor groups."""
+    starts = (F.octet_length("seg") - length + 1).cast("int")
+    pieces = hot.select("anchor", "sid", "seg", F.array(F.lit(0), starts).alias("spans"))
+    near = materialise(_shared_starts(pieces, length, CORE), "shared-starts")
+    return _shared_starts(hot.join(near, "sid"), length, 1)
+
+
+def _by_size(distinct: DataFrame, group_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """``anchor, sid, seg`` of the anchor groups to sort, and of those too large for one task."""
+    size = F.sum(F.octet_length("seg")).alias("bytes")
+    groups = distinct.groupBy("anchor").agg(F.count("*").alias("members"), size).where("members > 1")
+    groups = materialise(groups.select("anchor", (F.col("bytes") > group_bytes).alias("large")), "groups")
+    both = distinct.select("anchor", "sid", "seg")
+    return tuple(both.join(groups.where(x).select("anchor"), "anchor") for x in ("NOT large", "large"))
+
+
 def _cut(rows: DataFrame, length: int) -> DataFrame:
     """Remove the bytes under the repeated starts of each document."""
 
@@ -259,14 +327,15 @@ def _cut(rows: DataFrame, length: int) -> DataFrame:
     )
 
 
-def remove_repeated_bytes(docs: DataFrame, length: int = 400) -> DataFrame:
+def remove_repeated_bytes(docs: DataFrame, length: int = 400, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """Bytes left after removing every string of ``length`` bytes that starts anywhere else too (operator 8).
 
     Returns per row ``doc_id, _h, n_bytes, n_removed, n_spans, kept_sha256``.
     Null text: no bytes. Matches never cross documents, but may lie in one
     document and overlap. A repeated row is another place; a null doc_id is
     like any other. Equal segments are settled by their count alone, so copies
-    never meet in the sort.
+    never meet in the sort; distinct segments of an anchor with more than
+    ``group_bytes`` of them are settled by digests of their strings.
     """
     meta = materialise(_digests(docs, length), "digests")
     seeds = meta.where(F.size("anchors") > 0).select("doc_id", "_h", F.explode("anchors").alias("anchor"))
@@ -282,14 +351,16 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 400) -> DataFrame:
     # one row per distinct segment; those that occur twice are repeats throughout
     distinct = segments.groupBy("anchor", "sid").agg(F.first("seg", ignorenulls=True).alias("seg"), F.count("*").alias("n"))
     distinct = materialise(distinct, "distinct")
-    groups = distinct.groupBy("anchor").agg(F.count("*").alias("members")).where("members > 1").select("anchor")
-    to_sort = distinct.join(groups, "anchor").select("anchor", "sid", "seg")
+    to_sort, hot = _by_size(distinct, group_bytes)
     to_sort = to_sort.repartition("anchor").sortWithinPartitions("anchor")
     sorted_hits = to_sort.mapInArrow(lambda it: _sorted_groups(it, length), "sid binary, spans array<int>")
     whole = distinct.where("n > 1").select(
         "sid", F.array(F.lit(0), (F.octet_length("seg") - length + 1).cast("int")).alias("spans")
     )
-    hits = materialise(whole.union(sorted_hits), "hits")
+    hits = whole.union(sorted_hits)
+    if not hot.isEmpty():
+        hits = hits.union(_counted_groups(hot, length))
+    hits = materialise(hits, "hits")
     hits = hits.groupBy("sid").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     places = segments.select("sid", "doc_id", "_h", "start").join(hits, "sid")
     shifted = F.transform("spans", lambda x: x.cast("long") + F.col("start"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pluvio.llm.components import components
 from pluvio.llm.simhash import close_links, drop_near_duplicates, fingerprint, near_duplicates
 from pluvio.llm.substring import cut_repeats, remove_repeats
-from pluvio.llm.suffix import remove_repeated_bytes, repeated_starts, suffix_array
+from pluvio.llm.suffix import _by_size, remove_repeated_bytes, repeated_starts, suffix_array
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp long, anchor string, key int"
 
@@ -161,6 +161,24 @@ def test_repeated_bytes_match_brute_force(spark, rows, length):
     assert found == _expected_bytes(rows, length)
 
 
+@pytest.mark.parametrize("length", [60, 400])
+def test_segments_of_one_hot_passage_are_split(spark, length):
+    """Distinct texts around one passage: no sort group beyond the bound, and the same bytes go."""
+    r = random.Random(9)
+    noise = lambda n: "".join(r.choice("abcdefghij ") for _ in range(n))
+    passage = noise(420)
+    rows = [(k, noise(500) + r.choice("xy") + passage + r.choice("uv") + noise(500)) for k in range(40)]
+    rows += [(90, noise(300) + passage[:410]), (91, rows[0][1]), (92, "x" + passage[5:]), (None, passage)]
+    docs = _docs(spark, rows)
+    got = remove_repeated_bytes(docs, length, group_bytes=5000).collect()
+    found = collections.Counter((x.doc_id, x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in got)
+    assert found == _expected_bytes(rows, length)
+    distinct = spark.createDataFrame([(1, b"a%d" % k, b"x" * 700) for k in range(9)] + [(2, b"b", b"y"), (2, b"c", b"z")], "anchor long, sid binary, seg binary")
+    small, large = _by_size(distinct, 5000)
+    assert [x.anchor for x in small.collect()] == [2, 2] and {x.anchor for x in large.collect()} == {1}
+    assert large.count() == 9
+
+
 def test_suffix_array_sorts_suffixes():
     r = random.Random(1)
     for trial in range(200):
