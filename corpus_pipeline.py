@@ -38,7 +38,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, packed into sequences of at most 2048 tokens."""
-    return pack_documents(docs, capacity=2048)
+    return pack_documents(docs, capacity=2048, added_tokens=True)
 
 
 STAGES: list[tuple[str, Stage]] = [

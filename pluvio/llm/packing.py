@@ -123,7 +123,7 @@ def local_search(bins: list[list[int]], lengths: list[int], capacity: int, patie
     return [bins[b] for b in sorted(alive)]
 
 
-def token_pieces(docs: DataFrame, capacity: int, tokenizer: str) -> DataFrame:
+def token_pieces(docs: DataFrame, capacity: int, tokenizer: str, added_tokens: bool = False) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` of every document (null text: only the end id).
 
     A document longer than ``capacity`` is cut from its end into full pieces;
@@ -131,7 +131,7 @@ def token_pieces(docs: DataFrame, capacity: int, tokenizer: str) -> DataFrame:
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer)
+        encode = encoder(tokenizer, added_tokens)
         for batch in batches:
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -183,11 +183,14 @@ def pack(pieces: DataFrame, capacity: int, group_pieces: int = GROUP_PIECES) ->
     return dealt.groupBy("_g").applyInArrow(one, schema.replace(",", ", "))
 
 
-def pack_documents(docs: DataFrame, capacity: int = 2048, tokenizer: str | None = None) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, capacity: int = 2048, tokenizer: str | None = None, added_tokens: bool = False
+) -> DataFrame:
     """Tokenise, cut and pack all documents (operator 10).
 
     Returns per piece ``doc_id, piece, start, length, ids_crc32, sequence_id,
     offset``. Empty table: no rows. Repeated rows are packed as often as they occur.
+    ``added_tokens``: see ``Encoder``.
     """
-    pieces = materialise(token_pieces(docs, capacity, tokenizer or default_tokenizer()), "pieces")
+    pieces = materialise(token_pieces(docs, capacity, tokenizer or default_tokenizer(), added_tokens), "pieces")
     return pack(pieces, capacity)

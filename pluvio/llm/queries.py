@@ -68,12 +68,12 @@ def op8_two_stage_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_addressable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents, written to and read back from id files."""
-    return id_files(_table(spark, sf_dir, "documents"))
+    return id_files(_table(spark, sf_dir, "documents"), added_tokens=True)
 
 
 def op10_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
-    return pack_documents(_table(spark, sf_dir, "documents"), capacity=2048)
+    return pack_documents(_table(spark, sf_dir, "documents"), capacity=2048, added_tokens=True)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -71,7 +71,9 @@ class Encoder:
     on that alphabet); the model encodes a piece alone, and pieces recur and
     are cached. Other texts are cut at single spaces, where a new piece always
     starts; parts beyond the plain alphabet are encoded whole, and so are
-    texts in which spaces meet.
+    texts in which spaces meet. With ``added_tokens`` the tokenizer is left as
+    it comes: a text that holds an added token's content (``<|endoftext|>``) is
+    encoded whole and gets that token's id; without, such content is plain text.
     """
 
     _PIECE = re.compile(
@@ -79,11 +81,14 @@ class Encoder:
     )
     _LETTERS = _byte_letters()
 
-    def __init__(self, path: str, limit: int = 450_000):
+    def __init__(self, path: str, limit: int = 450_000, added_tokens: bool = False):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        if not added_tokens:
+            self.whole.encode_special_tokens = True
+        added = [t.content for t in self.whole.get_added_tokens_decoder().values()] if added_tokens else []
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.model = self.whole.model
         self.part = _Generations(self._part, limit // 10)
         self.piece = _Generations(self._piece, limit)
@@ -107,6 +112,8 @@ class Encoder:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def __call__(self, text: str) -> bytes:
+        if self.added and self.added.search(text):
+            return self._encode(text)
         pieces = self._PIECE.findall(text)
         if "".join(pieces) == text:
             return b"".join(map(self.piece.__getitem__, pieces))
@@ -117,12 +124,12 @@ class Encoder:
 
 
 @functools.lru_cache(2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, added_tokens: bool = False) -> Encoder:
     """One encoder per worker process, so its caches outlive a task."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return Encoder(path)
+    return Encoder(path, added_tokens=added_tokens)
 
 
 def dac_encode(ids: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -211,7 +218,9 @@ def open_file(raw: bytes):
     return [int(d) if k else None for d, k in zip(doc_ids, known, strict=True)], bounds, levels
 
 
-def write_id_files(docs: DataFrame, root: str, tokenizer: str, file_tokens: int = 4_000_000) -> DataFrame:
+def write_id_files(
+    docs: DataFrame, root: str, tokenizer: str, file_tokens: int = 4_000_000, added_tokens: bool = False
+) -> DataFrame:
     """Encode every text, end id 0 after each, into id files under ``root`` in doc_id order.
 
     Returns the manifest ``part, seq, file, n_docs, n_tokens``. A file is named
@@ -224,7 +233,7 @@ def write_id_files(docs: DataFrame, root: str, tokenizer: str, file_tokens: int
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
-        encode = encoder(tokenizer)
+        encode = encoder(tokenizer, added_tokens)
         part = TaskContext.get().partitionId()
         store, base = fs.FileSystem.from_uri(root)
         store.create_dir(base, recursive=True)
@@ -294,8 +303,8 @@ def read_id_files(manifest: DataFrame, root: str) -> DataFrame:
     return files.join(starts, "file").select("content", "first").mapInArrow(read, schema)
 
 
-def id_files(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """Write all documents to id files in the shared folder and read them back (operator 9)."""
+def id_files(docs: DataFrame, tokenizer: str | None = None, added_tokens: bool = False) -> DataFrame:
+    """Write all documents to id files in the shared folder and read them back (operator 9; ``added_tokens``: see ``Encoder``)."""
     root = scratch_path(docs.sparkSession, "llm-id-files")
-    manifest = write_id_files(docs, root, tokenizer or default_tokenizer())
+    manifest = write_id_files(docs, root, tokenizer or default_tokenizer(), added_tokens=added_tokens)
     return read_id_files(manifest, root)

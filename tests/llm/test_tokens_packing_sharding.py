@@ -67,6 +67,37 @@ def test_encoder_equals_the_tokenizer(ids):
         assert encode(text) == ids(text)[:-4], repr(text)
 
 
+def test_queries_give_the_ids_of_the_untouched_tokenizer(spark, rows, tmp_path):
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+    from pluvio.llm.queries import op9_addressable_ids, op10_swap_packing
+
+    whole = Tokenizer.from_file(default_tokenizer())
+    plain = lambda text: np.array(whole.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes()
+    assert whole.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    r = random.Random(6)
+    parts = ["a", " ", "  ", "\n", "é", "12", "<|endoftext|>", "<|endoftext", "|>", ",", " the", "日"]
+    encode = Encoder(default_tokenizer(), limit=50, added_tokens=True)
+    for text in [t for t in TEXTS if t] + ["".join(r.choice(parts) for _ in range(r.randint(0, 12))) for _ in range(2000)]:
+        assert encode(text) == plain(text), repr(text)
+    folder = str(tmp_path)
+    _docs(spark, rows).write.parquet(f"{folder}/documents.parquet")
+    want = collections.Counter((i, len(b) // 4, zlib.crc32(b)) for i, b in ((i, plain(t) + bytes(4)) for i, t in rows))
+    got = op9_addressable_ids(spark, folder).collect()
+    assert collections.Counter((x.doc_id, x.n_tokens, x.ids_crc32) for x in got) == want
+    cut = lambda b: range(len(b) // 4 % 2048 or 2048, len(b) // 4 + 1, 2048)
+    pieces = collections.Counter()
+    for i, t in rows:
+        b, at = plain(t) + bytes(4), 0
+        for end in cut(b):
+            pieces[i, at, end - at, zlib.crc32(b[4 * at : 4 * end])] += 1
+            at = end
+    packed = [op10_swap_packing(spark, folder), corpus_pipeline.packing(spark, _docs(spark, rows), folder)]
+    for out in packed:
+        assert collections.Counter((x.doc_id, x.start, x.length, x.ids_crc32) for x in out.collect()) == pieces
+
+
 def test_addressable_codes_round_trip():
     r = random.Random(2)
     for n in (0, 1, 511, 512, 513, 4000):
