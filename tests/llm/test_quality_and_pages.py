@@ -107,6 +107,21 @@ def test_bands_reject_both_tails_and_keep_the_rest(spark, corpus):
     assert {r.doc_id for r in kept.collect()} == {i for i, r in got.items() if r.kept}
 
 
+def test_every_language_has_its_own_model_and_band(spark):
+    """One model per language whatever their number, and a band however few the documents."""
+    r = random.Random(8)
+    text = lambda letters, n=80: " ".join("".join(r.choice(letters) for _ in range(r.randint(2, 7))) for _ in range(n))
+    langs = {"aa": "abcdef", "bb": "ghijkl", None: "mnopqr", "dd": "stuvwx", "small": "aeiouy"}
+    rows = [(100 * k + j, text(x), lang) for k, (lang, x) in enumerate(langs.items()) for j in range(8 if lang == "small" else 60)]
+    rows.append((999, "z#9 " + " ".join("%d#%d" % (j, 7 * j) for j in range(90)), "small"))
+    got = {x.doc_id: x for x in quality_rules(_docs(spark, rows), block=2).collect()}
+    one = {x.doc_id: x for x in quality_rules(_docs(spark, rows)).collect()}
+    assert len(got) == len(rows) and got == one
+    assert all(x.low < x.high for x in got.values())
+    assert not got[999].kept and all(got[400 + j].kept for j in range(8))
+    assert len({x.low for x in got.values()}) == len(langs)
+
+
 def test_trigram_counts_and_probabilities(spark):
     texts = ["abc abd", "Ab, 12é", "", None]
     docs = _docs(spark, [(k, t, "en") for k, t in enumerate(texts)])
