@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pluvio.session import scratch_path
@@ -49,14 +49,30 @@ def discard(df: DataFrame) -> None:
             folder.getFileSystem(conf).delete(folder, True)
 
 
+def row_hash() -> Column:
+    """A 128-bit digest of the text, 16 bytes (null text: none), the second half of a row's key."""
+    return F.coalesce(F.unhex(F.md5(F.col("text").cast("string"))), F.lit(b""))
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """``doc_id, _h, text``: the columns every operator needs.
 
-    ``_h`` (a hash of the text) tells rows of one doc_id with different texts
+    ``_h`` (a digest of the text) tells rows of one doc_id with different texts
     apart; fully repeated rows share a key and get equal results.
     """
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.hash("text").alias("_h"),
+        row_hash().alias("_h"),
         F.col("text").cast("string").alias("text"),
     )
+
+
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """``row, row_id, row_h``: each row as one struct beside its key, so that no helper name meets a caller's column."""
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    return docs.select(row, F.col("doc_id").cast("long").alias("row_id"), row_hash().alias("row_h"))
+
+
+def of_row(found: DataFrame) -> Column:
+    """The join condition of ``whole_rows`` with a result that has ``doc_id`` and ``_h``."""
+    return F.col("row_id").eqNullSafe(found["doc_id"]) & (F.col("row_h") == found["_h"])

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pluvio.llm.components import components
-from pluvio.llm.scratch import keyed, materialise
+from pluvio.llm.scratch import keyed, materialise, of_row, whole_rows
 
 SEED = 42
 #: A bucket above this many distinct fingerprints is cut again on its other bits.
@@ -52,7 +52,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
                 [batch.column(0), batch.column(1), pa.array(fps, pa.int64())], ["doc_id", "_h", "fp"]
             )
 
-    return keyed(docs).mapInArrow(compute, "doc_id long, _h int, fp long")
+    return keyed(docs).mapInArrow(compute, "doc_id long, _h binary, fp long")
 
 
 def _signed(x: int) -> int:
@@ -183,11 +183,5 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> Dat
 def drop_near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """``docs`` with one document of each class; columns as they came."""
     kept = near_duplicates(docs, shingle, max_bits).where("keep").select("doc_id", "_h").distinct()
-    kept = kept.select(F.col("doc_id").alias("_kept_id"), F.col("_h").alias("_kept_h"))
-    hashed = docs.withColumn("_row_h", F.hash(F.col("text").cast("string")))
-    one = hashed.join(
-        kept,
-        hashed["doc_id"].cast("long").eqNullSafe(kept["_kept_id"]) & (hashed["_row_h"] == kept["_kept_h"]),
-        "left_semi",
-    )
-    return one.dropDuplicates(["doc_id", "_row_h"]).select(*docs.columns)
+    one = whole_rows(docs).join(kept, of_row(kept), "left_semi")
+    return one.dropDuplicates(["row_id", "row_h"]).select("row.*")

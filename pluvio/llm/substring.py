@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pluvio.llm import text as tx
-from pluvio.llm.scratch import discard, keyed, materialise
+from pluvio.llm.scratch import discard, keyed, materialise, of_row, whole_rows
 
 EMPTY = hashlib.sha256(b"").hexdigest()
 
@@ -62,12 +62,12 @@ def anchors(docs: DataFrame, length: int, seed: int) -> DataFrame:
                 )
 
     return keyed(docs).mapInArrow(
-        compute, "doc_id long, _h int, n_words long, whole_sha256 string, anchors array<bigint>"
+        compute, "doc_id long, _h binary, n_words long, whole_sha256 string, anchors array<bigint>"
     )
 
 
 def _extend(rows: DataFrame, length: int, seed: int) -> DataFrame:
-    """Windows around each row's shared anchors: ``h1, h2, doc_id, _h, at``."""
+    """Windows around each row's shared anchors: ``h1, h2, doc_id, nr, at``."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -94,11 +94,11 @@ def _extend(rows: DataFrame, length: int, seed: int) -> DataFrame:
                         batch.column(1).take(rows_at),
                         pa.array((at - first[row[at]]).astype(np.int32)),
                     ],
-                    ["h1", "h2", "doc_id", "_h", "at"],
+                    ["h1", "h2", "doc_id", "nr", "at"],
                 )
 
-    return rows.select("doc_id", "_h", "text", "shared").mapInArrow(
-        compute, "h1 long, h2 int, doc_id long, _h int, at int"
+    return rows.select("doc_id", "nr", "text", "shared").mapInArrow(
+        compute, "h1 long, h2 int, doc_id long, nr long, at int"
     )
 
 
@@ -120,7 +120,7 @@ def _cut(rows: DataFrame, length: int) -> DataFrame:
             )
 
     return rows.select("doc_id", "_h", "text", "at").mapInArrow(
-        compute, "doc_id long, _h int, n_removed long, kept_sha256 string, kept_text string"
+        compute, "doc_id long, _h binary, n_removed long, kept_sha256 string, kept_text string"
     )
 
 
@@ -136,7 +136,9 @@ def remove_repeats(docs: DataFrame, length: int = 13, seed: int = 6) -> DataFram
     rows = keyed(docs)
     seeded = materialise(anchors(docs, length, seed), "anchors")
     meta = materialise(seeded.drop("anchors"), "word-digests")
-    first = meta.groupBy("whole_sha256").agg(F.min("doc_id").alias("first_id"))
+    first = meta.groupBy("whole_sha256").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
+    first = first.where("first_id < last_id").select("whole_sha256", "first_id")
+    first = materialise(first, "copies")  # a plain join, which the planner may split at a text with many copies
     one = Window.partitionBy("whole_sha256").orderBy(F.col("doc_id").asc_nulls_last())
     distinct = seeded.where(F.size("anchors") > 0).select("whole_sha256", "doc_id", "anchors")
     distinct = distinct.withColumn("rn", F.row_number().over(one)).where("rn = 1 AND doc_id IS NOT NULL")
@@ -147,18 +149,19 @@ def remove_repeats(docs: DataFrame, length: int = 13, seed: int = 6) -> DataFram
     per_doc = seeds.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("shared"))
     per_doc = materialise(per_doc, "shared")
     discard(seeded)
-    candidates = materialise(rows.join(per_doc, "doc_id"), "candidates")
+    candidates = rows.join(per_doc, "doc_id").withColumn("nr", F.monotonically_increasing_id())
+    candidates = materialise(candidates, "candidates")
     windows = materialise(_extend(candidates, length, seed), "windows")
     least = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
     least = materialise(least.where("lo < hi").select("h1", "h2", "lo"), "repeats")
     repeats = windows.join(least, ["h1", "h2"]).where("doc_id > lo")
-    repeats = repeats.groupBy("doc_id", "_h").agg(F.collect_set("at").alias("at"))
-    texts = candidates.select("doc_id", "_h", "text")
-    cut = _cut(texts.join(repeats, ["doc_id", "_h"]), length).dropDuplicates(["doc_id", "_h"])
+    repeats = repeats.groupBy("nr").agg(F.collect_set("at").alias("at"))
+    texts = candidates.select("doc_id", "_h", "text", "nr")
+    cut = _cut(texts.join(repeats, "nr"), length).dropDuplicates(["doc_id", "_h"])
     cut = cut.select(
         F.col("doc_id").alias("_d"), F.col("_h").alias("_k"), "n_removed", "kept_sha256", "kept_text"
     )
-    base = meta.select("doc_id", "_h", "n_words", "whole_sha256").join(first, "whole_sha256")
+    base = meta.select("doc_id", "_h", "n_words", "whole_sha256").join(first, "whole_sha256", "left")
     copy = (F.col("doc_id") > F.col("first_id")) & (F.col("n_words") >= length)
     out = base.join(cut, (F.col("doc_id") == F.col("_d")) & (F.col("_h") == F.col("_k")), "left")
     return out.select(
@@ -178,13 +181,13 @@ def cut_repeats(docs: DataFrame, length: int = 13) -> DataFrame:
     by one space. Documents that lose every word go.
     """
     found = remove_repeats(docs, length).where("kept_text IS NOT NULL")
-    found = found.select(F.col("doc_id").alias("_cut_id"), F.col("_h").alias("_cut_h"), "kept_text")
-    found = found.dropDuplicates(["_cut_id", "_cut_h"])
-    hashed = docs.withColumn("_row_h", F.hash(F.col("text").cast("string")))
-    out = hashed.join(
-        found, (hashed["doc_id"].cast("long") == found["_cut_id"]) & (hashed["_row_h"] == found["_cut_h"]), "left"
-    )
+    found = found.select("doc_id", "_h", "kept_text").dropDuplicates(["doc_id", "_h"])
+    out = whole_rows(docs).join(found, of_row(found), "left")
     out = out.where(F.col("kept_text").isNull() | (F.col("kept_text") != ""))
-    text = F.coalesce(F.col("kept_text"), F.col("text"))
-    cols = {"text": text, "n_chars": F.when(F.col("kept_text").isNull(), F.col("n_chars")).otherwise(F.length("kept_text").cast("long"))}
-    return out.select(*(cols[c].alias(c) if c in cols else F.col(c) for c in docs.columns))
+    cut = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    return out.select(
+        *(
+            F.when(F.col("kept_text").isNull(), F.col(f"row.`{c}`")).otherwise(cut[c]).alias(c) if c in cut else F.col(f"row.`{c}`")
+            for c in docs.columns
+        )
+    )

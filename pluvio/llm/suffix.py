@@ -79,7 +79,7 @@ def _digests(docs: DataFrame, length: int) -> DataFrame:
                 )
 
     return keyed(docs).mapInArrow(
-        compute, "doc_id long, _h int, n_bytes long, whole_sha256 string, anchors array<bigint>"
+        compute, "doc_id long, _h binary, n_bytes long, whole_sha256 string, anchors array<bigint>"
     )
 
 
@@ -120,7 +120,7 @@ def _segments(rows: DataFrame, length: int) -> DataFrame:
                 )
 
     return rows.select("doc_id", "_h", "text", "shared").mapInArrow(
-        compute, "anchor long, sid binary, seg binary, doc_id long, _h int, start long"
+        compute, "anchor long, sid binary, seg binary, doc_id long, _h binary, start long"
     )
 
 
@@ -323,7 +323,7 @@ def _cut(rows: DataFrame, length: int) -> DataFrame:
             )
 
     return rows.select("doc_id", "_h", "text", "starts").mapInArrow(
-        compute, "_d long, _k int, n_removed long, n_spans long, kept_sha256 string"
+        compute, "_d long, _k binary, n_removed long, n_spans long, kept_sha256 string"
     )
 
 
