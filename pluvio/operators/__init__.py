@@ -6,6 +6,7 @@ from pluvio.operators.dedupe import latest_per_key
 from pluvio.operators.incremental import high_water_mark, incremental_filter, mark_value
 from pluvio.operators.lookup import last_day, next_cursor, observations, station, stations_page
 from pluvio.operators.merge import assert_unique_keys, merge_counts, merge_into_table, merge_upsert
+from pluvio.operators.numbering import number_rows
 from pluvio.operators.parse import parse_dim, parse_fact, routine_reports
 
 __all__ = [
@@ -19,6 +20,7 @@ __all__ = [
     "merge_into_table",
     "merge_upsert",
     "next_cursor",
+    "number_rows",
     "observations",
     "parse_dim",
     "parse_fact",
