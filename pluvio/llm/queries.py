@@ -10,6 +10,7 @@ from pluvio.llm.latent import find_leaks
 from pluvio.llm.ordinal import grade_documents
 from pluvio.llm.packing import pack_documents
 from pluvio.llm.perplexity import quality_rules
+from pluvio.llm.prefixes import prefix_trie
 from pluvio.llm.resampling import resample
 from pluvio.llm.sharding import shard_documents
 from pluvio.llm.simhash import near_duplicates
@@ -77,6 +78,11 @@ def op10_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), capacity=2048, added_tokens=True)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trie of the shared prefixes of all conversations."""
+    return prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 def op13_quickselect_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A tenth of all documents, drawn towards the benchmark's words."""
     found = resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), percent=10)
@@ -95,6 +101,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_two_stage_suffix": op8_two_stage_suffix,
         "op9_addressable_ids": op9_addressable_ids,
         "op10_swap_packing": op10_swap_packing,
+        "op11_prefix_trie": op11_prefix_trie,
         "op13_quickselect_resampling": op13_quickselect_resampling,
     }
 
