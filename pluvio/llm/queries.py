@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pluvio.llm.latent import find_leaks
+from pluvio.llm.minhash import near_classes
 from pluvio.llm.ordinal import grade_documents
 from pluvio.llm.packing import pack_documents
 from pluvio.llm.perplexity import quality_rules
@@ -83,6 +84,11 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(_table(spark, sf_dir, "conversations"))
 
 
+def op12_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents by 4-word shingles at 0.8."""
+    return near_classes(_table(spark, sf_dir, "documents"), shingle=4, percent=80)
+
+
 def op13_quickselect_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A tenth of all documents, drawn towards the benchmark's words."""
     found = resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), percent=10)
@@ -102,6 +108,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_addressable_ids": op9_addressable_ids,
         "op10_swap_packing": op10_swap_packing,
         "op11_prefix_trie": op11_prefix_trie,
+        "op12_bbit_minhash": op12_bbit_minhash,
         "op13_quickselect_resampling": op13_quickselect_resampling,
     }
 
