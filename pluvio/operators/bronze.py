@@ -24,6 +24,26 @@ def run_timestamp(run_ts: dt.datetime | Column | None) -> Column:
     return F.lit(run_ts).cast("timestamp")
 
 
+def ordered_record_id(run_ts: Column, position: Column, job_id: str) -> Column:
+    """A UUID (version 8) that sorts by run time in milliseconds, then by position in the load.
+
+    48 bits of time, 40 of position, 32 of a digest of job and position: the
+    same load gives the same ids again, and among rows with equal stamps the
+    larger id is the later run's, then the later in its load.
+    """
+    time = F.lpad(F.lower(F.hex(F.unix_millis(run_ts))), 12, "0")
+    place = F.lpad(F.lower(F.hex(position)), 10, "0")
+    tail = F.substring(F.md5(F.concat(F.lit(f"{job_id}:"), position.cast("string"))), 1, 8)
+    return F.concat_ws(
+        "-",
+        F.substring(time, 1, 8),
+        F.substring(time, 9, 4),
+        F.concat(F.lit("8"), F.substring(place, 1, 3)),
+        F.concat(F.lit("8"), F.substring(place, 4, 3)),
+        F.concat(F.substring(place, 7, 4), tail),
+    )
+
+
 def to_bronze(
     envelopes: DataFrame,
     *,

@@ -23,7 +23,7 @@ from pluvio.sources.tables import (
     FACT_TABLE,
     publish_partitions,
     publish_snapshot,
-    read_table,
+    read_bronze,
     set_table_property,
     table_property,
     tracks_partitions,
@@ -331,7 +331,7 @@ def run_silver_fact(
     in one full outer join. Only the affected day partitions
     are rewritten and switched (``rewrite="auto"``, see :func:`merge_and_publish`).
     """
-    bronze = read_table(spark, bronze_table)
+    bronze = read_bronze(spark, bronze_table)
     target = spark.table(fact_table)
     # The mark as a literal (static partition pruning of bronze): read from the
     # table's properties, or one small aggregate when none is recorded yet.
@@ -385,7 +385,7 @@ def run_silver_dim(
     rewrite: str = "auto",
 ) -> dict:
     """C3: incremental MERGE of station attributes into the dimension."""
-    bronze = read_table(spark, bronze_table)
+    bronze = read_bronze(spark, bronze_table)
     target = spark.table(dim_table)
     mark = mark_micros(spark, dim_table)
     source = dim_source(bronze, target, partition_col=S.BRONZE_PARTITION, mark=F.timestamp_micros(F.lit(mark)))

@@ -39,6 +39,8 @@ def _f(name: str, dtype: T.DataType) -> T.StructField:
 # Partition columns (derived, UTC day). The reference partitions by an expression;
 # a Parquet table needs a physical column, which readers drop.
 BRONZE_PARTITION = "created_date"
+# Bronze is also partitioned by the load, so that a load that is run again replaces its own rows.
+BRONZE_PARTITIONS = [BRONZE_PARTITION, "_job_id"]
 FACT_PARTITION = "observed_date"
 DIM_PARTITION = "created_date"
 

@@ -126,5 +126,11 @@ def materialize(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return spark.table(table), table
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library's own making, in whatever store it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def drop_materialized(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {table}")

@@ -13,8 +13,10 @@ from pluvio.sources.tables import (
     tracks_partitions,
     load_table,
     publish_snapshot,
+    read_bronze,
     read_ndjson,
     read_table,
+    replace_partitions,
     scan,
     set_table_property,
     table_property,
@@ -35,9 +37,11 @@ __all__ = [
     "publish_snapshot",
     "qualified",
     "quarantined_envelopes",
+    "read_bronze",
     "read_envelopes",
     "read_ndjson",
     "read_table",
+    "replace_partitions",
     "run_sql",
     "scan",
     "set_table_property",

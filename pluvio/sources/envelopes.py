@@ -7,6 +7,10 @@ explicit schema so nothing is inferred and each feature stays a VARIANT.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +18,9 @@ from pluvio.schemas import ENVELOPE_DDL
 
 ERROR = "_envelope_error"
 
+# Where a landed line stands: file, offset of the part of the file that one task reads, landing time.
+SOURCE = ["__file", "__start", "__landed"]
+
 
 def _error_reason() -> F.Column:
     return (
@@ -24,7 +31,15 @@ def _error_reason() -> F.Column:
     )
 
 
-def read_envelopes(spark: SparkSession, path: str | list[str], *, on_bad: str = "fail") -> DataFrame:
+def with_source(raw: DataFrame) -> DataFrame:
+    """Add the ``SOURCE`` columns to the rows of a file scan (batch or streaming)."""
+    names = ("file_path", "file_block_start", "file_modification_time")
+    return raw.select("*", *(F.col(f"_metadata.{n}").alias(c) for n, c in zip(names, SOURCE, strict=True)))
+
+
+def read_envelopes(
+    spark: SparkSession, path: str | list[str], *, on_bad: str = "fail", source: bool = False
+) -> DataFrame:
     """Read landed envelopes.
 
     A bad line (not JSON, or without ``trace_id`` / ``observations.features``):
@@ -35,7 +50,8 @@ def read_envelopes(spark: SparkSession, path: str | list[str], *, on_bad: str =
       :func:`quarantined_envelopes`;
     * ``"flag"``: all lines, with ``_envelope_error`` set on bad ones.
 
-    An empty ``features`` array is valid (it yields no rows).
+    An empty ``features`` array is valid (it yields no rows). ``source=True``
+    keeps where each line stands (``SOURCE``), from which a load takes its order.
     """
     raw = (
         spark.read.schema(ENVELOPE_DDL)
@@ -43,7 +59,7 @@ def read_envelopes(spark: SparkSession, path: str | list[str], *, on_bad: str =
         .option("columnNameOfCorruptRecord", "_corrupt_record")
         .json(path)
     )
-    return check_envelopes(raw, on_bad)
+    return check_envelopes(with_source(raw) if source else raw, on_bad)
 
 
 def check_envelopes(raw: DataFrame, on_bad: str = "fail") -> DataFrame:
@@ -79,34 +95,38 @@ def write_envelopes(
 ) -> str:
     """Wrap features into envelopes and write them as JSON lines under ``path/job_id``.
 
-    One envelope per trace holds at most ``max_features`` features: features
-    are chunked within each input partition (``monotonically_increasing_id``
-    is partition-local and stable for a deterministic input), so a trace holding
-    a third of all rows becomes many bounded envelopes spread over many tasks,
-    never one unbounded group. Features keep their input order inside an
-    envelope. A NULL trace id is an error (the loader would reject the envelope).
-    Returns the output folder.
+    One envelope holds at most ``max_features`` features of one trace. Each
+    task reads its part of the input in order, collects the features of the
+    traces it meets, and writes them out whenever it holds ``max_features``: no
+    shuffle, no sort, and a trace holding a third of all rows becomes many
+    bounded envelopes in many tasks. Tasks write one file each, in the order of
+    the input's partitions, so file name, line and list position together keep
+    the input order of every trace. A NULL trace id is an error (the loader
+    would reject the envelope). Returns the output folder.
     """
-    seq = F.monotonically_increasing_id()
-    chunk = F.floor(seq / F.lit(max_features))
     trace = F.when(
         F.col(trace_col).isNull(), F.raise_error(F.lit("write_envelopes: NULL trace_id"))
     ).otherwise(F.col(trace_col))
-    staged = features.select(
-        trace.alias("trace_id"),
-        chunk.alias("__chunk"),
-        F.struct(seq.alias("seq"), F.col(feature_col).alias("doc")).alias("__item"),
-    )
-    grouped = staged.groupBy("trace_id", "__chunk").agg(F.collect_list("__item").alias("__items"))
-    # Sort by input position with a comparator: documents stay VARIANT (not orderable).
-    by_seq = lambda x, y: (
-        F.when(x["seq"] < y["seq"], F.lit(-1)).when(x["seq"] > y["seq"], F.lit(1)).otherwise(F.lit(0))
-    )
-    ordered = F.transform(F.array_sort(F.col("__items"), by_seq), lambda x: x["doc"])
-    out = grouped.select(
-        "trace_id",
-        F.struct(ordered.alias("features")).alias("observations"),
-    )
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[str]] = {}
+        count = 0
+
+        def envelopes() -> pa.RecordBatch:
+            found = [f'{{"trace_id":{json.dumps(t)},"observations":{{"features":[{",".join(docs)}]}}}}' for t, docs in held.items()]
+            return pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["value"])
+
+        for batch in batches:
+            for t, doc in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                held.setdefault(t, []).append("null" if doc is None else doc)
+                count += 1
+                if count == max_features:
+                    yield envelopes()
+                    held, count = {}, 0
+        if held:
+            yield envelopes()
+
+    texts = features.select(trace.cast("string").alias("trace_id"), F.to_json(F.col(feature_col)).alias("doc"))
     target = f"{path.rstrip('/')}/{job_id}"
-    out.write.mode("errorifexists").json(target)
+    texts.mapInArrow(lines, "value string").write.mode("errorifexists").text(target)
     return target

@@ -11,6 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import types as T
 
 from pluvio import schemas as S
+from pluvio.session import delete_folder, drop_materialized, materialize
 
 # Load write dispositions (an unknown one appends).
 WRITE_APPEND = "WRITE_APPEND"
@@ -37,13 +38,17 @@ def _column_ddl(field: T.StructField) -> str:
     return ddl
 
 
-def table_ddl(name: str, schema: T.StructType, partition_col: str, *, location: str | None = None) -> str:
+def table_ddl(
+    name: str, schema: T.StructType, partition_cols: str | list[str], *, location: str | None = None, bucket: str = ""
+) -> str:
+    """DDL of a table with a UTC-day partition column, then any columns of the schema to partition by."""
+    by = [partition_cols] if isinstance(partition_cols, str) else partition_cols
     cols = [_column_ddl(f) for f in schema.fields]
-    cols.append(f"`{partition_col}` DATE COMMENT 'UTC day (partition)'")
+    cols.append(f"`{by[0]}` DATE COMMENT 'UTC day (partition)'")
     ddl = (
         f"CREATE TABLE IF NOT EXISTS {name} (\n  "
         + ",\n  ".join(cols)
-        + f"\n) USING parquet PARTITIONED BY (`{partition_col}`)"
+        + f"\n) USING parquet PARTITIONED BY ({', '.join(f'`{c}`' for c in by)}){bucket}"
     )
     if location:
         ddl += f" LOCATION '{location}'"
@@ -55,7 +60,7 @@ def create_tables(spark: SparkSession, schema: str = "pluvio", *, location: str
 
     Creation/update stamps default to ``current_timestamp()``; each table has a
     derived UTC-day partition column (bronze/dim by creation day, fact by
-    observation day). Returns the qualified names.
+    observation day), bronze also one partition per load. Returns the qualified names.
     """
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`" + (f" LOCATION '{location}'" if location else ""))
     names = {
@@ -63,7 +68,7 @@ def create_tables(spark: SparkSession, schema: str = "pluvio", *, location: str
         "fact": f"`{schema}`.`{FACT_TABLE}`",
         "dim": f"`{schema}`.`{DIM_TABLE}`",
     }
-    spark.sql(table_ddl(names["bronze"], S.BRONZE, S.BRONZE_PARTITION))
+    spark.sql(table_ddl(names["bronze"], S.BRONZE, S.BRONZE_PARTITIONS))
     spark.sql(table_ddl(names["fact"], S.FACT, S.FACT_PARTITION))
     spark.sql(table_ddl(names["dim"], S.DIM, S.DIM_PARTITION))
     return names
@@ -85,24 +90,47 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(name) if _is_path(name) else spark.table(name)
 
 
+def read_bronze(spark: SparkSession, name: str) -> DataFrame:
+    """The bronze table; of a folder the partition columns keep their types, whatever a job id looks like."""
+    if not _is_path(name):
+        return spark.table(name)
+    schema = T.StructType([*S.BRONZE.fields, T.StructField(S.BRONZE_PARTITION, T.DateType())])
+    return spark.read.schema(schema).parquet(name)
+
+
 @contextmanager
-def _static_overwrite(spark: SparkSession):
-    """Overwrites replace the whole table, whatever the session says (a writer option does not reach it)."""
+def _overwrite_mode(spark: SparkSession, mode: str):
+    """What an overwrite replaces, whatever the session says (a writer option does not reach ``insertInto``):
+    ``static`` the whole table, ``dynamic`` the partitions that are written."""
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)
-    spark.conf.set(key, "static")
+    spark.conf.set(key, mode)
     try:
         yield
     finally:
         spark.conf.set(key, before)
 
 
+def _write(df: DataFrame, table: str, partition_cols: list[str], overwrite: str | None) -> None:
+    """Append, or overwrite by the given mode; the table or folder is made where there is none."""
+    spark = df.sparkSession
+    if _is_path(table):
+        w = df.write.mode("overwrite" if overwrite else "append").option("partitionOverwriteMode", overwrite or "static")
+        (w.partitionBy(*partition_cols) if partition_cols else w).parquet(table)
+    elif table_exists(spark, table):
+        with _overwrite_mode(spark, overwrite or "static"):
+            df.select(*spark.table(table).columns).write.insertInto(table, overwrite=overwrite is not None)
+    else:
+        w = df.write.format("parquet").mode("append")
+        (w.partitionBy(*partition_cols) if partition_cols else w).saveAsTable(table)
+
+
 def load_table(
     df: DataFrame,
     table: str,
     *,
     disposition: str = WRITE_APPEND,
-    partition_col: str | None = None,
+    partition_col: str | list[str] | None = None,
 ) -> int:
     """Load rows into a table (catalog name) or Parquet folder (path); returns rows written.
 
@@ -111,32 +139,44 @@ def load_table(
     * ``WRITE_EMPTY``: write only if the target has no rows (an existing empty
       table is fine), else ``ValueError``.
 
-    Empty input is an error. The row count is observed on the write itself
-    (no second pass over the data).
+    Empty input is an error that leaves the target as it was. The rows are
+    evaluated once: their number is observed on the write, and where a write of
+    no rows would do harm (``WRITE_TRUNCATE``) they are staged first.
     """
-    if df.isEmpty():
-        raise ValueError(f"load into {table}: the rows cannot be empty")
     spark = df.sparkSession
     exists = table_exists(spark, table)
     if disposition == WRITE_EMPTY and exists and not read_table(spark, table).isEmpty():
         raise ValueError(f"{table} is not empty (WRITE_EMPTY)")
-    overwrite = disposition == WRITE_TRUNCATE
+    cols = [partition_col] if isinstance(partition_col, str) else list(partition_col or [])
     obs = Observation("load_rows")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if _is_path(table):
-        w = observed.write.mode("overwrite" if overwrite else "append").option("partitionOverwriteMode", "static")
-        if partition_col:
-            w = w.partitionBy(partition_col)
-        w.parquet(table)
-    elif exists:
-        cols = spark.table(table).columns
-        with _static_overwrite(spark):
-            observed.select(*cols).write.insertInto(table, overwrite=overwrite)
+    if disposition == WRITE_TRUNCATE and exists:
+        staged, scratch = materialize(observed, "load_rows")
+        try:
+            if obs.get["rows"]:
+                _write(staged, table, cols, "static")
+        finally:
+            drop_materialized(spark, scratch)
     else:
-        w = observed.write.format("parquet").mode("append")
-        if partition_col:
-            w = w.partitionBy(partition_col)
-        w.saveAsTable(table)
+        _write(observed, table, cols, None)
+        if not obs.get["rows"] and not exists:  # the write made an empty target
+            if _is_path(table):
+                delete_folder(spark, table)
+            else:
+                spark.sql(f"DROP TABLE IF EXISTS {table}")
+    if not obs.get["rows"]:
+        raise ValueError(f"load into {table}: the rows cannot be empty")
+    return int(obs.get["rows"])
+
+
+def replace_partitions(df: DataFrame, table: str, partition_cols: list[str]) -> int:
+    """Write rows in place of whatever their own partitions hold; returns rows written.
+
+    With a batch or job id among the partition columns an append becomes
+    repeatable: what a broken attempt left is overwritten by the next one.
+    """
+    obs = Observation("replace_rows")
+    _write(df.observe(obs, F.count(F.lit(1)).alias("rows")), table, partition_cols, "dynamic")
     return int(obs.get["rows"])
 
 

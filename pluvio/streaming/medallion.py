@@ -10,15 +10,16 @@ because of stamp order.
   and the bronze stamps use the micro-batch timestamp (``current_timestamp()``
   in a streaming plan is fixed per batch and recorded in the offset log, so a
   replay sees the same value);
-* on replay, the bronze append is skipped when all rows of the batch are in
-  bronze under that ``_job_id``, and repeated in full when only some are; the batch is always read back from bronze by ``_job_id`` and merged
-  (re-merging the same rows is idempotent for non-NULL keys).
+* bronze has a partition per load, and a batch overwrites its own: a replay puts
+  the same rows (ids and stamps follow from job, batch time and position) in
+  place of whatever a broken append left, so bronze holds the batch once; it
+  is then read back from that partition and merged (re-merging the same rows
+  is idempotent for non-NULL keys).
 """
 
 from __future__ import annotations
 
 import functools
-import itertools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,9 +27,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pluvio import schemas as S
-from pluvio.operators.bronze import to_bronze
 from pluvio.operators.dedupe import latest_per_key
 from pluvio.operators.parse import parse_fact, routine_reports
+from pluvio.plans.bronze_job import ordered_bronze, stage_features
 from pluvio.plans.silver_job import (
     BRONZE_READ,
     ROUTINE_MINUTE,
@@ -38,8 +39,9 @@ from pluvio.plans.silver_job import (
     fact_new_partitions,
     merge_fact,
 )
-from pluvio.sources.envelopes import check_envelopes
-from pluvio.sources.tables import WRITE_APPEND, load_table, read_table, table_ddl, table_exists
+from pluvio.session import drop_materialized
+from pluvio.sources.envelopes import check_envelopes, with_source
+from pluvio.sources.tables import read_bronze, replace_partitions, table_ddl
 
 _BATCH_TS = "__batch_ts"
 
@@ -54,22 +56,6 @@ def batch_job_id(checkpoint: str, batch_id: int) -> str:
     return str(uuid.uuid5(uuid.NAMESPACE_URL, f"{checkpoint.rstrip('/')}#{batch_id}"))
 
 
-def _append_attempt(session, batch: DataFrame, bronze: str, of_batch, checkpoint: str, batch_id: int) -> tuple[str, bool]:
-    """The job id under which bronze holds the whole batch, and whether it was already there.
-
-    File commits are not atomic when the driver dies in them: an append may have
-    left some of its rows. Such a rest is known by its count; the batch is then
-    written again in full under the next attempt's id, and the rest stays
-    behind unread (the merge reads one id only).
-    """
-    n = batch.agg(F.coalesce(F.sum(F.size("observations.features")), F.lit(0))).first()[0]
-    for attempt in itertools.count():
-        job_id = batch_job_id(checkpoint, batch_id) if not attempt else batch_job_id(f"{checkpoint}#retry{attempt}", batch_id)
-        there = read_table(session, bronze).filter(of_batch(job_id)).count() if table_exists(session, bronze) else 0
-        if there in (0, n):
-            return job_id, there == n
-
-
 def medallion_batch(
     batch: DataFrame,
     batch_id: int,
@@ -84,24 +70,16 @@ def medallion_batch(
 ) -> dict | None:
     """One micro-batch: envelopes (+ ``__batch_ts``) -> bronze -> fact. Idempotent on replay."""
     session = batch.sparkSession
-    first = batch.select(F.to_date(F.col(_BATCH_TS)).alias("d")).first()
-    if first is None:
-        return None
-    # Bronze rows of this batch are stamped from the batch timestamp (fixed
-    # across replays), so they sit in that day's partition or the next:
-    # the read-back prunes partitions and row groups instead of scanning bronze.
-    day = F.lit(first["d"]).cast("date")
-    def of_job(job):
-        return (F.col("_job_id") == job) & F.col(S.BRONZE_PARTITION).between(day, F.date_add(day, 1))
-
-    job_id, done = _append_attempt(session, batch, bronze, of_job, checkpoint, batch_id)
-    of_batch = of_job(job_id)
-    if not done:
-        rows = to_bronze(batch, job_id=job_id, run_ts=F.col(_BATCH_TS))
-        if rows.isEmpty():
+    staged, scratch, n = stage_features(batch, f"stream_batch_{batch_id}", keep=(_BATCH_TS,))
+    job_id = batch_job_id(checkpoint, batch_id)
+    try:
+        if not n:
             return None
-        load_table(rows, bronze, disposition=WRITE_APPEND, partition_col=S.BRONZE_PARTITION)
-    mine = read_table(session, bronze).filter(of_batch)
+        rows = ordered_bronze(staged, job_id=job_id, run_ts=F.col(_BATCH_TS))
+        replace_partitions(rows, bronze, S.BRONZE_PARTITIONS)
+    finally:
+        drop_materialized(session, scratch)
+    mine = read_bronze(session, bronze).filter(F.col("_job_id") == job_id)  # the batch's own partitions
     source = routine_reports(latest_per_key(parse_fact(mine.select(*BRONZE_READ)), S.FACT_KEY), minute)
     target = session.table(fact_table)
     run_ts = mine.agg(F.max("_record_created_at")).scalar()
@@ -121,7 +99,7 @@ def medallion_batch(
     if counts["source_rows"]:
         # keep the table's recorded high-water mark current for batch runs
         _record_mark(session, fact_table, mark_micros(session, fact_table), counts["written_mark"])
-    counts["bronze_appended"] = not done
+    counts["bronze_rows"] = n
     return counts
 
 
@@ -134,7 +112,7 @@ def envelope_stream(spark: SparkSession, landing: str, *, on_bad: str = "fail",
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return check_envelopes(reader.json(landing), on_bad).withColumn(_BATCH_TS, F.current_timestamp())
+    return check_envelopes(with_source(reader.json(landing)), on_bad).withColumn(_BATCH_TS, F.current_timestamp())
 
 
 def stream_medallion(

@@ -101,18 +101,28 @@ def test_every_page_and_capped_scans(spark, tmp):
     assert not table_exists(spark, tmp + "/missing") and table_exists(spark, tmp + "/p")
 
 
-def test_partial_append_is_repeated_in_full(spark, tmp):
-    from pluvio.streaming.medallion import _append_attempt, batch_job_id
-
-    batch = spark.sql("SELECT named_struct('features', array(1, 2, 3)) AS observations UNION ALL SELECT named_struct('features', array(4))")
-    of_job = lambda job: F.col("_job_id") == job
-    bronze, first = tmp + "/bronze", batch_job_id("c", 7)
-    assert _append_attempt(spark, batch, bronze, of_job, "c", 7) == (first, False)
-    spark.range(3).select(F.lit(first).alias("_job_id")).write.mode("append").parquet(bronze)  # a rest
-    job, done = _append_attempt(spark, batch, bronze, of_job, "c", 7)
-    assert job != first and not done
-    spark.range(4).select(F.lit(job).alias("_job_id")).write.mode("append").parquet(bronze)
-    assert _append_attempt(spark, batch, bronze, of_job, "c", 7) == (job, True)
+@pytest.mark.parametrize("catalog", [False, True])
+def test_broken_append_is_replaced_by_the_replay(spark, tmp, tables, catalog):  # noqa: F811
+    """A replayed micro-batch overwrites what a broken append left; other batches' rows stay."""
+    from pluvio.sources import read_bronze, read_envelopes, replace_partitions, write_envelopes
+    from pluvio.streaming.medallion import batch_job_id, ensure_fact_table, medallion_batch
+
+    ev = _events(spark)
+    folder = write_envelopes(fx.observation_features(ev), tmp + "/landing", "x1")
+    batch = read_envelopes(spark, folder, source=True).withColumn("__batch_ts", F.lit(R[0]).cast("timestamp"))
+    bronze = tables["bronze"] if catalog else tmp + "/bronze"
+    fact = "pluvio_broken_" + tmp.rsplit("/", 1)[-1].replace("-", "_")[-20:]
+    ensure_fact_table(spark, fact, tmp + "/snap/initial")
+    kw = dict(checkpoint=tmp + "/ckpt", bronze=bronze, fact_table=fact, snapshot_root=tmp + "/snap", trace_id="t")
+    medallion_batch(batch, 6, **kw)
+    medallion_batch(batch, 7, **kw)
+    whole = sorted(map(str, read_bronze(spark, bronze).drop("raw_response_json").collect()))
+    rest = read_bronze(spark, bronze).filter(F.col("_job_id") == batch_job_id(tmp + "/ckpt", 7)).limit(5)
+    replace_partitions(spark.createDataFrame(rest.collect(), rest.schema), bronze, ["created_date", "_job_id"])
+    assert read_bronze(spark, bronze).count() == ev.count() + 5
+    medallion_batch(batch, 7, **kw)
+    assert sorted(map(str, read_bronze(spark, bronze).drop("raw_response_json").collect())) == whole
+    assert _fact(spark, fact) == _expected_54(ev)
 
 
 def test_no_local_scratch_folder_on_a_cluster():
