@@ -4,7 +4,7 @@ reads, MERGE, lookups. No I/O; every operator is lazy."""
 from pluvio.operators.bronze import run_timestamp, to_bronze
 from pluvio.operators.dedupe import latest_per_key
 from pluvio.operators.incremental import high_water_mark, incremental_filter, mark_value
-from pluvio.operators.lookup import last_day, next_cursor, observations, station, stations_page
+from pluvio.operators.lookup import last_day, next_cursor, observations, station, stations_listing, stations_page
 from pluvio.operators.merge import assert_unique_keys, merge_counts, merge_into_table, merge_upsert
 from pluvio.operators.numbering import number_rows
 from pluvio.operators.parse import parse_dim, parse_fact, routine_reports
@@ -27,6 +27,7 @@ __all__ = [
     "routine_reports",
     "run_timestamp",
     "station",
+    "stations_listing",
     "stations_page",
     "to_bronze",
 ]

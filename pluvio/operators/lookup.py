@@ -8,6 +8,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pluvio.operators.numbering import number_rows
+
 
 def _given(v) -> bool:
     """A falsy parameter is omitted; a Column is always given."""
@@ -95,6 +97,27 @@ def stations_page(
     return out.orderBy(F.col(key).asc()).limit(int(limit))
 
 
+def stations_listing(
+    df: DataFrame,
+    state: str | None = None,
+    limit: int = 500,
+    *,
+    key: str = "noaa_station_id",
+    state_col: str = "state",
+    out: str = "page",
+) -> DataFrame:
+    """Every station with the number of its page (from 0): the whole listing as one job.
+
+    The same pages as following the cursor, for unique keys: rows are
+    range-partitioned by key and numbered by the counts of earlier ranges, so
+    the plan does not grow with the listing. A cursor never gets past a NULL
+    key; here such stations come first.
+    """
+    rows = df.filter(F.col(state_col) == F.lit(state)) if state else df
+    numbered = number_rows(rows, [key], out="__number")
+    return numbered.select(*df.columns, F.floor((F.col("__number") - 1) / F.lit(int(limit))).cast("long").alias(out))
+
+
 def next_cursor(page: DataFrame, *, key: str = "noaa_station_id", limit: int | None = None) -> str | None:
     """Cursor for the page after ``page``: its largest key; None when the page has no keys.
 

@@ -25,27 +25,30 @@ from pluvio.operators import (
     latest_per_key,
     mark_value,
     merge_counts,
-    next_cursor,
     observations,
     parse_dim,
     parse_fact,
     routine_reports,
     station,
+    stations_listing,
     stations_page,
     to_bronze,
 )
 from pluvio.operators.merge import assert_unique_keys
-from pluvio.plans import run_bronze, run_silver, run_silver_dim, run_silver_fact
+from pluvio.plans import run_bronze, run_bronze_load, run_silver, run_silver_dim, run_silver_fact
 from pluvio.plans.silver_job import merge_dim, merge_fact
-from pluvio.session import checkpoint_root, scratch_path, use_utc
+from pluvio.session import checkpoint_root, materialize, scratch_path, use_utc
 from pluvio.sources import (
     WRITE_APPEND,
     WRITE_EMPTY,
     WRITE_TRUNCATE,
     create_tables,
     load_table,
+    qualified,
+    read_bronze,
     read_envelopes,
     read_ndjson,
+    replace_partitions,
     run_sql,
     scan,
     write_envelopes,
@@ -68,8 +71,10 @@ STATION_ID = "ST42"
 PAGE_STATE = "7"
 PAGE_CURSOR = "ST1"
 PAGE_LIMIT = 500
+STATE_PAGE_LIMIT = 7
 SCAN_CAP = 5
 SQL_MIN_VALUE = 10.0
+LIST_CHUNK = 100  # features of one envelope where a list is to be cut into many
 
 FACT_OUT = [
     "_record_id",
@@ -322,6 +327,112 @@ def q_bad_envelopes(spark, sf_dir):
     return flagged.groupBy("reason").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
+ORDER_OUT = [
+    "noaa_record_id",
+    "noaa_station_id",
+    "hourly_precip_timestamp",
+    "hourly_precip_value",
+    "hourly_precip_unit",
+    "hourly_precip_qc",
+]
+
+
+def _ordered_features(spark, sf_dir):
+    """All events in the order of their ids, as one list that many envelopes hold."""
+    ev = _read(spark, sf_dir, "events").orderBy("event_id")
+    return fx.observation_features(ev, key="event", n_keys=N_KEYS, trace=F.lit("all"))
+
+
+def q_load_order(spark, sf_dir):
+    """Versions of a record in one list, cut into many envelopes: the later list entry wins, and
+    its stamp is the run time plus its place in the whole load."""
+    path = scratch_path(spark, "load-order")
+    run_bronze(spark, _ordered_features(spark, sf_dir), f"{path}/landing", f"{path}/bronze",
+               extract_job_id="x1", load_job_id="l1", run_ts=RUN1_TS, max_features=LIST_CHUNK)
+    latest = latest_per_key(parse_fact(read_bronze(spark, f"{path}/bronze")), "noaa_record_id")
+    place = F.unix_micros("_record_updated_at") - F.unix_micros(_ts(RUN1_TS))
+    return ntz(latest.select(*ORDER_OUT, place.alias("load_position")))
+
+
+def q_equal_stamps(spark, sf_dir):
+    """The list loaded by two jobs that ran at the same time: every stamp occurs twice, the winner is one."""
+    path = scratch_path(spark, "equal-stamps")
+    for job in ("l1", "l2"):
+        run_bronze(spark, _ordered_features(spark, sf_dir), f"{path}/landing", f"{path}/bronze",
+                   extract_job_id=f"x-{job}", load_job_id=job, run_ts=RUN1_TS, after_last=False)
+    rows = parse_fact(read_bronze(spark, f"{path}/bronze"), keep=("_job_id",))
+    return ntz(latest_per_key(rows, "noaa_record_id").select(*ORDER_OUT, "_job_id"))
+
+
+def q_load_again(spark, sf_dir):
+    """A load that broke off half-way and is run again beside another one: rows, ids and stamps per load."""
+    path = scratch_path(spark, "load-again")
+    bronze = f"{path}/bronze"
+    kw = dict(run_ts=RUN1_TS, after_last=False)
+    run_bronze(spark, _ordered_features(spark, sf_dir), f"{path}/landing", bronze, extract_job_id="x1", load_job_id="l1", **kw)
+    run_bronze_load(spark, f"{path}/landing/x1", bronze, job_id="l2", **kw)
+    half = read_bronze(spark, bronze).where("_job_id = 'l2' AND _record_id < '9' AND substr(_record_id, -1) < '8'")
+    broken, _ = materialize(half, "broken-load")
+    replace_partitions(broken, bronze, S.BRONZE_PARTITIONS)
+    run_bronze_load(spark, f"{path}/landing/x1", bronze, job_id="l2", **kw)
+    last = F.max(F.unix_micros("_record_created_at")) - F.unix_micros(_ts(RUN1_TS))
+    return read_bronze(spark, bronze).groupBy("_job_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("_record_id").alias("n_ids"), last.alias("last_position")
+    )
+
+
+def q_default_stamps(spark, sf_dir):
+    """Rows inserted without stamps, with live ids: all ids differ, stamps are the table's defaults within the run."""
+    _, names = _job_tables(spark, "default-stamps")
+    _parsed(spark, sf_dir).createOrReplaceTempView("pluvio_unstamped")
+    now = lambda: spark.sql("SELECT unix_micros(current_timestamp()) AS now").first()["now"]
+    cols = "noaa_station_id, noaa_record_id, hourly_precip_timestamp, hourly_precip_value, hourly_precip_unit, hourly_precip_qc"
+    began = now()
+    run_sql(spark, f"""
+        INSERT INTO {names['fact']} (_record_id, {cols}, observed_date)
+        SELECT uuid(), {cols}, to_date(hourly_precip_timestamp) FROM pluvio_unstamped""")
+    ended = now()
+    within = lambda c: F.bool_and(F.unix_micros(c).between(began, ended))
+    return spark.table(names["fact"]).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.countDistinct("_record_id").alias("n_ids"),
+        within("_record_created_at").alias("created_within_run"),
+        within("_record_updated_at").alias("updated_within_run"),
+    )
+
+
+def _untimed_bronze(spark, sf_dir):
+    """Reports by hour slot whose time is NULL for ``error`` and missing for ``view``."""
+    doc = fx.observation_feature(fx.record_key("hour_slot", slot_hours=SLOT_HOURS))
+    time = F.when(F.col("event_type") != "error", doc["properties"]["timestamp"])
+    with_null = F.to_json(doc.withField("properties", doc["properties"].withField("timestamp", time)), {"ignoreNullFields": "false"})
+    without = F.to_json(doc.withField("properties", doc["properties"].dropFields("timestamp")))
+    text = F.when(F.col("event_type") == "view", without).otherwise(with_null)
+    ts = fx.utc_ts()
+    return _read(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("_record_id"),
+        F.parse_json(text).alias("raw_response_json"),
+        ts.alias("_record_created_at"),
+        ts.alias("_record_updated_at"),
+    )
+
+
+def q_null_times_minute54(spark, sf_dir):
+    """A newest version without a time passes no minute filter, whatever older ones say."""
+    latest = latest_per_key(parse_fact(_untimed_bronze(spark, sf_dir)), "noaa_record_id")
+    return ntz(routine_reports(latest, 54).select(*FACT_OUT))
+
+
+def q_null_times_merge(spark, sf_dir):
+    """Two runs with reports that have no time: kept, updated to and from NULL, inserted."""
+    parsed = parse_fact(_untimed_bronze(spark, sf_dir))
+    u = F.col("_record_updated_at")
+    target = _stamped(latest_per_key(parsed.filter(u <= _ts(WINDOW_B)), "noaa_record_id"), S.FACT_COLUMNS)
+    source = latest_per_key(parsed.filter(u > _ts(WINDOW_A)), "noaa_record_id")
+    merged = merge_fact(target, source, job_id="run-2", trace_id="trace-2", run_ts=RUN2_TS)
+    return ntz(merged.select(*S.FACT_COLUMNS, S.FACT_PARTITION, "_action"))
+
+
 # --- document text ---------------------------------------------------------------
 
 
@@ -437,17 +548,16 @@ def q_stations_page(spark, sf_dir):
 
 
 def q_stations_all_pages(spark, sf_dir):
-    """Every station by keyset paging: pages follow the cursor until one has no keys."""
+    """Every station of the paged listing, in one job."""
+    return stations_listing(_registry(spark, sf_dir), limit=PAGE_LIMIT).select(*DIM_OUT, "state")
+
+
+def q_stations_listing(spark, sf_dir):
+    """The number of the page that each station is on, over all states and in one of them."""
     registry = _registry(spark, sf_dir)
-    page = stations_page(registry, limit=PAGE_LIMIT)
-    pages = [page]
-    while (cursor := next_cursor(page)) is not None:
-        page = stations_page(registry, limit=PAGE_LIMIT, cursor=cursor)
-        pages.append(page)
-    out = pages[0]
-    for page in pages[1:]:
-        out = out.unionByName(page)
-    return out.select(*DIM_OUT, "state")
+    whole = stations_listing(registry, limit=PAGE_LIMIT).select("noaa_station_id", "page", F.lit(None).cast("string").alias("of_state"))
+    one = stations_listing(registry, state=PAGE_STATE, limit=STATE_PAGE_LIMIT).select("noaa_station_id", "page", F.lit(PAGE_STATE).alias("of_state"))
+    return whole.unionByName(one)
 
 
 def q_last_day_window(spark, sf_dir):
@@ -460,9 +570,10 @@ def q_last_day_window(spark, sf_dir):
 
 def q_table_scan_cap(spark, sf_dir):
     _read(spark, sf_dir, "events")
-    return scan(spark, f"{sf_dir.rstrip('/')}/events.parquet", max_rows=SCAN_CAP).agg(
-        F.count(F.lit(1)).alias("n_rows")
-    )
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    capped, whole = scan(spark, path, max_rows=SCAN_CAP), scan(spark, path)
+    found = capped.join(whole.select("event_id", "user_id", "event_type", F.lit(1).alias("__there")), ["event_id", "user_id", "event_type"], "left")
+    return found.agg(F.count(F.lit(1)).alias("n_rows"), F.count("__there").alias("n_members"))
 
 
 def q_write_dispositions(spark, sf_dir):
@@ -502,8 +613,10 @@ GROUP BY noaa_station_id
 
 
 def q_sql_submission(spark, sf_dir):
-    _parsed(spark, sf_dir).createOrReplaceTempView("pluvio_parsed_observations")
-    return run_sql(spark, SQL_TEXT, tbl="pluvio_parsed_observations", min_value=SQL_MIN_VALUE)
+    """SQL with bound parameters over a stored table that is named by catalog, schema and table."""
+    _, table = materialize(_parsed(spark, sf_dir), "sql-submission")
+    schema, name = table.split(".")
+    return run_sql(spark, SQL_TEXT, tbl=qualified("spark_catalog", schema, name), min_value=SQL_MIN_VALUE)
 
 
 # --- streaming -------------------------------------------------------------------
@@ -541,6 +654,28 @@ def q_stream_available_now(spark, sf_dir):
     )
 
 
+def q_stream_replay(spark, sf_dir):
+    """A micro-batch whose bronze append broke off and which is replayed: bronze holds the batch once."""
+    from pluvio.streaming import envelope_batch, ensure_fact_table, medallion_batch
+
+    ev = _read(spark, sf_dir, "events")
+    root = scratch_path(spark, "replay")
+    folder = write_envelopes(fx.observation_features(ev, key="unique"), f"{root}/landing", "extract-1")
+    table = "pluvio_replay_fact_" + root.rsplit("-", 1)[-1][:12]
+    ensure_fact_table(spark, table, f"{root}/fact/initial")
+    kw = dict(checkpoint=f"{root}/checkpoint", bronze=f"{root}/bronze", fact_table=table,
+              snapshot_root=f"{root}/fact", trace_id="replay")
+    medallion_batch(envelope_batch(spark, folder, RUN1_TS), 0, **kw)
+    half = read_bronze(spark, f"{root}/bronze").where("substr(_record_id, -1) < '8'")
+    broken, _ = materialize(half, "broken-batch")
+    replace_partitions(broken, f"{root}/bronze", S.BRONZE_PARTITIONS)
+    medallion_batch(envelope_batch(spark, folder, RUN1_TS), 0, **kw)
+    in_fact = spark.table(table).select(F.col("noaa_record_id").alias("k"), F.lit(True).alias("in_fact"))
+    rows = parse_fact(read_bronze(spark, f"{root}/bronze"), keep=("_trace_id",))
+    rows = rows.join(in_fact, F.col("noaa_record_id") == F.col("k"), "left")
+    return ntz(rows.select(*ORDER_OUT, "_trace_id", F.coalesce("in_fact", F.lit(False)).alias("in_fact")))
+
+
 def _ndjson(spark, sf_dir) -> str:
     """Bronze records as newline-delimited JSON (the load format); their folder."""
     path = scratch_path(spark, "ndjson")
@@ -711,6 +846,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_fact_runs": q_silver_fact_runs,
     "silver_dim_runs": q_silver_dim_runs,
     "ndjson_load": q_ndjson_load,
+    "stations_listing": q_stations_listing,
+    "load_order": q_load_order,
+    "equal_stamps": q_equal_stamps,
+    "load_again": q_load_again,
+    "default_stamps": q_default_stamps,
+    "null_times_minute54": q_null_times_minute54,
+    "null_times_merge": q_null_times_merge,
+    "stream_replay": q_stream_replay,
 }
 
 
@@ -721,12 +864,12 @@ def _sqlts(v: dt.datetime) -> str:
     return f"TIMESTAMP '{v:%Y-%m-%d %H:%M:%S}'"
 
 
-def _parsed_sql(key_sql: str) -> str:
+def _parsed_sql(key_sql: str, time_sql: str = "ts") -> str:
     return f"""
     SELECT CAST(event_id AS VARCHAR) AS _record_id,
            'ST' || CAST(user_id AS VARCHAR) AS noaa_station_id,
            {key_sql} AS noaa_record_id,
-           ts AS hourly_precip_timestamp,
+           {time_sql} AS hourly_precip_timestamp,
            CASE WHEN event_type IN ('error', 'signup') THEN NULL ELSE value END AS hourly_precip_value,
            'mm' AS hourly_precip_unit,
            CASE WHEN event_type = 'view' THEN NULL ELSE upper(substr(event_type, 1, 1)) END AS hourly_precip_qc,
@@ -741,13 +884,16 @@ LATEST = "QUALIFY row_number() OVER (PARTITION BY {k} ORDER BY _record_updated_a
 FACT_COLS_SQL = ", ".join(FACT_OUT)
 
 
-def _merge_fact_sql(key_sql: str = SLOT_KEY) -> str:
-    p = _parsed_sql(key_sql)
+UNTIMED = "CASE WHEN event_type IN ('error', 'view') THEN NULL ELSE ts END"
+
+
+def _merge_fact_sql(key_sql: str = SLOT_KEY, time_sql: str = "ts") -> str:
+    p = _parsed_sql(key_sql, time_sql)
     latest = LATEST.format(k="noaa_record_id")
     return f"""
     WITH p AS ({p}),
-    t AS (SELECT *, true AS present FROM p WHERE hourly_precip_timestamp <= {_sqlts(WINDOW_B)} {latest}),
-    s AS (SELECT *, true AS present FROM p WHERE hourly_precip_timestamp > {_sqlts(WINDOW_A)} {latest}),
+    t AS (SELECT *, true AS present FROM p WHERE _record_updated_at <= {_sqlts(WINDOW_B)} {latest}),
+    s AS (SELECT *, true AS present FROM p WHERE _record_updated_at > {_sqlts(WINDOW_A)} {latest}),
     j AS (SELECT t.present AS tp, s.present AS sp,
                  t._record_id AS t_rid, s._record_id AS s_rid,
                  t.noaa_station_id AS t_st, s.noaa_station_id AS s_st,
@@ -977,7 +1123,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT {dim_cols}, state FROM ({_registry_sql()})
             WHERE state = '{PAGE_STATE}' AND noaa_station_id > '{PAGE_CURSOR}'
             ORDER BY noaa_station_id LIMIT {PAGE_LIMIT}""",
-        "table_scan_cap": f"SELECT count(*) AS n_rows FROM (SELECT * FROM events LIMIT {SCAN_CAP})",
+        "table_scan_cap": f"SELECT count(*) AS n_rows, count(*) AS n_members FROM (SELECT * FROM events LIMIT {SCAN_CAP})",
         "write_dispositions": _dispositions_sql(),
         "sql_submission": f"""
             SELECT 'ST' || CAST(user_id AS VARCHAR) AS noaa_station_id,
@@ -996,6 +1142,38 @@ def oracle_sql() -> dict[str, str]:
             FROM events
             WHERE minute(ts) = 54""",
         "silver_fact_runs": _silver_fact_runs_sql(),
+        "stations_listing": f"""
+            SELECT noaa_station_id, (row_number() OVER (ORDER BY noaa_station_id) - 1) // {PAGE_LIMIT} AS page,
+                   CAST(NULL AS VARCHAR) AS of_state
+            FROM ({_registry_sql()})
+            UNION ALL
+            SELECT noaa_station_id, (row_number() OVER (ORDER BY noaa_station_id) - 1) // {STATE_PAGE_LIMIT},
+                   '{PAGE_STATE}'
+            FROM ({_registry_sql()}) WHERE state = '{PAGE_STATE}'""",
+        "load_order": f"""
+            SELECT {', '.join(ORDER_OUT)}, row_number() OVER (ORDER BY CAST(_record_id AS BIGINT)) - 1 AS load_position
+            FROM ({parsed_event})
+            QUALIFY row_number() OVER (PARTITION BY noaa_record_id ORDER BY CAST(_record_id AS BIGINT) DESC) = 1""",
+        "equal_stamps": f"""
+            WITH p AS (SELECT *, CAST(_record_id AS BIGINT) AS id FROM ({parsed_event})),
+            n AS (SELECT *, CAST(row_number() OVER (ORDER BY id) - 1 AS VARCHAR) AS place FROM p)
+            SELECT {', '.join(ORDER_OUT)},
+                   CASE WHEN substr(md5('l1:' || place), 1, 8) > substr(md5('l2:' || place), 1, 8)
+                        THEN 'l1' ELSE 'l2' END AS _job_id
+            FROM n QUALIFY row_number() OVER (PARTITION BY noaa_record_id ORDER BY id DESC) = 1""",
+        "load_again": """
+            SELECT j AS _job_id, count(*) AS n_rows, count(*) AS n_ids, count(*) - 1 AS last_position
+            FROM events, (VALUES ('l1'), ('l2')) jobs(j) GROUP BY 1""",
+        "default_stamps": """
+            SELECT count(*) AS n_rows, count(*) AS n_ids, true AS created_within_run, true AS updated_within_run FROM events""",
+        "null_times_minute54": f"""
+            SELECT {FACT_COLS_SQL} FROM (SELECT * FROM ({_parsed_sql(SLOT_KEY, UNTIMED)}) {latest_event})
+            WHERE minute(hourly_precip_timestamp) = 54""",
+        "null_times_merge": f"""
+            SELECT *, CAST(hourly_precip_timestamp AS DATE) AS observed_date FROM ({_merge_fact_sql(SLOT_KEY, UNTIMED)})""",
+        "stream_replay": f"""
+            SELECT {', '.join(ORDER_OUT)}, {_trace_sql()} AS _trace_id, minute(hourly_precip_timestamp) = 54 AS in_fact
+            FROM ({_parsed_sql(UNIQUE_KEY)}) JOIN events ON _record_id = CAST(event_id AS VARCHAR)""",
         "silver_dim_runs": _silver_dim_runs_sql(),
         "ndjson_load": f"""
             SELECT CAST(event_id AS VARCHAR) AS _record_id,

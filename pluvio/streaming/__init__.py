@@ -3,9 +3,10 @@
 from pluvio.streaming.medallion import (
     batch_job_id,
     ensure_fact_table,
+    envelope_batch,
     envelope_stream,
     medallion_batch,
     stream_medallion,
 )
 
-__all__ = ["batch_job_id", "ensure_fact_table", "envelope_stream", "medallion_batch", "stream_medallion"]
+__all__ = ["batch_job_id", "ensure_fact_table", "envelope_batch", "envelope_stream", "medallion_batch", "stream_medallion"]

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pluvio import schemas as S
+from pluvio.operators.bronze import run_timestamp
 from pluvio.operators.dedupe import latest_per_key
 from pluvio.operators.parse import parse_fact, routine_reports
 from pluvio.plans.bronze_job import ordered_bronze, stage_features
@@ -40,7 +41,7 @@ from pluvio.plans.silver_job import (
     merge_fact,
 )
 from pluvio.session import drop_materialized
-from pluvio.sources.envelopes import check_envelopes, with_source
+from pluvio.sources.envelopes import check_envelopes, read_envelopes, with_source
 from pluvio.sources.tables import read_bronze, replace_partitions, table_ddl
 
 _BATCH_TS = "__batch_ts"
@@ -115,6 +116,11 @@ def envelope_stream(spark: SparkSession, landing: str, *, on_bad: str = "fail",
     return check_envelopes(with_source(reader.json(landing)), on_bad).withColumn(_BATCH_TS, F.current_timestamp())
 
 
+def envelope_batch(spark: SparkSession, landing: str, batch_ts, *, on_bad: str = "fail") -> DataFrame:
+    """A micro-batch's envelopes read again as the stream sees them: for a replay by hand of a batch at its own time."""
+    return read_envelopes(spark, landing, on_bad=on_bad, source=True).withColumn(_BATCH_TS, run_timestamp(batch_ts))
+
+
 def stream_medallion(
     spark: SparkSession,
     landing: str,
@@ -161,4 +167,4 @@ def stream_medallion(
     return writer.start()
 
 
-__all__ = ["batch_job_id", "ensure_fact_table", "envelope_stream", "medallion_batch", "stream_medallion"]
+__all__ = ["batch_job_id", "ensure_fact_table", "envelope_batch", "envelope_stream", "medallion_batch", "stream_medallion"]
