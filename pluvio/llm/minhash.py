@@ -271,7 +271,7 @@ def _proposals(rows: DataFrame, percent: int, most: int) -> DataFrame:
     return dealt.mapInArrow(compute, "a long, b long, later boolean")
 
 
-def near_classes(docs: DataFrame, shingle: int = 4, percent: int = 80, block: int = BLOCK, most: int = 4) -> DataFrame:
+def near_classes(docs: DataFrame, shingle: int = 4, percent: int = 80, block: int = BLOCK, most: int = 256) -> DataFrame:
     """Classes of documents linked by shared shingles (operator 12).
 
     A document's set holds its distinct runs of ``shingle`` words (A-Z folded;
@@ -295,22 +295,23 @@ def near_classes(docs: DataFrame, shingle: int = 4, percent: int = 80, block: in
     buckets = materialise(buckets.where("pivot < last").select("key", "pivot"), "buckets")
     members = materialise(spread.join(buckets, "key"), "members")
     new = members.where("sid != pivot").select(F.col("sid").alias("a"), F.col("pivot").alias("b")).distinct()
+    needed = sets.join(members.select("sid").distinct(), "sid").select("sid", "least.doc_id", "least._h")
+    grams = materialise(full_sets(docs, materialise(needed, "needed"), shingle), "grams")
     tested = links = None
+    more = True
     while True:
         new = materialise(likely_pairs(new, sets, percent), "candidates")
-        ends = new.select(F.col("a").alias("sid")).union(new.select("b")).distinct()
-        needed = sets.join(ends, "sid").select("sid", "least.doc_id", "least._h")
-        grams = materialise(full_sets(docs, materialise(needed, "needed"), shingle), "grams")
         found = materialise(confirm(new, grams, percent), "confirmed")
-        discard(grams)
         links = found if links is None else links.union(found)
-        tested = new if tested is None else tested.union(new)
         classes = components(links)
+        if not more:  # every candidate between two classes has been tested
+            break
+        tested = new if tested is None else tested.union(new)
         proposed = materialise(_proposals(_apart(members, classes, sets, block), percent, most), "proposed")
+        more = not proposed.where("later").isEmpty()
         new = proposed.where("NOT later").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
-        if proposed.where("later").isEmpty() and new.isEmpty():
-            break
         most *= 8
+    discard(grams)
     roots = sets.join(classes, sets["sid"] == classes["node"], "left").select(
         "digest", F.col("least.doc_id").alias("least_id"), F.coalesce("root", "sid").alias("root")
     )
