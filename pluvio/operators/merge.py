@@ -12,6 +12,10 @@ Join plan:
   rows; ``source LEFT ANTI broadcast(matched keys)`` gives inserts, where the
   matched keys come from a key-only scan of the target semi-joined to the
   broadcast source keys (bounded by the source).
+* ``co_located=True`` (the target is bucketed by the key): one ``FULL OUTER``
+  join on the key alone; the target is read bucket by bucket without an
+  exchange, only the source is shuffled to its buckets, and its NULL-key rows
+  are added beside the join.
 * otherwise: one ``FULL OUTER`` join, each side scanned and shuffled once.
 
 NULL keys never match (``=`` semantics): a NULL-key source row is always
@@ -91,6 +95,7 @@ def merge_upsert(
     defaults: Mapping[str, Column] | None = None,
     *,
     broadcast_source: bool | None = None,
+    co_located: bool = False,
     check_unique: bool = True,
 ) -> DataFrame:
     """Upsert ``source`` into ``target``; returns the new target + ``_action``.
@@ -165,6 +170,10 @@ def merge_upsert(
         )  # NULL-key source rows never match, so they pass the anti join
         return project(matched_rows).unionByName(project(source_only(inserts)))
 
+    if co_located:
+        joined = t.join(s.filter(~src_keys_null), [F.col(k) == F.col(_src(k)) for k in keys], "full_outer")
+        return project(joined).unionByName(project(source_only(s.filter(src_keys_null))))
+
     # Shuffled join. NULL keys never match (plain `=`), but would all hash to
     # one reducer: the join also requires equal salts, which are 0 for rows
     # with keys and a row hash for NULL-key rows, so the shuffle on

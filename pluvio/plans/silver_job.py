@@ -18,9 +18,11 @@ from pluvio.operators.incremental import high_water_mark, incremental_filter
 from pluvio.operators.merge import ACTION, merge_into_table, merge_upsert
 from pluvio.operators.parse import parse_dim, parse_fact, routine_reports
 from pluvio.session import default_snapshot_root, drop_materialized, materialize
+from pluvio.sources.key_summary import days_that_may_hold, write_summaries
 from pluvio.sources.tables import (
     BRONZE_TABLE,
     FACT_TABLE,
+    bucketing,
     publish_partitions,
     publish_snapshot,
     read_bronze,
@@ -98,6 +100,7 @@ def merge_fact(
     run_ts: dt.datetime | Column | None = None,
     hwm_policy: str = "insert_time",
     broadcast_source: bool | None = None,
+    co_located: bool = False,
 ) -> DataFrame:
     """New fact snapshot (+ ``_action``) from the deduplicated source.
 
@@ -124,6 +127,7 @@ def merge_fact(
         insert_cols,
         defaults,
         broadcast_source=broadcast_source,
+        co_located=co_located,
         check_unique=False,
     )
     return merged.withColumn(S.FACT_PARTITION, F.to_date(F.col("hourly_precip_timestamp")))
@@ -195,6 +199,7 @@ def merge_and_publish(
     rewrite: str = "auto",
     native=None,
     max_partition_switches: int | None = None,
+    key_summaries: bool = True,
 ) -> dict:
     """Merge a source into a table and publish the result; returns action counts.
 
@@ -206,7 +211,10 @@ def merge_and_publish(
       partitions): only partitions that hold a matched key or receive a changed
       row are read, merged and rewritten; the rest of the table is untouched.
       The affected partition values (a short list, at most one per day) come
-      from a key-only semi join of the target with the source keys. A caller
+      from a key-only semi join of the source keys with those days of the target
+      that may hold one by the key summaries beside the published files
+      (:mod:`pluvio.sources.key_summary`). Rows without a day are a partition of
+      their own. A caller
       may ask for the snapshot rewrite beyond ``max_partition_switches`` under
       ``"auto"``; an explicit mode is never overridden.
     * ``rewrite="snapshot"``: the whole table is rewritten to a new folder.
@@ -220,7 +228,7 @@ def merge_and_publish(
         return _merge_and_publish(
             spark, source, target, merge, new_partitions, key=key, table=table, snapshot_root=snapshot_root,
             partition_col=partition_col, max_broadcast_rows=max_broadcast_rows, name=name, rewrite=rewrite,
-            native=native, max_partition_switches=max_partition_switches,
+            native=native, max_partition_switches=max_partition_switches, key_summaries=key_summaries,
         )
     finally:
         drop_materialized(spark, scratch)
@@ -242,6 +250,7 @@ def _merge_and_publish(
     rewrite: str,
     native,
     max_partition_switches: int | None,
+    key_summaries: bool,
 ) -> dict:
     n = source.count()
     if n == 0:
@@ -261,21 +270,24 @@ def _merge_and_publish(
             "snapshot": None,
             "rewrite": "native",
         }
+    days: dict = {}
     by_partition = rewrite == "partitions" or (rewrite == "auto" and tracks_partitions(spark, table))
     obs = Observation(name)
     layout_cols = [partition_col, key]
     if by_partition:
         keys = source.select(key).filter(F.col(key).isNotNull())
         keys = F.broadcast(keys) if broadcast else keys
-        matched = target.select(key, partition_col).join(keys, key, "left_semi").select(partition_col)
+        may = days_that_may_hold(spark, target, source, key=key, partition_col=partition_col) if key_summaries else None
+        scope = target if may is None else target.filter(_in_days(partition_col, may[0]))
+        if may is not None:
+            days = {"days": may[1], "days_read": len(may[0])}
+        matched = scope.select(key, partition_col).join(keys, key, "left_semi").select(partition_col)
         parts = matched.union(new_partitions(source)).distinct()
         affected = [r[0] for r in parts.collect()]  # one value per calendar day
         if rewrite == "auto" and max_partition_switches is not None:
             by_partition = len(affected) <= max_partition_switches
-        if any(v is None for v in affected):  # a day that is not known has no partition of its own
-            by_partition = False
     if by_partition:
-        scoped = target.filter(F.col(partition_col).isin(affected))
+        scoped = target.filter(_in_days(partition_col, affected))
         merged = merge(scoped, source, broadcast)
         folder = publish_partitions(
             merged,
@@ -300,6 +312,8 @@ def _merge_and_publish(
             metrics=_action_metrics(),
             drop_cols=[ACTION],
         )
+    if key_summaries:
+        write_summaries(spark, folder, key)
     metrics = obs.get
     counts = {k: int(metrics[k]) for k in ("updated", "inserted", "kept")}
     counts.update(
@@ -308,10 +322,18 @@ def _merge_and_publish(
         snapshot=folder,
         rewrite="partitions" if by_partition else "snapshot",
         written_mark=metrics["written_mark"],
+        **days,
     )
     return counts
 
 
+def _in_days(partition_col: str, days: list) -> Column:
+    """Rows of the given days (None: of no day); a partition filter."""
+    known = [d for d in days if d is not None]
+    inside = F.col(partition_col).isin(known) if known else F.lit(False)
+    return inside | F.col(partition_col).isNull() if len(known) < len(days) else inside
+
+
 def run_silver_fact(
     spark: SparkSession,
     bronze_table: str,
@@ -339,12 +361,15 @@ def run_silver_fact(
     source = fact_source(bronze, target, partition_col=S.BRONZE_PARTITION, mark=F.timestamp_micros(F.lit(mark)))
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc)
     root = snapshot_root or default_snapshot_root(spark, "fact")
+    buckets = bucketing(spark, fact_table)
+    co_located = buckets is not None and buckets[1] == [S.FACT_KEY]
     counts = merge_and_publish(
         spark,
         source,
         target,
         lambda t, s, b: merge_fact(
-            t, s, job_id=job_id, trace_id=trace_id, run_ts=run_ts, hwm_policy=hwm_policy, broadcast_source=b
+            t, s, job_id=job_id, trace_id=trace_id, run_ts=run_ts, hwm_policy=hwm_policy,
+            broadcast_source=b, co_located=co_located,
         ),
         fact_new_partitions,
         key=S.FACT_KEY,

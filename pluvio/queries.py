@@ -74,6 +74,7 @@ PAGE_LIMIT = 500
 STATE_PAGE_LIMIT = 7
 SCAN_CAP = 5
 SQL_MIN_VALUE = 10.0
+BACKFILL_BUCKETS = 16
 LIST_CHUNK = 100  # features of one envelope where a list is to be cut into many
 
 FACT_OUT = [
@@ -236,6 +237,17 @@ def q_merge_upsert_fact_broadcast(spark, sf_dir):
     return ntz(_merged_fact(spark, sf_dir, broadcast_source=True).select(*S.FACT_COLUMNS, "_action"))
 
 
+def q_merge_backfill(spark, sf_dir):
+    """The merge into a fact table that is bucketed by record id: joined bucket by bucket, the target stays in place."""
+    target, source = _fact_runs(spark, sf_dir)
+    _, names = _job_tables(spark, "backfill", fact_buckets=BACKFILL_BUCKETS)
+    load_table(target.withColumn(S.FACT_PARTITION, F.to_date("hourly_precip_timestamp")), names["fact"])
+    merged = merge_fact(
+        spark.table(names["fact"]), source, job_id="run-2", trace_id="trace-2", run_ts=RUN2_TS, co_located=True
+    )
+    return ntz(merged.select(*S.FACT_COLUMNS, "_action"))
+
+
 def _without_key(df: DataFrame) -> DataFrame:
     return df.withColumn("noaa_record_id", F.when(~F.col("hourly_precip_qc").eqNullSafe("E"), F.col("noaa_record_id")))
 
@@ -734,11 +746,11 @@ def q_silver_default_clock(spark, sf_dir):
     return ntz(spark.table(names["fact"]).select(*CLOCK_OUT))
 
 
-def _job_tables(spark, label):
+def _job_tables(spark, label, **kw):
     root = scratch_path(spark, label)
     schema = "pluvio_" + label.replace("-", "_") + "_" + root.rsplit("-", 1)[-1][:12]
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{root}/db'")
-    return root, create_tables(spark, schema)
+    return root, create_tables(spark, schema, **kw)
 
 
 def q_silver_fact_runs(spark, sf_dir):
@@ -847,6 +859,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_dim_runs": q_silver_dim_runs,
     "ndjson_load": q_ndjson_load,
     "stations_listing": q_stations_listing,
+    "merge_backfill": q_merge_backfill,
     "load_order": q_load_order,
     "equal_stamps": q_equal_stamps,
     "load_again": q_load_again,
@@ -1052,6 +1065,7 @@ def oracle_sql() -> dict[str, str]:
                    TIMESTAMP '1970-01-01 00:00:00' AS first_run_mark""",
         "merge_upsert_fact": _merge_fact_sql(),
         "merge_upsert_fact_broadcast": _merge_fact_sql(),
+        "merge_backfill": _merge_fact_sql(),
         "merge_null_keys": _merge_fact_sql(f"CASE WHEN event_type <> 'error' THEN {SLOT_KEY} END"),
         "rejected_inputs": f"""
             SELECT 'merge source, all versions' AS input,

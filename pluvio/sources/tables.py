@@ -55,12 +55,16 @@ def table_ddl(
     return ddl
 
 
-def create_tables(spark: SparkSession, schema: str = "pluvio", *, location: str | None = None) -> dict[str, str]:
+def create_tables(
+    spark: SparkSession, schema: str = "pluvio", *, location: str | None = None, fact_buckets: int | None = None
+) -> dict[str, str]:
     """Create the schema and the bronze, fact and dimension tables (idempotent).
 
     Creation/update stamps default to ``current_timestamp()``; each table has a
     derived UTC-day partition column (bronze/dim by creation day, fact by
-    observation day), bronze also one partition per load. Returns the qualified names.
+    observation day), bronze also one partition per load. With
+    ``fact_buckets`` the fact table is bucketed by record id within each day, so
+    that a merge joins it bucket by bucket. Returns the qualified names.
     """
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`" + (f" LOCATION '{location}'" if location else ""))
     names = {
@@ -69,7 +73,8 @@ def create_tables(spark: SparkSession, schema: str = "pluvio", *, location: str
         "dim": f"`{schema}`.`{DIM_TABLE}`",
     }
     spark.sql(table_ddl(names["bronze"], S.BRONZE, S.BRONZE_PARTITIONS))
-    spark.sql(table_ddl(names["fact"], S.FACT, S.FACT_PARTITION))
+    bucket = f" CLUSTERED BY (`{S.FACT_KEY}`) INTO {int(fact_buckets)} BUCKETS" if fact_buckets else ""
+    spark.sql(table_ddl(names["fact"], S.FACT, S.FACT_PARTITION, bucket=bucket))
     spark.sql(table_ddl(names["dim"], S.DIM, S.DIM_PARTITION))
     return names
 
@@ -210,7 +215,37 @@ def _layout(df: DataFrame, cols: list[str]) -> DataFrame:
         n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
         bucket = F.pmod(F.xxhash64(*[F.col(c) for c in cols[1:]] or [F.lit(0)]), F.lit(n))
         out = df.repartition(n, F.col(cols[0]), bucket)
-    return out.sortWithinPartitions(*[F.col(c) for c in cols])
+    return _sorted(out, cols)
+
+
+def _sorted(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Rows stay in their tasks (the buckets of a co-located merge), sorted for the partitioned write."""
+    return df.sortWithinPartitions(*[F.col(c) for c in cols])
+
+
+def bucketing(spark: SparkSession, table: str) -> tuple[int, list[str]] | None:
+    """Number of buckets and bucket columns of a catalog table, if it has any."""
+    if _is_path(table) or not table_exists(spark, table):
+        return None
+    info = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    if "Num Buckets" not in info:
+        return None
+    return int(info["Num Buckets"]), [c.strip(" `") for c in info["Bucket Columns"].strip("[]").split(",")]
+
+
+def _write_folder(df: DataFrame, folder: str, partition_col: str | None, buckets: tuple[int, list[str]] | None) -> None:
+    """Write a published folder; of a bucketed table as its bucket files (through a passing table that is dropped again)."""
+    w = df.write.mode("errorifexists").format("parquet")
+    if partition_col:
+        w = w.partitionBy(partition_col)
+    if not buckets:
+        w.save(folder)
+        return
+    passing = f"pluvio_publish_{uuid.uuid4().hex}"
+    try:
+        w.bucketBy(buckets[0], *buckets[1]).option("path", folder).saveAsTable(passing)
+    finally:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {passing}")  # an external table: its files stay
 
 
 def publish_snapshot(
@@ -237,18 +272,16 @@ def publish_snapshot(
     """
     spark = df.sparkSession
     folder = f"{root.rstrip('/')}/snapshot-{uuid.uuid4().hex}"
+    buckets = bucketing(spark, table)
     if layout_cols:
-        df = _layout(df, layout_cols)
+        df = _sorted(df, layout_cols) if buckets else _layout(df, layout_cols)
     obs = observation or Observation("publish_snapshot")
     seen = [F.collect_set(F.col(partition_col)).alias("__partitions")] if partition_col else []
     unknown = [F.count_if(F.col(partition_col).isNull()).alias("__unknown")] if partition_col else []
     df = df.observe(obs, *(metrics or []), *seen, *unknown, F.count(F.lit(1)).alias("__rows"))
     if drop_cols:
         df = df.drop(*drop_cols)
-    w = df.write.mode("errorifexists")
-    if partition_col:
-        w = w.partitionBy(partition_col)
-    w.parquet(folder)
+    _write_folder(df, folder, partition_col, buckets)
     if table_exists(spark, table):
         tracked = tracks_partitions(spark, table)
         if tracked:
@@ -322,18 +355,21 @@ def publish_partitions(
     """
     spark = df.sparkSession
     folder = f"{root.rstrip('/')}/rewrite-{uuid.uuid4().hex}"
+    buckets = bucketing(spark, table)
     if layout_cols:
-        df = _layout(df, layout_cols)
+        df = _sorted(df, layout_cols) if buckets else _layout(df, layout_cols)
     obs = observation or Observation("publish_partitions")
-    df = df.observe(obs, *(metrics or []), F.collect_set(F.col(partition_col)).alias("__partitions"))
+    unknown = F.count_if(F.col(partition_col).isNull()).alias("__unknown")
+    df = df.observe(obs, *(metrics or []), unknown, F.collect_set(F.col(partition_col)).alias("__partitions"))
     if drop_cols:
         df = df.drop(*drop_cols)
-    df.write.mode("errorifexists").partitionBy(partition_col).parquet(folder)
-    written = {str(v) for v in obs.get["__partitions"]}
-    unexpected = written - {str(v) for v in affected}
+    _write_folder(df, folder, partition_col, buckets)
+    name = lambda v: _NULL_PARTITION if v is None else str(v)
+    written = {str(v) for v in obs.get["__partitions"]} | ({_NULL_PARTITION} if obs.get["__unknown"] else set())
+    unexpected = written - {name(v) for v in affected}
     if unexpected:
         raise RuntimeError(f"rows written outside the affected partitions: {sorted(unexpected)[:5]}")
-    touched = {str(v): v for v in affected}
+    touched = {name(v): v for v in affected}
     _switch_partitions(
         spark, table, partition_col, folder, {v: touched[v] for v in written}, _partitions(spark, table) & touched.keys()
     )
