@@ -7,8 +7,9 @@ form a segment; segments with one anchor meet in one task, where a suffix array
 of them is built by two-stage sorting: suffixes smaller than their successor
 are sorted directly, all others are induced by bucket scans. Strings whose
 common prefix with a neighbour reaches ``length`` are repeats. Anchors with
-more than ``GROUP_BYTES`` of segments are not sorted: 128-bit digests of their
-strings are counted, so no task holds all segments of an anchor.
+more than ``GROUP_BYTES`` of segments are not sorted: their strings are dealt
+out by 128-bit digests of ever finer groups of starts, so no task holds all
+segments of an anchor.
 """
 
 from __future__ import annotations
@@ -23,15 +24,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pluvio.llm import text as tx
-from pluvio.llm.scratch import keyed, materialise
+from pluvio.llm.scratch import discard, keyed, materialise
 
 GRAM = 32
 #: Bytes of segments whose suffixes are sorted together (whole anchor groups).
 SORT_BYTES = 1 << 19
 #: Bytes of the distinct segments of one anchor from which its string starts are dealt out by digest.
 GROUP_BYTES = 1 << 20
-#: String starts whose common core is counted before the starts themselves.
-CORE = 48
+#: String starts of one group, level by level (each divides the one before).
+STEPS = (49, 7, 1)
 
 
 def _anchor_runs(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -84,19 +85,19 @@ def _digests(docs: DataFrame, length: int) -> DataFrame:
 
 
 def _segments(rows: DataFrame, length: int) -> DataFrame:
-    """``anchor, sid, seg, doc_id, _h, start``: the bytes under each run of a shared anchor.
+    """``anchor, sid, seg, nr, start``: the bytes under each run of a shared anchor.
 
     ``sid`` is a digest of the bytes; equal segments of a batch carry them once.
     """
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, bounds in tx.slices(batch.column(2)):
+            for lo, hi, data, bounds in tx.slices(batch.column(1)):
                 row, first, last, anchor = _anchor_runs(data, bounds, length)
                 at = tx.row_bounds(row, hi - lo)
                 keep = np.zeros(len(row), bool)
                 for k in range(hi - lo):
-                    known = batch.column(3)[lo + k].values.to_numpy().view(np.uint64)
+                    known = batch.column(2)[lo + k].values.to_numpy().view(np.uint64)
                     keep[at[k] : at[k + 1]] = np.isin(anchor[at[k] : at[k + 1]], known)
                 pick = np.flatnonzero(keep)
                 if not len(pick):
@@ -113,14 +114,13 @@ def _segments(rows: DataFrame, length: int) -> DataFrame:
                         pa.array(sid, pa.binary()),
                         pa.array(seg, pa.binary()),
                         batch.column(0).take(owner),
-                        batch.column(1).take(owner),
                         pa.array((first[pick] - bounds[row[pick]]).astype(np.int64)),
                     ],
-                    ["anchor", "sid", "seg", "doc_id", "_h", "start"],
+                    ["anchor", "sid", "seg", "nr", "start"],
                 )
 
-    return rows.select("doc_id", "_h", "text", "shared").mapInArrow(
-        compute, "anchor long, sid binary, seg binary, doc_id long, _h binary, start long"
+    return rows.select("nr", "text", "shared").mapInArrow(
+        compute, "anchor long, sid binary, seg binary, nr long, start long"
     )
 
 
@@ -240,56 +240,87 @@ def _sorted_groups(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[p
         yield flush()
 
 
-def _shared_starts(pieces: DataFrame, length: int, step: int) -> DataFrame:
-    """``sid, spans``: the starts in ``spans`` of ``anchor, sid, seg, spans`` whose string may occur in another segment.
+_GROUPS = "array<struct<lo:int,hi:int,w:int>>"
+
+
+def _stretches(pieces: DataFrame, length: int, step: int) -> DataFrame:
+    """``sid, lo, hi, w, core, full``: the starts of ``anchor, sid, seg, groups`` in groups of ``step`` places before the anchor.
 
-    Equal strings have their anchor at the same place, so starts are grouped by
-    ``step`` places before it; the bytes that all strings of a group hold (its
-    core) are counted by digest over all segments. With ``step`` 1 the core is
-    the string itself and the starts are exact.
+    Equal strings have their anchor at the same place, so they fall into equal
+    groups. ``core`` digests the bytes that all strings of a group hold,
+    ``full`` those that any of its strings in this segment holds.
     """
 
+    def batch_of(out: list) -> pa.RecordBatch:
+        cols = list(zip(*out, strict=True))
+        kinds = (pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["sid", "lo", "hi", "w", "core", "full"]
+        )
+
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple[bytes, int, int, bytes]] = []
-            for anchor, sid, seg, spans in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+            out: list[tuple] = []
+            for anchor, sid, seg, groups in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
                 gram = tx.gram_hashes(tx._BYTE[np.frombuffer(seg, np.uint8)], GRAM, tx.BYTE_BASE)
                 place = int(np.argmax(gram.view(np.int64) == anchor))
-                for lo, hi in zip(spans[::2], spans[1::2], strict=True):
-                    at = lo
+                for g in groups:
+                    at, hi = g["lo"], g["hi"]
                     while at < hi:
                         group = (place - at) // step
                         a, b = place - step * (group + 1) + 1, place - step * group
+                        end = min(b + 1, hi)
                         key = struct.pack("<qi", anchor, group)
                         core = hashlib.blake2b(seg[b : a + length], digest_size=16, salt=key).digest()
-                        out.append((sid, at, min(b + 1, hi), core))
-                        at = b + 1
+                        full = core
+                        if step > 1:
+                            key = struct.pack("<ii", place - at, place - end)
+                            full = hashlib.blake2b(seg[at : end - 1 + length], digest_size=16, salt=key).digest()
+                        out.append((sid, at, end, g["w"], core, full))
+                        at = end
                 if len(out) >= 20_000:
                     yield batch_of(out)
                     out = []
             if out:
                 yield batch_of(out)
 
-    def batch_of(out: list) -> pa.RecordBatch:
-        sid, lo, hi, core = zip(*out, strict=True)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(sid, pa.binary()), pa.array(lo, pa.int32()), pa.array(hi, pa.int32()), pa.array(core, pa.binary())],
-            ["sid", "lo", "hi", "core"],
-        )
+    return pieces.select("anchor", "sid", "seg", "groups").mapInArrow(
+        compute, "sid binary, lo int, hi int, w int, core binary, full binary"
+    )
 
-    cores = pieces.select("anchor", "sid", "seg", "spans").mapInArrow(compute, "sid binary, lo int, hi int, core binary")
-    twice = cores.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
-    twice = materialise(twice, "shared-cores")  # a plain join, which the planner may split at hot cores
-    found = cores.join(twice, "core").groupBy("sid")
-    return found.agg(F.flatten(F.collect_list(F.array("lo", "hi"))).alias("spans"))
 
+def _dealt_groups(hot: DataFrame, length: int) -> DataFrame:
+    """``sid, spans``: repeated starts of the distinct segments of large anchor groups.
 
-def _counted_groups(hot: DataFrame, length: int) -> DataFrame:
-    """``sid, spans``: repeated starts of the distinct segments of large anchor groups."""
-    starts = (F.octet_length("seg") - length + 1).cast("int")
-    pieces = hot.select("anchor", "sid", "seg", F.array(F.lit(0), starts).alias("spans"))
-    near = materialise(_shared_starts(pieces, length, CORE), "shared-starts")
-    return _shared_starts(hot.join(near, "sid"), length, 1)
+    Starts are dealt out by digests of the bytes that groups of them share,
+    the groups finer from level to level. A group whose full stretch occurs
+    twice is settled; one whose core does not is done with; only the others
+    (the edges of a shared passage) go on, beside one witness for each
+    stretch that is settled. So equal strings always meet, by their digest, and
+    no task holds the segments of an anchor.
+    """
+    hits = None
+    first = F.struct(F.lit(0).alias("lo"), (F.octet_length("seg") - length + 1).cast("int").alias("hi"), F.lit(1).alias("w"))
+    pieces = hot.select("anchor", "sid", "seg", F.array(first).cast(_GROUPS).alias("groups"))
+    for step in STEPS:
+        rows = materialise(_stretches(pieces, length, step), "stretches")
+        # rows, places of one of them, and whether anything in the core occurs once: all pre-aggregated
+        full = rows.groupBy("core", "full").agg(F.sum("w").alias("n"), F.min(F.struct("sid", "lo", "hi")).alias("one"))
+        full = materialise(full, "full-stretches")
+        twice = materialise(full.where("n > 1").select("core", "full"), "repeated-stretches")
+        found = rows.join(twice, ["core", "full"]).select("sid", F.array("lo", "hi").alias("spans"))
+        found = materialise(found, "settled")
+        hits = found if hits is None else hits.union(found)
+        discard(rows)
+        if step == 1:
+            return hits
+        cores = full.groupBy("core").agg(F.sum("n").alias("n"), F.min("n").alias("least")).where("n > 1 AND least = 1")
+        open_ = full.join(materialise(cores.select("core"), "open-cores"), "core")
+        group = F.struct(F.col("one.lo").alias("lo"), F.col("one.hi").alias("hi"), F.least("n", F.lit(2)).cast("int").alias("w"))
+        open_ = open_.select(F.col("one.sid").alias("sid"), group.alias("g")).groupBy("sid").agg(F.collect_list("g").alias("groups"))
+        open_ = materialise(open_, "open-groups")
+        discard(full)
+        pieces = hot.join(open_.select("sid", F.col("groups").cast(_GROUPS).alias("groups")), "sid")
 
 
 def _by_size(distinct: DataFrame, group_bytes: int) -> tuple[DataFrame, DataFrame]:
@@ -337,39 +368,44 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 400, group_bytes: int =
     never meet in the sort; distinct segments of an anchor with more than
     ``group_bytes`` of them are settled by digests of their strings.
     """
-    meta = materialise(_digests(docs, length), "digests")
-    seeds = meta.where(F.size("anchors") > 0).select("doc_id", "_h", F.explode("anchors").alias("anchor"))
+    seeded = materialise(_digests(docs, length), "digests")
+    meta = materialise(seeded.drop("anchors"), "byte-digests")
+    seeds = seeded.where(F.size("anchors") > 0).select("doc_id", "_h", F.explode("anchors").alias("anchor"))
     shared = seeds.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
     shared = materialise(shared, "shared-anchors")  # a plain join, which the planner may split at hot anchors
     per_doc = seeds.join(shared, "anchor").groupBy("doc_id", "_h").agg(F.collect_set("anchor").alias("shared"))
     per_doc = per_doc.select(F.col("doc_id").alias("_d"), F.col("_h").alias("_k"), "shared")
     per_doc = materialise(per_doc, "shared")
+    discard(seeded)
     rows = keyed(docs)
     candidates = rows.join(per_doc, rows["doc_id"].eqNullSafe(per_doc["_d"]) & (rows["_h"] == per_doc["_k"]))
-    candidates = materialise(candidates.select("doc_id", "_h", "text", "shared"), "candidates")
+    candidates = candidates.select("doc_id", "_h", "text", "shared").withColumn("nr", F.monotonically_increasing_id())
+    candidates = materialise(candidates, "candidates")
+    discard(per_doc)
     segments = materialise(_segments(candidates, length), "segments")
     # one row per distinct segment; those that occur twice are repeats throughout
     distinct = segments.groupBy("anchor", "sid").agg(F.first("seg", ignorenulls=True).alias("seg"), F.count("*").alias("n"))
     distinct = materialise(distinct, "distinct")
+    spots = materialise(segments.select("sid", "nr", "start"), "places")
+    discard(segments)
     to_sort, hot = _by_size(distinct, group_bytes)
     to_sort = to_sort.repartition("anchor").sortWithinPartitions("anchor")
     sorted_hits = to_sort.mapInArrow(lambda it: _sorted_groups(it, length), "sid binary, spans array<int>")
     whole = distinct.where("n > 1").select(
         "sid", F.array(F.lit(0), (F.octet_length("seg") - length + 1).cast("int")).alias("spans")
     )
-    hits = whole.union(sorted_hits)
+    hits = materialise(whole.union(sorted_hits), "sorted")
+    hot = materialise(hot, "large-groups")
+    discard(distinct)
     if not hot.isEmpty():
-        hits = hits.union(_counted_groups(hot, length))
-    hits = materialise(hits, "hits")
+        hits = hits.union(_dealt_groups(hot, length))
     hits = hits.groupBy("sid").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-    places = segments.select("sid", "doc_id", "_h", "start").join(hits, "sid")
+    hits = materialise(hits, "hits")  # a plain join, which the planner may split at a segment with many copies
+    places = spots.join(hits, "sid")
     shifted = F.transform("spans", lambda x: x.cast("long") + F.col("start"))
-    places = places.select("doc_id", "_h", shifted.alias("starts"))
-    places = places.groupBy("doc_id", "_h").agg(F.flatten(F.collect_list("starts")).alias("starts"))
-    places = places.select(F.col("doc_id").alias("_d"), F.col("_h").alias("_k"), "starts")
-    cut = candidates.select("doc_id", "_h", "text").dropDuplicates(["doc_id", "_h"])
-    cut = cut.join(places, cut["doc_id"].eqNullSafe(places["_d"]) & (cut["_h"] == places["_k"]))
-    cut = _cut(cut, length)
+    places = places.select("nr", shifted.alias("starts"))
+    places = places.groupBy("nr").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+    cut = _cut(candidates.select("doc_id", "_h", "text", "nr").join(places, "nr"), length).dropDuplicates(["_d", "_k"])
     base = meta.select("doc_id", "_h", "n_bytes", "whole_sha256")
     out = base.join(cut, base["doc_id"].eqNullSafe(cut["_d"]) & (base["_h"] == cut["_k"]), "left")
     return out.select(
