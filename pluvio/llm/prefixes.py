@@ -27,7 +27,7 @@ WIDTH = 20
 #: Turns of one block, whose tables a task holds at a time.
 BLOCK_TURNS = 1 << 18
 #: Turns that a key range aims at, ranges at most, and sampled keys per range.
-RANGE_TURNS, MAX_RANGES, SAMPLED = 1 << 13, 1000, 16
+RANGE_TURNS, MAX_RANGES, SAMPLED = 1 << 10, 1000, 16
 #: Sequences of more turns are not taken as bounds of ranges (a bound is sent to every task).
 BOUND_TURNS = 64
 #: Conversation ids in one piece of an id list.
