@@ -7,8 +7,8 @@ rows whose key found no target row (inserted). Each output row carries
 
 Join plan:
 
-* ``broadcast_source=True`` (the caller checked the source size): the target is
-  never shuffled. ``target LEFT JOIN broadcast(source)`` gives updated and kept
+* ``broadcast_source=True``: if the source's bytes, summed by one job, stay within
+  ``BROADCAST_BYTES``, the target is never shuffled; beyond, the join below is taken. ``target LEFT JOIN broadcast(source)`` gives updated and kept
   rows; ``source LEFT ANTI broadcast(matched keys)`` gives inserts, where the
   matched keys come from a key-only scan of the target semi-joined to the
   broadcast source keys (bounded by the source).
@@ -33,6 +33,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ACTION = "_action"
+#: A source of more bytes than this is not broadcast, whatever the caller asks for.
+BROADCAST_BYTES = 64 << 20
 _T = "__in_target"
 _M = "__in_source"
 
@@ -61,6 +63,16 @@ def assert_unique_keys(source: DataFrame, keys: str | Sequence[str]) -> None:
         )
 
 
+def source_bytes(df: DataFrame) -> int:
+    """Bytes of all values (text and binary by their length, others 8 each) and 16 a row; one aggregate job."""
+    sizes = [
+        F.coalesce(F.octet_length(F.col(f"`{c}`")).cast("long"), F.lit(0)) if t in ("string", "binary") else F.lit(8)
+        for c, t in df.dtypes
+    ]
+    total = sum(sizes, F.lit(16).cast("long"))
+    return int(df.agg(F.coalesce(F.sum(total), F.lit(0))).first()[0])
+
+
 def _value(
     c: str,
     keys: list[str],
@@ -151,7 +163,7 @@ def merge_upsert(
         )
 
     src_keys_null = any_null([_src(k) for k in keys])
-    if broadcast_source:
+    if broadcast_source and source_bytes(s) <= BROADCAST_BYTES:
         # No shuffle here, so NULL keys cannot pile up: the whole target streams
         # through one hash join against the broadcast source.
         s_keyed = s.filter(~src_keys_null)

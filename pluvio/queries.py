@@ -232,8 +232,8 @@ def q_merge_upsert_fact(spark, sf_dir):
 
 
 def q_merge_upsert_fact_broadcast(spark, sf_dir):
-    # Size bound for the broadcast: the source is one row per record key, and the
-    # hour-slot keys are at most SLOT_HOURS (480) whatever the table size.
+    # The merge sums the source's bytes before it broadcasts; hour-slot keys are at
+    # most SLOT_HOURS (480) whatever the table size.
     return ntz(_merged_fact(spark, sf_dir, broadcast_source=True).select(*S.FACT_COLUMNS, "_action"))
 
 

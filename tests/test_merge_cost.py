@@ -160,3 +160,21 @@ def test_days_that_are_not_known_are_a_partition(spark, tmp, tables):  # noqa: F
     assert again["rewrite"] == "partitions" and again["updated"] == 2
     got = {r[S.FACT_KEY]: (str(r["observed_date"]), r["hourly_precip_value"]) for r in spark.table(tables["fact"]).select(*cols).collect()}
     assert got == {"a": ("None", 5.0), "b": ("2024-01-02", 4.0), "c": ("2024-01-02", 3.0)}
+
+
+def test_a_source_is_broadcast_only_within_its_bound(spark, monkeypatch):
+    from pluvio.operators import merge, merge_upsert
+
+    cols = f"{S.FACT_KEY} string, v int"
+    target = spark.createDataFrame([(f"k{k}", k) for k in range(40)] + [(None, -1)], cols)
+    source = spark.createDataFrame([(f"k{k}", 100 + k) for k in range(30, 50)] + [(None, 7)], cols)
+    args = (target, source, S.FACT_KEY, ["v"], [S.FACT_KEY, "v"])
+    assert merge.source_bytes(source) == 21 * (16 + 8) + 20 * 3
+    rows, plans = [], []
+    for bound in (1 << 20, 100):
+        monkeypatch.setattr(merge, "BROADCAST_BYTES", bound)
+        merged = merge_upsert(*args, broadcast_source=True)
+        plans.append(merged._jdf.queryExecution().optimizedPlan().toString())
+        rows.append(sorted(map(str, merged.collect())))
+    assert rows[0] == rows[1]
+    assert "FullOuter" not in plans[0] and "FullOuter" in plans[1]
