@@ -113,10 +113,16 @@ def test_equal_stamps_have_one_winner(spark, tmp):
         assert [r[0] for r in won.collect()] == ["l3"]
 
 
+def _schema(spark, tmp):
+    name = "pluvio_load_" + re.sub(r"\W", "_", tmp)[-24:]
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name} LOCATION '{tmp}/db'")
+    return name
+
+
 @pytest.mark.parametrize("disposition", ["WRITE_APPEND", "WRITE_EMPTY", WRITE_TRUNCATE])
 @pytest.mark.parametrize("catalog", [False, True])
 def test_a_load_is_evaluated_once(spark, tmp, disposition, catalog):
-    target = "pluvio_once_" + re.sub(r"\W", "_", tmp)[-24:] if catalog else tmp + "/t"
+    target = _schema(spark, tmp) + ".once" if catalog else tmp + "/t"
     seen = spark.sparkContext.accumulator(0)
 
     def count(batches):
@@ -138,7 +144,7 @@ def test_a_load_is_evaluated_once(spark, tmp, disposition, catalog):
 def test_an_empty_load_makes_no_target(spark, tmp):
     from pluvio.sources import table_exists
 
-    for target in (tmp + "/none", "pluvio_none_" + re.sub(r"\W", "_", tmp)[-24:]):
+    for target in (tmp + "/none", _schema(spark, tmp) + ".none"):
         with pytest.raises(ValueError, match="cannot be empty"):
             load_table(spark.range(0), target)
         assert not table_exists(spark, target)
