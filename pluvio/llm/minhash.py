@@ -1,9 +1,10 @@
 """Near-duplicate classes by b-bit MinHash (operator 12).
 
-Band keys over the full minima bring candidates together; of the minima only the
-low bits are kept, packed into a few words, and equal bit groups, corrected for
-chance collisions, estimate the similarity that sorts out candidates far below
-the threshold. What is left is confirmed on the full shingle sets.
+Band keys over full minima bring candidates together. Members of shared bands
+get a signature: of several hundred minima only the low bits are kept, packed
+into a few words, and equal bit groups, corrected for chance collisions,
+estimate the similarity that sorts out candidates below the threshold. What is
+left is confirmed on the full shingle sets.
 
 A bucket never gives all its pairs: members are compared with its smallest
 member first; once the links found have been joined into classes, only members
@@ -28,8 +29,8 @@ from pluvio.llm.scratch import discard, keyed, materialise, of_row
 U64 = np.uint64
 #: Bands of minima: a pair of similarity 0.8 shares no band with a chance of (1 - 0.8^3)^32 = 1e-10.
 BANDS, ROWS = 32, 3
-#: Low bits kept of each minimum.
-BITS = 2
+#: Minima of a signature, and low bits kept of each.
+SIGNATURE, BITS = 512, 2
 #: Standard errors below the threshold at which an estimate rules a candidate out.
 ERRORS = 6
 #: Members of one block of a bucket that a task compares at a time.
@@ -38,8 +39,8 @@ BLOCK = 2048
 BROADCAST_ROWS = 500_000
 
 _r = np.random.default_rng(20_250_801)
-_MUL = _r.integers(0, 1 << 63, BANDS * ROWS, dtype=np.int64).view(U64) * U64(2) + U64(1)
-_XOR = _r.integers(0, 1 << 63, BANDS * ROWS, dtype=np.int64).view(U64)
+_MUL = _r.integers(0, 1 << 63, SIGNATURE, dtype=np.int64).view(U64) * U64(2) + U64(1)
+_XOR = _r.integers(0, 1 << 63, SIGNATURE, dtype=np.int64).view(U64)
 
 
 def shingle_sets(data: np.ndarray, bounds: np.ndarray, shingle: int) -> list[np.ndarray]:
@@ -57,10 +58,10 @@ def shingle_sets(data: np.ndarray, bounds: np.ndarray, shingle: int) -> list[np.
     return out
 
 
-def minima(values: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Minima of every hash function over each run of ``values`` that begins at ``first``; a row per run."""
-    out = np.empty((len(first), len(_MUL)), U64)
-    for k in range(len(_MUL)):
+def minima(values: np.ndarray, first: np.ndarray, functions: int) -> np.ndarray:
+    """Minima of the first hash functions over each run of ``values`` that begins at ``first``; a row per run."""
+    out = np.empty((len(first), functions), U64)
+    for k in range(functions):
         out[:, k] = np.minimum.reduceat((values ^ _XOR[k]) * _MUL[k], first)
     return out
 
@@ -89,18 +90,18 @@ def similarity(x: np.ndarray, y: np.ndarray) -> np.ndarray:
         differ = differ | ((x ^ y) >> U64(k))
     unequal = np.bitwise_count(differ & _LOWEST).sum(-1, dtype=np.int64)
     chance = 2.0**-BITS
-    return (1 - unequal / (BANDS * ROWS) - chance) / (1 - chance)
+    return (1 - unequal / SIGNATURE - chance) / (1 - chance)
 
 
 def least_estimate(percent: int) -> float:
     """An estimate below this rules a pair out: ``ERRORS`` standard errors under the threshold."""
     chance, t = 2.0**-BITS, percent / 100
     p = t + (1 - t) * chance
-    return t - ERRORS * (p * (1 - p) / (BANDS * ROWS)) ** 0.5 / (1 - chance)
+    return t - ERRORS * (p * (1 - p) / SIGNATURE) ** 0.5 / (1 - chance)
 
 
 def signatures(docs: DataFrame, shingle: int) -> DataFrame:
-    """``doc_id, _h, n, digest, bands, sig`` of every row; an empty set has null digest, bands and sig."""
+    """``doc_id, _h, n, digest, bands`` of every row; an empty set has null digest and bands."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -109,36 +110,42 @@ def signatures(docs: DataFrame, shingle: int) -> DataFrame:
                 size = np.array([len(x) for x in sets], np.int64)
                 full = np.flatnonzero(size)
                 keys: list = [None] * (hi - lo)
-                sigs: list = [None] * (hi - lo)
                 if len(full):
-                    low = minima(np.concatenate(sets), (np.cumsum(size) - size)[full])
-                    for k, band, sig in zip(full.tolist(), band_keys(low).view(np.int64), pack(low), strict=True):
-                        keys[k], sigs[k] = band, sig.tobytes()
+                    low = minima(np.concatenate(sets), (np.cumsum(size) - size)[full], BANDS * ROWS)
+                    for k, band in zip(full.tolist(), band_keys(low).view(np.int64), strict=True):
+                        keys[k] = band
                 digests = [hashlib.md5(x, usedforsecurity=False).digest() if len(x) else None for x in sets]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[lo:hi], batch.column(1)[lo:hi], pa.array(size), pa.array(digests, pa.binary())]
-                    + [pa.array(keys, pa.list_(pa.int64())), pa.array(sigs, pa.binary())],
-                    ["doc_id", "_h", "n", "digest", "bands", "sig"],
+                    + [pa.array(keys, pa.list_(pa.int64()))],
+                    ["doc_id", "_h", "n", "digest", "bands"],
                 )
 
-    return keyed(docs).mapInArrow(compute, "doc_id long, _h binary, n long, digest binary, bands array<bigint>, sig binary")
+    return keyed(docs).mapInArrow(compute, "doc_id long, _h binary, n long, digest binary, bands array<bigint>")
 
 
 def full_sets(docs: DataFrame, needed: DataFrame, shingle: int) -> DataFrame:
-    """``sid, grams``: the sorted set of the rows ``doc_id, _h, sid``, each once."""
+    """``sid, n, sig, grams``: size, signature and sorted set of the rows ``doc_id, _h, sid`` (none empty), each once."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, bounds in tx.slices(batch.column(1)):
-                sets = [x.tobytes() for x in shingle_sets(data, bounds, shingle)]
-                yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], pa.array(sets, pa.binary())], ["sid", "grams"])
+            for lo, hi, data, bounds in tx.slices(batch.column(1), 1 << 19):
+                sets = shingle_sets(data, bounds, shingle)
+                size = np.array([len(x) for x in sets], np.int64)
+                sigs = pack(minima(np.concatenate(sets), np.cumsum(size) - size, SIGNATURE))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0)[lo:hi], pa.array(size), pa.array([x.tobytes() for x in sigs], pa.binary())]
+                    + [pa.array([x.tobytes() for x in sets], pa.binary())],
+                    ["sid", "n", "sig", "grams"],
+                )
 
     needed = needed.select("doc_id", "_h", "sid")
     if needed.count() <= BROADCAST_ROWS:
         needed = F.broadcast(needed)
     rows = keyed(docs).select(F.col("doc_id").alias("row_id"), F.col("_h").alias("row_h"), "text")
-    grams = rows.join(needed, of_row(needed)).select("sid", "text").mapInArrow(compute, "sid long, grams binary")
-    return grams.groupBy("sid").agg(F.first("grams").alias("grams"))  # repeated rows of one key
+    grams = rows.join(needed, of_row(needed)).select("sid", "text").mapInArrow(compute, "sid long, n long, sig binary, grams binary")
+    whole = grams.groupBy("sid").agg(F.first(F.struct("n", "sig", "grams")).alias("s"))  # repeated rows of one key
+    return whole.select("sid", "s.*")
 
 
 def confirm(pairs: DataFrame, grams: DataFrame, percent: int) -> DataFrame:
@@ -164,7 +171,7 @@ def _words(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), U64).reshape(len(column), -1)
 
 
-def likely_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def likely_pairs(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a, b`` whose sizes and signatures do not rule the threshold out."""
     least = least_estimate(percent)
 
@@ -173,13 +180,13 @@ def likely_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             near = similarity(_words(batch.column(2)), _words(batch.column(3))) >= least
             yield batch.select(["a", "b"]).filter(pa.array(near))
 
-    side = lambda k: sets.select(F.col("sid").alias(k), F.col("n").alias(f"n_{k}"), F.col("sig").alias(f"s_{k}"))
+    side = lambda k: marks.select(F.col("sid").alias(k), F.col("n").alias(f"n_{k}"), F.col("sig").alias(f"s_{k}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     fits = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
     return both.where(fits).select("a", "b", "s_a", "s_b").mapInArrow(compute, "a long, b long")
 
 
-def _apart(members: DataFrame, classes: DataFrame, sets: DataFrame, block: int) -> DataFrame:
+def _apart(members: DataFrame, classes: DataFrame, marks: DataFrame, block: int) -> DataFrame:
     """Blocks of the buckets that hold several classes: ``key, kind, i, j, side, sid, root, n, sig``.
 
     Members outside the class of the bucket's smallest member (the rest) meet
@@ -208,7 +215,7 @@ def _apart(members: DataFrame, classes: DataFrame, sets: DataFrame, block: int)
     later = F.transform(F.sequence(F.col("own"), F.col("b_rest") - 1), lambda j: spot(1, F.col("own"), j, 0))
     places = F.when(F.col("rest"), F.concat(meets, earlier, later)).otherwise(mains)
     rows = rows.select("key", "sid", "root", "pivot", F.explode(places).alias("p"))
-    rows = rows.join(sets.select("sid", "n", "sig"), "sid")
+    rows = rows.join(marks, "sid")
     return rows.select("key", "p.kind", "p.i", "p.j", "p.side", "sid", "root", "pivot", "n", "sig")
 
 
@@ -271,7 +278,7 @@ def _proposals(rows: DataFrame, percent: int, most: int) -> DataFrame:
     return dealt.mapInArrow(compute, "a long, b long, later boolean")
 
 
-def near_classes(docs: DataFrame, shingle: int = 4, percent: int = 80, block: int = BLOCK, most: int = 256) -> DataFrame:
+def near_classes(docs: DataFrame, shingle: int = 4, percent: int = 80, block: int = BLOCK, most: int = 4) -> DataFrame:
     """Classes of documents linked by shared shingles (operator 12).
 
     A document's set holds its distinct runs of ``shingle`` words (A-Z folded;
@@ -286,9 +293,9 @@ def near_classes(docs: DataFrame, shingle: int = 4, percent: int = 80, block: in
     rows = materialise(signatures(docs, shingle), "signatures")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_h")
     sets = rows.where("digest IS NOT NULL").groupBy("digest").agg(
-        F.min(order).alias("least"), F.first(F.struct("n", "bands", "sig")).alias("s")
+        F.min(order).alias("least"), F.first("bands").alias("bands")
     )
-    sets = sets.select("digest", "least", "s.n", "s.bands", "s.sig", F.monotonically_increasing_id().alias("sid"))
+    sets = sets.select("digest", "least", "bands", F.monotonically_increasing_id().alias("sid"))
     sets = materialise(sets, "sets")  # equal sets are one from here on
     spread = sets.select("sid", F.explode("bands").alias("key"))
     buckets = spread.groupBy("key").agg(F.min("sid").alias("pivot"), F.max("sid").alias("last"))
@@ -297,17 +304,18 @@ def near_classes(docs: DataFrame, shingle: int = 4, percent: int = 80, block: in
     new = members.where("sid != pivot").select(F.col("sid").alias("a"), F.col("pivot").alias("b")).distinct()
     needed = sets.join(members.select("sid").distinct(), "sid").select("sid", "least.doc_id", "least._h")
     grams = materialise(full_sets(docs, materialise(needed, "needed"), shingle), "grams")
+    marks = grams.select("sid", "n", "sig")
     tested = links = None
     more = True
     while True:
-        new = materialise(likely_pairs(new, sets, percent), "candidates")
+        new = materialise(likely_pairs(new, marks, percent), "candidates")
         found = materialise(confirm(new, grams, percent), "confirmed")
         links = found if links is None else links.union(found)
         classes = components(links)
         if not more:  # every candidate between two classes has been tested
             break
         tested = new if tested is None else tested.union(new)
-        proposed = materialise(_proposals(_apart(members, classes, sets, block), percent, most), "proposed")
+        proposed = materialise(_proposals(_apart(members, classes, marks, block), percent, most), "proposed")
         more = not proposed.where("later").isEmpty()
         new = proposed.where("NOT later").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
         most *= 8
