@@ -35,6 +35,8 @@ SIGNATURE, BITS = 512, 2
 ERRORS = 6
 #: Members of one block of a bucket that a task compares at a time.
 BLOCK = 2048
+#: Pairs of one numpy step inside a block.
+PAIRS = 1 << 15
 #: Keys of needed rows up to this number (24 bytes each) are broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
@@ -233,17 +235,24 @@ def _proposals(rows: DataFrame, percent: int, most: int) -> DataFrame:
         side, sid, root, pivot, n, sig = block
         x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         found, more = [], False
-        for a in x:
-            fits = root[y] != root[a]
-            fits &= 100 * np.minimum(n[y], n[a]) >= percent * np.maximum(n[y], n[a])
-            fits &= (sid[y] != pivot[a]) & (sid[y] != sid[a])
-            k = y[fits]
-            est = similarity(sig[k], sig[a])
-            k, est = k[est >= least], est[est >= least]
-            if len(k) > most:
+        step = max(1, PAIRS // max(1, len(y)))
+        for lo in range(0, len(x), step):
+            some = x[lo : lo + step, None]
+            fits = root[y] != root[some]
+            fits &= 100 * np.minimum(n[y], n[some]) >= percent * np.maximum(n[y], n[some])
+            fits &= (sid[y] != pivot[some]) & (sid[y] != sid[some])
+            i, j = np.nonzero(fits)
+            a, b = some[i, 0], y[j]
+            est = similarity(sig[a], sig[b])
+            keep = est >= least
+            i, a, b, est = i[keep], a[keep], b[keep], est[keep]
+            if len(i) and np.bincount(i).max() > most:  # the likeliest of each member
                 more = True
-                k = k[np.lexsort((sid[k], -est))[:most]]
-            found.append(np.stack([np.maximum(sid[k], sid[a]), np.minimum(sid[k], sid[a])]))
+                order = np.lexsort((sid[b], -est, i))
+                i, a, b = i[order], a[order], b[order]
+                first = np.arange(len(i)) - np.searchsorted(i, i) < most
+                a, b = a[first], b[first]
+            found.append(np.stack([np.maximum(sid[a], sid[b]), np.minimum(sid[a], sid[b])]))
         both = np.unique(np.concatenate(found, 1), axis=1) if found else np.zeros((2, 0), np.int64)
         later = np.zeros(both.shape[1] + more, bool)
         later[both.shape[1] :] = True
@@ -278,7 +287,7 @@ def _proposals(rows: DataFrame, percent: int, most: int) -> DataFrame:
     return dealt.mapInArrow(compute, "a long, b long, later boolean")
 
 
-def near_classes(docs: DataFrame, shingle: int = 4, percent: int = 80, block: int = BLOCK, most: int = 4) -> DataFrame:
+def near_classes(docs: DataFrame, shingle: int = 4, percent: int = 80, block: int = BLOCK, most: int = 32) -> DataFrame:
     """Classes of documents linked by shared shingles (operator 12).
 
     A document's set holds its distinct runs of ``shingle`` words (A-Z folded;
