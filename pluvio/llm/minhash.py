@@ -260,28 +260,22 @@ def _proposals(rows: DataFrame, percent: int, most: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1]), pa.array(later)], ["a", "b", "later"])
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        spot = None
-
-        def block() -> list:
-            t = pa.Table.from_batches(held)
-            cols = [t.column(c).to_numpy() for c in ("side", "sid", "root", "pivot", "n")]
-            return [*cols, _words(t.column("sig").combine_chunks())]
+        keys = cols = None  # rows of the last block, which may go on in the next batch
 
         for batch in batches:
-            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in _ORDER])
-            cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1).tolist(), batch.num_rows]
+            if not batch.num_rows:
+                continue
+            more = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in _ORDER])
+            now = [batch.column(c).to_numpy() for c in ("side", "sid", "root", "pivot", "n")] + [_words(batch.column("sig"))]
+            if keys is not None:
+                more = np.concatenate([keys, more], 1)
+                now = [np.concatenate(x) for x in zip(cols, now, strict=True)]
+            cuts = [0, *(np.flatnonzero((more[:, 1:] != more[:, :-1]).any(0)) + 1).tolist()]
             for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-                if lo == hi:
-                    continue
-                now = tuple(keys[:, lo].tolist())
-                if held and now != spot:
-                    yield pairs(block())
-                    held = []
-                spot = now
-                held.append(batch.slice(lo, hi - lo))
-        if held:
-            yield pairs(block())
+                yield pairs([x[lo:hi] for x in now])
+            keys, cols = more[:, cuts[-1] :], [x[cuts[-1] :] for x in now]
+        if keys is not None:
+            yield pairs(cols)
 
     dealt = rows.repartition(*_ORDER).sortWithinPartitions(*_ORDER)
     return dealt.mapInArrow(compute, "a long, b long, later boolean")
