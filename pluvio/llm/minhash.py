@@ -27,8 +27,9 @@ from pluvio.llm.components import components
 from pluvio.llm.scratch import discard, keyed, materialise, of_row
 
 U64 = np.uint64
-#: Bands of minima: a pair of similarity 0.8 shares no band with a chance of (1 - 0.8^3)^32 = 1e-10.
-BANDS, ROWS = 32, 3
+#: Bands of minima: a pair of similarity 0.8 shares no band with a chance of (1 - 0.8^5)^48 = 5e-9, and one that
+#: only shares a common passage (similarity 0.2) meets in 0.015 bands on average, so a passage makes no hot bucket.
+BANDS, ROWS = 48, 5
 #: Minima of a signature, and low bits kept of each.
 SIGNATURE, BITS = 512, 2
 #: Standard errors below the threshold at which an estimate rules a candidate out.
@@ -308,13 +309,15 @@ def near_classes(docs: DataFrame, shingle: int = 4, percent: int = 80, block: in
     needed = sets.join(members.select("sid").distinct(), "sid").select("sid", "least.doc_id", "least._h")
     grams = materialise(full_sets(docs, materialise(needed, "needed"), shingle), "grams")
     marks = grams.select("sid", "n", "sig")
-    tested = links = None
+    tested = classes = None
     more = True
     while True:
         new = materialise(likely_pairs(new, marks, percent), "candidates")
         found = materialise(confirm(new, grams, percent), "confirmed")
-        links = found if links is None else links.union(found)
-        classes = components(links)
+        if classes is None:
+            classes = components(found)
+        elif not found.isEmpty():  # the classes so far are links to their roots
+            classes = components(found.union(classes.select(F.col("node").alias("a"), F.col("root").alias("b"))))
         if not more:  # every candidate between two classes has been tested
             break
         tested = new if tested is None else tested.union(new)
