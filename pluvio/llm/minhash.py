@@ -15,6 +15,7 @@ candidate pair between two classes is untested.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,9 +28,8 @@ from pluvio.llm.components import components
 from pluvio.llm.scratch import discard, keyed, materialise, of_row
 
 U64 = np.uint64
-#: Bands of minima: a pair of similarity 0.8 shares no band with a chance of (1 - 0.8^5)^48 = 5e-9, and one that
-#: only shares a common passage (similarity 0.2) meets in 0.015 bands on average, so a passage makes no hot bucket.
-BANDS, ROWS = 48, 5
+#: Chance that a pair at the threshold shares no band, and most minima that all bands may take.
+MISS, BAND_MINIMA = 5e-9, 256
 #: Minima of a signature, and low bits kept of each.
 SIGNATURE, BITS = 512, 2
 #: Standard errors below the threshold at which an estimate rules a candidate out.
@@ -69,11 +69,22 @@ def minima(values: np.ndarray, first: np.ndarray, functions: int) -> np.ndarray:
     return out
 
 
-def band_keys(low: np.ndarray) -> np.ndarray:
+def banding(percent: int) -> tuple[int, int]:
+    """Bands, and minima per band: as many of these as ``BAND_MINIMA`` allows at a chance of ``MISS``.
+
+    At 80 percent 49 bands of 5: a pair that only shares a common passage (similarity 0.2)
+    meets in 0.016 bands on average, so a passage makes no hot bucket.
+    """
+    bands = lambda rows: math.ceil(math.log(MISS) / math.log1p(-min((percent / 100) ** rows, 1 - MISS)))
+    rows = max((k for k in range(1, 9) if k * bands(k) <= BAND_MINIMA), default=1)
+    return bands(rows), rows
+
+
+def band_keys(low: np.ndarray, bands: int) -> np.ndarray:
     """A key per band of each row of minima."""
-    key = np.arange(1, BANDS + 1, dtype=U64)[None, :] * U64(tx.CHECK_BASE)
-    for k in range(ROWS):
-        key = tx.mix(key + low[:, k::ROWS])
+    key = np.arange(1, bands + 1, dtype=U64)[None, :] * U64(tx.CHECK_BASE)
+    for k in range(low.shape[1] // bands):
+        key = tx.mix(key + low[:, k * bands : (k + 1) * bands])
     return key
 
 
@@ -103,8 +114,9 @@ def least_estimate(percent: int) -> float:
     return t - ERRORS * (p * (1 - p) / SIGNATURE) ** 0.5 / (1 - chance)
 
 
-def signatures(docs: DataFrame, shingle: int) -> DataFrame:
+def signatures(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """``doc_id, _h, n, digest, bands`` of every row; an empty set has null digest and bands."""
+    bands, rows = banding(percent)
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -114,8 +126,8 @@ def signatures(docs: DataFrame, shingle: int) -> DataFrame:
                 full = np.flatnonzero(size)
                 keys: list = [None] * (hi - lo)
                 if len(full):
-                    low = minima(np.concatenate(sets), (np.cumsum(size) - size)[full], BANDS * ROWS)
-                    for k, band in zip(full.tolist(), band_keys(low).view(np.int64), strict=True):
+                    low = minima(np.concatenate(sets), (np.cumsum(size) - size)[full], bands * rows)
+                    for k, band in zip(full.tolist(), band_keys(low, bands).view(np.int64), strict=True):
                         keys[k] = band
                 digests = [hashlib.md5(x, usedforsecurity=False).digest() if len(x) else None for x in sets]
                 yield pa.RecordBatch.from_arrays(
@@ -294,7 +306,7 @@ def near_classes(docs: DataFrame, shingle: int = 4, percent: int = 80, block: in
     a class of them alone has a null component_id and its rows are kept.
     Repeated rows get equal results. Empty table: no rows.
     """
-    rows = materialise(signatures(docs, shingle), "signatures")
+    rows = materialise(signatures(docs, shingle, percent), "signatures")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_h")
     sets = rows.where("digest IS NOT NULL").groupBy("digest").agg(
         F.min(order).alias("least"), F.first("bands").alias("bands")

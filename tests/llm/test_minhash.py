@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 from pluvio.llm import minhash
-from pluvio.llm.minhash import SIGNATURE, least_estimate, minima, near_classes, pack, similarity
+from pluvio.llm.minhash import SIGNATURE, banding, least_estimate, minima, near_classes, pack, similarity
 
 SCHEMA = "doc_id long, text string, sid long, key string, digest int, n int"
 
@@ -115,3 +115,9 @@ def test_estimates_lie_around_the_similarity():
         error = (p * (1 - p) / SIGNATURE) ** 0.5 / (1 - chance)
         assert abs(np.mean(found) - share) < 4 * error / 60**0.5 and np.std(found) < 1.5 * error
     assert 0.65 < least_estimate(80) < 0.7
+
+
+def test_bands_miss_next_to_nothing_at_any_threshold():
+    for percent in (50, 60, 70, 80, 90, 95):
+        bands, rows = banding(percent)
+        assert (1 - (percent / 100) ** rows) ** bands <= 5e-9 and bands * rows <= SIGNATURE
