@@ -3,13 +3,16 @@
 A page is a stream of tags and text slots. The streams of a host's pages are
 aligned one after another into a wrapper, a union-free regular expression:
 what only some pages have becomes optional, a stretch that repeats becomes a
-repeated group, differing text is a slot. The wrapper names the element that
-holds the article's slots; every page of the host is then read with it.
+repeated group. A text that half of the host's distinct pages hold behind the
+same tag is a constant of the template, any other text is a slot. The wrapper
+names the element that holds the article's slots; every page of the host is
+then read with it, constants left out.
 """
 
 from __future__ import annotations
 
 import difflib
+import hashlib
 import html as entities
 import json
 import re
@@ -46,6 +49,13 @@ _BAD_NAME = re.compile(
     r"social|toolbar|pagination|pager|login|signup|search|form)(?:$|[\s_-])",
     re.I,
 )
+#: Inside the content element only these whole names are boilerplate.
+_BAD_INSIDE = frozenset(
+    "ad ads advert advertisement banner sponsor promo cookie consent notice popup modal newsletter subscribe menu nav "
+    "breadcrumb breadcrumbs sidebar comment comments disqus reply replies related share sharing social pagination pager".split()
+)
+#: A text is a constant of a host's template on at least so many distinct pages and half of them all.
+CONSTANT_PAGES = 5
 _MAIN = ("article", "main")
 _MAIN_NAME = re.compile(r"(?:^|[\s_-])(?:article|articlebody|main|content|post|entry|story)(?:$|[\s_-])", re.I)
 
@@ -70,14 +80,44 @@ def mark(tag: str, names: str) -> str:
     return ".".join([tag, *words])
 
 
-def skeleton(page: str) -> list:
-    """The page's stream of block tags and text slots, repeats folded into groups."""
-    out: list = []
+def stream(page: str) -> Iterator[tuple[str, str, str, bytes]]:
+    """``tokens`` with running text joined into one: ``(kind, tag, names or text, key)``.
+
+    Inline elements are part of the text, character references are decoded and
+    white space is one space. The key, of texts only, is a digest of the text
+    and the tag before it.
+    """
+    held: list[str] = []
+    before = ""
+
+    def text() -> Iterator[tuple[str, str, str, bytes]]:
+        whole = " ".join(entities.unescape("".join(held)).split())
+        held.clear()
+        if whole:
+            yield "#", "", whole, hashlib.blake2b(f"{before}\0{whole}".encode("utf-8", "replace"), digest_size=8).digest()
+
     for kind, tag, rest in tokens(page):
         if kind == "#":
-            if rest.strip() and (not out or out[-1] != "#"):
-                out.append("#")
-        elif tag not in INLINE and tag not in VOID and not (kind == "/" and tag in LOOSE):
+            held.append(rest)
+        elif tag in INLINE:
+            if tag == "br":
+                held.append(" ")
+        else:
+            yield from text()
+            before = kind + (mark(tag, rest) if kind == "<" else tag)
+            yield kind, tag, rest, b""
+    yield from text()
+
+
+def skeleton(page: str, fixed: frozenset[bytes] = frozenset()) -> list:
+    """The page's stream of block tags, slots (``#``) and constants (``=`` and key), repeats folded into groups."""
+    out: list = []
+    for kind, tag, rest, key in stream(page):
+        if kind == "#":
+            node = "=" + key.hex() if key in fixed else "#"
+            if not out or out[-1] != node:
+                out.append(node)
+        elif tag not in VOID and not (kind == "/" and tag in LOOSE):
             out.append(kind + (mark(tag, rest) if kind == "<" else tag))
     return fold(out)
 
@@ -148,6 +188,11 @@ def is_boilerplate(m: str) -> bool:
     return tag in BOILERPLATE or bool(names and _BAD_NAME.search(names.replace(".", " ")))
 
 
+def is_inner_boilerplate(m: str) -> bool:
+    tag, *names = m.split(".")
+    return tag in BOILERPLATE or not _BAD_INSIDE.isdisjoint(names)
+
+
 def content_mark(wrapper: list) -> str:
     """The element of the wrapper that holds the article; empty if none stands out.
 
@@ -166,7 +211,7 @@ def content_mark(wrapper: list) -> str:
                 if stack[k].partition(".")[0] == token[1:]:
                     del stack[k:]
                     break
-        elif not any(map(is_boilerplate, stack)):
+        elif token == "#" and not any(map(is_boilerplate, stack)):
             weight = 4 if many else 1
             holders = [m for m in stack if m.partition(".")[0] not in LOOSE and not re.match(r"h[1-6]\b", m)]
             for m in set(holders):
@@ -183,67 +228,89 @@ def content_mark(wrapper: list) -> str:
     return max(slots, key=lambda m: (slots[m], m), default="")
 
 
-def extract(page: str, content: str) -> str:
-    """Blocks of the element ``content`` (of the whole body if the page lacks it), boilerplate left out."""
+def extract(page: str, content: str, fixed: frozenset[bytes] = frozenset()) -> str:
+    """Blocks of the element ``content`` (of the whole body if the page lacks it), boilerplate and constants left out.
+
+    Outside the content a name that holds a boilerplate word is enough; inside
+    it only such a name as a whole, so that a ``story-side`` stays.
+    """
     blocks: list[tuple[bool, str]] = []
-    held: list[str] = []
     stack: list[tuple[str, bool, bool]] = []  # tag, inside boilerplate, inside content
     found = False
-
-    def end_block() -> None:
-        text = " ".join(entities.unescape("".join(held)).split())
-        held.clear()
-        if text:
-            blocks.append((bool(stack and stack[-1][2]), text))
-
-    for kind, tag, rest in tokens(page):
+    for kind, tag, rest, key in stream(page):
         bad, inside = stack[-1][1:] if stack else (False, False)
         if kind == "#":
-            if not bad:
-                held.append(rest)
-        elif tag in INLINE:
-            if tag == "br":
-                held.append(" ")
-            elif kind == "<" and rest and is_boilerplate(mark(tag, rest)):
-                continue
+            if not bad and key not in fixed:
+                blocks.append((inside, rest))
+        elif kind == "<":
+            if tag in LOOSE:
+                while stack and stack[-1][0] == tag:
+                    stack.pop()
+                bad, inside = stack[-1][1:] if stack else (False, False)
+            if tag not in VOID:
+                m = mark(tag, rest)
+                own = bool(content) and m == content
+                found |= own
+                root = own or tag in _MAIN or tag in ("body", "html")
+                # an article's own header is still boilerplate; the article itself never is
+                named = is_inner_boilerplate(m) if inside else is_boilerplate(m)
+                stack.append((tag, bad or (named and not root), inside or own))
         else:
-            end_block()
-            if kind == "<":
-                if tag in LOOSE:
-                    while stack and stack[-1][0] == tag:
-                        stack.pop()
-                    bad, inside = stack[-1][1:] if stack else (False, False)
-                if tag not in VOID:
-                    m = mark(tag, rest)
-                    own = bool(content) and m == content
-                    found |= own
-                    root = own or m.partition(".")[0] in _MAIN or tag in ("body", "html")
-                    # an article's own header is still boilerplate; the article itself never is
-                    stack.append((tag, bad or (is_boilerplate(m) and not root), inside or own))
-            else:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == tag:
-                        del stack[k:]
-                        break
-    end_block()
+            for k in range(len(stack) - 1, -1, -1):
+                if stack[k][0] == tag:
+                    del stack[k:]
+                    break
     return "\n\n".join(text for inside, text in blocks if inside or not found)
 
 
-def _host(url: str | None) -> str:
-    m = re.match(r"\s*(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", url or "", re.I)
-    return m[1].lower() if m else ""
+def _with_host(pages: DataFrame) -> DataFrame:
+    """``page_id, url, html, host`` of every row; a null url belongs to the host of no name."""
+    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"(?i)^\s*(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
+    rows = pages.select(
+        F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")
+    )
+    return rows.withColumn("host", host)
+
 
+def constant_texts(pages: DataFrame, least: int = CONSTANT_PAGES) -> DataFrame:
+    """``host, fixed``: keys of the texts that at least ``least`` and half of a host's distinct pages hold.
 
-def host_skeletons(pages: DataFrame) -> DataFrame:
+    Counted by host and text, so a large host is no group; a host has at most
+    twice as many constants as its pages have texts on average.
+    """
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pages_ = [h.as_py() or "" for h in batch.column(1)]
+            keys = [[b"", *sorted({key for kind, _, _, key in stream(p) if kind == "#"})] for p in pages_]
+            digest = [hashlib.blake2b(p.encode("utf-8", "replace"), digest_size=16).digest() for p in pages_]
+            columns = [batch.column(0), pa.array(digest, pa.binary()), pa.array(keys, pa.list_(pa.binary()))]
+            yield pa.RecordBatch.from_arrays(columns, ["host", "page", "keys"])
+
+    seen = _with_host(pages).select("host", "html").mapInArrow(compute, "host string, page binary, keys array<binary>")
+    seen = seen.dropDuplicates(["host", "page"]).select("host", F.explode("keys").alias("key"))
+    counts = materialise(seen.groupBy("host", "key").agg(F.count("*").alias("n")).where(F.col("n") >= least), "text-counts")
+    total = counts.where("key = X''").select(F.col("host").alias("of"), F.col("n").alias("pages"))
+    often = counts.where("key != X''").join(total, F.col("host") == F.col("of")).where("2 * n >= pages")
+    return often.groupBy("host").agg(F.sort_array(F.collect_list("key")).alias("fixed"))
+
+
+def _known(pages: DataFrame, by_host: DataFrame) -> DataFrame:
+    """Pages beside what is known of their host (columns of ``by_host``, null if nothing)."""
+    by_host = by_host.withColumnRenamed("host", "_of")
+    return _with_host(pages).join(by_host, F.col("host") == F.col("_of"), "left").drop("_of")
+
+
+def host_skeletons(pages: DataFrame, fixed: DataFrame) -> DataFrame:
     """``host, skeleton, n``: the distinct streams of each host, counted before the shuffle."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            host = [_host(u) for u in batch.column(0).to_pylist()]
-            text = [json.dumps(skeleton(h.as_py() or ""), separators=(",", ":")) for h in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(text, pa.string())], ["host", "skeleton"])
+            rows = zip(batch.column(1), batch.column(2).to_pylist(), strict=True)
+            text = [json.dumps(skeleton(h.as_py() or "", frozenset(f or ())), separators=(",", ":")) for h, f in rows]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(text, pa.string())], ["host", "skeleton"])
 
-    rows = pages.select(F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+    rows = _known(pages, fixed).select("host", "html", "fixed")
     return rows.mapInArrow(compute, "host string, skeleton string").groupBy("host", "skeleton").agg(F.count("*").alias("n"))
 
 
@@ -256,8 +323,8 @@ def infer(streams: list[tuple[int, list]]) -> list:
     return wrapper
 
 
-def wrappers(pages: DataFrame, salts: int = 16) -> DataFrame:
-    """``host, wrapper, content`` of every host.
+def wrappers(pages: DataFrame, fixed: DataFrame, salts: int = 16) -> DataFrame:
+    """``host, wrapper, content`` of every host, from its pages and its ``constant_texts``.
 
     The distinct streams of a host are dealt to ``salts`` groups that are
     aligned apart; their wrappers are aligned once more, so a large host is
@@ -273,7 +340,7 @@ def wrappers(pages: DataFrame, salts: int = 16) -> DataFrame:
         wrapper = infer([(n, json.loads(w)) for n, w in zip(table["n"].to_pylist(), table["wrapper"].to_pylist(), strict=True)])
         return pa.table({"host": [table["host"][0].as_py()], "wrapper": [json.dumps(wrapper)], "content": [content_mark(wrapper)]})
 
-    found = host_skeletons(pages).withColumn("_salt", F.pmod(F.hash("skeleton"), F.lit(salts)))
+    found = host_skeletons(pages, fixed).withColumn("_salt", F.pmod(F.hash("skeleton"), F.lit(salts)))
     parts = found.groupBy("host", "_salt").applyInArrow(first, "host string, n long, wrapper string")
     return parts.groupBy("host").applyInArrow(second, "host string, wrapper string, content string")
 
@@ -284,21 +351,19 @@ def main_text(pages: DataFrame) -> DataFrame:
     Returns per row ``page_id, url, text, n_chars``. Null or empty html gives an
     empty text; a null url belongs to the host of no name; repeated rows give
     repeated results. Character references are decoded and white space inside
-    a block is one space; blocks are joined by two line ends.
+    a block is one space; blocks are joined by two line ends. Texts that
+    ``CONSTANT_PAGES`` and half of a host's distinct pages share behind the same
+    tag are template and left out; repeated rows count as one page there.
     """
-    known = materialise(wrappers(pages), "wrappers").select(F.col("host").alias("_host"), "content")
-    rows = pages.select(
-        F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")
-    )
-    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"(?i)^\s*(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    rows = rows.withColumn("_at", host)
-    rows = rows.join(known, F.col("_at") == F.col("_host"), "left").select("page_id", "url", "html", "content")
+    fixed = materialise(constant_texts(pages), "constant-texts")
+    found = materialise(wrappers(pages, fixed), "wrappers").select(F.col("host").alias("h"), "content")
+    by_host = found.join(fixed, F.col("h") == F.col("host"), "left").select(F.col("h").alias("host"), "content", "fixed")
+    rows = _known(pages, by_host).select("page_id", "url", "html", "content", "fixed")
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text = [
-                extract(h.as_py() or "", c or "") for h, c in zip(batch.column(2), batch.column(3).to_pylist(), strict=True)
-            ]
+            known = zip(batch.column(2), batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)
+            text = [extract(h.as_py() or "", c or "", frozenset(f or ())) for h, c, f in known]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64())],
                 ["page_id", "url", "text", "n_chars"],

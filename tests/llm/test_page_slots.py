@@ -1,0 +1,58 @@
+"""Slots and constants of pages (operator 4) against hand-written texts."""
+
+from __future__ import annotations
+
+from pluvio.llm.wrappers import constant_texts, extract, main_text
+
+SCHEMA = "page_id long, url string, html string, host int, fixed string"
+
+
+def _texts(spark, pages, host="a.example"):
+    rows = [(k, f"https://{host}/{k}", h, 1, "x") for k, h in enumerate(pages)]
+    return {r["page_id"]: r["text"] for r in main_text(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
+
+
+def test_names_that_only_hold_a_boilerplate_word_stay_inside_the_content():
+    page = (
+        "<div class='page-side'>Out</div><article><div class='story-side'><p>Real paragraph one.</p></div>"
+        "<section class='related-work'><p>Two.</p></section><div class='comments'><p>First!</p></div></article>"
+    )
+    assert extract(page, "article") == "Real paragraph one.\n\nTwo."
+
+
+def test_template_blocks_at_head_and_foot_of_the_article_go(spark):
+    box = "<div class='box'>Read our <b>terms</b> &amp; rules.</div>"
+    got = _texts(spark, [f"<article>{box}<p>Own text {k}.</p><p>More {k}.</p>{box}</article>" for k in range(30)])
+    assert got == {k: f"Own text {k}.\n\nMore {k}." for k in range(30)}
+
+
+def test_neutrally_named_menu_and_rights_line_go(spark):
+    pages = []
+    for k in range(12):
+        body = "".join(f"<p>Text {k} {j}.</p>" for j in range(1 + k % 3))
+        pages.append(f"<body><div class='x1'><p>Home</p><p>News</p></div><div class='x2'>{body}</div><div class='x3'>All rights kept.</div></body>")
+    got = _texts(spark, pages)
+    assert got == {k: "\n\n".join(f"Text {k} {j}." for j in range(1 + k % 3)) for k in range(12)}
+
+
+def test_two_templates_of_one_host(spark):
+    one = [f"<main><h1>T{k}</h1><p>Body {k}.</p><p>Share this page</p></main>" for k in range(10)]
+    two = [f"<main><p>Share this page</p><ul><li>Item {k}</li><li>Item {k}b</li></ul></main>" for k in range(10, 20)]
+    got = _texts(spark, one + two)
+    assert got[3] == "T3\n\nBody 3." and got[13] == "Item 13\n\nItem 13b"
+
+
+def test_copies_of_one_page_and_small_hosts_keep_their_text(spark):
+    same = "<article><p>The same.</p></article>"
+    assert set(_texts(spark, [same] * 20).values()) == {"The same."}
+    assert set(_texts(spark, [f"<article><p>All.</p><p>{k}</p></article>" for k in range(4)]).values()) == {f"All.\n\n{k}" for k in range(4)}
+
+
+def test_nulls_empty_table_and_very_long_pages(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert main_text(empty).collect() == [] and constant_texts(empty).collect() == []
+    long = "<article>" + "".join(f"<p>Line {k}.</p>" for k in range(60_000)) + "</article>"
+    rows = [(None, None, None, 1, "x"), (1, None, "", 1, "x"), (2, "https://b.example/", long, 1, "x")]
+    got = sorted(map(tuple, main_text(spark.createDataFrame(rows, SCHEMA)).collect()), key=str)
+    whole = "\n\n".join(f"Line {k}." for k in range(60_000))
+    assert got == sorted([(None, None, "", 0), (1, None, "", 0), (2, "https://b.example/", whole, len(whole))], key=str)
