@@ -73,8 +73,10 @@ def banding(percent: int) -> tuple[int, int]:
     """Bands, and minima per band: as many of these as ``BAND_MINIMA`` allows at a chance of ``MISS``.
 
     At 80 percent 49 bands of 5: a pair that only shares a common passage (similarity 0.2)
-    meets in 0.016 bands on average, so a passage makes no hot bucket.
+    meets in 0.016 bands on average, so a passage makes no hot bucket. Thresholds below 20 raise.
     """
+    if percent < 20:
+        raise ValueError("near_classes needs a threshold of 20 percent or more")
     bands = lambda rows: math.ceil(math.log(MISS) / math.log1p(-min((percent / 100) ** rows, 1 - MISS)))
     rows = max((k for k in range(1, 9) if k * bands(k) <= BAND_MINIMA), default=1)
     return bands(rows), rows
