@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import collections
+import math
 import random
 import re
 
@@ -140,6 +142,33 @@ def test_trigram_counts_and_probabilities(spark):
     assert np.isfinite(table).all()
 
 
+def test_characters_of_one_class_are_told_apart(spark):
+    """Letters that share a class score by their own counts; perplexities as by brute force."""
+    r = random.Random(11)
+    text = lambda letters, n=70: " ".join("".join(r.choice(letters) for _ in range(r.randint(2, 6))) for _ in range(n))
+    cyrillic = [chr(c) for c in range(0x430, 0x440)]
+    rows = [(k, text(cyrillic), "ru") for k in range(60)] + [(100 + k, text("aeinrst"), "en") for k in range(60)]
+    shifted = "".join(c if c == " " else chr(ord(c) + 48) for c in rows[0][1])  # the same classes throughout
+    rows.append((99, shifted, "ru"))
+    assert [*classes(np.array([*map(ord, shifted)]))] == [*classes(np.array([*map(ord, rows[0][1])]))]
+    got = {x.doc_id: x for x in quality_rules(_docs(spark, rows)).collect()}
+    assert got[99].perplexity > 2 * got[0].perplexity and not got[99].kept and got[1].kept
+    for lang in ("ru", "en"):
+        counts, chars, of_class = np.zeros(CLASSES**3, np.int64), collections.Counter(), collections.Counter()
+        grams = {}
+        for i, t, x in rows:
+            if x == lang:
+                k = [0, 0, *classes(np.array([*map(ord, t)], np.int64)).tolist()]
+                grams[i] = [a * CLASSES**2 + b * CLASSES + c for a, b, c in zip(k, k[1:], k[2:], strict=False)]
+                np.add.at(counts, grams[i], 1)
+                chars.update(t)
+                of_class.update(k[2:])
+        table = score_table({o: (k, p, b) for o, k, p, b in fit_grams(counts)})
+        for i, t, _ in (x for x in rows if x[0] in grams):
+            member = [math.log(chars[c] / of_class[int(classes(np.array([ord(c)]))[0])]) for c in t]
+            assert math.isclose(got[i].perplexity, math.exp(-table[grams[i]].mean(dtype=float) - np.mean(member)), rel_tol=1e-4)
+
+
 def test_leaks_exact_and_paraphrased(spark, corpus):
     r = random.Random(3)
     vocabulary = ["".join(r.choice("bcdfglmpuvy") for _ in range(6)) for _ in range(3000)]
