@@ -27,8 +27,8 @@ WINDOWS = (8, 16, 32, WINDOW)
 ITEM_WEIGHT = 4.0
 #: Words in more than this share of all passages say nothing about an item.
 COMMON = 0.08
-#: Documents (by hash of the doc_id) whose passages join the items in fitting the space.
-FIT_DOCS = 20_000
+#: Pairs of words up to which a task keeps their sums as a dense matrix, and in sparse form before it multiplies them out.
+DENSE_PAIRS, SPARSE_PAIRS = 1 << 25, 1 << 22
 
 
 def _hash_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -132,37 +132,79 @@ def passage_frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[int, n
     return n, df
 
 
+def _word_products(pairs, weight: np.ndarray, terms: int) -> tuple[np.ndarray, np.ndarray]:
+    """Products of the weights of each two words of a passage: codes ``lower * terms + upper`` and values (a word with itself: half)."""
+    passage, term = pairs[0], pairs[1]
+    codes, values = [term * terms + term], [weight * weight / 2]
+    for step in range(1, len(term)):  # a passage's terms ascend
+        i = np.flatnonzero(passage[:-step] == passage[step:])
+        if not len(i):
+            break
+        codes.append(term[i] * terms + term[i + step])
+        values.append(weight[i] * weight[i + step])
+    return np.concatenate(codes), np.concatenate(values).astype(np.float32)
+
+
+def _summed(code: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes in order and the sum of each one's values."""
+    code, place = np.unique(code, return_inverse=True)
+    return code, np.bincount(place, value, len(code)).astype(np.float32)
+
+
+def _times(code: np.ndarray, value: np.ndarray, basis: np.ndarray, block: int = 512) -> np.ndarray:
+    """The symmetric matrix of ``_word_products`` times ``basis``, by blocks of its rows."""
+    terms = len(basis)
+    out = np.zeros_like(basis)
+    low, high = code // terms, code % terms
+    row, column, value = np.concatenate([low, high]), np.concatenate([high, low]), np.tile(value, 2)
+    order = np.argsort(row)
+    row, column, value = row[order], column[order], value[order]
+    cuts = np.searchsorted(row, np.arange(0, terms + block, block))
+    for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+        if a < b:
+            held, place = np.unique(column[a:b], return_inverse=True)
+            part = np.zeros((min(block, terms - k * block), len(held)), np.float32)
+            np.add.at(part, (row[a:b] - k * block, place), value[a:b])
+            out[k * block : k * block + len(part)] = part @ basis[held]
+    return out
+
+
 def fit_space(docs: DataFrame, items: tuple[np.ndarray, np.ndarray], vocabulary: np.ndarray, idf: np.ndarray, rank: int) -> np.ndarray:
     """Right singular vectors of the passage matrix by a randomised range finder.
 
-    Each task multiplies its passages with a fixed random matrix and the result
-    with their transpose, so only vocabulary-sized sums leave it. The rows are
-    the passages of the ``FIT_DOCS`` documents of smallest hash (the documented
-    bound of the index fit) and the items, which weigh ``ITEM_WEIGHT`` times as
-    much as all of those: the space has to tell items apart first.
+    Each task multiplies its passages' transpose times themselves (products of
+    two words of a passage, summed) with a fixed random matrix, so only
+    vocabulary-sized sums leave it. The rows are the passages of all documents
+    and the items, which weigh ``ITEM_WEIGHT`` times as much as all of those:
+    the space has to tell items apart first.
     """
     size = rank + 8
     rng = np.random.default_rng(5)
     draw = rng.standard_normal((len(vocabulary), size)).astype(np.float32)
+    none = np.zeros(0, np.int64), np.zeros(0, np.float32)
+    dense = len(vocabulary) ** 2 <= DENSE_PAIRS
 
-    def multiply(hashes: np.ndarray, spans: np.ndarray) -> np.ndarray:
+    def products(hashes: np.ndarray, spans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         pairs = _pairs(hashes, spans, vocabulary)
         w = _weights(pairs, idf)
-        w = w / _norms(pairs, w, len(spans))[pairs[0]]
-        y = _project(pairs, w, draw, len(spans))
-        out = np.zeros_like(draw)
-        order = np.argsort(pairs[1], kind="stable")
-        term, first = np.unique(pairs[1][order], return_index=True)
-        if len(term):
-            out[term] = np.add.reduceat(y[pairs[0][order]] * w[order, None].astype(np.float32), first, 0)
-        return out
+        return _word_products(pairs, w / _norms(pairs, w, len(spans))[pairs[0]], len(vocabulary))
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros_like(draw)
+        held = none
+        matrix = np.zeros((len(vocabulary),) * 2 if dense else (0, 0), np.float32)
         for batch in batches:
             for _, _, data, at in tx.slices(batch.column(0)):
                 s, e, row = tx.words(data, at)
-                total += multiply(tx.word_hashes(data, s, e, lower=True), passages(tx.row_bounds(row, len(at) - 1)))
+                more = products(tx.word_hashes(data, s, e, lower=True), passages(tx.row_bounds(row, len(at) - 1)))
+                if dense:
+                    np.add.at(matrix.reshape(-1), *more)
+                    continue
+                held = _summed(*(np.concatenate(x) for x in zip(held, more, strict=True)))
+                if len(held[0]) > SPARSE_PAIRS:
+                    total += _times(*held, draw)
+                    held = none
+        total += matrix @ draw + matrix.T @ draw if dense else _times(*held, draw)
         some = np.flatnonzero(total.any(1))
         flat = pa.FixedSizeListArray.from_arrays(pa.array(total[some].ravel()), size).cast(pa.list_(pa.float32()))
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), flat], ["term", "y"])
@@ -171,16 +213,13 @@ def fit_space(docs: DataFrame, items: tuple[np.ndarray, np.ndarray], vocabulary:
         y = np.stack(table["y"].to_numpy()).sum(0)
         return pa.table({"term": pa.array([table["term"][0].as_py()], pa.int32()), "y": pa.array([y.astype(np.float32)], pa.list_(pa.float32()))})
 
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    few = ids.select("doc_id").where("doc_id IS NOT NULL").distinct()
-    few = few.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_DOCS)
-    sample = ids.join(F.broadcast(few), "doc_id", "left_semi").select("text")  # at most FIT_DOCS ids
+    texts = docs.select(F.col("text").cast("string").alias("text"))
     y = np.zeros_like(draw)
     n = 0
-    for r in sample.mapInArrow(sums, "term int, y array<float>").groupBy("term").applyInArrow(add, "term int, y array<float>").toLocalIterator():
+    for r in texts.mapInArrow(sums, "term int, y array<float>").groupBy("term").applyInArrow(add, "term int, y array<float>").toLocalIterator():
         y[r["term"]] = r["y"]
         n += 1
-    own = multiply(items[0], passages(items[1]))
+    own = _times(*products(items[0], passages(items[1])), draw)
     scale = ITEM_WEIGHT * np.linalg.norm(y) / max(float(np.linalg.norm(own)), 1e-9) if n else 1.0
     u, _, _ = np.linalg.svd(y + max(scale, 1.0) * own, full_matrices=False)
     return np.ascontiguousarray(u[:, :rank].astype(np.float32))

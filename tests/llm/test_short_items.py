@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pluvio.llm.latent import _compare, find_leaks
 
@@ -43,3 +45,35 @@ def test_recall_against_all_pairs(spark, changed):
     recall = len(got & want) / len(want)
     print(f"changed {changed}: {len(want)} pairs, recall {recall:.3f}, beyond {len(got - want)}")
     assert recall >= 0.95
+
+
+@pytest.mark.parametrize("dense", [True, False])
+def test_space_is_fitted_on_every_document(spark, monkeypatch, dense):
+    """Also the words of documents beyond the 20,000 of smallest hash shape the latent space, as in brute force."""
+    from pluvio.llm import latent
+
+    if not dense:
+        monkeypatch.setattr(latent, "DENSE_PAIRS", 0)
+    far = {r.id for r in spark.range(20_400).orderBy(F.xxhash64("id").desc()).limit(300).collect()}
+    names = [f"w{k}" for k in range(40)]
+    # a few pairs of words each; the far ones hold words and pairs that no other document has
+    own = lambda k: " ".join(names[(20 if k in far else 0) + (k * j) % 20] for j in (1, 3, 7, 7))
+    texts = [own(k) if k in far or k % 60 == 0 else "" for k in range(20_400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    hashes, bounds = latent._hash_words([" ".join(names[k::8]) for k in range(8)])
+    vocabulary = np.unique(hashes)
+    idf = np.linspace(1, 2, len(vocabulary))
+    got = latent.fit_space(docs, (hashes, bounds), vocabulary, idf, 5)
+
+    def product(h, at):
+        rows = np.zeros((len(at) - 1, len(vocabulary)))
+        for k in range(len(at) - 1):
+            term, n = np.unique(np.searchsorted(vocabulary, h[at[k] : at[k + 1]]), return_counts=True)
+            rows[k, term] = (1 + np.log(n)) * idf[term]
+        rows /= np.maximum(np.linalg.norm(rows, axis=1), 1e-9)[:, None]
+        return rows.T @ rows @ np.random.default_rng(5).standard_normal((len(vocabulary), 13)).astype(np.float32)
+
+    y, items = product(*latent._hash_words(texts)), product(hashes, bounds)
+    scale = max(latent.ITEM_WEIGHT * np.linalg.norm(y) / np.linalg.norm(items), 1)
+    want = np.linalg.svd(y + scale * items, full_matrices=False)[0][:, :5]
+    assert np.allclose(np.abs(got), np.abs(want), atol=2e-3)
