@@ -151,11 +151,15 @@ def remove_repeats(docs: DataFrame, length: int = 13, seed: int = 6) -> DataFram
     discard(seeded)
     candidates = rows.join(per_doc, "doc_id").withColumn("nr", F.monotonically_increasing_id())
     candidates = materialise(candidates, "candidates")
+    discard(shared)
+    discard(per_doc)
     windows = materialise(_extend(candidates, length, seed), "windows")
     least = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
     least = materialise(least.where("lo < hi").select("h1", "h2", "lo"), "repeats")
     repeats = windows.join(least, ["h1", "h2"]).where("doc_id > lo")
-    repeats = repeats.groupBy("nr").agg(F.collect_set("at").alias("at"))
+    repeats = materialise(repeats.groupBy("nr").agg(F.collect_set("at").alias("at")), "repeated-starts")
+    discard(windows)
+    discard(least)
     texts = candidates.select("doc_id", "_h", "text", "nr")
     cut = _cut(texts.join(repeats, "nr"), length).dropDuplicates(["doc_id", "_h"])
     cut = cut.select(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import os
 import random
 import re
 import struct
@@ -14,6 +15,7 @@ import xxhash
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from pluvio.session import checkpoint_root
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -144,3 +146,14 @@ def test_run_equals_the_stages(spark, tables, outputs):
     pieces = lambda rows: collections.Counter((r["doc_id"], r["piece"], r["length"], r["ids_crc32"]) for r in rows)
     got = corpus_pipeline.run(spark, tables[0]).collect()
     assert pieces(r.asDict() for r in got) == pieces(outputs[5])
+
+
+def test_run_keeps_no_stage_that_is_done_with(spark, tables):
+    """Of the stored stages only the last one's input is left, and none of the substring stage's windows."""
+    root = checkpoint_root(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    corpus_pipeline.run(spark, tables[0]).collect()
+    left = {x.rsplit("-", 1)[0] for x in set(os.listdir(root)) - before}
+    stages = {f"llm-{name}" for name, _ in corpus_pipeline.STAGES}
+    assert left & stages == {"llm-decontamination"}
+    assert not left & {"llm-windows", "llm-repeats", "llm-shared", "llm-shared-anchors"}
