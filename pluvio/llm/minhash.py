@@ -6,10 +6,11 @@ into a few words, and equal bit groups, corrected for chance collisions,
 estimate the similarity that sorts out candidates below the threshold. What is
 left is confirmed on the full shingle sets.
 
-A bucket never gives all its pairs: members are compared with its smallest
-member first; once the links found have been joined into classes, only members
-that are still apart are compared, the likeliest partners first, until no
-candidate pair between two classes is untested.
+Pairs of a bucket are never rows: members are compared with the bucket's
+smallest member first, then those still apart with each other, block by block
+inside tasks that return a forest of what they found. Estimates join members
+into clusters; the full sets of a cluster's members meet once, in blocks too,
+and every candidate pair between two classes is tested there.
 """
 
 from __future__ import annotations
@@ -34,10 +35,8 @@ MISS, BAND_MINIMA = 5e-9, 256
 SIGNATURE, BITS = 512, 2
 #: Standard errors below the threshold at which an estimate rules a candidate out.
 ERRORS = 6
-#: Members of one block of a bucket that a task compares at a time.
-BLOCK = 2048
-#: Pairs of one numpy step inside a block.
-PAIRS = 1 << 15
+#: Members of one block that a task compares at a time, and shingles that count as one more member where sets meet.
+BLOCK, MEMBER_SHINGLES = 2048, 4096
 #: Keys of needed rows up to this number (24 bytes each) are broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
@@ -203,24 +202,22 @@ def likely_pairs(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
     return both.where(fits).select("a", "b", "s_a", "s_b").mapInArrow(compute, "a long, b long")
 
 
-def _apart(members: DataFrame, classes: DataFrame, marks: DataFrame, block: int) -> DataFrame:
-    """Blocks of the buckets that hold several classes: ``key, kind, i, j, side, sid, root, n, sig``.
+def _apart(members: DataFrame, classes: DataFrame, block: int) -> DataFrame:
+    """Blocks of the groups ``key, sid, pivot, weight`` that hold several classes: ``key, kind, i, j, side, sid, root``.
 
-    Members outside the class of the bucket's smallest member (the rest) meet
-    the members of that class (kind 0) and each other (kind 1), block by block.
+    Members outside the class of the group's pivot (the rest) meet the members
+    of that class (kind 0) and each other (kind 1), block by block.
     """
     root = classes.select(F.col("node").alias("sid"), "root")
     rows = members.join(root, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     pivot_root = F.min(F.when(F.col("sid") == F.col("pivot"), F.col("root")))
-    split = rows.groupBy("key").agg(
-        pivot_root.alias("main"), F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m")
-    )
-    split = materialise(split.where("lo < hi").select("key", "main", "m"), "split-buckets")
+    split = rows.groupBy("key").agg(pivot_root.alias("main"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    split = materialise(split.where("lo < hi").select("key", "main"), "split-buckets")
     rows = rows.join(split, "key").withColumn("rest", F.col("root") != F.col("main"))
-    # blocks by hash: the number of either side is at most the bucket's size
-    count = rows.groupBy("key").agg(F.count_if("rest").alias("n_rest"), F.count_if(~F.col("rest")).alias("n_main"))
-    blocks = lambda c: F.greatest(F.ceil(F.col(c) / block), F.lit(1)).cast("int")
-    count = materialise(count.select("key", blocks("n_rest").alias("b_rest"), blocks("n_main").alias("b_main")), "bucket-blocks")
+    # blocks by hash: the number of either side is at most the group's size
+    blocks = lambda side: F.greatest(F.ceil(F.sum(F.when(side, F.col("weight"))) / block), F.lit(1)).cast("int")
+    count = rows.groupBy("key").agg(blocks(F.col("rest")).alias("b_rest"), blocks(~F.col("rest")).alias("b_main"))
+    count = materialise(count, "bucket-blocks")
     rows = rows.join(count, "key")
     own = F.pmod(F.xxhash64("sid"), F.when(F.col("rest"), F.col("b_rest")).otherwise(F.col("b_main"))).cast("int")
     rows = rows.withColumn("own", own)
@@ -231,69 +228,102 @@ def _apart(members: DataFrame, classes: DataFrame, marks: DataFrame, block: int)
     earlier = F.transform(F.sequence(F.lit(0), F.col("own")), lambda i: spot(1, i, F.col("own"), 1))
     later = F.transform(F.sequence(F.col("own"), F.col("b_rest") - 1), lambda j: spot(1, F.col("own"), j, 0))
     places = F.when(F.col("rest"), F.concat(meets, earlier, later)).otherwise(mains)
-    rows = rows.select("key", "sid", "root", "pivot", F.explode(places).alias("p"))
-    rows = rows.join(marks, "sid")
-    return rows.select("key", "p.kind", "p.i", "p.j", "p.side", "sid", "root", "pivot", "n", "sig")
+    rows = rows.select("key", "sid", "root", F.explode(places).alias("p"))
+    return rows.select("key", "p.kind", "p.i", "p.j", "p.side", "sid", "root")
 
 
 _ORDER = ["key", "kind", "i", "j"]
 
 
-def _proposals(rows: DataFrame, percent: int, most: int) -> DataFrame:
-    """``a, b, later``: the ``most`` likeliest partners of other classes for each member of a block.
+def _shared(grams: list, x: int, others: np.ndarray) -> np.ndarray:
+    """Number of shingles that the set ``x`` has in common with each of the others."""
+    flat = np.concatenate([grams[k] for k in others.tolist()])
+    size = np.array([len(grams[k]) for k in others.tolist()])
+    at = np.minimum(np.searchsorted(grams[x], flat), len(grams[x]) - 1)
+    return np.add.reduceat((grams[x][at] == flat).astype(np.int64), np.cumsum(size) - size)
+
+
+def _links(rows: DataFrame, percent: int, most: int) -> DataFrame:
+    """``a, b``: a forest per block of ``_apart`` that joins all classes with a candidate pair there.
 
-    ``later`` is a row of its own for a block that has more; nothing is given up.
+    With a column ``grams`` the full sets decide, for each member's likeliest
+    ``most`` partners first; else sizes and estimates do. A pair is passed over
+    only if links already given join its classes.
     """
     least = least_estimate(percent)
-
-    def pairs(block: list) -> pa.RecordBatch:
-        side, sid, root, pivot, n, sig = block
-        x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        found, more = [], False
-        step = max(1, PAIRS // max(1, len(y)))
-        for lo in range(0, len(x), step):
-            some = x[lo : lo + step, None]
-            fits = root[y] != root[some]
-            fits &= 100 * np.minimum(n[y], n[some]) >= percent * np.maximum(n[y], n[some])
-            fits &= (sid[y] != pivot[some]) & (sid[y] != sid[some])
-            i, j = np.nonzero(fits)
-            a, b = some[i, 0], y[j]
-            est = similarity(sig[a], sig[b])
-            keep = est >= least
-            i, a, b, est = i[keep], a[keep], b[keep], est[keep]
-            if len(i) and np.bincount(i).max() > most:  # the likeliest of each member
-                more = True
-                order = np.lexsort((sid[b], -est, i))
-                i, a, b = i[order], a[order], b[order]
-                first = np.arange(len(i)) - np.searchsorted(i, i) < most
-                a, b = a[first], b[first]
-            found.append(np.stack([np.maximum(sid[a], sid[b]), np.minimum(sid[a], sid[b])]))
-        both = np.unique(np.concatenate(found, 1), axis=1) if found else np.zeros((2, 0), np.int64)
-        later = np.zeros(both.shape[1] + more, bool)
-        later[both.shape[1] :] = True
-        both = np.concatenate([both, np.full((2, int(more)), -1)], 1)
-        return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1]), pa.array(later)], ["a", "b", "later"])
+    exact = "grams" in rows.columns
+
+    def links(block: list) -> pa.RecordBatch:
+        side, sid, root, n, sig = block[:5]
+        label = np.unique(root, return_inverse=True)[1]
+        y = np.flatnonzero(side == 1)
+        grams = [np.frombuffer(v, U64) for v in block[5]] if exact else None
+        found: list[tuple[int, int]] = []
+
+        def join(x: int, those: np.ndarray) -> None:
+            """Link ``x`` with one member of each class among ``those``."""
+            own, first = np.unique(label[those], return_index=True)
+            found.extend((sid[x], k) for k in sid[those[first]].tolist())
+            label[np.isin(label, own)] = label[x]
+
+        for x in np.flatnonzero(side == 0).tolist():
+            fits = label[y] != label[x]
+            fits &= 100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x])
+            those = y[fits]
+            if not len(those):
+                continue
+            est = similarity(sig[those], sig[x])
+            those, est = those[est >= least], est[est >= least]
+            if not exact:
+                if len(those):
+                    join(x, those)
+                continue
+            those = those[np.lexsort((sid[those], -est))]
+            while len(those):
+                some, those = those[:most], those[most:]
+                both = _shared(grams, x, some)
+                some = some[100 * both >= percent * (n[some] + n[x] - both)]
+                if len(some):
+                    join(x, some)
+                    those = those[label[those] != label[x]]
+        both = np.array(found, np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(both.max(1)), pa.array(both.min(1))], ["a", "b"])
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = cols = None  # rows of the last block, which may go on in the next batch
 
+        def part(cols: list, lo: int, hi: int) -> list:
+            return [x[lo:hi] for x in cols]
+
         for batch in batches:
             if not batch.num_rows:
                 continue
             more = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in _ORDER])
-            now = [batch.column(c).to_numpy() for c in ("side", "sid", "root", "pivot", "n")] + [_words(batch.column("sig"))]
+            now = [batch.column(c).to_numpy() for c in ("side", "sid", "root", "n")] + [_words(batch.column("sig"))]
+            if exact:
+                now.append(np.array(batch.column("grams").to_pylist(), object))
             if keys is not None:
                 more = np.concatenate([keys, more], 1)
                 now = [np.concatenate(x) for x in zip(cols, now, strict=True)]
             cuts = [0, *(np.flatnonzero((more[:, 1:] != more[:, :-1]).any(0)) + 1).tolist()]
             for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-                yield pairs([x[lo:hi] for x in now])
-            keys, cols = more[:, cuts[-1] :], [x[cuts[-1] :] for x in now]
+                yield links(part(now, lo, hi))
+            keys, cols = more[:, cuts[-1] :], part(now, cuts[-1], len(now[0]))
         if keys is not None:
-            yield pairs(cols)
+            yield links(cols)
 
     dealt = rows.repartition(*_ORDER).sortWithinPartitions(*_ORDER)
-    return dealt.mapInArrow(compute, "a long, b long, later boolean")
+    return dealt.mapInArrow(compute, "a long, b long")
+
+
+def _clusters(nodes: DataFrame, classes: DataFrame) -> DataFrame:
+    """``key, sid, pivot`` of the members of clusters ``node, root`` that hold several classes; the pivot stands for the largest."""
+    rows = nodes.select(F.col("node").alias("sid"), F.col("root").alias("key"))
+    rows = rows.union(rows.select(F.col("key").alias("sid"), "key").distinct())
+    of = rows.join(classes.select(F.col("node").alias("sid"), "root"), "sid", "left")
+    sizes = of.groupBy("key", F.coalesce("root", "sid").alias("c")).agg(F.count("*").alias("m"))
+    pivots = sizes.groupBy("key").agg(F.max_by("c", F.struct("m", "c")).alias("pivot"), F.count("*").alias("classes"))
+    return rows.join(pivots.where("classes > 1").select("key", "pivot"), "key")
 
 
 def near_classes(docs: DataFrame, shingle: int = 4, percent: int = 80, block: int = BLOCK, most: int = 32) -> DataFrame:
@@ -323,22 +353,17 @@ def near_classes(docs: DataFrame, shingle: int = 4, percent: int = 80, block: in
     needed = sets.join(members.select("sid").distinct(), "sid").select("sid", "least.doc_id", "least._h")
     grams = materialise(full_sets(docs, materialise(needed, "needed"), shingle), "grams")
     marks = grams.select("sid", "n", "sig")
-    tested = classes = None
-    more = True
-    while True:
-        new = materialise(likely_pairs(new, marks, percent), "candidates")
-        found = materialise(confirm(new, grams, percent), "confirmed")
-        if classes is None:
-            classes = components(found)
-        elif not found.isEmpty():  # the classes so far are links to their roots
-            classes = components(found.union(classes.select(F.col("node").alias("a"), F.col("root").alias("b"))))
-        if not more:  # every candidate between two classes has been tested
-            break
-        tested = new if tested is None else tested.union(new)
-        proposed = materialise(_proposals(_apart(members, classes, marks, block), percent, most), "proposed")
-        more = not proposed.where("later").isEmpty()
-        new = proposed.where("NOT later").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
-        most *= 8
+    joined = lambda one, two: components(one.select("a", "b").union(two.select("a", "b")))
+    as_links = lambda classes: classes.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    new = materialise(likely_pairs(new, marks, percent), "candidates")
+    near = components(new)
+    apart = _apart(members.withColumn("weight", F.lit(1.0)), near, block).join(marks, "sid")
+    near = joined(as_links(near), materialise(_links(apart, percent, most), "near"))
+    classes = components(materialise(confirm(new, grams, percent), "confirmed"))
+    weight = 1 + F.col("n") / MEMBER_SHINGLES
+    inside = _clusters(near, classes).join(marks.select("sid", weight.alias("weight")), "sid")
+    apart = _apart(materialise(inside, "clusters"), classes, block).join(grams, "sid")
+    classes = joined(as_links(classes), materialise(_links(apart, percent, most), "linked"))
     discard(grams)
     roots = sets.join(classes, sets["sid"] == classes["node"], "left").select(
         "digest", F.col("least.doc_id").alias("least_id"), F.coalesce("root", "sid").alias("root")

@@ -86,6 +86,28 @@ def test_members_apart_from_the_smallest_are_still_linked(spark):
     assert got == brute(rows, percent=60)
 
 
+def test_pairs_below_the_threshold_are_no_rows(spark, monkeypatch):
+    """Sixty texts, each two 75 percent alike: the tables stored grow with members and bands, not with pairs."""
+    r = random.Random(11)
+    rows = []
+    for k in range(60):
+        w = [f"w{i}" for i in range(400)]
+        for at in r.sample(range(4, 396, 4), 7):
+            w[at] = f"v{k}_{at}"
+        rows.append((k, " ".join(w)))
+    stored = {}
+
+    def store(df, name, keep=minhash.materialise):
+        out = keep(df, name)
+        stored[name] = max(out.count(), stored.get(name, 0))
+        return out
+
+    monkeypatch.setattr(minhash, "materialise", store)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert collections.Counter(map(tuple, near_classes(df).collect())) == brute(rows)
+    assert max(stored.values()) <= banding(80)[0] * len(rows), stored
+
+
 def test_empty_table(spark):
     assert near_classes(spark.createDataFrame([], "doc_id long, text string")).collect() == []
     lonely = spark.createDataFrame([(7, None), (None, "a b c d e")], "doc_id long, text string")
