@@ -22,23 +22,26 @@ def parse_fact(
     hourly_precip_qc`` plus the ``keep`` columns passed through.
     """
     d = F.col(doc)
-    return bronze.select(
+    kept = [*keep, "_record_id", "_record_updated_at", "noaa_station_id", "noaa_record_id"]
+    # the texts first, each once: the typed columns below name theirs several times
+    texts = bronze.select(
         *keep,
         "_record_id",
         "_record_updated_at",
         json_value(d, "properties.stationId").alias("noaa_station_id"),
         json_value(d, "id").alias("noaa_record_id"),
-        iso_timestamp(json_value(d, "properties.timestamp"), on_bad_timestamp).alias(
-            "hourly_precip_timestamp"
-        ),
-        safe_double(json_value(d, "properties.precipitationLastHour.value")).alias(
-            "hourly_precip_value"
-        ),
-        strip_unit(json_value(d, "properties.precipitationLastHour.unitCode")).alias(
-            "hourly_precip_unit"
-        ),
+        json_value(d, "properties.timestamp").alias("hourly_precip_timestamp"),
+        json_value(d, "properties.precipitationLastHour.value").alias("hourly_precip_value"),
+        json_value(d, "properties.precipitationLastHour.unitCode").alias("hourly_precip_unit"),
         json_value(d, "properties.precipitationLastHour.qualityControl").alias("hourly_precip_qc"),
     )
+    return texts.select(
+        *kept,
+        iso_timestamp("hourly_precip_timestamp", on_bad_timestamp).alias("hourly_precip_timestamp"),
+        safe_double("hourly_precip_value").alias("hourly_precip_value"),
+        strip_unit("hourly_precip_unit").alias("hourly_precip_unit"),
+        "hourly_precip_qc",
+    )
 
 
 def routine_reports(df: DataFrame, minute: int = 54, ts_col: str = "hourly_precip_timestamp") -> DataFrame:

@@ -19,6 +19,8 @@ log = logging.getLogger(__name__)
 _AT = "__at"
 #: Parts of landed files up to this number (some 100 bytes each) are broadcast with their offsets.
 BROADCAST_PARTS = 100_000
+#: Staged features are written and read at once: a dictionary, but for the few file names, costs more than it saves.
+STAGED = {"parquet.enable.dictionary": "false", "parquet.enable.dictionary#__file": "true"}
 
 
 def stage_features(envelopes: DataFrame, name: str, keep: tuple[str, ...] = ()) -> tuple[DataFrame, str, int]:
@@ -30,7 +32,7 @@ def stage_features(envelopes: DataFrame, name: str, keep: tuple[str, ...] = ())
     rows = envelopes.select("trace_id", *SOURCE, *keep, F.explode("observations.features").alias("__feature"))
     obs = Observation(name)
     rows = rows.withColumn(_AT, F.monotonically_increasing_id()).observe(obs, F.count(F.lit(1)).alias("rows"))
-    staged, table = materialize(rows, name)
+    staged, table = materialize(rows, name, **STAGED)
     return staged, table, int(obs.get["rows"])
 
 

@@ -101,7 +101,8 @@ def write_envelopes(
     shuffle, no sort, and a trace holding a third of all rows becomes many
     bounded envelopes in many tasks. Tasks write one file each, in the order of
     the input's partitions, so file name, line and list position together keep
-    the input order of every trace. A NULL trace id is an error (the loader
+    the input order of every trace. Features are VARIANT or structs (of which
+    NULL fields are left out). A NULL trace id is an error (the loader
     would reject the envelope). Returns the output folder.
     """
     trace = F.when(
