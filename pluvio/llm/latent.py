@@ -59,9 +59,11 @@ def _terms(hashes: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
 
 def _places(hashes: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of the words that the vocabulary holds, and their terms."""
-    term = _terms(hashes, vocabulary)
-    place = np.flatnonzero(term >= 0)
-    return place, term[place]
+    begins = np.zeros(1 << 16, bool)  # most words are told apart by their first bits
+    begins[vocabulary >> tx.U64(48)] = True
+    place = np.flatnonzero(begins[hashes >> tx.U64(48)])
+    term = _terms(hashes[place], vocabulary)
+    return place[term >= 0], term[term >= 0]
 
 
 def _pairs_at(place: np.ndarray, term: np.ndarray, spans: np.ndarray, terms: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -87,20 +89,31 @@ def _norms(pairs, weight: np.ndarray, rows: int) -> np.ndarray:
     return np.maximum(np.sqrt(np.bincount(pairs[0], weight * weight, minlength=rows)), 1e-9)
 
 
-def _project(pairs, weight: np.ndarray, basis: np.ndarray, rows: int, chunk: int = 4096) -> np.ndarray:
-    """Rows of the sparse passage matrix times ``basis``, in chunks that stay in the cache."""
+def _project(pairs, weight: np.ndarray, basis: np.ndarray, rows: int, chunk: int = 512) -> np.ndarray:
+    """Rows of the sparse passage matrix times ``basis``, in chunks that stay in the cache.
+
+    The passages of a chunk are summed together, term by term: the first terms
+    of all, then the second terms of those that have one. Passages go by size,
+    so that these are always the first ones of the chunk.
+    """
     out = np.zeros((rows, basis.shape[1]), np.float32)
-    row, first = np.unique(pairs[0], return_index=True)
-    ends = np.append(first[1:], len(pairs[0]))
-    weight = weight.astype(np.float32)
-    lo = 0
-    while lo < len(row):
-        hi = max(lo + 1, int(np.searchsorted(ends, first[lo] + chunk, "right")))
-        a, b = first[lo], ends[hi - 1]
-        part = basis[pairs[1][a:b]]
-        part *= weight[a:b, None]
-        out[row[lo:hi]] = np.add.reduceat(part, first[lo:hi] - a, 0)
-        lo = hi
+    passage, term = pairs[0], pairs[1]
+    first = np.flatnonzero(np.diff(passage, prepend=-1))  # a passage's pairs stand together
+    size = np.diff(first, append=len(passage))
+    order = np.argsort(-size, kind="stable")
+    first, size = first[order], size[order]
+    weight = weight.astype(np.float32)[:, None]
+    for lo in range(0, len(first), chunk):
+        at, many = first[lo : lo + chunk], size[lo : lo + chunk]
+        total = basis[term[at]]
+        total *= weight[at]
+        left = np.searchsorted(-many, -np.arange(1, many[0]))  # passages with a further term
+        for k, n in enumerate(left.tolist(), 1):
+            here = at[:n] + k
+            part = basis[term[here]]
+            part *= weight[here]
+            total[:n] += part
+        out[passage[at]] = total
     return out
 
 
