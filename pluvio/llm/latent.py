@@ -89,31 +89,43 @@ def _norms(pairs, weight: np.ndarray, rows: int) -> np.ndarray:
     return np.maximum(np.sqrt(np.bincount(pairs[0], weight * weight, minlength=rows)), 1e-9)
 
 
-def _project(pairs, weight: np.ndarray, basis: np.ndarray, rows: int, chunk: int = 512) -> np.ndarray:
+def _project(pairs, weight: np.ndarray, basis: np.ndarray, rows: int, chunk: int = 256) -> np.ndarray:
     """Rows of the sparse passage matrix times ``basis``, in chunks that stay in the cache.
 
-    The passages of a chunk are summed together, term by term: the first terms
-    of all, then the second terms of those that have one. Passages go by size,
-    so that these are always the first ones of the chunk.
+    Passages of equally many terms are summed together, term by term, in eight
+    lanes: the order in which ``np.add.reduceat`` sums each one up, at a
+    fraction of its time, so that cosines agree with it to the last bit.
     """
     out = np.zeros((rows, basis.shape[1]), np.float32)
     passage, term = pairs[0], pairs[1]
     first = np.flatnonzero(np.diff(passage, prepend=-1))  # a passage's pairs stand together
     size = np.diff(first, append=len(passage))
-    order = np.argsort(-size, kind="stable")
-    first, size = first[order], size[order]
+    order = np.argsort(size, kind="stable")
     weight = weight.astype(np.float32)[:, None]
-    for lo in range(0, len(first), chunk):
-        at, many = first[lo : lo + chunk], size[lo : lo + chunk]
-        total = basis[term[at]]
-        total *= weight[at]
-        left = np.searchsorted(-many, -np.arange(1, many[0]))  # passages with a further term
-        for k, n in enumerate(left.tolist(), 1):
-            here = at[:n] + k
-            part = basis[term[here]]
-            part *= weight[here]
-            total[:n] += part
-        out[passage[at]] = total
+
+    def summed(at: np.ndarray, many: int) -> np.ndarray:
+        def part(k: int) -> np.ndarray:
+            row = basis[term[at + k]]
+            row *= weight[at + k]
+            return row
+
+        over = 1 + (many - 1) // 8 * 8  # terms from here on fill no eight
+        lanes = [part(k) for k in range(1, min(over, 9))]
+        for k in range(9, over):
+            lanes[(k - 1) % 8] += part(k)
+        while len(lanes) > 1:
+            lanes = [x + y for x, y in zip(lanes[::2], lanes[1::2], strict=True)]
+        rest = [*lanes, *map(part, range(over, many))]
+        for x in rest[1:]:
+            rest[0] += x
+        total = part(0)
+        return total + rest[0] if rest else total
+
+    cuts = np.searchsorted(size[order], np.arange(1, size.max(initial=0) + 2))
+    for many, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True), 1):
+        for lo in range(a, b, chunk):
+            at = first[order[lo : min(lo + chunk, b)]]
+            out[passage[at]] = summed(at, many)
     return out
 
 

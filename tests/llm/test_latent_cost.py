@@ -9,10 +9,10 @@ import numpy as np
 from pluvio.llm import latent
 
 
-def _passages(rows: int, terms: int):
-    """Sparse passages of 0 to 24 terms, ascending by passage and term as ``_pairs_at`` gives them."""
+def _passages(rows: int, terms: int, most: int):
+    """Sparse passages of 0 to about ``most`` terms, ascending by passage and term as ``_pairs_at`` gives them."""
     rng = np.random.default_rng(3)
-    held = rng.random((rows, terms)) < rng.integers(0, 25, rows)[:, None] / terms
+    held = rng.random((rows, terms)) < rng.integers(0, most + 1, rows)[:, None] / terms
     passage, term = np.nonzero(held)
     return (passage, term, np.ones(len(term), np.int64)), rng.random(len(term)) + 0.1
 
@@ -26,30 +26,36 @@ def _seconds(run) -> float:
     return min(times)
 
 
+def _segment_sums(pairs, weight, basis, rows, chunk=1024):
+    """What ``_project`` returns, one segment of ``np.add.reduceat`` for each passage."""
+    out = np.zeros((rows, basis.shape[1]), np.float32)
+    starts = np.append(np.flatnonzero(np.diff(pairs[0], prepend=-1)), len(weight))
+    for lo in range(0, len(starts) - 1, chunk):
+        hi = min(lo + chunk, len(starts) - 1)
+        a, b = starts[lo], starts[hi]
+        part = basis[pairs[1][a:b]] * weight[a:b, None].astype(np.float32)
+        out[pairs[0][starts[lo:hi]]] = np.add.reduceat(part, starts[lo:hi] - a, 0)
+    return out
+
+
 def test_projection_matches_dense_product():
-    pairs, weight = _passages(1500, 90)
+    pairs, weight = _passages(1500, 90, 60)
     basis = np.random.default_rng(4).standard_normal((90, 24)).astype(np.float32)
     dense = np.zeros((1503, 90))
     dense[pairs[0], pairs[1]] = weight
     for chunk in (1, 7, 512):
-        assert np.allclose(latent._project(pairs, weight, basis, 1503, chunk), dense @ basis, atol=1e-4)
+        found = latent._project(pairs, weight, basis, 1503, chunk)
+        assert np.allclose(found, dense @ basis, atol=1e-4)
+        assert np.array_equal(found, _segment_sums(pairs, weight, basis, 1503))
     none = tuple(x[:0] for x in pairs)
     assert not latent._project(none, weight[:0], basis, 3).any()
 
 
 def test_projection_costs_less_than_half_of_segment_sums():
-    pairs, weight = _passages(6000, 800)
-    basis = np.random.default_rng(4).standard_normal((800, 192)).astype(np.float32)
-    starts = np.flatnonzero(np.diff(pairs[0], prepend=-1))
-
-    def segment_sums():
-        for lo in range(0, len(starts), 256):
-            a, b = starts[lo], np.append(starts, len(weight))[min(lo + 256, len(starts))]
-            part = basis[pairs[1][a:b]]
-            part *= weight[a:b, None].astype(np.float32)
-            np.add.reduceat(part, starts[lo : lo + 256] - a, 0)
-
-    assert _seconds(lambda: latent._project(pairs, weight, basis, 6000)) < 0.5 * _seconds(segment_sums)
+    pairs, weight = _passages(20_000, 400, 8)
+    basis = np.random.default_rng(4).standard_normal((400, 192)).astype(np.float32)
+    given = pairs, weight, basis, 20_000
+    assert _seconds(lambda: latent._project(*given)) < 0.5 * _seconds(lambda: _segment_sums(*given))
 
 
 def test_places_of_words_with_equal_first_bits():
