@@ -130,6 +130,8 @@ def test_the_query_tells_letters_of_one_class_apart_by_their_neighbours(spark, t
     got = {x.doc_id: x for x in op2_kn_perplexity(spark, str(tmp_path)).collect()}
     assert not got[99].kept and got[99].perplexity > 1.5 * got[0].perplexity
     assert sum(got[k].kept for k in range(80)) >= 78
+    kept = {x.doc_id for x in px.keep_good(spark.read.parquet(f"{tmp_path}/documents.parquet")).collect()}
+    assert kept == {k for k, x in got.items() if x.kept}
 
 
 def test_a_text_does_not_bear_itself_out(spark):
